@@ -11,11 +11,24 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from tillroll.plans import clean, enrich, metrics
+from pyspark.sql import functions as F
+
+from tillroll.functions.money import money_total, round_half_even
+from tillroll.operators.aggregates import first_non_null, share_of_total, value_counts
+from tillroll.operators.masking import append_rows
+from tillroll.operators.ranking import average_rank
+from tillroll.operators.topk import arg_max
+from tillroll.plans import clean, enrich, metrics, publish as publish_plan
 from tillroll.sources import fixtures
+from tillroll.sources.warehouse import (
+    nan_to_null_all, publish, read_table, receipt_frame, sanitize_columns, storage_projection,
+)
 
 FLAGSHIP_SF = "/root/testdata/sf0.001"
+# Scratch databases (under the session's warehouse folder) for the table queries.
+CHECK_DB = "tillroll_check"
+PIPELINE_DB = "tillroll_pipeline"
+SAMPLE_N = 50
 
 
 # --------------------------------------------------------------------------
@@ -39,17 +52,172 @@ def entry(spark: SparkSession) -> DataFrame:
     return metrics.daily_sales(_enriched(spark, FLAGSHIP_SF))
 
 
+def _roundtrip(s, d):
+    publish(_cleaned(s, d), CHECK_DB, "table_roundtrip")
+    return read_table(s, CHECK_DB, "table_roundtrip")
+
+
+def _write_receipt(s, d):
+    return receipt_frame(s, [publish(_enriched(s, d), CHECK_DB, "write_receipt")])
+
+
+def _preview_top10(s, d):
+    publish(metrics.daily_sales(_enriched(s, d)), CHECK_DB, ["Preview", "Daily"])
+    return s.sql(f"SELECT * FROM {CHECK_DB}.preview_daily ORDER BY transaction_date_only LIMIT 10")
+
+
+def _published_pipeline(s, d):
+    publish_plan.run_all(s, d, PIPELINE_DB)
+    return read_table(s, PIPELINE_DB, "customer_insights")
+
+
+def _sanitize(s, d):
+    daily = metrics.daily_sales(_enriched(s, d))
+    messy = daily.toDF("Date Only", "Total Revenue ($)", "txn-count", "avg.order value",
+                       "unique customers", "date")
+    return sanitize_columns(messy)
+
+
+def _nan_to_null(s, d):
+    li = fixtures.table(s, d, "lineitem")
+    planted = F.when((F.col("l_orderkey") + F.col("l_linenumber")) % 13 == 0,
+                     F.lit("NaN").cast("double")).otherwise(F.col("l_extendedprice"))
+    return nan_to_null_all(li.select("l_orderkey", "l_linenumber", planted.alias("price")))
+
+
+def _ingest_metrics(s, d):
+    raw = _raw(s, d)
+    per_id = raw.groupBy("transaction_id").agg(F.count(F.lit(1)).alias("n"))
+    return per_id.agg(F.sum("n").cast("bigint").alias("row_count"),
+                      F.lit(len(raw.columns)).cast("bigint").alias("column_count"),
+                      (F.sum("n") - F.count(F.lit(1))).cast("bigint").alias("duplicate_count"))
+
+
+def _join_suffixes(s, d):
+    customers = fixtures.raw_customers(s, d).join(fixtures.customer_home_regions(s, d), "customer_id")
+    j = enrich.left_join_customers(_cleaned(s, d), customers)
+    return j.select("transaction_id", "customer_id", "region_sale", "region_customer")
+
+
+def _cast_types(s, d):
+    b = fixtures.with_faults(fixtures.base_sales(s, d))
+    text = b.select("transaction_id",
+                    (F.col("quantity") + F.lit(0.75)).alias("quantity"),
+                    F.col("unit_price").cast("string").alias("unit_price"),
+                    F.col("transaction_date").cast("string").alias("transaction_date"))
+    return clean.cast_types(text)
+
+
+def _round_price(s, d):
+    li = fixtures.table(s, d, "lineitem")
+    return li.select("l_orderkey", "l_linenumber",
+                     round_half_even(F.col("l_quantity") / 8).alias("price_rounded"))
+
+
+def _customers_agg(s, d):
+    return metrics.customer_aggregates(_enriched(s, d))
+
+
+def _rank_ties(s, d, **kw):
+    ranked = average_rank(_customers_agg(s, d), "transaction_count", "count_rank", **kw)
+    return ranked.select("customer_id", "transaction_count", "count_rank")
+
+
+def _revenue_share(s, d):
+    p = metrics.product_aggregates(_enriched(s, d))
+    out = share_of_total(p, "total_revenue", "revenue_share", total_of=money_total("total_revenue"))
+    return out.select("product_id", "total_revenue", "revenue_share")
+
+
+def _first_per_customer(s, d):
+    e = _enriched(s, d)
+    order = [F.col("transaction_date"), F.col("transaction_id")]
+    return (e.where(F.col("customer_id").isNotNull()).groupBy("customer_id")
+            .agg(first_non_null("tier", order).alias("customer_tier"),
+                 first_non_null("customer_category", order).alias("customer_category")))
+
+
+def _top_customer(s, d):
+    return arg_max(_customers_agg(s, d), "total_revenue", ["customer_id", "total_revenue"],
+                   [F.col("customer_id")])
+
+
+def _append_duplicates(s, d):
+    base = fixtures.with_faults(fixtures.base_sales(s, d)).select(*fixtures.SALES_COLUMNS)
+    return append_rows(base, fixtures.sample_sales(s, d, SAMPLE_N))
+
+
+def _mask_to_null(s, d):
+    b = fixtures.with_faults(fixtures.base_sales(s, d))
+    return b.select("transaction_id", "customer_id")
+
+
+def _mask_negate(s, d):
+    b = fixtures.with_faults(fixtures.base_sales(s, d))
+    return b.select("transaction_id", "unit_price")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        # sources, sinks, storage
         "raw_sales": lambda s, d: _raw(s, d),
         "raw_customers": lambda s, d: fixtures.raw_customers(s, d),
+        "table_roundtrip": _roundtrip,
+        "storage_types": lambda s, d: storage_projection(fixtures.table(s, d, "lineitem")),
+        "sanitize_columns": _sanitize,
+        "nan_to_null": _nan_to_null,
+        "write_receipt": _write_receipt,
+        "preview_top10": _preview_top10,
+        "ingest_metrics": _ingest_metrics,
+        # fills, filters, derived columns
+        "fill_missing_customer": lambda s, d: clean.fill_missing_customer(
+            clean.dedup_transactions(_raw(s, d))),
+        "fill_customer_defaults": lambda s, d: enrich.fill_customer_defaults(
+            enrich.left_join_customers(_cleaned(s, d), fixtures.raw_customers(s, d))),
+        "filter_valid_price": lambda s, d: clean.filter_valid_price(_raw(s, d)),
+        "cleaning_metrics": lambda s, d: clean.cleaning_metrics(_raw(s, d)),
+        "derive_sale_columns": lambda s, d: clean.derive_sale_columns(_raw(s, d)),
+        "tenure_category": lambda s, d: _enriched(s, d).select(
+            "transaction_id", "customer_id", "days_since_signup", "customer_category"),
+        "tenure_days": lambda s, d: _enriched(s, d).select(
+            "transaction_id", "customer_id", "signup_date", "transaction_date",
+            "customer_tenure_days", "days_since_signup"),
+        "mask_to_null": _mask_to_null,
+        "mask_negate": _mask_negate,
+        "join_suffixes": _join_suffixes,
+        "cast_types": _cast_types,
+        "round_price": _round_price,
+        # join
+        "left_join_customers": lambda s, d: enrich.left_join_customers(
+            _cleaned(s, d), fixtures.raw_customers(s, d)),
+        # aggregations
         "dedup_transactions": lambda s, d: clean.dedup_transactions(_raw(s, d)),
-        "cleaned_sales": lambda s, d: _cleaned(s, d),
-        "enriched_sales": lambda s, d: _enriched(s, d),
         "daily_sales": lambda s, d: metrics.daily_sales(_enriched(s, d)),
         "product_performance": lambda s, d: metrics.product_performance(_enriched(s, d)),
         "regional_performance": lambda s, d: metrics.regional_performance(_enriched(s, d)),
         "customer_insights": lambda s, d: metrics.customer_insights(_enriched(s, d)),
+        "first_per_customer": _first_per_customer,
+        "summary_metrics": lambda s, d: metrics.summary_metrics(_enriched(s, d)),
+        "tier_distribution": lambda s, d: value_counts(_enriched(s, d), "tier", "tier_count"),
+        "enrichment_metrics": lambda s, d: enrich.enrichment_metrics(
+            _cleaned(s, d), fixtures.raw_customers(s, d)),
+        # ranks, shares, order
+        "rank_average_ties": lambda s, d: _rank_ties(s, d),
+        "distributed_rank": lambda s, d: _rank_ties(s, d, rows_per_bucket=8, broadcast_rows=0,
+                                                    target_rows=5),
+        "revenue_share": _revenue_share,
+        "sorted_products": lambda s, d: metrics.sorted_products(
+            metrics.product_performance(_enriched(s, d))),
+        "top_product": lambda s, d: metrics.top_product(metrics.product_performance(_enriched(s, d))),
+        "top_customer": _top_customer,
+        "customer_summary": lambda s, d: metrics.customer_summary(_customers_agg(s, d)),
+        # copies and samples
+        "append_duplicates": _append_duplicates,
+        "sample_n": lambda s, d: fixtures.sample_customers(s, d, SAMPLE_N),
+        # composite stages
+        "cleaned_sales": lambda s, d: _cleaned(s, d),
+        "enriched_sales": lambda s, d: _enriched(s, d),
+        "published_pipeline": _published_pipeline,
     }
 
 
@@ -243,14 +411,153 @@ def _with(*ctes: str) -> str:
 def oracle_sql() -> dict[str, str]:
     cleaned_cols = ("transaction_id, customer_id, product_id, quantity, unit_price, transaction_date, "
                     "region, total_amount, transaction_date_only, hour_of_day, day_of_week")
+    enriched_cols = ",".join([
+        "transaction_id", "customer_id", "product_id", "quantity", "unit_price", "transaction_date",
+        "region", "total_amount", "transaction_date_only", "hour_of_day", "day_of_week",
+        "customer_name", "email", "signup_date", "tier", "customer_tenure_days",
+        "days_since_signup", "customer_category"])
+    scatter_sales = ("((0 * 31 + (CAST(l_orderkey AS BIGINT) % 1000003) * 7919) % 1000003 * 31 "
+                     "+ (CAST(l_linenumber AS BIGINT) % 1000003) * 112648) % 1000003")
+    scatter_cust = "((0 * 31 + (CAST(c_custkey AS BIGINT) % 1000003) * 7919) % 1000003)"
+    price_ok = "coalesce(unit_price >= 0 AND NOT isnan(unit_price), false)"
+    valid_amount = f"CASE WHEN {price_ok} THEN quantity * unit_price END"
     return {
+        # sources, sinks, storage
         "raw_sales": _with(_RAW) + " SELECT * FROM raw_sales",
         "raw_customers": _with(_CUSTOMERS) + " SELECT * FROM raw_customers",
+        "table_roundtrip": _with(_CLEANED) + f" SELECT {cleaned_cols} FROM cleaned",
+        "storage_types": "SELECT * REPLACE (CAST(l_linenumber AS BIGINT) AS l_linenumber) FROM lineitem",
+        "sanitize_columns": _with(_ENRICHED, _DAILY) + """
+            SELECT transaction_date_only AS Date_Only, total_revenue AS Total_Revenue____,
+                   transaction_count AS txn_count, avg_order_value AS avg_order_value,
+                   unique_customers AS unique_customers, date FROM daily""",
+        "nan_to_null": """
+            SELECT l_orderkey, l_linenumber,
+                   CASE WHEN (l_orderkey + l_linenumber) % 13 = 0 THEN NULL
+                        ELSE l_extendedprice END AS price
+            FROM lineitem""",
+        "write_receipt": _with(_ENRICHED) + f"""
+            SELECT '{CHECK_DB}.write_receipt' AS "table", count(*) AS row_count,
+                   '{enriched_cols}' AS columns FROM enriched""",
+        "preview_top10": _with(_ENRICHED, _DAILY)
+        + " SELECT * FROM daily ORDER BY transaction_date_only LIMIT 10",
+        "ingest_metrics": _with(_RAW) + """
+            SELECT count(*) AS row_count, CAST(7 AS BIGINT) AS column_count,
+                   count(*) - (SELECT count(*) FROM (SELECT DISTINCT transaction_id FROM raw_sales))
+                     AS duplicate_count
+            FROM raw_sales""",
+        # fills, filters, derived columns
+        "fill_missing_customer": _with(_DEDUP)
+        + " SELECT * REPLACE (coalesce(customer_id, 'UNKNOWN') AS customer_id) FROM dedup",
+        "fill_customer_defaults": _with(_ENRICHED) + " SELECT * FROM filled",
+        "filter_valid_price": _with(_RAW) + f" SELECT * FROM raw_sales WHERE {price_ok}",
+        "cleaning_metrics": _with(_DEDUP) + f"""
+            SELECT (SELECT count(*) FROM raw_sales) AS initial_rows,
+                   count(*) FILTER (WHERE {price_ok}) AS final_rows,
+                   (SELECT count(*) FROM raw_sales) - count(*) AS duplicates_removed,
+                   count(*) FILTER (WHERE customer_id IS NULL) AS missing_values_filled,
+                   count(*) FILTER (WHERE NOT {price_ok}) AS invalid_prices_removed,
+                   {_money_sum(valid_amount)} AS total_revenue,
+                   {_money_mean(valid_amount)} AS avg_transaction_value
+            FROM dedup""",
+        "derive_sale_columns": _with(_RAW) + """
+            SELECT *, quantity * unit_price AS total_amount,
+                   CAST(transaction_date AS DATE) AS transaction_date_only,
+                   CAST(hour(transaction_date) AS BIGINT) AS hour_of_day,
+                   dayname(transaction_date) AS day_of_week
+            FROM raw_sales""",
+        "tenure_category": _with(_ENRICHED)
+        + " SELECT transaction_id, customer_id, days_since_signup, customer_category FROM enriched",
+        "tenure_days": _with(_ENRICHED) + """
+            SELECT transaction_id, customer_id, signup_date, transaction_date,
+                   customer_tenure_days, days_since_signup FROM enriched""",
+        "mask_to_null": _with(_BASE) + " SELECT transaction_id, customer_id FROM base",
+        "mask_negate": _with(_BASE) + " SELECT transaction_id, unit_price FROM base",
+        "join_suffixes": _with(_CLEANED, _CUSTOMERS) + """,
+            home AS (
+              SELECT printf('CUST-%03d', c.c_custkey) AS customer_id, r.r_name AS region
+              FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
+              JOIN region r ON n.n_regionkey = r.r_regionkey
+            ),
+            cust AS (SELECT rc.*, h.region FROM raw_customers rc JOIN home h USING (customer_id))
+            SELECT s.transaction_id, s.customer_id, s.region AS region_sale, c.region AS region_customer
+            FROM cleaned s LEFT JOIN cust c ON s.customer_id = c.customer_id""",
+        "cast_types": _with(_BASE) + """
+            SELECT transaction_id,
+                   CAST(trunc(quantity + 0.75) AS BIGINT) AS quantity,
+                   CAST(CAST(unit_price AS VARCHAR) AS DOUBLE) AS unit_price,
+                   CAST(CAST(transaction_date AS VARCHAR) AS TIMESTAMP) AS transaction_date
+            FROM base""",
+        "round_price": """
+            SELECT l_orderkey, l_linenumber, round_even(l_quantity / 8, 2) AS price_rounded
+            FROM lineitem""",
+        # join
+        "left_join_customers": _with(_ENRICHED) + " SELECT * FROM joined",
+        # aggregations
         "dedup_transactions": _with(_DEDUP) + " SELECT * FROM dedup",
-        "cleaned_sales": _with(_CLEANED) + f" SELECT {cleaned_cols} FROM cleaned",
-        "enriched_sales": _with(_ENRICHED) + " SELECT * FROM enriched",
         "daily_sales": _with(_ENRICHED, _DAILY) + " SELECT * FROM daily",
         "product_performance": _with(_ENRICHED, _PRODUCTS) + " SELECT * FROM products",
         "regional_performance": _with(_ENRICHED, _REGIONS) + " SELECT * FROM regions",
         "customer_insights": _with(_ENRICHED, _CUSTOMER_INSIGHTS) + " SELECT * FROM customers_out",
+        "first_per_customer": _with(_ENRICHED, _CUSTOMER_INSIGHTS)
+        + " SELECT customer_id, customer_tier, customer_category FROM customer_agg",
+        "summary_metrics": _with(_ENRICHED) + f"""
+            SELECT {_money_sum('total_amount')} AS total_revenue,
+                   count(*) AS total_transactions,
+                   count(DISTINCT customer_id) AS unique_customers,
+                   count(DISTINCT transaction_date_only) AS days_analyzed,
+                   count(DISTINCT product_id) AS products_ranked,
+                   count(DISTINCT region) AS regions_analyzed
+            FROM enriched""",
+        "tier_distribution": _with(_ENRICHED)
+        + " SELECT tier, count(*) AS tier_count FROM enriched WHERE tier IS NOT NULL GROUP BY tier",
+        "enrichment_metrics": _with(_ENRICHED) + f"""
+            SELECT count(*) AS rows_enriched,
+                   count(*) FILTER (WHERE customer_name IS NULL) AS missing_customers_filled,
+                   count(DISTINCT customer_id) AS unique_customers,
+                   {_money_sum('total_amount')} AS total_revenue
+            FROM joined""",
+        # ranks, shares, order
+        "rank_average_ties": _with(_ENRICHED, _CUSTOMER_INSIGHTS) + f"""
+            SELECT customer_id, transaction_count, {_avg_rank_desc('transaction_count')} AS count_rank
+            FROM customer_agg""",
+        "distributed_rank": _with(_ENRICHED, _CUSTOMER_INSIGHTS) + f"""
+            SELECT customer_id, transaction_count, {_avg_rank_desc('transaction_count')} AS count_rank
+            FROM customer_agg""",
+        "revenue_share": _with(_ENRICHED, _PRODUCTS) + """
+            SELECT product_id, total_revenue,
+                   total_revenue / nullif(CAST((SELECT sum(CAST(total_revenue AS DECIMAL(38,2)))
+                                                FROM product_agg) AS DOUBLE), 0) AS revenue_share
+            FROM product_agg""",
+        "sorted_products": _with(_ENRICHED, _PRODUCTS) + """
+            SELECT *, row_number() OVER (ORDER BY rank_by_revenue ASC NULLS LAST, product_id) AS position
+            FROM products""",
+        "top_product": _with(_ENRICHED, _PRODUCTS) + """
+            SELECT product_id AS top_product, total_revenue AS top_product_revenue FROM products
+            WHERE rank_by_revenue IS NOT NULL ORDER BY rank_by_revenue, product_id LIMIT 1""",
+        "top_customer": _with(_ENRICHED, _CUSTOMER_INSIGHTS) + """
+            SELECT customer_id, total_revenue FROM customer_agg WHERE total_revenue IS NOT NULL
+            ORDER BY total_revenue DESC, customer_id LIMIT 1""",
+        "customer_summary": _with(_ENRICHED, _CUSTOMER_INSIGHTS) + """
+            SELECT count(*) AS total_customers,
+                   coalesce(CAST(sum(CAST(total_revenue AS DECIMAL(18,2))) AS DOUBLE), 0.0) AS total_revenue,
+                   max(total_revenue) AS top_customer_value,
+                   (SELECT customer_id FROM customer_agg
+                    WHERE customer_id <> 'UNKNOWN' AND total_revenue IS NOT NULL
+                    ORDER BY total_revenue DESC, customer_id LIMIT 1) AS top_known_customer,
+                   max(total_revenue) FILTER (WHERE customer_id <> 'UNKNOWN') AS top_known_customer_value
+            FROM customer_agg""",
+        # copies and samples
+        "append_duplicates": _with(_BASE) + f"""
+            SELECT {_SALES_COLS} FROM base
+            UNION ALL
+            (SELECT {_SALES_COLS} FROM base
+             ORDER BY {scatter_sales}, {_SALES_COLS} LIMIT {SAMPLE_N})""",
+        "sample_n": f"""
+            SELECT printf('CUST-%03d', c_custkey) AS customer_id, c_name AS customer_name
+            FROM customer ORDER BY {scatter_cust}, c_custkey LIMIT {SAMPLE_N}""",
+        # composite stages
+        "cleaned_sales": _with(_CLEANED) + f" SELECT {cleaned_cols} FROM cleaned",
+        "enriched_sales": _with(_ENRICHED) + " SELECT * FROM enriched",
+        "published_pipeline": _with(_ENRICHED, _CUSTOMER_INSIGHTS) + " SELECT * FROM customers_out",
     }

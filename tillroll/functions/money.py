@@ -33,3 +33,13 @@ def exact_sum(c, empty_as_zero: bool = True) -> Column:
 def exact_mean(c) -> Column:
     """Mean over the non-null values (null when there are none)."""
     return F.try_divide(F.sum(money(c)).cast("double"), F.count(_c(c)))
+
+
+def round_half_even(c, places: int = MONEY_SCALE) -> Column:
+    """Round to ``places`` decimals, ties to even (0.125 -> 0.12)."""
+    return F.bround(_c(c), places)
+
+
+def money_total(c) -> Column:
+    """A money total (already a sum) as a wide exact decimal, for re-summing."""
+    return _c(c).cast("decimal(38,2)")

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.operators.joins import DEFAULT_BROADCAST_ROWS, salted_join
+from tillroll.operators.joins import DEFAULT_BROADCAST_ROWS, DEFAULT_TARGET_ROWS, salted_join
 from tillroll.session import checkpoint_dir
 
 KEY = "__key"
@@ -110,7 +110,8 @@ def _valid(df: DataFrame, value: str) -> Column:
 
 def average_rank(df: DataFrame, value: str, out: str, descending: bool = True,
                  materialize: bool = True, broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                 rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+                 rows_per_bucket: int = ROWS_PER_BUCKET,
+                 target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
     """Add ``out``: rank of ``value`` (1 = largest when ``descending``), ties
     get the mean of their positions, NULL/NaN keep a NULL rank. Double.
 
@@ -131,11 +132,11 @@ def average_rank(df: DataFrame, value: str, out: str, descending: bool = True,
     ranked = ranked.select(F.col("__v").alias(value),
                            (F.col(BEFORE) + (F.col("__n") + 1) / 2.0).cast("double").alias(out),
                            "__n")
-    return join_by_value(df, ranked, value, broadcast_rows, n_vals)
+    return join_by_value(df, ranked, value, broadcast_rows, n_vals, target_rows)
 
 
 def join_by_value(df: DataFrame, ranked: DataFrame, value: str, broadcast_rows: int,
-                  n_vals: int, target_rows: int = 2_000_000) -> DataFrame:
+                  n_vals: int, target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
     """Left-join per-value results back to the rows; ``ranked`` has ``__n``."""
     cols = df.columns + [c for c in ranked.columns if c not in (value, "__n")]
     if n_vals <= broadcast_rows:

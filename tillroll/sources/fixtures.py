@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.operators.joins import bounded_broadcast
-from tillroll.operators.masking import copy_where, mask_to_null, negate_where
+from tillroll.operators.masking import copy_where, mask_to_null, negate_where, sample_n
 
 # Fixed values of the derivation (kept identical in the oracle SQL).
 #   transaction_id   'TXN-%06d-%d' of (l_orderkey, l_linenumber)
@@ -120,3 +120,34 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         signup.alias("signup_date"),
         tier.alias("tier"),
     )
+
+
+def customer_home_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(customer_id, region): the region a customer lives in."""
+    return customer_regions(spark, sf_dir).select(
+        F.format_string("CUST-%03d", F.col("c_custkey")).alias("customer_id"),
+        F.col("r_name").alias("region"))
+
+
+def scatter(*keys: Column) -> Column:
+    """A repeatable pseudo-random order over integer keys (no overflow)."""
+    expr = F.lit(0).cast("bigint")
+    for i, k in enumerate(keys):
+        expr = (expr * 31 + (k.cast("bigint") % 1000003) * (7919 + 104729 * i)) % 1000003
+    return expr
+
+
+def sample_sales(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
+    """``n`` raw-sales-shaped rows (before duplication) picked without replacement."""
+    b = with_faults(base_sales(spark, sf_dir))
+    order = [scatter(F.col("l_orderkey"), F.col("l_linenumber"))] + [F.col(c) for c in SALES_COLUMNS]
+    return sample_n(b, n, order).select(*SALES_COLUMNS)
+
+
+def sample_customers(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
+    """``n`` customers picked without replacement, repeatably."""
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    k = F.col("c_custkey")
+    return (sample_n(c, n, [scatter(k), k])
+            .select(F.format_string("CUST-%03d", k).alias("customer_id"),
+                    F.col("c_name").alias("customer_name")))

@@ -1,0 +1,6 @@
+"""Streaming.
+
+The pipeline this package rebuilds is batch only: every run rebuilds every
+table from its inputs, with no watermark, window, trigger or state. There is
+no streaming operator to provide, so this package is intentionally empty.
+"""
