@@ -90,9 +90,9 @@ def cleaning_metrics(raw: DataFrame) -> DataFrame:
     valid = not_nan_nonneg("unit_price")
     amount = F.when(valid, F.col("quantity").cast("bigint") * F.col("unit_price"))
     return d.agg(
-        F.sum(COPIES).cast("bigint").alias("initial_rows"),
+        F.coalesce(F.sum(COPIES), F.lit(0)).cast("bigint").alias("initial_rows"),
         F.count_if(valid).cast("bigint").alias("final_rows"),
-        (F.sum(COPIES) - F.count(F.lit(1))).cast("bigint").alias("duplicates_removed"),
+        F.coalesce(F.sum(COPIES) - F.count(F.lit(1)), F.lit(0)).cast("bigint").alias("duplicates_removed"),
         F.count_if(F.col("customer_id").isNull()).cast("bigint").alias("missing_values_filled"),
         F.count_if(~valid).cast("bigint").alias("invalid_prices_removed"),
         exact_sum(amount).alias("total_revenue"),

@@ -34,7 +34,7 @@ def build_session(master: str | None = None, app: str = "tillroll",
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    b = b.config("spark.ui.enabled", "false")
+    b = b.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     for k, v in PIPELINE_CONF.items():
         b = b.config(k, v)
     if shuffle_partitions:

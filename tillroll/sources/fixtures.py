@@ -13,7 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.operators.joins import bounded_broadcast
+from tillroll.functions.ids import prefixed_id, zero_pad
+from tillroll.operators.joins import row_count_at_most
 from tillroll.operators.masking import copy_where, mask_to_null, negate_where, sample_n
 
 # Fixed values of the derivation (kept identical in the oracle SQL).
@@ -52,40 +53,66 @@ def _duplicated(l_orderkey: Column) -> Column:
     return l_orderkey % 20 == 3
 
 
-def customer_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(c_custkey, r_name): customer -> nation -> region, dimensions broadcast."""
+# Checked row bounds of source dimensions, per session and source folder. The
+# sources are read-only inputs, so a bound checked once holds for the run.
+_BOUND_CHECKS: dict[tuple, bool] = {}
+
+
+def _small(spark: SparkSession, sf_dir: str, name: str, df: DataFrame) -> bool:
+    key = (spark.sparkContext.applicationId, sf_dir, name, DIM_BROADCAST_ROWS)
+    if key not in _BOUND_CHECKS:
+        _BOUND_CHECKS[key] = row_count_at_most(df, DIM_BROADCAST_ROWS)
+    return _BOUND_CHECKS[key]
+
+
+def _join_dim(spark, sf_dir, name, left: DataFrame, dim: DataFrame, dim_is_cheap: bool, cond):
+    """Join ``left`` to ``dim``; broadcast ``dim`` when its row bound is checked.
+
+    The check is a ``limit(n + 1).count()``, which stops early only when
+    ``dim`` is made of scans and broadcast joins; a ``dim`` that needs a
+    shuffle is treated as large (sort-merge join, AQE may still switch to a
+    broadcast once it has measured the shuffle)."""
+    small = dim_is_cheap and _small(spark, sf_dir, name, dim)
+    return left.join(F.broadcast(dim) if small else dim, cond), small
+
+
+def customer_regions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, bool]:
+    """(c_custkey, r_name) via nation and region; and whether it is small."""
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     region = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    geo = (nation.join(bounded_broadcast(region, DIM_BROADCAST_ROWS),
-                       nation.n_regionkey == region.r_regionkey)
-           .select("n_nationkey", "r_name"))
+    geo, geo_cheap = _join_dim(spark, sf_dir, "region", nation, region, True,
+                               nation.n_regionkey == region.r_regionkey)
+    geo = geo.select("n_nationkey", "r_name")
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    return (cust.join(bounded_broadcast(geo, DIM_BROADCAST_ROWS), cust.c_nationkey == geo.n_nationkey)
-            .select("c_custkey", "r_name"))
+    cr, cr_cheap = _join_dim(spark, sf_dir, "nation_region", cust, geo, geo_cheap,
+                             cust.c_nationkey == geo.n_nationkey)
+    return cr.select("c_custkey", "r_name"), cr_cheap
 
 
 def base_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items in the raw-sales shape, before the duplicate copies.
 
     Join order is chosen by hand: orders are first narrowed to
-    (orderkey, custkey, region) - an orders-sized shuffle - so the line-item
-    side, the big one, is shuffled once instead of twice. Keeps the two
+    (orderkey, custkey, region) - an orders-sized join - so the line-item
+    side, the big one, takes part in one join instead of two. Keeps the two
     lineitem key columns for the fault predicates (dropped by callers).
     """
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_shipdate")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    cr = customer_regions(spark, sf_dir)
-    order_region = (orders.join(bounded_broadcast(cr, DIM_BROADCAST_ROWS), orders.o_custkey == cr.c_custkey)
-                    .select("o_orderkey", "o_custkey", "r_name"))
-    j = li.join(bounded_broadcast(order_region, DIM_BROADCAST_ROWS), li.l_orderkey == order_region.o_orderkey)
+    cr, cr_cheap = customer_regions(spark, sf_dir)
+    order_region, or_cheap = _join_dim(spark, sf_dir, "customer_region", orders, cr, cr_cheap,
+                                       orders.o_custkey == cr.c_custkey)
+    order_region = order_region.select("o_orderkey", "o_custkey", "r_name")
+    j, _ = _join_dim(spark, sf_dir, "order_region", li, order_region, or_cheap,
+                     li.l_orderkey == order_region.o_orderkey)
     ok, ln = F.col("l_orderkey"), F.col("l_linenumber")
     hours = ((ok * 13 + ln * 5) % 24).cast("int")
     return j.select(
         "l_orderkey", "l_linenumber",
-        F.format_string("TXN-%06d-%d", ok, ln).alias("transaction_id"),
-        F.format_string("CUST-%03d", F.col("o_custkey")).alias("customer_id"),
-        F.format_string("PROD-%03d", F.col("l_partkey")).alias("product_id"),
+        F.concat(F.lit("TXN-"), zero_pad(ok, 6), F.lit("-"), ln.cast("string")).alias("transaction_id"),
+        prefixed_id("CUST-", F.col("o_custkey"), 3).alias("customer_id"),
+        prefixed_id("PROD-", F.col("l_partkey"), 3).alias("product_id"),
         F.col("l_quantity").cast("bigint").alias("quantity"),
         F.col("l_extendedprice").alias("unit_price"),
         (F.col("l_shipdate") + F.make_dt_interval(hours=hours)).alias("transaction_date"),
@@ -114,7 +141,7 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     signup = (F.lit(SIGNUP_EPOCH).cast("timestamp_ntz")
               + F.make_dt_interval(days=((k * 37) % 1095).cast("int"), hours=((k * 5) % 24).cast("int")))
     return c.where(k % 40 != 7).select(
-        F.format_string("CUST-%03d", k).alias("customer_id"),
+        prefixed_id("CUST-", k, 3).alias("customer_id"),
         F.col("c_name").alias("customer_name"),
         F.concat(F.lower(F.replace(F.col("c_name"), F.lit("#"), F.lit(""))), F.lit("@example.com")).alias("email"),
         signup.alias("signup_date"),
@@ -124,8 +151,9 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def customer_home_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(customer_id, region): the region a customer lives in."""
-    return customer_regions(spark, sf_dir).select(
-        F.format_string("CUST-%03d", F.col("c_custkey")).alias("customer_id"),
+    cr, _ = customer_regions(spark, sf_dir)
+    return cr.select(
+        prefixed_id("CUST-", F.col("c_custkey"), 3).alias("customer_id"),
         F.col("r_name").alias("region"))
 
 
@@ -149,5 +177,5 @@ def sample_customers(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     k = F.col("c_custkey")
     return (sample_n(c, n, [scatter(k), k])
-            .select(F.format_string("CUST-%03d", k).alias("customer_id"),
+            .select(prefixed_id("CUST-", k, 3).alias("customer_id"),
                     F.col("c_name").alias("customer_name")))
