@@ -49,8 +49,9 @@ def test_salted_join_matches_plain(spark):
 def test_groups_nan_and_null_keys(spark):
     df = spark.createDataFrame([("a", float("nan")), ("a", float("nan")), (None, 1.0), ("b", 2.0)],
                                "k string, v double")
-    g = (df.where(F.col("k").isNotNull()).withColumn("v", F.when(~F.isnan("v"), F.col("v")))
-         .groupBy("k").agg(exact_sum("v").alias("s"), F.count("v").alias("n"), exact_mean("v").alias("m")))
+    g = (df.where(F.col("k").isNotNull()).groupBy("k")
+         .agg(exact_sum("v").alias("s"), F.count(F.nanvl("v", F.lit(None))).alias("n"),
+              exact_mean("v").alias("m")))
     assert {r.k: (r.s, r.n, r.m) for r in g.collect()} == {"a": (0.0, 0, None), "b": (2.0, 1, 2.0)}
 
 
@@ -58,3 +59,10 @@ def test_first_non_null(spark):
     df = spark.createDataFrame([("a", 1, None), ("a", 2, "x"), ("a", 3, "y")], "k string, t int, v string")
     r = df.groupBy("k").agg(first_non_null("v", [F.col("t")]).alias("f")).first()
     assert r.f == "x"
+
+
+def test_tier_map(spark):
+    from tillroll.plans.enrich import tier_distribution
+
+    df = spark.createDataFrame([("Gold",), ("Bronze",), ("Gold",), (None,)], "tier string")
+    assert tier_distribution(df).first().tier_distribution == {"Bronze": 1, "Gold": 2}

@@ -19,9 +19,14 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _not_nan(c) -> Column:
+    c = _c(c)
+    return F.when(~F.isnan(c), c)
+
+
 def money(c) -> Column:
-    """A money value as an exact decimal (rounded to the cent)."""
-    return _c(c).cast(MONEY_TYPE)
+    """A money value as an exact decimal (rounded to the cent); NaN is NULL."""
+    return _not_nan(c).cast(MONEY_TYPE)
 
 
 def exact_sum(c, empty_as_zero: bool = True) -> Column:
@@ -31,8 +36,8 @@ def exact_sum(c, empty_as_zero: bool = True) -> Column:
 
 
 def exact_mean(c) -> Column:
-    """Mean over the non-null values (null when there are none)."""
-    return F.try_divide(F.sum(money(c)).cast("double"), F.count(_c(c)))
+    """Mean over the non-null, non-NaN values (null when there are none)."""
+    return F.try_divide(F.sum(money(c)).cast("double"), F.count(_not_nan(c)))
 
 
 def round_half_even(c, places: int = MONEY_SCALE) -> Column:

@@ -130,23 +130,16 @@ def average_rank(df: DataFrame, value: str, out: str, descending: bool = True,
     ranked = running_total_before(vals, key, F.col("__n"), rows_per_bucket=rows_per_bucket,
                                   total=n_vals)
     ranked = ranked.select(F.col("__v").alias(value),
-                           (F.col(BEFORE) + (F.col("__n") + 1) / 2.0).cast("double").alias(out),
-                           "__n")
-    return join_by_value(df, ranked, value, broadcast_rows, n_vals, target_rows)
-
-
-def join_by_value(df: DataFrame, ranked: DataFrame, value: str, broadcast_rows: int,
-                  n_vals: int, target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
-    """Left-join per-value results back to the rows; ``ranked`` has ``__n``."""
-    cols = df.columns + [c for c in ranked.columns if c not in (value, "__n")]
+                           (F.col(BEFORE) + (F.col("__n") + 1) / 2.0).cast("double").alias(out))
+    cols = df.columns + [out]
     if n_vals <= broadcast_rows:
-        joined = df.join(F.broadcast(ranked.drop("__n")), value, "left")
-    else:
-        hot = [((r[value],), int(r["__n"])) for r in
-               ranked.where(F.col("__n") >= target_rows).orderBy(F.col("__n").desc())
-               .limit(1000).collect()]
-        joined = salted_join(df, ranked.drop("__n"), [value], "left", hot, target_rows)
-    return joined.select(*cols)
+        return df.join(F.broadcast(ranked), value, "left").select(*cols)
+    # Values held by many rows are hot keys of the join back; their counts are
+    # already known from ``vals``, so no extra pass over the rows is needed.
+    hot = [((r["__v"],), int(r["__n"])) for r in
+           vals.where(F.col("__n") >= target_rows).orderBy(F.col("__n").desc())
+           .limit(1000).collect()]
+    return salted_join(df, ranked, [value], "left", hot, target_rows).select(*cols)
 
 
 def positions(df: DataFrame, order: Sequence[Column], out: str,
