@@ -66,3 +66,17 @@ def test_tier_map(spark):
 
     df = spark.createDataFrame([("Gold",), ("Bronze",), ("Gold",), (None,)], "tier string")
     assert tier_distribution(df).first().tier_distribution == {"Bronze": 1, "Gold": 2}
+
+
+def test_enrich_salted_path_equals_broadcast(spark):
+    """The real pipeline with the hot fill id split over salts gives the same rows."""
+    from conftest import SF_SMALL
+    from tillroll.plans import clean
+    from tillroll.sources import fixtures
+
+    cleaned = clean.cleaned_sales(fixtures.raw_sales(spark, SF_SMALL))
+    customers = fixtures.raw_customers(spark, SF_SMALL)
+    want = sorted(enrich.enriched_sales(cleaned, customers).collect())
+    # every customer id with 20+ sales (UNKNOWN among them) becomes a salted hot key
+    got = sorted(enrich.enriched_sales(cleaned, customers, broadcast_rows=0, target_rows=20).collect())
+    assert got == want

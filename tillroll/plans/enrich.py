@@ -9,7 +9,7 @@ from tillroll.functions.dates import calendar_days, elapsed_days, tenure_categor
 from tillroll.functions.money import exact_sum
 from tillroll.operators.aggregates import value_counts_map
 from tillroll.operators.fill import fill_from, fill_literals
-from tillroll.operators.joins import DEFAULT_BROADCAST_ROWS, lookup_join
+from tillroll.operators.joins import DEFAULT_BROADCAST_ROWS, DEFAULT_TARGET_ROWS, lookup_join
 
 JOIN_KEY = "customer_id"
 CUSTOMER_DEFAULTS = {
@@ -31,7 +31,8 @@ def suffix_overlaps(left: DataFrame, right: DataFrame, keys, suffixes=("_sale",
 
 
 def left_join_customers(sales: DataFrame, customers: DataFrame,
-                        broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                        broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                        target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
     """Every sale once per matching customer row (none: NULL customer fields).
 
     Output: the sales columns in their order, then the customer columns
@@ -39,7 +40,8 @@ def left_join_customers(sales: DataFrame, customers: DataFrame,
     """
     sales, customers = suffix_overlaps(sales, customers, [JOIN_KEY])
     right = [c for c in customers.columns if c != JOIN_KEY]
-    joined = lookup_join(sales, customers, [JOIN_KEY], "left", broadcast_rows=broadcast_rows)
+    joined = lookup_join(sales, customers, [JOIN_KEY], "left", broadcast_rows=broadcast_rows,
+                         target_rows=target_rows)
     return joined.select(*sales.columns, *right)
 
 
@@ -56,8 +58,12 @@ def add_tenure(df: DataFrame) -> DataFrame:
 
 
 def enriched_sales(cleaned: DataFrame, customers: DataFrame,
-                   broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    joined = left_join_customers(cleaned, customers, broadcast_rows)
+                   broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                   target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
+    """Cleaned sales with customer fields, defaults and tenure. The join is
+    a checked broadcast, or a salted sort-merge join above ``broadcast_rows``
+    customers (keys with ``target_rows`` sales or more are split)."""
+    joined = left_join_customers(cleaned, customers, broadcast_rows, target_rows)
     return add_tenure(fill_customer_defaults(joined))
 
 
