@@ -90,6 +90,7 @@ def _ingest_metrics(s, d):
     per_id = raw.groupBy("transaction_id").agg(F.count(F.lit(1)).alias("n"))
     return per_id.agg(F.sum("n").cast("bigint").alias("row_count"),
                       F.lit(len(raw.columns)).cast("bigint").alias("column_count"),
+                      F.lit(",".join(raw.columns)).alias("columns"),
                       (F.sum("n") - F.count(F.lit(1))).cast("bigint").alias("duplicate_count"))
 
 
@@ -441,8 +442,9 @@ def oracle_sql() -> dict[str, str]:
                    '{enriched_cols}' AS columns FROM enriched""",
         "preview_top10": _with(_ENRICHED, _DAILY)
         + " SELECT * FROM daily ORDER BY transaction_date_only LIMIT 10",
-        "ingest_metrics": _with(_RAW) + """
+        "ingest_metrics": _with(_RAW) + f"""
             SELECT count(*) AS row_count, CAST(7 AS BIGINT) AS column_count,
+                   '{",".join(fixtures.SALES_COLUMNS)}' AS columns,
                    count(*) - (SELECT count(*) FROM (SELECT DISTINCT transaction_id FROM raw_sales))
                      AS duplicate_count
             FROM raw_sales""",

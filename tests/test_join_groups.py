@@ -80,3 +80,14 @@ def test_enrich_salted_path_equals_broadcast(spark):
     # every customer id with 20+ sales (UNKNOWN among them) becomes a salted hot key
     got = sorted(enrich.enriched_sales(cleaned, customers, broadcast_rows=0, target_rows=20).collect())
     assert got == want
+
+
+def test_salted_join_hot_null_key(spark):
+    facts = spark.range(0, 3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.format_string("K%d", F.col("id") % 20)).alias("k"),
+        F.col("id"))
+    dim = spark.createDataFrame([(f"K{i}", i) for i in range(20)], "k string, x int")
+    want = sorted(facts.join(dim, "k", "left").collect(), key=lambda r: r.id)
+    auto = lookup_join(facts, dim, ["k"], "left", broadcast_rows=0, target_rows=100)
+    got = sorted(auto.select("k", "id", "x").collect(), key=lambda r: r.id)
+    assert got == want

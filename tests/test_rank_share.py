@@ -60,3 +60,12 @@ def test_share(spark):
     assert {r.k: r.s for r in share_of_total(df, "v", "s").collect()} == {"a": 0.75, "b": 0.25}
     zero = spark.createDataFrame([("a", 0.0), ("b", 0.0)], "k string, v double")
     assert {r.k: r.s for r in share_of_total(zero, "v", "s").collect()} == {"a": None, "b": None}
+
+
+def test_distributed_rank_with_hot_null(spark):
+    rows = [(i, None if i % 3 == 0 else (i * 7) % 50) for i in range(2000)]
+    df = spark.createDataFrame(rows, "id int, v int")
+    want = {r.id: r.r for r in _plain_rank(df, "v", "r").collect()}
+    got = {r.id: r.r for r in average_rank(df, "v", "r", rows_per_bucket=10, broadcast_rows=0,
+                                           target_rows=100).collect()}
+    assert got == want

@@ -68,21 +68,39 @@ def _key_lit(keys: Sequence[str], values: tuple) -> Column:
     return F.struct(*[F.lit(v).alias(k) for k, v in zip(keys, values)])
 
 
+def _salt_count(n: int, target_rows: int) -> int:
+    return min(MAX_SALTS, max(2, math.ceil(n / target_rows)))
+
+
 def salted_join(facts: DataFrame, dim: DataFrame, keys: Sequence[str], how: str,
                 hot: list[tuple[tuple, int]], target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
-    """Equi-join on ``keys``; each hot key is split over several salts."""
+    """Equi-join on ``keys``; each hot key is split over several salts.
+
+    A hot NULL key (``(None,)`` in ``hot``) is spread too: NULL never
+    matches, so those fact rows need no dimension copies, but without a salt
+    they would all hash to one reducer.
+    """
     keys = list(keys)
-    hot = [(k, n) for k, n in hot if all(v is not None for v in k)]  # null keys never match
-    if not hot:
+    null_rows = sum(n for k, n in hot if any(v is None for v in k))
+    hot = [(k, n) for k, n in hot if all(v is not None for v in k)]
+    if not hot and not null_rows:
         return facts.join(dim, keys, how)
-    pairs = []
-    for values, n in hot:
-        pairs += [_key_lit(keys, values), F.lit(min(MAX_SALTS, max(2, math.ceil(n / target_rows))))]
-    salts = F.try_element_at(F.create_map(*pairs), _key(keys))
     row_hash = F.xxhash64(*[F.col(c) for c in facts.columns])
-    f = facts.withColumn(SALT, F.coalesce(F.pmod(row_hash, salts), F.lit(0)).cast("int"))
-    copies = F.when(salts.isNotNull(), F.sequence(F.lit(0), salts.cast("int") - 1)) \
-        .otherwise(F.array(F.lit(0)))
+    salt = F.lit(0)
+    copies = F.array(F.lit(0))
+    if hot:
+        pairs = []
+        for values, n in hot:
+            pairs += [_key_lit(keys, values), F.lit(_salt_count(n, target_rows))]
+        salts = F.try_element_at(F.create_map(*pairs), _key(keys))
+        salt = F.coalesce(F.pmod(row_hash, salts), F.lit(0))
+        copies = F.when(salts.isNotNull(), F.sequence(F.lit(0), salts.cast("int") - 1)).otherwise(copies)
+    if null_rows:
+        any_null = F.lit(False)
+        for k in keys:
+            any_null = any_null | F.col(k).isNull()
+        salt = F.when(any_null, F.pmod(row_hash, F.lit(_salt_count(null_rows, target_rows)))).otherwise(salt)
+    f = facts.withColumn(SALT, salt.cast("int"))
     d = dim.withColumn(SALT, F.explode(copies))
     return f.join(d, keys + [SALT], how).drop(SALT)
 

@@ -125,7 +125,8 @@ def average_rank(df: DataFrame, value: str, out: str, descending: bool = True,
     v = F.col(value)
     vals = (df.where(_valid(df, value)).groupBy(v.alias("__v"))
             .agg(F.count(F.lit(1)).alias("__n")))
-    n_vals = vals.count()
+    stats = vals.agg(F.count(F.lit(1)).alias("n"), F.sum("__n").alias("rows")).first()
+    n_vals = int(stats["n"])
     key = F.struct((-F.col("__v") if descending else F.col("__v")).alias("v"))
     ranked = running_total_before(vals, key, F.col("__n"), rows_per_bucket=rows_per_bucket,
                                   total=n_vals)
@@ -139,6 +140,9 @@ def average_rank(df: DataFrame, value: str, out: str, descending: bool = True,
     hot = [((r["__v"],), int(r["__n"])) for r in
            vals.where(F.col("__n") >= target_rows).orderBy(F.col("__n").desc())
            .limit(1000).collect()]
+    no_value = df.count() - int(stats["rows"] or 0)  # NULL/NaN rows: NULL rank
+    if no_value >= target_rows:
+        hot.append(((None,), no_value))
     return salted_join(df, ranked, [value], "left", hot, target_rows).select(*cols)
 
 
