@@ -69,3 +69,32 @@ def test_distributed_rank_with_hot_null(spark):
     got = {r.id: r.r for r in average_rank(df, "v", "r", rows_per_bucket=10, broadcast_rows=0,
                                            target_rows=100).collect()}
     assert got == want
+
+
+def test_rank_matches_pandas_property(spark):
+    """Random inputs with ties and NULLs: same as pandas' default rank."""
+    import pandas as pd
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(st.one_of(st.none(), st.integers(-5, 5)), min_size=1, max_size=60),
+           st.sampled_from([1, 3, 1_000_000]))
+    def check(values, per_bucket):
+        pdf = pd.DataFrame({"id": range(len(values)), "v": pd.array(values, dtype="Int64")})
+        want = pdf["v"].astype("float").rank(ascending=False).tolist()
+        df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id int, v bigint")
+        got = {r.id: r.r for r in average_rank(df, "v", "r", rows_per_bucket=per_bucket).collect()}
+        for i, w in enumerate(want):
+            assert (got[i] is None) if w != w else got[i] == w
+
+    check()
+
+
+def test_zero_pad_matches_printf(spark):
+    from tillroll.functions.ids import zero_pad
+
+    vals = [0, 7, 123, 999999, 1234567, -5, -1234567]
+    df = spark.createDataFrame([(v,) for v in vals], "k bigint")
+    got = [r.s for r in df.select(zero_pad(F.col("k"), 6).alias("s")).collect()]
+    assert got == ["%06d" % v for v in vals]

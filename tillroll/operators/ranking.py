@@ -71,11 +71,11 @@ def running_total_before(df: DataFrame, key: Column, weight: Column, out: str =
                          total: int | None = None) -> DataFrame:
     """Add ``out`` = sum of ``weight`` over all rows whose ``key`` is smaller.
 
-    ``key`` is ascending-orderable (encode descending or nulls-last in it) and
-    should be unique per row for balanced buckets; equal keys are summed
-    together into ``out`` of neither. Runs one count job and, above
-    ``rows_per_bucket`` rows, one sampling job; the result plan has no
-    single-partition exchange of the rows.
+    ``key`` is ascending-orderable (encode a descending or nulls-last order
+    in it). Rows with equal keys do not count each other. Unique keys give
+    balanced buckets. Runs one count job (unless ``total`` is given) and,
+    above ``rows_per_bucket`` rows, one sampling job; the resulting plan has
+    no single-partition exchange of the rows.
     """
     d = df.withColumn(KEY, key).withColumn("__w", weight)
     if total is None:

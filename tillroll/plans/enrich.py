@@ -17,7 +17,6 @@ CUSTOMER_DEFAULTS = {
     "email": "unknown@example.com",
     "tier": "Bronze",
 }
-DERIVED = ["customer_tenure_days", "days_since_signup", "customer_category"]
 
 
 def suffix_overlaps(left: DataFrame, right: DataFrame, keys, suffixes=("_sale", "_customer")):
