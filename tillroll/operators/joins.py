@@ -108,14 +108,26 @@ def salted_join(facts: DataFrame, dim: DataFrame, keys: Sequence[str], how: str,
 def lookup_join(facts: DataFrame, dim: DataFrame, keys: Sequence[str], how: str = "left",
                 broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
                 hot: list[tuple[tuple, int]] | None = None,
-                target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
+                target_rows: int = DEFAULT_TARGET_ROWS,
+                facts_materialized: bool = False) -> DataFrame:
     """Fact-to-dimension equi-join, balanced under key skew (see module doc).
 
+    On the salted path without a given ``hot`` list, the hot keys are counted
+    with one pass over ``facts``. Unless ``facts_materialized`` says they are
+    already a stored table, they are checkpointed first (to the session's
+    reliable checkpoint folder) so that pass and the join do not both rerun
+    the upstream plan.
+
     Output columns: fact columns, then dimension columns minus the keys.
     """
     keys = list(keys)
     if broadcast_rows > 0 and row_count_at_most(dim, broadcast_rows):
         return facts.join(F.broadcast(dim), keys, how)
     if hot is None:
+        if not facts_materialized:
+            from tillroll.session import checkpoint_dir
+
+            checkpoint_dir(facts.sparkSession)
+            facts = facts.checkpoint(eager=True)
         hot = hot_keys(facts, keys, target_rows=target_rows)
     return salted_join(facts, dim, keys, how, hot, target_rows)

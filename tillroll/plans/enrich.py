@@ -31,7 +31,8 @@ def suffix_overlaps(left: DataFrame, right: DataFrame, keys, suffixes=("_sale",
 
 def left_join_customers(sales: DataFrame, customers: DataFrame,
                         broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                        target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
+                        target_rows: int = DEFAULT_TARGET_ROWS,
+                        sales_materialized: bool = False) -> DataFrame:
     """Every sale once per matching customer row (none: NULL customer fields).
 
     Output: the sales columns in their order, then the customer columns
@@ -40,7 +41,7 @@ def left_join_customers(sales: DataFrame, customers: DataFrame,
     sales, customers = suffix_overlaps(sales, customers, [JOIN_KEY])
     right = [c for c in customers.columns if c != JOIN_KEY]
     joined = lookup_join(sales, customers, [JOIN_KEY], "left", broadcast_rows=broadcast_rows,
-                         target_rows=target_rows)
+                         target_rows=target_rows, facts_materialized=sales_materialized)
     return joined.select(*sales.columns, *right)
 
 
@@ -58,11 +59,15 @@ def add_tenure(df: DataFrame) -> DataFrame:
 
 def enriched_sales(cleaned: DataFrame, customers: DataFrame,
                    broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                   target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
+                   target_rows: int = DEFAULT_TARGET_ROWS,
+                   cleaned_materialized: bool = False) -> DataFrame:
     """Cleaned sales with customer fields, defaults and tenure. The join is
     a checked broadcast, or a salted sort-merge join above ``broadcast_rows``
-    customers (keys with ``target_rows`` sales or more are split)."""
-    joined = left_join_customers(cleaned, customers, broadcast_rows, target_rows)
+    customers (keys with ``target_rows`` sales or more are split).
+    ``cleaned_materialized`` tells that ``cleaned`` is a stored table (no
+    checkpoint needed before counting hot keys)."""
+    joined = left_join_customers(cleaned, customers, broadcast_rows, target_rows,
+                                 cleaned_materialized)
     return add_tenure(fill_customer_defaults(joined))
 
 

@@ -27,7 +27,8 @@ def run_all(spark: SparkSession, sf_dir: str, database: str) -> list[WriteReceip
     receipts.append(publish(clean.cleaned_sales(raw), database, "cleaned_sales_data"))
     cleaned = read_table(spark, database, "cleaned_sales_data")
     customers = read_table(spark, database, "raw_customers_data")
-    receipts.append(publish(enrich.enriched_sales(cleaned, customers), database, "enriched_sales_data"))
+    receipts.append(publish(enrich.enriched_sales(cleaned, customers, cleaned_materialized=True),
+                            database, "enriched_sales_data"))
     enriched = read_table(spark, database, "enriched_sales_data")
     receipts.append(publish(metrics.daily_sales(enriched), database, "sales_metrics"))
     receipts.append(publish(metrics.product_performance(enriched), database, "product_performance"))
