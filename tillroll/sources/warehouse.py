@@ -90,6 +90,8 @@ def publish(df: DataFrame, database: str, key: str | Sequence[str]) -> WriteRece
     pass. An empty frame still creates the table with its columns. Writing a
     table onto itself is refused by Spark; publish each stage from its input.
     """
+    if not isinstance(df, DataFrame):
+        raise TypeError(f"publish expects a DataFrame, got {type(df).__name__}")
     spark = df.sparkSession
     ensure_database(spark, database)
     name = f"{safe_name(database)}.{table_name(key)}"
