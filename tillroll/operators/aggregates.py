@@ -39,13 +39,22 @@ def value_counts_map(df: DataFrame, col: str, out: str) -> DataFrame:
         F.array_sort(F.collect_list(F.struct(F.col(col), F.col("__n"))))).alias(out))
 
 
-def share_of_total(df: DataFrame, part: str, out: str, total_of: Column | None = None) -> DataFrame:
+def share_of_total(df: DataFrame, part: str, out: str, total_of: Column | None = None,
+                   materialize: bool = True) -> DataFrame:
     """``out = part / sum(part over all rows)``; NULL when the total is 0.
 
-    The grand total is a scalar subquery over the same plan (its exchange is
-    reused), not a window over all rows, so no task ever holds every row.
+    The grand total is a scalar subquery, not a window over all rows (which
+    would put every row in one task) and not a join. ``df`` is usually an
+    aggregate; ``materialize`` checkpoints it first so the rows and their
+    total come from one computation of the upstream plan (after column
+    pruning the two would otherwise differ and be computed twice).
     ``total_of`` overrides the summed expression (e.g. an exact decimal).
     """
+    if materialize:
+        from tillroll.session import checkpoint_dir
+
+        checkpoint_dir(df.sparkSession)
+        df = df.checkpoint(eager=True)
     expr = total_of if total_of is not None else F.col(part)
     total = df.agg(F.sum(expr).cast("double").alias("__total")).scalar()
     return df.withColumn(out, F.try_divide(F.col(part), F.when(total != 0, total)))

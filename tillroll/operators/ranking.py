@@ -73,32 +73,33 @@ def running_total_before(df: DataFrame, key: Column, weight: Column, out: str =
 
     ``key`` is ascending-orderable (encode a descending or nulls-last order
     in it). Rows with equal keys do not count each other. Unique keys give
-    balanced buckets. Runs one count job (unless ``total`` is given) and,
-    above ``rows_per_bucket`` rows, one sampling job; the resulting plan has
-    no single-partition exchange of the rows.
+    balanced buckets. Runs one count job (unless ``total`` is given). Up to
+    ``rows_per_bucket`` rows it is a single window task; above, one sampling
+    job picks the cut points and no exchange puts the rows in one partition.
     """
     d = df.withColumn(KEY, key).withColumn("__w", weight)
     if total is None:
         total = d.count()
     buckets = max(1, min(MAX_BUCKETS, math.ceil(total / rows_per_bucket)))
     cuts = _cut_points(d, total, buckets, seed) if buckets > 1 else []
-    if cuts:
-        k = F.col(KEY)
-        d = d.withColumn(BUCKET, F.size(F.filter(F.array(*cuts), lambda c: c < k)))
-    else:
+    peers = F.sum("__w").over(Window.partitionBy(BUCKET, KEY))
+    upto = F.sum("__w").over(Window.partitionBy(BUCKET).orderBy(KEY)
+                             .rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    if not cuts:
+        # one bucket: at most ``rows_per_bucket`` rows, so one task may hold them
         d = d.withColumn(BUCKET, F.lit(0))
+        return d.withColumn(out, upto - peers).drop(KEY, "__w", BUCKET)
+    k = F.col(KEY)
+    d = d.withColumn(BUCKET, F.size(F.filter(F.array(*cuts), lambda c: c < k)))
     sizes = d.groupBy(BUCKET).agg(F.sum("__w").alias("__bw"))
     # at most len(cuts) + 1 rows: a window over them is one tiny task
     offsets = sizes.select(
         BUCKET,
         F.coalesce(F.sum("__bw").over(Window.orderBy(BUCKET).rowsBetween(
             Window.unboundedPreceding, -1)), F.lit(0)).alias("__offset"))
-    inner = Window.partitionBy(BUCKET).orderBy(KEY).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    d = (d.join(F.broadcast(offsets), BUCKET)
-         .withColumn(out, F.col("__offset") + F.sum("__w").over(inner) - F.sum("__w").over(
-             Window.partitionBy(BUCKET, KEY)))
-         .drop(KEY, "__w", BUCKET, "__offset"))
-    return d
+    return (d.join(F.broadcast(offsets), BUCKET)
+            .withColumn(out, F.col("__offset") + upto - peers)
+            .drop(KEY, "__w", BUCKET, "__offset"))
 
 
 def _valid(df: DataFrame, value: str) -> Column:
