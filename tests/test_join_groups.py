@@ -91,3 +91,25 @@ def test_salted_join_hot_null_key(spark):
     auto = lookup_join(facts, dim, ["k"], "left", broadcast_rows=0, target_rows=100)
     got = sorted(auto.select("k", "id", "x").collect(), key=lambda r: r.id)
     assert got == want
+
+
+def test_salting_spreads_a_hot_key_over_partitions(spark):
+    """A key with a third of the rows lands in one reducer without salt and
+    in many with it."""
+    facts = spark.range(0, 6000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.format_string("K%d", F.col("id"))).alias("k"),
+        F.col("id"))
+    dim = spark.createDataFrame([("HOT", 1)] + [(f"K{i}", i) for i in range(100)], "k string, x int")
+
+    def reducers_of_hot(df):
+        return (df.where(F.col("k") == "HOT").select(F.spark_partition_id().alias("p"))
+                .distinct().count())
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plain = reducers_of_hot(facts.join(dim, "k", "left"))
+        salted = reducers_of_hot(salted_join(facts, dim, ["k"], "left", [(("HOT",), 2000)], target_rows=250))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plain == 1
+    assert salted >= 4
