@@ -70,3 +70,25 @@ def test_empty_input_keeps_schema(spark):
     assert out.columns == clean.CLEANED_COLUMNS
     m = clean.cleaning_metrics(empty).first()
     assert m.initial_rows == 0 and m.final_rows == 0 and m.total_revenue == 0.0
+
+
+def test_casts_refuse_bad_text(spark):
+    import pytest
+
+    text = "transaction_id string, quantity string, unit_price string, transaction_date string"
+    good = spark.createDataFrame([("T1", "3", "1.5", "2024-01-01 10:00:00")], text)
+    r = clean.cast_types(good).first()
+    assert (r.quantity, r.unit_price, r.transaction_date) == (3, 1.5, ts("2024-01-01 10:00:00"))
+    for bad in [("T1", "3.5", "1.5", "2024-01-01 10:00:00"),   # not an integer
+                ("T1", "3", "abc", "2024-01-01 10:00:00"),     # not a number
+                ("T1", "3", "1.5", "yesterday")]:               # not a timestamp
+        with pytest.raises(Exception):
+            clean.cast_types(spark.createDataFrame([bad], text)).collect()
+
+
+def test_sample_fraction(spark):
+    from tillroll.operators.masking import sample_fraction
+
+    df = spark.range(0, 10000)
+    a = sample_fraction(df, 0.1, seed=3).count()
+    assert 800 < a < 1200 and a == sample_fraction(df, 0.1, seed=3).count()

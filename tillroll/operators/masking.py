@@ -47,3 +47,10 @@ def sample_n(df: DataFrame, n: int, order: Sequence[Column]) -> DataFrame:
     its own best ``n``, so only ``n x tasks`` rows are merged.
     """
     return df.orderBy(*order).limit(n)
+
+
+def sample_fraction(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
+    """Bernoulli sample of about ``fraction`` of the rows, when an approximate
+    size will do (no sort, no single merge). Repeatable for the same input
+    partitioning and seed."""
+    return df.sample(withReplacement=False, fraction=fraction, seed=seed)

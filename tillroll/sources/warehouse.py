@@ -83,12 +83,18 @@ class WriteReceipt:
     columns: list[str]
 
 
-def publish(df: DataFrame, database: str, key: str | Sequence[str]) -> WriteReceipt:
-    """Replace table ``database.table_name(key)`` with ``df`` (Parquet).
+def publish(df: DataFrame, database: str, key: str | Sequence[str],
+            table_format: str = "parquet") -> WriteReceipt:
+    """Replace table ``database.table_name(key)`` with ``df``.
 
     The rows are counted by an ``Observation`` on the write itself: no second
     pass. An empty frame still creates the table with its columns. Writing a
     table onto itself is refused by Spark; publish each stage from its input.
+
+    ``table_format="parquet"`` (default) writes a Parquet catalog table.
+    Any other format (e.g. ``"iceberg"``) goes through ``writeTo(...)
+    .createOrReplace()``, an atomic replace, and needs a catalog that
+    provides that format (its jar is not part of this environment).
     """
     if not isinstance(df, DataFrame):
         raise TypeError(f"publish expects a DataFrame, got {type(df).__name__}")
@@ -98,10 +104,13 @@ def publish(df: DataFrame, database: str, key: str | Sequence[str]) -> WriteRece
     out = prepare_for_storage(df)
     obs = Observation(f"write_{table_name(key)}")
     out = out.observe(obs, F.count(F.lit(1)).alias("rows"))
-    # An explicit path (inside the database folder) makes the overwrite work
-    # also when a previous session left files there but the catalog forgot them.
-    path = f"{database_location(spark, database).rstrip('/')}/{table_name(key)}"
-    out.write.mode("overwrite").format("parquet").option("path", path).saveAsTable(name)
+    if table_format == "parquet":
+        # An explicit path (inside the database folder) makes the overwrite work
+        # also when a previous session left files there but the catalog forgot them.
+        path = f"{database_location(spark, database).rstrip('/')}/{table_name(key)}"
+        out.write.mode("overwrite").format("parquet").option("path", path).saveAsTable(name)
+    else:
+        out.writeTo(name).using(table_format).createOrReplace()
     rows = obs.get.get("rows", 0) if out.columns else 0
     return WriteReceipt(name, int(rows), list(out.columns))
 
