@@ -7,6 +7,8 @@ the three metric stages share one enriched table instead of recomputing it.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import SparkSession
 
 from tillroll.plans import clean, enrich, metrics
@@ -30,8 +32,16 @@ def run_all(spark: SparkSession, sf_dir: str, database: str) -> list[WriteReceip
     receipts.append(publish(enrich.enriched_sales(cleaned, customers, cleaned_materialized=True),
                             database, "enriched_sales_data"))
     enriched = read_table(spark, database, "enriched_sales_data")
-    receipts.append(publish(metrics.daily_sales(enriched), database, "sales_metrics"))
-    receipts.append(publish(metrics.product_performance(enriched), database, "product_performance"))
-    receipts.append(publish(metrics.regional_performance(enriched), database, "regional_performance"))
-    receipts.append(publish(metrics.customer_insights(enriched), database, "customer_insights"))
+    # The four metric stages only depend on the enriched table: their jobs
+    # are submitted together so small stages of one fill the idle cores of
+    # another (Spark schedules jobs from several threads).
+    leaves = [
+        (metrics.daily_sales, "sales_metrics"),
+        (metrics.product_performance, "product_performance"),
+        (metrics.regional_performance, "regional_performance"),
+        (metrics.customer_insights, "customer_insights"),
+    ]
+    with ThreadPoolExecutor(max_workers=len(leaves)) as pool:
+        futures = [pool.submit(lambda f=f, k=k: publish(f(enriched), database, k)) for f, k in leaves]
+        receipts += [fut.result() for fut in futures]
     return receipts
