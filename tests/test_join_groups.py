@@ -113,3 +113,12 @@ def test_salting_spreads_a_hot_key_over_partitions(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert plain == 1
     assert salted >= 4
+
+
+def test_value_map_refuses_high_cardinality(spark):
+    import pytest
+
+    from tillroll.operators.aggregates import value_counts_map
+
+    with pytest.raises(ValueError):
+        value_counts_map(spark.range(0, 50).withColumnRenamed("id", "t"), "t", "m", max_entries=10)

@@ -28,13 +28,17 @@ def value_counts(df: DataFrame, col: str, count_col: str = "count") -> DataFrame
             .agg(F.count(F.lit(1)).alias(count_col)))
 
 
-def value_counts_map(df: DataFrame, col: str, out: str) -> DataFrame:
+def value_counts_map(df: DataFrame, col: str, out: str, max_entries: int = 10_000) -> DataFrame:
     """One row, one ``map<value, bigint>`` column.
 
-    The map is built from the grouped counts, one entry per distinct value,
-    so it is only meant for low-cardinality columns (a tier, a status).
+    The map holds one entry per distinct value, so it is only for
+    low-cardinality columns (a tier, a status); the number of distinct values
+    is checked against ``max_entries`` first (a bounded read of the grouped
+    counts) and a larger column is refused: use :func:`value_counts`.
     """
     counts = value_counts(df, col, "__n")
+    if counts.limit(max_entries + 1).count() > max_entries:
+        raise ValueError(f"{col} has more than {max_entries} distinct values; use value_counts")
     return counts.agg(F.map_from_entries(
         F.array_sort(F.collect_list(F.struct(F.col(col), F.col("__n"))))).alias(out))
 
