@@ -30,7 +30,8 @@ def keep_first_counted(df: DataFrame, keys: Sequence[str], order: Sequence[Colum
     Written as one aggregation (``min_by`` over the row, ordered by a struct of
     the order columns) so it is combined map-side like any other aggregate.
     ``order`` must be plain ascending expressions; encode "nulls last" or a
-    descending direction into them (see ``plans.clean``).
+    descending direction into them (see ``plans.clean``). It should order
+    all columns, so that rows it cannot tell apart are identical.
     """
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
