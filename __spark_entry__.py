@@ -18,7 +18,7 @@ from tillroll.operators.aggregates import first_non_null, share_of_total, value_
 from tillroll.operators.masking import append_rows
 from tillroll.operators.ranking import average_rank
 from tillroll.operators.topk import arg_max
-from tillroll.plans import clean, enrich, metrics, publish as publish_plan
+from tillroll.plans import clean, enrich, metrics, quality, publish as publish_plan
 from tillroll.sources import fixtures
 from tillroll.sources.warehouse import (
     nan_to_null_all, publish, read_table, receipt_frame, sanitize_columns, storage_projection,
@@ -67,7 +67,8 @@ def _preview_top10(s, d):
 
 
 def _published_pipeline(s, d):
-    publish_plan.run_all(s, d, PIPELINE_DB)
+    # the stage figures (M1-M5) have queries of their own
+    publish_plan.run_all(s, d, PIPELINE_DB, with_metadata=False)
     return read_table(s, PIPELINE_DB, "customer_insights")
 
 
@@ -86,12 +87,7 @@ def _nan_to_null(s, d):
 
 
 def _ingest_metrics(s, d):
-    raw = _raw(s, d)
-    per_id = raw.groupBy("transaction_id").agg(F.count(F.lit(1)).alias("n"))
-    return per_id.agg(F.sum("n").cast("bigint").alias("row_count"),
-                      F.lit(len(raw.columns)).cast("bigint").alias("column_count"),
-                      F.lit(",".join(raw.columns)).alias("columns"),
-                      (F.sum("n") - F.count(F.lit(1))).cast("bigint").alias("duplicate_count"))
+    return quality.ingest_metrics(_raw(s, d))
 
 
 def _join_suffixes(s, d):

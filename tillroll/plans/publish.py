@@ -11,7 +11,8 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
-from tillroll.plans import clean, enrich, metrics
+from tillroll.plans import clean, enrich, metrics, quality
+from tillroll.operators.aggregates import value_counts
 from tillroll.sources import fixtures
 from tillroll.sources.warehouse import WriteReceipt, publish, read_table
 
@@ -19,8 +20,14 @@ STAGES = ["raw_sales_data", "raw_customers_data", "cleaned_sales_data", "enriche
           "sales_metrics", "product_performance", "regional_performance", "customer_insights"]
 
 
-def run_all(spark: SparkSession, sf_dir: str, database: str) -> list[WriteReceipt]:
-    """Run raw -> cleaned -> enriched -> metrics, publishing each stage."""
+def run_all(spark: SparkSession, sf_dir: str, database: str,
+            with_metadata: bool = True) -> list[WriteReceipt]:
+    """Run raw -> cleaned -> enriched -> metrics, publishing each stage.
+
+    ``with_metadata`` also publishes each stage's run figures as small
+    tables ``<stage>_metadata`` (and the tier counts of the enriched stage),
+    computed from the stored stage tables.
+    """
     receipts = [
         publish(fixtures.raw_sales(spark, sf_dir), database, "raw_sales_data"),
         publish(fixtures.raw_customers(spark, sf_dir), database, "raw_customers_data"),
@@ -44,4 +51,20 @@ def run_all(spark: SparkSession, sf_dir: str, database: str) -> list[WriteReceip
     with ThreadPoolExecutor(max_workers=len(leaves)) as pool:
         futures = [pool.submit(lambda f=f, k=k: publish(f(enriched), database, k)) for f, k in leaves]
         receipts += [fut.result() for fut in futures]
+    if with_metadata:
+        products = read_table(spark, database, "product_performance")
+        customers_out = read_table(spark, database, "customer_insights")
+        meta = [
+            (quality.ingest_metrics(raw), "raw_sales_data_metadata"),
+            (quality.row_count(customers), "raw_customers_data_metadata"),
+            (clean.cleaning_metrics(raw), "cleaned_sales_data_metadata"),
+            (enrich.enrichment_metrics(cleaned, customers), "enriched_sales_data_metadata"),
+            (value_counts(enriched, "tier", "tier_count"), "enriched_sales_data_tiers"),
+            (metrics.summary_metrics(enriched), "sales_metrics_metadata"),
+            (metrics.top_product(products), "product_performance_metadata"),
+            (metrics.customer_summary(customers_out), "customer_insights_metadata"),
+        ]
+        with ThreadPoolExecutor(max_workers=4) as pool:
+            futures = [pool.submit(lambda m=m, k=k: publish(m, database, k)) for m, k in meta]
+            receipts += [fut.result() for fut in futures]
     return receipts
