@@ -56,3 +56,10 @@ def test_empty_table_published(spark):
     back = read_table(spark, "t_db", "empty_products")
     assert back.count() == 0 and back.columns == ["product_id", "total_revenue", "rank_by_revenue"]
     assert metrics.top_product(empty).count() == 0
+
+
+def test_shuffle_sizing():
+    from tillroll.session import shuffle_partitions_for
+
+    assert shuffle_partitions_for(0) == 8
+    assert shuffle_partitions_for(100 * 1024 ** 4) == 819200

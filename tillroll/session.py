@@ -20,8 +20,32 @@ PIPELINE_CONF = {
     # sizes, never from a file-size guess made before the data is read.
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
+    # Reduce-side partitions AQE aims for when it coalesces.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
 }
 
+SHUFFLE_BYTES_PER_PARTITION = 128 * 1024 * 1024
+
+
+def shuffle_partitions_for(input_bytes: int, bytes_per_partition: int = SHUFFLE_BYTES_PER_PARTITION,
+                           minimum: int = 8) -> int:
+    """Initial shuffle partitions for an input of ``input_bytes``.
+
+    AQE can merge small shuffle partitions but never splits past the initial
+    count, so the count is sized for the largest shuffle (about the input):
+    100 TB of Parquet gives about 800k partitions of 128 MB, which AQE then
+    coalesces wherever a stage writes less.
+    """
+    return max(minimum, -(-int(input_bytes) // bytes_per_partition))
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
+    """Set the initial shuffle partition count for ``input_bytes`` of input."""
+    n = shuffle_partitions_for(input_bytes)
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
+    return n
+
 
 def build_session(master: str | None = None, app: str = "tillroll",
                   shuffle_partitions: int | None = None,
