@@ -122,3 +122,15 @@ def test_value_map_refuses_high_cardinality(spark):
 
     with pytest.raises(ValueError):
         value_counts_map(spark.range(0, 50).withColumnRenamed("id", "t"), "t", "m", max_entries=10)
+
+
+def test_salted_join_on_timestamp_key(spark):
+    import datetime as dt
+
+    t0, t1 = dt.datetime(2024, 1, 1, 5), dt.datetime(2024, 1, 2, 6)
+    facts = spark.createDataFrame([(t0 if i % 3 else t1, i) for i in range(300)], "k timestamp_ntz, id int")
+    dim = spark.createDataFrame([(t0, "a"), (t1, "b")], "k timestamp_ntz, x string")
+    want = sorted(facts.join(dim, "k", "left").collect())
+    got = sorted(salted_join(facts, dim, ["k"], "left", [((t0,), 200), ((t1,), 100)], target_rows=20)
+                 .select("k", "id", "x").collect())
+    assert got == want

@@ -23,6 +23,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SALT = "__salt"
 
@@ -62,10 +63,16 @@ def _key(keys: Sequence[str]) -> Column:
     return F.col(keys[0]) if len(keys) == 1 else F.struct(*[F.col(k) for k in keys])
 
 
-def _key_lit(keys: Sequence[str], values: tuple) -> Column:
+def _typed_lit(value, dt: T.DataType) -> Column:
+    if isinstance(dt, T.TimestampNTZType) and value is not None:
+        return F.lit(value.isoformat(sep=" ")).cast(dt)
+    return F.lit(value).cast(dt)
+
+
+def _key_lit(keys: Sequence[str], values: tuple, types: dict) -> Column:
     if len(keys) == 1:
-        return F.lit(values[0])
-    return F.struct(*[F.lit(v).alias(k) for k, v in zip(keys, values)])
+        return _typed_lit(values[0], types[keys[0]])
+    return F.struct(*[_typed_lit(v, types[k]).alias(k) for k, v in zip(keys, values)])
 
 
 def _salt_count(n: int, target_rows: int) -> int:
@@ -89,9 +96,10 @@ def salted_join(facts: DataFrame, dim: DataFrame, keys: Sequence[str], how: str,
     salt = F.lit(0)
     copies = F.array(F.lit(0))
     if hot:
+        types = {f.name: f.dataType for f in facts.schema.fields}
         pairs = []
         for values, n in hot:
-            pairs += [_key_lit(keys, values), F.lit(_salt_count(n, target_rows))]
+            pairs += [_key_lit(keys, values, types), F.lit(_salt_count(n, target_rows))]
         salts = F.try_element_at(F.create_map(*pairs), _key(keys))
         salt = F.coalesce(F.pmod(row_hash, salts), F.lit(0))
         copies = F.when(salts.isNotNull(), F.sequence(F.lit(0), salts.cast("int") - 1)).otherwise(copies)
