@@ -98,3 +98,12 @@ def test_zero_pad_matches_printf(spark):
     df = spark.createDataFrame([(v,) for v in vals], "k bigint")
     got = [r.s for r in df.select(zero_pad(F.col("k"), 6).alias("s")).collect()]
     assert got == ["%06d" % v for v in vals]
+
+
+def test_rank_of_strings_and_extremes(spark):
+    df = spark.createDataFrame([(0, "b"), (1, "a"), (2, "b"), (3, None)], "id int, v string")
+    assert {r.id: r.r for r in average_rank(df, "v", "r").collect()} == {0: 1.5, 1: 3.0, 2: 1.5, 3: None}
+    big = spark.createDataFrame([(0, -(2 ** 63)), (1, 2 ** 63 - 1)], "id int, v bigint")
+    assert {r.id: r.r for r in average_rank(big, "v", "r").collect()} == {0: 2.0, 1: 1.0}
+    asc = {r.id: r.r for r in average_rank(big, "v", "r", descending=False).collect()}
+    assert asc == {0: 1.0, 1: 2.0}

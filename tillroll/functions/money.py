@@ -24,20 +24,22 @@ def _not_nan(c) -> Column:
     return F.when(~F.isnan(c), c)
 
 
-def money(c) -> Column:
-    """A money value as an exact decimal (rounded to the cent); NaN is NULL."""
-    return _not_nan(c).cast(MONEY_TYPE)
+def money(c, scale: int = MONEY_SCALE) -> Column:
+    """A money value as an exact decimal rounded to ``scale`` places (cents by
+    default; the cast rounds, so pass the scale the data really has); NaN is
+    NULL."""
+    return _not_nan(c).cast(MONEY_TYPE if scale == MONEY_SCALE else f"decimal({16 + scale},{scale})")
 
 
-def exact_sum(c, empty_as_zero: bool = True) -> Column:
+def exact_sum(c, empty_as_zero: bool = True, scale: int = MONEY_SCALE) -> Column:
     """Sum of a money column as double; an all-null group sums to 0.0."""
-    s = F.sum(money(c)).cast("double")
+    s = F.sum(money(c, scale)).cast("double")
     return F.coalesce(s, F.lit(0.0)) if empty_as_zero else s
 
 
-def exact_mean(c) -> Column:
+def exact_mean(c, scale: int = MONEY_SCALE) -> Column:
     """Mean over the non-null, non-NaN values (null when there are none)."""
-    return F.try_divide(F.sum(money(c)).cast("double"), F.count(_not_nan(c)))
+    return F.try_divide(F.sum(money(c, scale)).cast("double"), F.count(_not_nan(c)))
 
 
 def round_half_even(c, places: int = MONEY_SCALE) -> Column:

@@ -128,11 +128,14 @@ def average_rank(df: DataFrame, value: str, out: str, descending: bool = True,
             .agg(F.count(F.lit(1)).alias("__n")))
     stats = vals.agg(F.count(F.lit(1)).alias("n"), F.sum("__n").alias("rows")).first()
     n_vals = int(stats["n"])
-    key = F.struct((-F.col("__v") if descending else F.col("__v")).alias("v"))
-    ranked = running_total_before(vals, key, F.col("__n"), rows_per_bucket=rows_per_bucket,
-                                  total=n_vals)
-    ranked = ranked.select(F.col("__v").alias(value),
-                           (F.col(BEFORE) + (F.col("__n") + 1) / 2.0).cast("double").alias(out))
+    ranked = running_total_before(vals, F.struct(F.col("__v").alias("v")), F.col("__n"),
+                                  rows_per_bucket=rows_per_bucket, total=n_vals)
+    ascending = F.col(BEFORE) + (F.col("__n") + 1) / 2.0
+    # descending rank = N + 1 - ascending rank (exact: integers and halves);
+    # no negated key, so any orderable type works and no value can overflow
+    rows = int(stats["rows"] or 0)
+    rank = (F.lit(rows + 1) - ascending) if descending else ascending
+    ranked = ranked.select(F.col("__v").alias(value), rank.cast("double").alias(out))
     cols = df.columns + [out]
     if n_vals <= broadcast_rows:
         return df.join(F.broadcast(ranked), value, "left").select(*cols)
