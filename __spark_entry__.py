@@ -205,7 +205,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "revenue_share": _revenue_share,
         "sorted_products": lambda s, d: metrics.sorted_products(
             metrics.product_performance(_enriched(s, d))),
-        "top_product": lambda s, d: metrics.top_product(metrics.product_performance(_enriched(s, d))),
+        "top_product": lambda s, d: metrics.top_product(metrics.product_aggregates(_enriched(s, d))),
         "top_customer": _top_customer,
         "customer_summary": lambda s, d: metrics.customer_summary(_customers_agg(s, d)),
         # copies and samples

@@ -68,9 +68,12 @@ def sorted_products(products: DataFrame) -> DataFrame:
 
 
 def top_product(products: DataFrame) -> DataFrame:
-    """One row (none for no products): the best-ranked product and its revenue."""
-    r = F.col("rank_by_revenue")
-    return (products.where(r.isNotNull()).orderBy(r, F.col("product_id")).limit(1)
+    """One row (none for no products): the product with the largest revenue,
+    the smallest id among equals, i.e. the best rank. Needs no rank column:
+    a top-1 (each task keeps its best row) instead of a global ranking."""
+    rev = F.col("total_revenue")
+    return (products.where(rev.isNotNull() & ~F.isnan(rev))
+            .orderBy(rev.desc(), F.col("product_id")).limit(1)
             .select(F.col("product_id").alias("top_product"),
                     F.col("total_revenue").alias("top_product_revenue")))
 
