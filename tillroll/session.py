@@ -22,6 +22,11 @@ PIPELINE_CONF = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     # Reduce-side partitions AQE aims for when it coalesces.
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
+    # When AQE turns a sort-merge join into a broadcast join at run time, read
+    # the other side through the (coalesced) shuffle partitions, as the
+    # sort-merge join would have: partition-sized tasks whatever the number
+    # of map tasks, instead of splits of each map output.
+    "spark.sql.adaptive.localShuffleReader.enabled": "false",
 }
 
 SHUFFLE_BYTES_PER_PARTITION = 128 * 1024 * 1024
