@@ -84,3 +84,20 @@ def test_pipeline_invariants(spark):
     assert total(customers) == want
     n = customers.count()
     assert customers.agg(F.sum("value_rank")).first()[0] == n * (n + 1) / 2
+
+
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
+def test_column_types_match_oracle(spark, con):
+    bad = {}
+    for name, q in E.queries().items():
+        if name in ("published_pipeline", "write_receipt", "preview_top10", "table_roundtrip"):
+            continue  # covered by the value test; avoids re-publishing tables here
+        s = {c: SPARK_TO_DUCK.get(t, t) for c, t in q(spark, SF_SMALL).dtypes}
+        rel = con.sql(E.oracle_sql()[name])
+        o = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+        if s != o:
+            bad[name] = (s, o)
+    assert not bad
