@@ -6,7 +6,7 @@ Stages (each a plain ``DataFrame -> DataFrame`` function):
       -> cleaned sales        (plans.clean)
       -> enriched sales       (plans.enrich)
       -> daily / product / regional / customer metrics (plans.metrics)
-      -> quality and summary figures (plans.quality)
+      -> quality and summary figures (clean / enrich / metrics / quality)
       -> published catalog tables   (plans.publish, sources.warehouse)
 
 Everything is expressed with DataFrame operations so Catalyst can prune,
