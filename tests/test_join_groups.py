@@ -134,3 +134,12 @@ def test_salted_join_on_timestamp_key(spark):
     got = sorted(salted_join(facts, dim, ["k"], "left", [((t0,), 200), ((t1,), 100)], target_rows=20)
                  .select("k", "id", "x").collect())
     assert got == want
+
+
+def test_salted_join_repeated_hot_key(spark):
+    facts = spark.range(0, 300).select((F.col("id") % 2).alias("k"), "id")
+    dim = spark.createDataFrame([(0, "a"), (1, "b")], "k long, x string")
+    want = sorted(facts.join(dim, "k", "left").collect())
+    got = sorted(salted_join(facts, dim, ["k"], "left", [((0,), 100), ((0,), 50)], target_rows=20)
+                 .select("k", "id", "x").collect())
+    assert got == want

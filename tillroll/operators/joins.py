@@ -89,7 +89,11 @@ def salted_join(facts: DataFrame, dim: DataFrame, keys: Sequence[str], how: str,
     """
     keys = list(keys)
     null_rows = sum(n for k, n in hot if any(v is None for v in k))
-    hot = [(k, n) for k, n in hot if all(v is not None for v in k)]
+    merged: dict[tuple, int] = {}
+    for k, n in hot:  # a key listed twice would be a duplicate map key
+        if all(v is not None for v in k):
+            merged[tuple(k)] = merged.get(tuple(k), 0) + n
+    hot = list(merged.items())
     if not hot and not null_rows:
         return facts.join(dim, keys, how)
     row_hash = F.xxhash64(*[F.col(c) for c in facts.columns])
