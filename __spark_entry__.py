@@ -24,6 +24,13 @@ from tillroll.sources.warehouse import (
     nan_to_null_all, publish, read_table, receipt_frame, sanitize_columns, storage_projection,
 )
 
+try:
+    from tillroll.llm import queries as _corpus
+except ModuleNotFoundError as e:  # the subpackage is optional, what it needs is not
+    if not (e.name or "").startswith("tillroll.llm"):
+        raise
+    _corpus = None
+
 FLAGSHIP_SF = "/root/testdata/sf0.001"
 # Scratch databases (under the session's warehouse folder) for the table queries.
 CHECK_DB = "tillroll_check"
@@ -155,7 +162,7 @@ def _mask_negate(s, d):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    own = {
         # sources, sinks, storage
         "raw_sales": lambda s, d: _raw(s, d),
         "raw_customers": lambda s, d: fixtures.raw_customers(s, d),
@@ -216,6 +223,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "enriched_sales": lambda s, d: _enriched(s, d),
         "published_pipeline": _published_pipeline,
     }
+    return own | (_corpus.queries() if _corpus else {})
 
 
 # --------------------------------------------------------------------------
@@ -418,7 +426,7 @@ def oracle_sql() -> dict[str, str]:
     scatter_cust = "((0 * 31 + (CAST(c_custkey AS BIGINT) % 1000003) * 7919) % 1000003)"
     price_ok = "coalesce(unit_price >= 0 AND NOT isnan(unit_price), false)"
     valid_amount = f"CASE WHEN {price_ok} THEN quantity * unit_price END"
-    return {
+    own = {
         # sources, sinks, storage
         "raw_sales": _with(_RAW) + " SELECT * FROM raw_sales",
         "raw_customers": _with(_CUSTOMERS) + " SELECT * FROM raw_customers",
@@ -559,3 +567,4 @@ def oracle_sql() -> dict[str, str]:
         "enriched_sales": _with(_ENRICHED) + " SELECT * FROM enriched",
         "published_pipeline": _with(_ENRICHED, _CUSTOMER_INSIGHTS) + " SELECT * FROM customers_out",
     }
+    return own | (_corpus.oracle_sql() if _corpus else {})
