@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import bpe, sharding
+from tillroll.llm import ann, bpe, sharding, topk
 from tillroll.llm.common import table
 
 # The rank file and pattern of the registered queries; operators take any.
@@ -30,10 +30,28 @@ def _op3(spark, sf):
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_exact_topk": topk.nearest_products,
         "op2_byte_bpe": _op2,
         "op3_sharding": _op3,
+        "op8_permutation_index": ann.nearest_cosines,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op1_exact_topk": """
+            WITH v AS (
+              SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+              FROM embeddings
+              WHERE embedding IS NOT NULL AND len(embedding) > 0 AND vec_id IS NOT NULL
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+            ),
+            scored AS (
+              SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+                     CAST(list_inner_product(CAST(q.e AS DOUBLE[]), CAST(c.e AS DOUBLE[])) AS BIGINT) AS score
+              FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0
+            )
+            SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+              SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
+              FROM scored) WHERE rank <= 10""",
+    }
