@@ -103,15 +103,15 @@ def lookup_split(rows: DataFrame, keyed: DataFrame, keys: Sequence[str], count:
     The columns of ``keyed`` besides the keys must not occur in ``rows``.
     """
     values = [c for c in keyed.columns if c not in keys]
+    hot_, rest_, salt = internal(rows, "__hot_value", "__rest_value", "__salt")
+    packed = F.struct(*[F.col(v) for v in values])
     is_hot = F.col(count) * HOT_SHARE >= F.lit(total)
-    hot = F.broadcast(keyed.where(is_hot).select(
-        *keys, F.struct(*[F.col(v) for v in values]).alias("__hot")))
-    rest = keyed.where(~is_hot).select(
-        *keys, F.lit(0).alias("__salt"), F.struct(*[F.col(v) for v in values]).alias("__rest"))
+    hot = F.broadcast(keyed.where(is_hot).select(*keys, packed.alias(hot_)))
+    rest = keyed.where(~is_hot).select(*keys, F.lit(0).alias(salt), packed.alias(rest_))
     joined = (rows.join(hot, list(keys), "left")
-              .withColumn("__salt", F.when(F.col("__hot").isNull(), F.lit(0)).otherwise(
+              .withColumn(salt, F.when(F.col(hot_).isNull(), F.lit(0)).otherwise(
                   F.pmod(spread, F.lit(1_000_000)).cast("int") + 1))
-              .join(rest, [*keys, "__salt"], "left"))
-    both = F.coalesce(F.col("__hot"), F.col("__rest"))
-    return joined.select(*[F.col(c) for c in rows.columns],
+              .join(rest, [*keys, salt], "left"))
+    both = F.coalesce(F.col(hot_), F.col(rest_))
+    return joined.select(*[F.col(f"`{c}`") for c in rows.columns],
                          *[both[v].alias(v) for v in values])

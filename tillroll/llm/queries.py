@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import ann, bpe, sharding, topk
+from tillroll.llm import ann, bpe, line_dedup, mixing, sharding, topk
 from tillroll.llm.common import table
 
 # The rank file and pattern of the registered queries; operators take any.
@@ -33,6 +33,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_exact_topk": topk.nearest_products,
         "op2_byte_bpe": _op2,
         "op3_sharding": _op3,
+        "op5_temperature_mixing": mixing.mixed,
+        "op6_line_dedup": line_dedup.without_repeats,
         "op8_permutation_index": ann.nearest_cosines,
     }
 
@@ -54,4 +56,5 @@ def oracle_sql() -> dict[str, str]:
             SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
               SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
               FROM scored) WHERE rank <= 10""",
+        "op6_line_dedup": line_dedup.ORACLE,
     }
