@@ -41,20 +41,24 @@ def word_tokens(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"\S+")), F.lit(0)).cast("long")
 
 
-def _bisect(totals: DataFrame, measure, target: float, low: float, high: float,
+def _bisect(totals: DataFrame, measure: Column, target: float, low: float, high: float,
             rounds: int = ROUNDS) -> float:
-    """The exponent in [low, high] where the falling ``measure`` reaches ``target``.
+    """The exponent in [low, high] where ``measure`` falls to ``target``.
 
-    A job evaluates all midpoints of LEVELS levels of the bisection at once.
+    ``measure`` is an aggregate over the sources with the exponent in column
+    ``a``. A job evaluates all midpoints of LEVELS levels of the bisection.
     """
     for _ in range(rounds):
         n = 2 ** LEVELS
         points = [low + (high - low) * i / n for i in range(1, n)]
-        row = totals.agg(*[measure(p).alias(f"m{i}") for i, p in enumerate(points)]).first()
+        rows = (totals.withColumn("a", F.explode(F.lit(points)))
+                .groupBy("a").agg(measure.alias("m")).collect())
+        at = {r.a: r.m for r in rows}
         lo, hi = 0, n
         while hi - lo > 1:
             mid = (lo + hi) // 2
-            if row[mid - 1] is not None and row[mid - 1] > target:
+            m = at.get(points[mid - 1])
+            if m is not None and m > target:
                 lo = mid
             else:
                 hi = mid
@@ -62,9 +66,9 @@ def _bisect(totals: DataFrame, measure, target: float, low: float, high: float,
     return high
 
 
-def entropy(exponent: float) -> Column:
-    """Entropy in nats of the normalised weights ``exp(exponent * log_share)``."""
-    e = F.lit(float(exponent)) * F.col("log_share")
+def entropy() -> Column:
+    """Entropy in nats of the normalised weights ``exp(a * log_share)``."""
+    e = F.col("a") * F.col("log_share")
     z = F.sum(F.exp(e))
     return F.ln(z) - F.sum(F.exp(e) * e) / z
 
@@ -81,12 +85,13 @@ def find_exponent(totals: DataFrame, target_entropy: float | None = None,
     if target_entropy is not None and max_repeats is not None:
         raise ValueError("give target_entropy or max_repeats, not both")
     if target_entropy is not None:
-        return _bisect(totals, entropy, target_entropy, 0.0, 16.0)
+        return _bisect(totals, entropy(), target_entropy, 0.0, 16.0)
     if max_repeats is not None:
         if max_repeats < 1:
             raise ValueError("max_repeats must be at least 1")
-        spread = F.max("log_share") - F.min("log_share")
-        return _bisect(totals, lambda a: F.lit(1.0 - float(a)) * spread, math.log(max_repeats), 0.0, 1.0)
+        # the smallest source's repeats against the largest's, as a logarithm
+        spread = F.max((1 - F.col("a")) * F.col("log_share")) - F.min((1 - F.col("a")) * F.col("log_share"))
+        return _bisect(totals, F.abs(spread), math.log(max_repeats), 0.0, 1.0)
     return 1.0
 
 
@@ -102,7 +107,9 @@ def mix(df: DataFrame, source: str = "source", text: str = "text", tokens: Colum
     by default.
     """
     df = df.drop("mix_epoch", "mix_place")
-    size, key, group = internal(df, "__size", "__key", "__group")
+    size, key, group, count, reps, epochs, rest, blocks, epoch, end, count2 = internal(
+        df, "__size", "__key", "__group", "__count", "__reps", "__epochs", "__rest", "__blocks",
+        "__epoch", "__end", "__count_2")
     cols = [F.col(f"`{c}`") for c in df.columns]
     src = F.col(f"`{source}`").cast("string")
     rows = df.withColumn(size, tokens if tokens is not None else word_tokens(F.col(f"`{text}`"))) \
@@ -120,10 +127,10 @@ def mix(df: DataFrame, source: str = "source", text: str = "text", tokens: Colum
     repeats = F.round(F.coalesce(F.exp(F.lit(exponent - 1) * F.col("log_share")) * F.lit(float(scale)),
                                  F.lit(1.0)), 9)
     plan = totals.select(
-        group, "n", repeats.alias("__repeats"), F.floor(repeats).cast("int").alias("__epochs"),
-        F.round((repeats - F.floor(repeats)) * F.col("tokens")).cast("long").alias("__rest"),
-        F.greatest(F.lit(1), F.ceil(F.col("tokens") / F.lit(block_tokens))).cast("long").alias("__blocks"))
-    planned = lookup_split(rows, plan, [group], "n", n_rows, F.col(key)).drop("n")
+        group, F.col("n").alias(count), repeats.alias(reps), F.floor(repeats).cast("int").alias(epochs),
+        F.round((repeats - F.floor(repeats)) * F.col("tokens")).cast("long").alias(rest),
+        F.greatest(F.lit(1), F.ceil(F.col("tokens") / F.lit(block_tokens))).cast("long").alias(blocks))
+    planned = lookup_split(rows, plan, [group], count, n_rows, F.col(key))
 
     def place(epoch: Column) -> Column:
         """A row's place in the order of an epoch, uniform in [0, 1)."""
@@ -132,9 +139,9 @@ def mix(df: DataFrame, source: str = "source", text: str = "text", tokens: Colum
 
     # The epoch that the budget takes in part: the block where it ends, and
     # the place in that block.
-    last = planned.where(F.col("__rest") > 0).select(
-        F.col(group).alias("source"), F.col(size).alias("size"), F.col("__rest").alias("rest"),
-        place(F.col("__epochs")).alias("u"), F.col("__blocks").alias("blocks")) \
+    last = planned.where(F.col(rest) > 0).select(
+        F.col(group).alias("source"), F.col(size).alias("size"), F.col(rest).alias("rest"),
+        place(F.col(epochs)).alias("u"), F.col(blocks).alias("blocks")) \
         .withColumn("block", F.floor(F.col("u") * F.col("blocks")))
     run = Window.partitionBy("source").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     cuts = (last.groupBy("source", "block").agg(F.sum("size").alias("total"), F.max("rest").alias("rest"))
@@ -148,15 +155,15 @@ def mix(df: DataFrame, source: str = "source", text: str = "text", tokens: Colum
                 F.max(F.when(F.col("upto") - F.col("size") / 2 <= F.col("rest"), F.col("u"))).alias("last"),
                 F.min("u").alias("first")))
     ends = store(totals.select(group, "n").join(ends, F.col(group) == F.col("source"), "left").select(
-        group, F.col("n").alias("__n"),
+        group, F.col("n").alias(count2),
         # no row of the block fits: end just before its first
-        F.coalesce("last", F.col("first") - F.lit(2.0 ** -53), F.lit(-1.0)).alias("__end")), "mix-ends")
-    chosen = lookup_split(planned, ends, [group], "__n", n_rows, F.col(key))
-    taken = F.filter(F.sequence(F.lit(0), F.col("__epochs")),
-                     lambda e: (e < F.col("__epochs")) | (place(e) <= F.col("__end")))
-    return (chosen.withColumn("__epoch", F.explode(taken))
-            .select(*cols, F.col("__epoch").cast("int").alias("mix_epoch"),
-                    ((F.col("__epoch") + place(F.col("__epoch"))) / F.col("__repeats")).alias("mix_place")))
+        F.coalesce("last", F.col("first") - F.lit(2.0 ** -53), F.lit(-1.0)).alias(end)), "mix-ends")
+    chosen = lookup_split(planned, ends, [group], count2, n_rows, F.col(key))
+    taken = F.filter(F.sequence(F.lit(0), F.col(epochs)),
+                     lambda e: (e < F.col(epochs)) | (place(e) <= F.col(end)))
+    return (chosen.withColumn(epoch, F.explode(taken))
+            .select(*cols, F.col(epoch).cast("int").alias("mix_epoch"),
+                    ((F.col(epoch) + place(F.col(epoch))) / F.col(reps)).alias("mix_place")))
 
 
 def mixed(spark, sf_dir: str) -> DataFrame:
