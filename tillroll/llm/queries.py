@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import ann, bpe, line_dedup, mixing, sharding, topk
+from tillroll.llm import ann, bpe, langid, line_dedup, mixing, sharding, topk, toxicity
 from tillroll.llm.common import table
 
 # The rank file and pattern of the registered queries; operators take any.
@@ -35,7 +35,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_sharding": _op3,
         "op5_temperature_mixing": mixing.mixed,
         "op6_line_dedup": line_dedup.without_repeats,
+        "op7_language_mixtures": langid.languages,
         "op8_permutation_index": ann.nearest_cosines,
+        "op9_toxicity_lexicon": toxicity.toxicity,
     }
 
 
