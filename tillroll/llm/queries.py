@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import ann, bpe, langid, line_dedup, mixing, sharding, topk, toxicity
+from tillroll.llm import ann, bpe, jaccard, langid, line_dedup, mixing, sharding, topk, toxicity
 from tillroll.llm.common import table
 
 # The rank file and pattern of the registered queries; operators take any.
@@ -33,6 +33,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_exact_topk": topk.nearest_products,
         "op2_byte_bpe": _op2,
         "op3_sharding": _op3,
+        "op4_jaccard_join": jaccard.linked,
         "op5_temperature_mixing": mixing.mixed,
         "op6_line_dedup": line_dedup.without_repeats,
         "op7_language_mixtures": langid.languages,
@@ -58,5 +59,6 @@ def oracle_sql() -> dict[str, str]:
             SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
               SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
               FROM scored) WHERE rank <= 10""",
+        "op4_jaccard_join": jaccard.ORACLE,
         "op6_line_dedup": line_dedup.ORACLE,
     }
