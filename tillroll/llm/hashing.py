@@ -18,7 +18,7 @@ _WORD = 2 ** 64
 def _parameters(seed: int) -> tuple[np.ndarray, int, int]:
     rng = np.random.default_rng(seed)
     values = rng.integers(0, 2 ** 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    base = int(rng.integers(2 ** 40, 2 ** 62)) * 8 + 5
+    base = int(rng.integers(2 ** 40, 2 ** 60)) * 8 + 5
     return values, base, pow(base, -1, _WORD)
 
 
@@ -29,7 +29,7 @@ def _power_table(base: int, n: int) -> np.ndarray:
     known = _powers.get(base)
     if known is None or len(known) < n:
         size = max(1 << 16, 1 << (n - 1).bit_length())
-        steps = np.full(size, base, np.uint64)
+        steps = np.full(size, np.uint64(base), np.uint64)
         steps[0] = 1
         known = np.multiply.accumulate(steps)
         _powers[base] = known

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import ann, bpe, jaccard, langid, line_dedup, mixing, sharding, topk, toxicity
+from tillroll.llm import ann, bpe, jaccard, langid, line_dedup, mixing, sharding, suffix_dedup, topk, toxicity
 from tillroll.llm.common import table
 
 # The rank file and pattern of the registered queries; operators take any.
@@ -39,6 +39,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_language_mixtures": langid.languages,
         "op8_permutation_index": ann.nearest_cosines,
         "op9_toxicity_lexicon": toxicity.toxicity,
+        "op10_suffix_dedup": suffix_dedup.without_repeats,
     }
 
 
@@ -61,4 +62,5 @@ def oracle_sql() -> dict[str, str]:
               FROM scored) WHERE rank <= 10""",
         "op4_jaccard_join": jaccard.ORACLE,
         "op6_line_dedup": line_dedup.ORACLE,
+        "op10_suffix_dedup": suffix_dedup.ORACLE,
     }
