@@ -24,9 +24,10 @@ carriage return, in lower case. A text of fewer words than a shingle has one
 shingle of all its words.
 
 Rows: null texts and texts without words link with nothing; each is a class of
-its own. Repeated rows and copies are members of one class. A null id is a
-member like others; a class's id is the smallest id in it (null if all are
-null). No rows give no rows. Other columns are not read.
+its own. Repeated rows and copies are members of one class. A row with a null
+id is a member like others; a class is named after its smallest id (null if
+all are null) and represented by the first row with that id. No rows give no
+rows. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -39,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import lookup_split, sized_slices, store, table, with_row_id
+from tillroll.llm.common import internal, lookup_split, sized_slices, store, table, with_row_id
 from tillroll.llm.components import components
 from tillroll.llm.hashing import Substrings, mix
 
@@ -242,15 +243,18 @@ def _roots(linked: np.ndarray, sids: list[bytes]) -> list[bytes]:
 def link_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                  threshold: float = THRESHOLD, recall: float = RECALL, limit: int = LIMIT,
                  depth: int = DEPTH, block: int = BLOCK) -> DataFrame:
-    """One row per row of ``docs``: row, id, class_id, class_size, n_links
-    (documents linked to it, copies included) and n_linked_sets (different
-    shingle sets linked to its own)."""
+    """One row per row of ``docs``: row (its number, see ``with_row_id``), id,
+    class_id, class_row (the row that represents the class), class_size,
+    n_links (documents linked to it, copies included) and n_linked_sets
+    (different shingle sets linked to its own)."""
     numbered = with_row_id(docs.select(F.col(f"`{doc_id}`").alias("id"),
                                        F.col(f"`{text}`").cast("string").alias("text")), "row")
     runs = runs_needed(threshold, depth, recall)
     told = store(_describe(numbered, "text", runs, threshold), "jaccard-documents")
+    # the row that represents a set, and later a class: with the smallest id, null last
+    first = F.struct(F.col("id").isNull().alias("none"), "id", "row")
     classes = store(told.where(F.col("sid").isNotNull()).groupBy("sid").agg(
-        F.min("id").alias("least_id"), F.count(F.lit(1)).alias("n_docs"),
+        F.min(first).alias("least"), F.count(F.lit(1)).alias("n_docs"),
         F.min("row").alias("row")), "jaccard-sets")
 
     frontier = store(told.where(F.col("sid").isNotNull())
@@ -302,29 +306,38 @@ def link_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 def _result(told: DataFrame, classes: DataFrame, degrees: DataFrame | None, roots: DataFrame | None) -> DataFrame:
     if degrees is None:
-        named = classes.select("sid", "n_docs", F.col("least_id").alias("class_id"),
+        named = classes.select("sid", "n_docs", "least",
                                F.col("n_docs").alias("class_size"), F.lit(0).cast("long").alias("linked_docs"),
                                F.lit(0).cast("long").alias("linked_sets"))
     else:
         rooted = store(classes.join(roots.withColumnRenamed("node", "sid"), "sid", "left")
                        .withColumn("root", F.coalesce("root", "sid")).join(degrees, "sid", "left"), "jaccard-rooted")
-        top = rooted.groupBy("root").agg(F.min("least_id").alias("class_id"), F.sum("n_docs").alias("class_size"),
+        top = rooted.groupBy("root").agg(F.min("least").alias("first"), F.sum("n_docs").alias("class_size"),
                                          F.count(F.lit(1)).alias("n_sets"))
         total = int(rooted.count())
         named = lookup_split(rooted, top, ["root"], "n_sets", total, F.xxhash64("sid")).select(
-            "sid", "n_docs", "class_id", "class_size", F.coalesce("docs", F.lit(0)).alias("linked_docs"),
+            "sid", "n_docs", F.col("first").alias("least"), "class_size", F.coalesce("docs", F.lit(0)).alias("linked_docs"),
             F.coalesce("sets", F.lit(0)).alias("linked_sets"))
     named = store(named, "jaccard-classes")
     n_rows = int(classes.agg(F.coalesce(F.sum("n_docs"), F.lit(0))).first()[0])
     joined = lookup_split(told.select("row", "id", "sid"), named, ["sid"], "n_docs", n_rows, F.xxhash64("row"))
     alone = F.col("n_docs").isNull()
     return joined.select(
-        "row", "id", F.when(alone, F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
+        "row", "id", F.when(alone, F.col("id")).otherwise(F.col("least.id")).alias("class_id"),
+        F.when(alone, F.col("row")).otherwise(F.col("least.row")).alias("class_row"),
         F.when(alone, F.lit(1)).otherwise(F.col("class_size")).cast("long").alias("class_size"),
         F.when(alone, F.lit(0)).otherwise(F.col("linked_docs") + F.col("n_docs") - 1).cast("long").alias("n_links"),
         F.coalesce("linked_sets", F.lit(0)).cast("long").alias("n_linked_sets"))
 
 
+def first_of_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` that represent their classes, with all columns."""
+    row, = internal(docs, "__row")
+    kept = link_classes(docs, doc_id, text, **options).where(F.col("row") == F.col("class_row"))
+    return (with_row_id(docs, row).join(kept.select(F.col("row").alias(row)), row, "left_semi")
+            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+
+
 def linked(spark, sf_dir: str) -> DataFrame:
     """Every document with its class of near copies and its numbers of links."""
     return link_classes(table(spark, sf_dir, "documents")).select(

@@ -28,6 +28,12 @@ def _op3(spark, sf):
     return sharding.assignments(_documents(spark, sf), SHARDS)
 
 
+def _pipeline(spark, sf):
+    import corpus_pipeline  # at the repository's top, which imports this package
+
+    return corpus_pipeline.run(spark, sf)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_topk": topk.nearest_products,
@@ -40,6 +46,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_permutation_index": ann.nearest_cosines,
         "op9_toxicity_lexicon": toxicity.toxicity,
         "op10_suffix_dedup": suffix_dedup.without_repeats,
+        "pipeline": _pipeline,
     }
 
 
