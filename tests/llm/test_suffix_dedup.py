@@ -1,0 +1,114 @@
+import hashlib
+import random
+
+import numpy as np
+import pytest
+
+from tillroll.llm import suffix_dedup as sd
+
+SCHEMA = "doc_id long, text string, block string, ids string, kept string"
+
+
+def _brute(texts, length):
+    data = [(t or "").encode() for t in texts]
+    seen = {}
+    for d in data:
+        for p in range(len(d) - length + 1):
+            seen[d[p:p + length]] = seen.get(d[p:p + length], 0) + 1
+    out = []
+    for d in data:
+        gone = np.zeros(len(d) + 1, bool)
+        for p in range(len(d) - length + 1):
+            if seen[d[p:p + length]] > 1:
+                gone[p:p + length] = True
+        edges = np.flatnonzero(np.diff(np.concatenate([[0], gone[:-1].astype(int), [0]])))
+        spans = [(int(a), int(b - a)) for a, b in zip(edges[::2], edges[1::2])]
+        out.append((len(d), spans, bytes(b for b, g in zip(d, gone) if not g)))
+    return out
+
+
+def _run(spark, texts, **options):
+    df = spark.createDataFrame([(i, t, "x", "y", "z") for i, t in enumerate(texts)], SCHEMA)
+    got = {r.doc_id: (r.n_bytes, [(s.start, s.size) for s in r.spans], bytes(r.kept))
+           for r in sd.remove_repeats(df, **options).collect()}
+    return [got[i] for i in range(len(texts))]
+
+
+def _texts(seed, n=60):
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("abé") for _ in range(rng.randrange(1, 5)))
+    passages = [" ".join(word() for _ in range(rng.randrange(5, 30))) for _ in range(6)]
+    out = []
+    for _ in range(n):
+        parts = [rng.choice(passages) if rng.random() < 0.4 else " ".join(word() for _ in range(20))
+                 for _ in range(rng.randrange(1, 5))]
+        out.append("".join(parts))
+    for i in range(15):  # copies with an edit
+        t = list(rng.choice(out))
+        t[rng.randrange(len(t))] = "X"
+        out.append("".join(t))
+    return out + out[:5]
+
+
+@pytest.mark.parametrize("options", [
+    {}, {"block_bytes": 300, "bucket_entries": 40, "range_entries": 20},
+    {"block_bytes": 300, "hot": 3, "bucket_entries": 50}, {"block_bytes": 200, "hot": 1}, {"gram": 3}, {"gram": 20}])
+def test_against_brute_force(spark, options):
+    texts = _texts(7)
+    assert _run(spark, texts, length=20, **options) == _brute(texts, 20)
+
+
+def test_odd_texts(spark):
+    texts = [None, "", "short", "a" * 500, "ab" * 300, "\0" * 50 + "x", "\0" * 50 + "y", None, "é" * 30,
+             "hot passage of thirty bytes or so!" * 3]
+    assert _run(spark, texts, length=20, block_bytes=100) == _brute(texts, 20)
+
+
+def test_hot_passage_and_copies(spark):
+    passage = "This passage of well over twenty bytes stands in every document."
+    texts = [f"{i:05d} before {passage} after {i * 7919 % 1000:03d}" for i in range(300)] + ["copy " * 9] * 200
+    for hot in (2, 100_000):
+        assert _run(spark, texts, length=20, block_bytes=2000, hot=hot) == _brute(texts, 20)
+
+
+def test_query_columns_null_ids_and_empty(spark):
+    df = spark.createDataFrame([(None, "z" * 30), (None, "z" * 30), (4, "unique text")], "doc_id long, text string")
+    out = sd.remove_repeats(df, length=20)
+    assert sorted((r.n_bytes, len(r.spans)) for r in out.collect()) == [(11, 0), (30, 1), (30, 1)]
+    assert sd.remove_repeats(df.limit(0), length=20).count() == 0
+    assert hashlib.sha256(b"").hexdigest()[:8] == "e3b0c442"
+
+
+def test_merge_is_a_sort_with_common_prefixes():
+    rng = random.Random(3)
+    for n_runs in (1, 2, 3, 7, 16):
+        runs = []
+        for _ in range(n_runs):
+            s = sorted(bytes(rng.choice(b"ab") for _ in range(rng.randrange(0, 30))) for _ in range(rng.randrange(0, 40)))
+            payload = sd.front_code(s, [b"L"] * len(s), np.ones(len(s), np.int64))
+            strings, shared, lefts, counts = sd.front_decode(payload)
+            assert strings == s and lefts == [b"L"] * len(s)
+            runs.append((strings, shared))
+        order, shared = sd.merge_runs(runs)
+        at = [0] * n_runs
+        merged = []
+        for r in order:
+            merged.append(runs[r][0][at[r]])
+            at[r] += 1
+        assert merged == sorted(x for r in runs for x in r[0])
+        for i in range(1, len(merged)):
+            assert shared[i] == sd.common_prefix(merged[i - 1], merged[i])
+
+
+def test_a_merge_looks_at_no_byte_twice(monkeypatch):
+    looked = []
+    plain = sd.common_prefix
+    monkeypatch.setattr(sd, "common_prefix", lambda a, b, start=0: looked.append(plain(a, b, start) - start) or plain(a, b, start))
+    base = b"p" * 500
+    runs = []
+    for r in range(8):
+        s = sorted(base + bytes([65 + r, i]) for i in range(50))
+        runs.append((s, [0] + [plain(a, b) for a, b in zip(s, s[1:])]))
+    sd.merge_runs(runs)
+    # comparing whole strings would look at 500 bytes for each of 400 * 3 comparisons
+    assert sum(looked) < 8 * 500 + 400 * 3 * 3
