@@ -36,13 +36,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import table
+from tillroll.llm.common import store, table
 from tillroll.llm.langid import fold as fold_of
 
-MAX_ROWS = 50_000
+MAX_ROWS = 20_000
 MAX_TERMS = 5_000        # size of the lexicon, the heaviest support first
 PREFIXES = range(4, 10)  # lengths of word beginnings
 ROUNDS = 3
@@ -248,18 +248,24 @@ def _curve(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
     return tuple(float(v) for v in w)
 
 
+def draw_labels(rows: DataFrame, key: Column, toxic: str, max_rows: int) -> DataFrame:
+    """About ``max_rows`` rows of each class at most, picked by a hash."""
+    sizes = {r[0]: r[1] for r in rows.where(F.col(toxic).isin(0, 1)).groupBy(toxic)
+             .agg(F.count(F.lit(1)).alias("n")).collect()}
+    draw = F.pmod(key, F.lit(1 << 30)) / F.lit(float(1 << 30))
+    return rows.where(F.when(F.col(toxic) == 1, draw < max_rows / max(1, sizes.get(1, 0)))
+                      .when(F.col(toxic) == 0, draw < max_rows / max(1, sizes.get(0, 0))).otherwise(False))
+
+
 def fit(labelled: DataFrame, text: str = "text", toxic: str = "toxic", max_rows: int = MAX_ROWS,
         seed: int = 0) -> Lexicon:
     """Learn from rows with a text and a label (1 toxic, 0 not)."""
     rows = (labelled.select(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"),
                             F.col(f"`{toxic}`").cast("int").alias("toxic"))
             .where(F.col("toxic").isin(0, 1)))
-    sizes = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if not sizes.get(1) or not sizes.get(0):
+    sample = store(draw_labels(rows, F.xxhash64(F.lit(seed), "text"), "toxic", max_rows), "toxicity-sample")
+    if sample.select("toxic").distinct().count() < 2:
         return Lexicon({})
-    draw = F.pmod(F.xxhash64(F.lit(seed), "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    share = F.when(F.col("toxic") == 1, min(1.0, max_rows / sizes[1])).otherwise(min(1.0, max_rows / sizes[0]))
-    sample = rows.where(draw < share)
     bad = sample.where(F.col("toxic") == 1).groupBy(F.xxhash64("text")).agg(F.first("text").alias("text"))
     fine = sample.where(F.col("toxic") == 0)
     weights: dict[str, float] = {}
@@ -312,6 +318,8 @@ def toxicity(spark, sf_dir: str) -> DataFrame:
     held_out = fold_of(F.col("doc_id"), 4) == 2
     labels = (table(spark, sf_dir, "labels").where(fold_of(F.col("doc_id"), 4) != 2)
               .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
-    lexicon = fit(docs.where(~held_out).join(labels, "doc_id"))
+    # two classes of MAX_ROWS rows or so: small enough to be sent to every task
+    drawn = F.broadcast(draw_labels(labels, F.xxhash64("doc_id"), "toxic", MAX_ROWS))
+    lexicon = fit(docs.where(~held_out).join(drawn, "doc_id"))
     return score(docs.withColumn("held_out", held_out), lexicon).select(
         "doc_id", "held_out", "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
