@@ -114,6 +114,21 @@ def test_runs_needed_meets_the_recall():
     assert abs(met / 400 - (1 - math.exp(-2 / 1.8))) < 0.08
 
 
+def test_sketches_keep_pairs_at_the_threshold():
+    rng = np.random.default_rng(1)
+    for n in (3, 30, 300, 3000):
+        near, far = [], []
+        for _ in range(200):
+            t = np.unique(rng.integers(0, 2 ** 64, 2 * n, dtype=np.uint64))
+            common, k = t[:int(n * .9)], max(1, n // 10)
+            near.append([jaccard.sketch(np.sort(np.concatenate([common, t[-k * (i + 1):len(t) - k * i]]))) for i in (0, 1)])
+            far.append([jaccard.sketch(np.sort(t[:n])), jaccard.sketch(np.sort(t[n:]))])
+        sides = lambda pairs, i: np.frombuffer(b"".join(p[i] for p in pairs), np.uint8).reshape(-1, jaccard.BINS)
+        assert jaccard.alike(sides(near, 0), sides(near, 1), 0.8).all()
+        if n >= 30:
+            assert not jaccard.alike(sides(far, 0), sides(far, 1), 0.8).any()
+
+
 def test_intersections():
     rng = np.random.default_rng(3)
     sets = [np.unique(rng.integers(0, 60, rng.integers(1, 40))).astype(np.uint64) for _ in range(25)]

@@ -6,11 +6,17 @@ splits the sets recursively: in a node, a set goes on into the branch of each
 of its tokens whose hash, drawn anew for every node, is below ``1 / (threshold
 * size)``. So a set follows 1 / threshold branches on average, and two sets
 that link share one branch or more on average, however common their tokens
-are. A node with at most ``limit`` sets is compared by brute force, exactly; a
-larger one is split, up to ``DEPTH`` levels. What is still large there (many
-sets that resemble each other) is compared in blocks, pair of blocks by pair of
-blocks, so no task ever holds more than two blocks. Runs are repeated until a
-pair at the threshold is met with probability ``recall``.
+are. A node with at most ``limit`` sets is compared by brute force; a larger
+one is split once more. What is still large then (many sets that resemble each
+other) is compared in blocks, pair of blocks by pair of blocks, so no task ever
+holds more than two blocks. Runs are repeated until a pair at the threshold is
+met with probability ``recall``.
+
+The brute force goes from cheap to exact: sets whose sizes differ too much
+cannot link; a sketch of 128 bytes (the smallest token of each of 128 ranges)
+drops pairs that are five standard deviations below the threshold; what is left
+is compared token by token. Only sets with such a partner have their tokens
+moved, and nodes that are left with the same sets are compared once.
 
 Equal sets are one set with a number of documents from the start. No list of
 pairs is made: a node's task reports how many links each set has in it, and
@@ -37,7 +43,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import internal, lookup_split, sized_slices, store, table, with_row_id
@@ -48,14 +54,16 @@ SHINGLE = 5
 THRESHOLD = 0.8
 RECALL = 0.9999
 LIMIT = 128      # sets that a node may have to be compared whole
-DEPTH = 3
+DEPTH = 2        # levels of splitting
 BLOCK = 512      # sets in a block of a node that stays large
+BINS = 128       # bytes in a sketch
+SURE = 5.0       # standard deviations that a sketch may fall short
 SLICE_BYTES = 1 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 12, 13, 32]] = True
 _STEPS = np.random.default_rng(11).integers(0, 2 ** 62, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_ONE = float(2 ** 64)
+_EDGES = (np.arange(BINS, dtype=np.uint64) << np.uint64(57))
 
 
 def runs_needed(threshold: float, depth: int, recall: float) -> int:
@@ -108,43 +116,73 @@ def set_id(tokens: np.ndarray) -> bytes:
 
 def branches(nodes: np.ndarray, tokens: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """(position in ``nodes``, child node) of the branches a set takes from nodes."""
-    bound = min(1.0, 1 / (threshold * len(tokens)))
-    limit = np.uint64(min(_ONE - 1, bound * _ONE) if bound < 1 else 2 ** 64 - 1)
-    where, child = [], []
-    for i, node in enumerate(nodes):
-        drawn = (tokens ^ mix(np.array([node], np.uint64))[0]) * _STEPS[0]
-        drawn = mix(drawn)
-        t = tokens[drawn <= limit]
-        if len(t):
-            where.append(np.full(len(t), i))
-            child.append(mix(mix(t ^ np.uint64(0x5851F42D4C957F2D)) + node))
-    if not where:
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
-    return np.concatenate(where), np.concatenate(child)
+    share = 1 / (threshold * len(tokens))
+    limit = np.uint64(2 ** 64 - 1 if share >= 1 else int(share * 2 ** 64))
+    drawn = tokens[None, :] * (mix(nodes) | np.uint64(1))[:, None]
+    where, which = np.nonzero(drawn <= limit)
+    return where, mix(mix(tokens[which] ^ np.uint64(0x5851F42D4C957F2D)) + nodes[where])
+
+
+def sketch(tokens: np.ndarray) -> bytes:
+    """A byte of the smallest token in each of BINS ranges (0: no token there)."""
+    at = np.searchsorted(tokens, _EDGES)
+    upto = np.append(at[1:], len(tokens))
+    low = tokens[np.minimum(at, len(tokens) - 1)]
+    byte = (mix(low) % np.uint64(255) + np.uint64(1)).astype(np.uint8)
+    return np.where(at < upto, byte, 0).astype(np.uint8).tobytes()
+
+
+def alike(a: np.ndarray, b: np.ndarray, threshold: float) -> np.ndarray:
+    """Which rows of two arrays of sketches may belong to sets that link."""
+    used = ((a != 0) | (b != 0)).sum(axis=1)
+    same = ((a == b) & (a != 0)).sum(axis=1)
+    return same >= threshold * used - SURE * np.sqrt(used * threshold * (1 - threshold))
+
+
+_BRANCHES = "array<struct<node:long,children:array<long>>>"
 
 
 def _describe(docs: DataFrame, text: str, runs: int, threshold: float) -> DataFrame:
-    """(row, id, sid, nodes): each document's set and its first branches in all runs."""
+    """(row, id, sid, size, sketch, branches): each document's set, and its
+    nodes of the first level in all runs with their children."""
     roots = mix(np.arange(1, runs + 1, dtype=np.uint64))
+    kind = pa.list_(pa.struct([("node", pa.int64()), ("children", pa.list_(pa.int64()))]))
 
-    @F.arrow_udf("struct<sid:binary,nodes:array<long>>")
+    @F.arrow_udf(f"struct<sid:binary,size:int,sketch:binary,branches:{_BRANCHES}>")
     def describe(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             values = batch.to_pylist()
-            sids, nodes = [], []
+            sids, sizes, sketches, counts, nodes, fans, children = [], [], [], [], [], [], []
             for i, j in sized_slices([len(v or "") for v in values], SLICE_BYTES):
                 for tokens in shingle_sets([v or "" for v in values[i:j]]):
-                    sids.append(set_id(tokens) if len(tokens) else None)
-                    nodes.append(branches(roots, tokens, threshold)[1].astype(np.int64)
-                                 if len(tokens) else None)
+                    if not len(tokens):
+                        sids.append(None), sizes.append(0), sketches.append(None), counts.append(0)
+                        continue
+                    first = branches(roots, tokens, threshold)[1]
+                    where, child = branches(first, tokens, threshold)
+                    sids.append(set_id(tokens))
+                    sizes.append(len(tokens))
+                    sketches.append(sketch(tokens))
+                    counts.append(len(first))
+                    nodes.append(first)
+                    fans.append(np.bincount(where, minlength=len(first)))
+                    children.append(child)
+            flat = lambda parts: np.concatenate(parts) if parts else np.empty(0, np.uint64)
+            inner = pa.ListArray.from_arrays(
+                pa.array(np.concatenate([[0], np.cumsum(flat(fans))]).astype(np.int32)),
+                pa.array(flat(children).astype(np.int64)))
+            pairs = pa.StructArray.from_arrays([pa.array(flat(nodes).astype(np.int64)), inner], ["node", "children"])
+            lists = pa.ListArray.from_arrays(
+                pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), pairs).cast(kind)
             yield pa.StructArray.from_arrays(
-                [pa.array(sids, pa.binary()), pa.array(nodes, pa.list_(pa.int64()))], ["sid", "nodes"])
+                [pa.array(sids, pa.binary()), pa.array(sizes, pa.int32()), pa.array(sketches, pa.binary()), lists],
+                ["sid", "size", "sketch", "branches"])
 
-    return docs.select("row", "id", describe(F.col(text)).alias("d")).select("row", "id", "d.sid", "d.nodes")
+    return docs.select("row", "id", describe(F.col(text)).alias("d")).select("row", "id", "d.*")
 
 
-def _sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(sid, n_docs, tokens) of the wanted sets, from one document of each."""
+def _tokens_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(set, tokens) of the wanted sets, from the document that stands for each."""
     @F.arrow_udf("binary")
     def tokens_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
@@ -153,25 +191,75 @@ def _sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 out += [s.tobytes() for s in shingle_sets(values[i:j])]
             yield pa.array(out, pa.binary())
 
-    return (docs.join(wanted, "row").select("sid", "n_docs", tokens_of("text").alias("tokens")))
-
-
-def _extend(rows: DataFrame, threshold: float) -> DataFrame:
-    """(node, sid) one level deeper, from (node, sid, tokens)."""
-    def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            nodes, sids = [], []
-            for node, sid, tokens in zip(b.column("node").to_pylist(), b.column("sid").to_pylist(),
-                                         b.column("tokens")):
-                root = np.array([node], np.int64).astype(np.uint64)
-                child = branches(root, np.frombuffer(tokens.as_py(), np.uint64), threshold)[1]
-                nodes.append(child.astype(np.int64))
-                sids += [sid] * len(child)
-            yield pa.RecordBatch.from_pydict({
-                "node": pa.array(np.concatenate(nodes) if nodes else [], pa.int64()),
-                "sid": pa.array(sids, pa.binary())})
-
-    return rows.select("node", "sid", "tokens").mapInArrow(grow, "node long, sid binary")
+    return (docs.join(wanted, docs["row"] == wanted["set"]).select("set", tokens_of("text").alias("tokens")))
+
+
+_GROUP = ["node", "i", "j"]
+
+
+def _groups(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
+    """Tables of whole (node, i, j) groups, about ``rows`` rows each, from sorted batches."""
+    held: list[pa.RecordBatch] = []
+    n = 0
+    for b in batches:
+        if not b.num_rows:
+            continue
+        held.append(b)
+        n += b.num_rows
+        if n >= rows:
+            t = pa.Table.from_batches(held).combine_chunks()
+            key = np.stack([t[c].to_numpy() for c in _GROUP])
+            cut = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0))
+            if len(cut):
+                at = int(cut[-1]) + 1
+                yield t.slice(0, at)
+                rest = t.slice(at)
+                held, n = rest.to_batches(), rest.num_rows
+            # else one group goes on: it has two blocks at most
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def _bounds(t: pa.Table) -> np.ndarray:
+    key = np.stack([t[c].to_numpy() for c in _GROUP])
+    return np.concatenate([[0], np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1, [len(t)]])
+
+
+def _by_group(df: DataFrame) -> DataFrame:
+    return df.repartition(*_GROUP).sortWithinPartitions(*_GROUP)
+
+
+def _sift(threshold: float, pairs_at_once: int = 1 << 16):
+    """Rows that have a partner of fitting size and sketch in their group."""
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _groups(batches, 4096):
+            size, part = t["size"].to_numpy(), t["part"].to_numpy()
+            across = t["i"].to_numpy() != t["j"].to_numpy()
+            marks = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint8).reshape(-1, BINS)
+            keep = np.zeros(len(t), bool)
+            bounds = _bounds(t)
+            for lo, hi in zip(bounds[:-1], bounds[1:]):
+                # in order of size a row's partners are the next ones
+                order = lo + np.argsort(size[lo:hi], kind="stable")
+                s = size[order]
+                upto = np.searchsorted(s, s / threshold + 1e-9, side="right")
+                counts = upto - np.arange(len(s)) - 1
+                for x, y in sized_slices(counts, pairs_at_once):
+                    c = counts[x:y]
+                    first = np.repeat(np.arange(x, y), c)
+                    second = first + 1 + np.arange(c.sum()) - np.repeat(np.cumsum(c) - c, c)
+                    a, b = order[first], order[second]
+                    if across[lo]:
+                        other = part[a] != part[b]
+                        a, b = a[other], b[other]
+                    for z in range(0, len(a), pairs_at_once):
+                        p, q = a[z:z + pairs_at_once], b[z:z + pairs_at_once]
+                        near = alike(marks[p], marks[q], threshold)
+                        keep[p[near]] = True
+                        keep[q[near]] = True
+            yield from t.filter(pa.array(keep)).select(["node", "i", "j", "part", "n", "set"]).to_batches()
+
+    return sift
 
 
 def intersections(sets: list[np.ndarray], chunk: int = 1 << 13) -> np.ndarray:
@@ -196,130 +284,132 @@ def intersections(sets: list[np.ndarray], chunk: int = 1 << 13) -> np.ndarray:
 
 
 def _compare(threshold: float):
-    """A task's comparison of one node, or of two blocks of a node."""
-    def compare(records: pa.Table) -> pa.Table:
-        node, i, j = (records[c][0].as_py() for c in ("node", "i", "j"))
-        rows = records.select(["part", "sid", "n_docs", "tokens", "nodes"]).to_pylist()
-        sets = [np.frombuffer(r["tokens"], np.uint64) for r in rows]
-        size = np.array([len(s) for s in sets], np.float64)
-        docs = np.array([r["n_docs"] for r in rows], np.int64)
-        shared = intersections(sets)
-        linked = shared >= threshold * (size[:, None] + size[None, :] - shared) - 1e-9
-        np.fill_diagonal(linked, False)
-        if i != j:
-            part = np.array([r["part"] for r in rows])
-            linked &= part[:, None] != part[None, :]
-        some = np.flatnonzero(linked.any(axis=1))
-        linked, docs = linked[np.ix_(some, some)], docs[some]
-        sids = [rows[k]["sid"] for k in some]
-        earlier = [[x for x in rows[k]["nodes"] if x < node] for k in some]
-        ids = np.unique(np.concatenate([np.array(e, np.int64) for e in earlier])) if len(some) else []
-        new = linked
-        if len(ids):
-            met = np.zeros((len(some), len(ids)), np.float32)
-            for k, e in enumerate(earlier):
-                met[k, np.searchsorted(ids, e)] = 1
-            new = linked & ~((met @ met.T) > 0)
-        roots = _roots(linked, sids)
-        return pa.table({"sid": pa.array(sids, pa.binary()), "root": pa.array(roots, pa.binary()),
-                         "sets": pa.array(new.sum(axis=1).astype(np.int64)),
-                         "docs": pa.array((new.astype(np.int64) @ docs) if len(some) else [], pa.int64())})
+    """Exact links of every group: per set its number of new links and a root."""
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _groups(batches, 512):
+            bounds = _bounds(t)
+            for lo, hi in zip(bounds[:-1], bounds[1:]):
+                yield _links(t.slice(lo, hi - lo), threshold)
 
     return compare
 
 
-def _roots(linked: np.ndarray, sids: list[bytes]) -> list[bytes]:
+def _links(t: pa.Table, threshold: float) -> pa.RecordBatch:
+    node, across = t["node"][0].as_py(), t["i"][0].as_py() != t["j"][0].as_py()
+    sets = [np.frombuffer(x, np.uint64) for x in t["tokens"].to_pylist()]
+    size = np.array([len(x) for x in sets], np.float64)
+    shared = intersections(sets)
+    linked = shared >= threshold * (size[:, None] + size[None, :] - shared) - 1e-9
+    np.fill_diagonal(linked, False)
+    if across:
+        part = t["part"].to_numpy()
+        linked &= part[:, None] != part[None, :]
+    some = np.flatnonzero(linked.any(axis=1))
+    linked = linked[np.ix_(some, some)]
+    docs, ids = t["n_docs"].to_numpy()[some], t["set"].to_numpy()[some]
+    nodes = t["nodes"].to_pylist()
+    earlier = [[x for x in nodes[k] if x < node] for k in some]
+    known = np.unique(np.concatenate([np.array(e, np.int64) for e in earlier])) if len(some) else []
+    new = linked
+    if len(known):
+        met = np.zeros((len(some), len(known)), np.float32)
+        for k, e in enumerate(earlier):
+            met[k, np.searchsorted(known, e)] = 1
+        new = linked & ~((met @ met.T) > 0)
+    return pa.RecordBatch.from_pydict({
+        "set": pa.array(ids, pa.int64()), "root": pa.array(_roots(linked, ids), pa.int64()),
+        "sets": pa.array(new.sum(axis=1).astype(np.int64), pa.int64()),
+        "docs": pa.array(new.astype(np.int64) @ docs, pa.int64())})
+
+
+def _roots(linked: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """The smallest id in each row's component."""
-    label = np.argsort(np.argsort(np.array(sids, dtype=object))) if sids else np.empty(0, int)
-    ordered = sorted(sids)
+    label = ids.astype(np.int64)
     while len(label):
-        least = np.minimum(label, np.where(linked, label[None, :], len(label)).min(axis=1))
+        least = np.minimum(label, np.where(linked, label[None, :], np.iinfo(np.int64).max).min(axis=1))
         if (least == label).all():
             break
         label = least
-    return [ordered[k] for k in label]
+    return label
 
 
 def link_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                  threshold: float = THRESHOLD, recall: float = RECALL, limit: int = LIMIT,
-                 depth: int = DEPTH, block: int = BLOCK) -> DataFrame:
+                 block: int = BLOCK) -> DataFrame:
     """One row per row of ``docs``: row (its number, see ``with_row_id``), id,
     class_id, class_row (the row that represents the class), class_size,
     n_links (documents linked to it, copies included) and n_linked_sets
     (different shingle sets linked to its own)."""
     numbered = with_row_id(docs.select(F.col(f"`{doc_id}`").alias("id"),
                                        F.col(f"`{text}`").cast("string").alias("text")), "row")
-    runs = runs_needed(threshold, depth, recall)
+    runs = runs_needed(threshold, DEPTH, recall)
     told = store(_describe(numbered, "text", runs, threshold), "jaccard-documents")
     # the row that represents a set, and later a class: with the smallest id, null last
     first = F.struct(F.col("id").isNull().alias("none"), "id", "row")
     classes = store(told.where(F.col("sid").isNotNull()).groupBy("sid").agg(
         F.min(first).alias("least"), F.count(F.lit(1)).alias("n_docs"),
-        F.min("row").alias("row")), "jaccard-sets")
-
-    frontier = store(told.where(F.col("sid").isNotNull())
-                     .select(F.explode("nodes").alias("node"), "sid").distinct(), "jaccard-nodes")
-    sets, leaves = None, []
-    for level in range(1, depth + 1):
-        counts = store(frontier.groupBy("node").agg(
-            F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("sid")).alias("x"),
-            F.bit_xor(F.xxhash64(F.lit(1), "sid")).alias("y")).where("n >= 2"), "jaccard-counts")
-        # nodes of the same sets need comparing once
-        kept = counts.groupBy("n", "x", "y").agg(F.min("node").alias("node")).select("node", "n")
-        total = int(counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
-        if not total:
-            break
-        met = store(lookup_split(frontier, kept, ["node"], "n", total, F.xxhash64("sid"))
-                    .where(F.col("n").isNotNull()), "jaccard-met")
-        if sets is None:
-            wanted = met.select("sid").distinct().join(classes, "sid").select("sid", "n_docs", "row")
-            sets = store(_sets_of(numbered, wanted), "jaccard-tokens")
-        whole = F.col("n") <= limit
-        leaves.append(met if level == depth else met.where(whole))
-        if level < depth:
-            frontier = store(_extend(met.where(~whole).join(sets, "sid"), threshold).distinct(),
-                             "jaccard-nodes")
-    if not leaves:
-        return _result(told, classes, None, None)
-
-    met = leaves[0]
-    for more in leaves[1:]:
-        met = met.union(more)
-    met = store(met, "jaccard-leaves")
-    # every set with the numbers of all its nodes, to count a pair once
-    own = met.groupBy("sid").agg(F.collect_set("node").alias("nodes"))
-    members = met.join(own, "sid").join(sets, "sid")
+        F.min(F.struct("row", "size", "sketch", "branches")).alias("one"))
+        .select("sid", "least", "n_docs", F.col("one.row").alias("set"), "one.size", "one.sketch", "one.branches"),
+        "jaccard-sets")
+
+    top = classes.select("set", "size", F.explode("branches").alias("b")).select(
+        "set", "size", "b.node", "b.children")
+    met = _met(top)
+    whole = F.col("n") <= limit
+    deeper = _met(met.where(~whole).select("set", "size", F.explode("children").alias("node")))
+    leaves = met.where(whole).drop("children").unionByName(deeper)
+    # a set without a set of fitting size in its node has no link there; large
+    # nodes are sifted block by block
+    by_size = Window.partitionBy("node").orderBy("size")
+    small = (leaves.where(whole)
+             .withColumn("below", F.lag("size").over(by_size)).withColumn("above", F.lead("size").over(by_size))
+             .where((F.col("below") >= threshold * F.col("size") - 1e-9)
+                    | (F.col("above") * threshold <= F.col("size") + 1e-9))
+             .select("node", "n", "set", "size", F.lit(0).alias("part"), F.lit(0).alias("i"), F.lit(0).alias("j")))
     blocks = F.ceil(F.col("n") / F.lit(block)).cast("int")
-    part = F.when(F.col("n") <= limit, F.lit(0)).otherwise(
-        F.pmod(F.xxhash64("sid", "node"), blocks).cast("int"))
-    others = F.when(F.col("n") <= limit, F.array(F.lit(0))).otherwise(
-        F.sequence(F.lit(0), blocks - 1))
-    pairs = (members.withColumn("part", part).withColumn("other", F.explode(others))
-             .withColumn("i", F.least("part", "other")).withColumn("j", F.greatest("part", "other")))
-    found = store(pairs.select("node", "i", "j", "part", "sid", "n_docs", "tokens", "nodes")
-                  .groupBy("node", "i", "j").applyInArrow(
-                      _compare(threshold), "sid binary, root binary, sets long, docs long"), "jaccard-links")
-    degrees = found.groupBy("sid").agg(F.sum("sets").alias("sets"), F.sum("docs").alias("docs"))
-    roots = components(found.where("sid <> root").select(F.col("sid").alias("a"), F.col("root").alias("b")))
+    large = (leaves.where(~whole)
+             .withColumn("part", F.pmod(F.xxhash64("set", "node"), blocks).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+             .select("node", "n", "set", "size", "part", F.least("part", "other").alias("i"),
+                     F.greatest("part", "other").alias("j")))
+    sifted = store(_by_group(small.unionByName(large).join(classes.select("set", "sketch"), "set"))
+                   .mapInArrow(_sift(threshold), "node long, i int, j int, part int, n long, set long"),
+                   "jaccard-sifted")
+    # small nodes left with the same sets are compared once
+    same = (sifted.groupBy(*_GROUP).agg(
+        F.count(F.lit(1)).alias("m"), F.bit_xor("set").alias("x"), F.bit_xor(F.xxhash64("set")).alias("y"),
+        F.max(F.when(~whole, F.struct(*_GROUP))).alias("own"))
+        .groupBy("m", "x", "y", "own").agg(F.min(F.struct(*_GROUP)).alias("g")).select("g.*"))
+    kept = store(sifted.join(same, _GROUP, "left_semi"), "jaccard-kept")
+    own = kept.groupBy("set").agg(F.collect_set("node").alias("nodes"))
+    tokens = _tokens_of(numbered, own.select("set"))
+    sets = store(tokens.join(own, "set").join(classes.select("set", "n_docs"), "set"), "jaccard-tokens")
+    found = store(_by_group(kept.join(sets, "set")).select(
+        *_GROUP, "part", "set", "n_docs", "tokens", "nodes").mapInArrow(
+        _compare(threshold), "set long, root long, sets long, docs long"), "jaccard-links")
+    degrees = found.groupBy("set").agg(F.sum("sets").alias("sets"), F.sum("docs").alias("docs"))
+    roots = components(found.where("set <> root").select(F.col("set").alias("a"), F.col("root").alias("b")))
     return _result(told, classes, degrees, roots)
 
 
-def _result(told: DataFrame, classes: DataFrame, degrees: DataFrame | None, roots: DataFrame | None) -> DataFrame:
-    if degrees is None:
-        named = classes.select("sid", "n_docs", "least",
-                               F.col("n_docs").alias("class_size"), F.lit(0).cast("long").alias("linked_docs"),
-                               F.lit(0).cast("long").alias("linked_sets"))
-    else:
-        rooted = store(classes.join(roots.withColumnRenamed("node", "sid"), "sid", "left")
-                       .withColumn("root", F.coalesce("root", "sid")).join(degrees, "sid", "left"), "jaccard-rooted")
-        top = rooted.groupBy("root").agg(F.min("least").alias("first"), F.sum("n_docs").alias("class_size"),
-                                         F.count(F.lit(1)).alias("n_sets"))
-        total = int(rooted.count())
-        named = lookup_split(rooted, top, ["root"], "n_sets", total, F.xxhash64("sid")).select(
-            "sid", "n_docs", F.col("first").alias("least"), "class_size", F.coalesce("docs", F.lit(0)).alias("linked_docs"),
-            F.coalesce("sets", F.lit(0)).alias("linked_sets"))
-    named = store(named, "jaccard-classes")
-    n_rows = int(classes.agg(F.coalesce(F.sum("n_docs"), F.lit(0))).first()[0])
+def _met(frontier: DataFrame) -> DataFrame:
+    """The rows of ``frontier`` in nodes of two sets or more, with their number ``n``."""
+    counts = store(frontier.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n >= 2"), "jaccard-counts")
+    total = int(counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+    return store(lookup_split(frontier, counts, ["node"], "n", total, F.xxhash64("set"))
+                 .where(F.col("n").isNotNull()), "jaccard-met")
+
+
+def _result(told: DataFrame, classes: DataFrame, degrees: DataFrame, roots: DataFrame) -> DataFrame:
+    rooted = store(classes.select("sid", "set", "least", "n_docs")
+                   .join(roots.withColumnRenamed("node", "set"), "set", "left")
+                   .withColumn("root", F.coalesce("root", "set")).join(degrees, "set", "left"), "jaccard-rooted")
+    top = rooted.groupBy("root").agg(F.min("least").alias("first"), F.sum("n_docs").alias("class_size"),
+                                     F.count(F.lit(1)).alias("n_sets"))
+    named = store(lookup_split(rooted, top, ["root"], "n_sets", int(rooted.count()), F.xxhash64("set")).select(
+        "sid", "n_docs", F.col("first").alias("least"), "class_size", F.coalesce("docs", F.lit(0)).alias("linked_docs"),
+        F.coalesce("sets", F.lit(0)).alias("linked_sets")), "jaccard-classes")
+    n_rows = int(named.agg(F.coalesce(F.sum("n_docs"), F.lit(0))).first()[0])
     joined = lookup_split(told.select("row", "id", "sid"), named, ["sid"], "n_docs", n_rows, F.xxhash64("row"))
     alone = F.col("n_docs").isNull()
     return joined.select(
