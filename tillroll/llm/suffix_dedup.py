@@ -57,7 +57,7 @@ GRAM = 96
 BLOCK_BYTES = 4 << 20
 SLICE_BYTES = 1 << 20
 BUCKET_ENTRIES = 500_000   # hashes in a bucket
-RANGE_ENTRIES = 200_000    # suffixes in a range
+RANGE_ENTRIES = 40_000     # open substrings of blocks in a range
 HOT = 100_000              # blocks
 SAMPLE = 20_000            # substrings from which splitters are taken, at most
 PER_BLOCK = 16
