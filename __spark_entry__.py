@@ -15,10 +15,11 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.money import money_total, round_half_even
 from tillroll.operators.aggregates import first_non_null, share_of_total, value_counts
-from tillroll.operators.masking import append_rows
+from tillroll.operators.masking import sample_fraction
 from tillroll.operators.ranking import average_rank
 from tillroll.operators.topk import arg_max
 from tillroll.plans import clean, enrich, metrics, quality, publish as publish_plan
+from tillroll.session import stored
 from tillroll.sources import fixtures
 from tillroll.sources.warehouse import (
     nan_to_null_all, publish, read_table, receipt_frame, sanitize_columns, storage_projection,
@@ -73,10 +74,29 @@ def _preview_top10(s, d):
     return s.sql(f"SELECT * FROM {CHECK_DB}.preview_daily ORDER BY transaction_date_only LIMIT 10")
 
 
+def _text_of(name: str, kind: str):
+    """A column as text that another engine can make too."""
+    c = F.col(name)
+    if kind == "double":  # thousandths, by the same floating-point steps
+        text = F.floor(c * 1000 + 0.5).cast("bigint").cast("string")
+    elif kind == "timestamp_ntz":
+        text = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+    else:
+        text = c.cast("string")
+    return F.coalesce(text, F.lit("~"))
+
+
 def _published_pipeline(s, d):
-    # the stage figures (M1-M5) have queries of their own
-    publish_plan.run_all(s, d, PIPELINE_DB, with_metadata=False)
-    return read_table(s, PIPELINE_DB, "customer_insights")
+    """Runs the whole pipeline and reads every table back: rows and a checksum of each."""
+    out = None
+    for receipt in publish_plan.run_all(s, d, PIPELINE_DB):
+        t = read_table(s, PIPELINE_DB, receipt.table.split(".")[1])
+        row = F.concat_ws("|", *[_text_of(f.name, f.dataType.simpleString()) for f in t.schema.fields])
+        one = t.agg(F.lit(receipt.table.split(".")[1]).alias("table"), F.count(F.lit(1)).alias("row_count"),
+                    F.coalesce(F.sum(F.conv(F.substring(F.md5(row), 1, 8), 16, 10).cast("bigint")),
+                               F.lit(0)).alias("checksum"))
+        out = one if out is None else out.unionAll(one)
+    return out
 
 
 def _sanitize(s, d):
@@ -93,13 +113,21 @@ def _nan_to_null(s, d):
     return nan_to_null_all(li.select("l_orderkey", "l_linenumber", planted.alias("price")))
 
 
+def _storage_types(s, d):
+    li = fixtures.table(s, d, "lineitem")
+    return storage_projection(li.withColumns({
+        "is_returned": F.col("l_returnflag") == "R", "ship_day": F.col("l_shipdate").cast("date"),
+        "small_float": F.col("l_linenumber").cast("float") / F.lit(4).cast("float"),
+        "price_decimal": F.col("l_extendedprice").cast("decimal(18,2)")}).withColumn(
+        "small_float", F.col("small_float").cast("float")))
+
+
 def _ingest_metrics(s, d):
     return quality.ingest_metrics(_raw(s, d))
 
 
 def _join_suffixes(s, d):
-    customers = fixtures.raw_customers(s, d).join(fixtures.customer_home_regions(s, d), "customer_id")
-    j = enrich.left_join_customers(_cleaned(s, d), customers)
+    j = enrich.left_join_customers(_cleaned(s, d), fixtures.raw_customers(s, d, with_region=True))
     return j.select("transaction_id", "customer_id", "region_sale", "region_customer")
 
 
@@ -134,11 +162,11 @@ def _revenue_share(s, d):
 
 
 def _first_per_customer(s, d):
-    e = _enriched(s, d)
+    sales = stored(_enriched(s, d).select("customer_id", "transaction_date", "transaction_id", "tier",
+                                          "customer_category"), "first")
     order = [F.col("transaction_date"), F.col("transaction_id")]
-    return (e.where(F.col("customer_id").isNotNull()).groupBy("customer_id")
-            .agg(first_non_null("tier", order).alias("customer_tier"),
-                 first_non_null("customer_category", order).alias("customer_category")))
+    return (first_non_null(sales, "customer_id", "tier", order).withColumnRenamed("tier", "customer_tier")
+            .join(first_non_null(sales, "customer_id", "customer_category", order), "customer_id", "full"))
 
 
 def _top_customer(s, d):
@@ -146,11 +174,6 @@ def _top_customer(s, d):
                    [F.col("customer_id")])
 
 
-def _append_duplicates(s, d):
-    base = fixtures.with_faults(fixtures.base_sales(s, d)).select(*fixtures.SALES_COLUMNS)
-    return append_rows(base, fixtures.sample_sales(s, d, SAMPLE_N))
-
-
 def _mask_to_null(s, d):
     b = fixtures.with_faults(fixtures.base_sales(s, d))
     return b.select("transaction_id", "customer_id")
@@ -167,12 +190,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "raw_sales": lambda s, d: _raw(s, d),
         "raw_customers": lambda s, d: fixtures.raw_customers(s, d),
         "table_roundtrip": _roundtrip,
-        "storage_types": lambda s, d: storage_projection(fixtures.table(s, d, "lineitem")),
+        "storage_types": _storage_types,
         "sanitize_columns": _sanitize,
         "nan_to_null": _nan_to_null,
         "write_receipt": _write_receipt,
         "preview_top10": _preview_top10,
         "ingest_metrics": _ingest_metrics,
+        "customer_receipt": lambda s, d: quality.row_count(fixtures.raw_customers(s, d)),
         # fills, filters, derived columns
         "fill_missing_customer": lambda s, d: clean.fill_missing_customer(
             clean.dedup_transactions(_raw(s, d))),
@@ -204,11 +228,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "summary_metrics": lambda s, d: metrics.summary_metrics(_enriched(s, d)),
         "tier_distribution": lambda s, d: value_counts(_enriched(s, d), "tier", "tier_count"),
         "enrichment_metrics": lambda s, d: enrich.enrichment_metrics(
-            _cleaned(s, d), fixtures.raw_customers(s, d)),
+            _cleaned(s, d), fixtures.raw_customers(s, d)).withColumn(
+            "tier_distribution", enrich.map_text("tier_distribution")),
         # ranks, shares, order
         "rank_average_ties": lambda s, d: _rank_ties(s, d),
-        "distributed_rank": lambda s, d: _rank_ties(s, d, rows_per_bucket=8, broadcast_rows=0,
-                                                    target_rows=5),
+        "distributed_rank": lambda s, d: _rank_ties(s, d, keys_per_range=8),
         "revenue_share": _revenue_share,
         "sorted_products": lambda s, d: metrics.sorted_products(
             metrics.product_performance(_enriched(s, d))),
@@ -216,7 +240,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "top_customer": _top_customer,
         "customer_summary": lambda s, d: metrics.customer_summary(_customers_agg(s, d)),
         # copies and samples
-        "append_duplicates": _append_duplicates,
+        "append_duplicates": lambda s, d: fixtures.appended_sales(s, d, SAMPLE_N),
+        "bernoulli_rows": lambda s, d: sample_fraction(
+            fixtures.table(s, d, "lineitem"), 0.05, fixtures.LINE_KEY).select(*fixtures.LINE_KEY, "l_quantity"),
         "sample_n": lambda s, d: fixtures.sample_customers(s, d, SAMPLE_N),
         # composite stages
         "cleaned_sales": lambda s, d: _cleaned(s, d),
@@ -233,8 +259,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 # Same fixed values as tillroll.sources.fixtures.
 _BASE = """
 base AS (
-  SELECT l.l_orderkey, l.l_linenumber,
-         printf('TXN-%06d-%d', l.l_orderkey, l.l_linenumber) AS transaction_id,
+  SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey,
+         printf('TXN-%06d-%d-%d-%d', l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey) AS transaction_id,
          CASE WHEN (l.l_orderkey * 7 + l.l_linenumber) % 20 = 0 THEN NULL
               ELSE printf('CUST-%03d', o.o_custkey) END AS customer_id,
          printf('PROD-%03d', l.l_partkey) AS product_id,
@@ -258,6 +284,8 @@ raw_sales AS (
   SELECT {_SALES_COLS} FROM base
   UNION ALL
   SELECT {_SALES_COLS} FROM base WHERE l_orderkey % 20 = 3
+  UNION ALL
+  SELECT {_SALES_COLS.replace("quantity", "quantity + 1 AS quantity")} FROM base WHERE l_orderkey % 50 = 7
 )"""
 
 _CUSTOMERS = """
@@ -409,6 +437,113 @@ customers_out AS (
 )"""
 
 
+_PRICE_OK = "coalesce(unit_price >= 0 AND NOT isnan(unit_price), false)"
+_VALID_AMOUNT = f"CASE WHEN {_PRICE_OK} THEN quantity * unit_price END"
+
+_CLEANING = f"""
+    SELECT (SELECT count(*) FROM raw_sales) AS initial_rows,
+           count(*) FILTER (WHERE {_PRICE_OK}) AS final_rows,
+           (SELECT count(*) FROM raw_sales) - count(*) AS duplicates_removed,
+           count(*) FILTER (WHERE customer_id IS NULL) AS missing_values_filled,
+           count(*) FILTER (WHERE NOT {_PRICE_OK}) AS invalid_prices_removed,
+           {_money_sum(_VALID_AMOUNT)} AS total_revenue,
+           {_money_mean(_VALID_AMOUNT)} AS avg_transaction_value
+    FROM dedup"""
+
+_ENRICHMENT = f"""
+    SELECT count(*) AS rows_enriched,
+           count(*) FILTER (WHERE customer_name IS NULL) AS missing_customers_filled,
+           count(DISTINCT customer_id) AS unique_customers,
+           {_money_sum('total_amount')} AS total_revenue,
+           (SELECT string_agg(tier || '=' || n, ',' ORDER BY tier)
+            FROM (SELECT tier, count(*) AS n FROM enriched GROUP BY tier)) AS tier_distribution
+    FROM joined"""
+
+_SUMMARY = f"""
+    SELECT {_money_sum('total_amount')} AS total_revenue,
+           count(*) AS total_transactions,
+           count(DISTINCT customer_id) AS unique_customers,
+           count(DISTINCT transaction_date_only) AS days_analyzed,
+           count(DISTINCT product_id) AS products_ranked,
+           count(DISTINCT region) AS regions_analyzed
+    FROM enriched"""
+
+_CUSTOMER_SUMMARY = """
+    SELECT count(*) AS total_customers,
+           coalesce(CAST(sum(CAST(total_revenue AS DECIMAL(18,2))) AS DOUBLE), 0.0) AS total_revenue,
+           max(total_revenue) AS top_customer_value,
+           (SELECT customer_id FROM customer_agg
+            WHERE customer_id <> 'UNKNOWN' AND total_revenue IS NOT NULL
+            ORDER BY total_revenue DESC, customer_id LIMIT 1) AS top_known_customer,
+           max(total_revenue) FILTER (WHERE customer_id <> 'UNKNOWN') AS top_known_customer_value
+    FROM customer_agg"""
+
+_INGEST = f"""
+    SELECT count(*) AS row_count, CAST(7 AS BIGINT) AS column_count,
+           '{",".join(fixtures.SALES_COLUMNS)}' AS columns,
+           count(*) - (SELECT count(*) FROM (SELECT DISTINCT transaction_id FROM raw_sales))
+             AS duplicate_count
+    FROM raw_sales"""
+
+_SORTED_PRODUCTS = """
+    SELECT *, row_number() OVER (ORDER BY rank_by_revenue ASC NULLS LAST, product_id) AS position
+    FROM products"""
+
+_TOP_PRODUCT = """
+    SELECT product_id AS top_product, total_revenue AS top_product_revenue FROM products
+    WHERE rank_by_revenue IS NOT NULL ORDER BY rank_by_revenue, product_id LIMIT 1"""
+
+_CLEANED_COLS = ("transaction_id, customer_id, product_id, quantity, unit_price, transaction_date, "
+                 "region, total_amount, transaction_date_only, hour_of_day, day_of_week")
+_ENRICHED_COLS = _CLEANED_COLS + (", customer_name, email, signup_date, tier, customer_tenure_days, "
+                                  "days_since_signup, customer_category")
+
+# Published table -> (its rows, its columns in order).
+_PUBLISHED = {
+    "raw_sales_data": ("SELECT * FROM raw_sales", _SALES_COLS),
+    "raw_customers_data": ("SELECT * FROM raw_customers", ", ".join(fixtures.CUSTOMER_COLUMNS)),
+    "cleaned_sales_data": ("SELECT * FROM cleaned", _CLEANED_COLS),
+    "enriched_sales_data": ("SELECT * FROM enriched", _ENRICHED_COLS),
+    "sales_metrics": ("SELECT * FROM daily", ", ".join(metrics.DAILY_COLUMNS)),
+    "product_performance": (_SORTED_PRODUCTS, ", ".join(metrics.PRODUCT_COLUMNS) + ", position"),
+    "regional_performance": ("SELECT * FROM regions", ", ".join(metrics.REGION_COLUMNS)),
+    "customer_insights": ("SELECT * FROM customers_out", ", ".join(metrics.CUSTOMER_COLUMNS)),
+    "raw_sales_data_metadata": (_INGEST, "row_count, column_count, columns, duplicate_count"),
+    "raw_customers_data_metadata": ("SELECT count(*) AS row_count FROM raw_customers", "row_count"),
+    "cleaned_sales_data_metadata": (_CLEANING, "initial_rows, final_rows, duplicates_removed, missing_values_filled, "
+                                               "invalid_prices_removed, total_revenue, avg_transaction_value"),
+    "enriched_sales_data_metadata": (_ENRICHMENT, "rows_enriched, missing_customers_filled, unique_customers, "
+                                                  "total_revenue, tier_distribution"),
+    "enriched_sales_data_tiers": ("SELECT tier, count(*) AS tier_count FROM enriched GROUP BY tier", "tier, tier_count"),
+    "sales_metrics_metadata": (_SUMMARY, "total_revenue, total_transactions, unique_customers, days_analyzed, "
+                                         "products_ranked, regions_analyzed"),
+    "product_performance_metadata": (_TOP_PRODUCT, "top_product, top_product_revenue"),
+    "customer_insights_metadata": (_CUSTOMER_SUMMARY, "total_customers, total_revenue, top_customer_value, "
+                                                      "top_known_customer, top_known_customer_value"),
+}
+_DOUBLES = {"unit_price", "total_amount", "total_revenue", "avg_order_value", "avg_price", "rank_by_revenue",
+            "revenue_share", "purchase_frequency", "value_rank", "avg_transaction_value", "top_product_revenue",
+            "top_customer_value", "top_known_customer_value"}
+_TIMES = {"transaction_date", "signup_date", "date", "first_transaction", "last_transaction"}
+
+
+def _published_sql() -> str:
+    """Rows and checksum of every published table (see ``_published_pipeline``)."""
+    parts = []
+    for name, (rows, columns) in _PUBLISHED.items():
+        texts = []
+        for c in columns.split(", "):
+            text = (f"CAST(CAST(floor({c} * 1000 + 0.5) AS BIGINT) AS VARCHAR)" if c in _DOUBLES
+                    else f"strftime({c}, '%Y-%m-%d %H:%M:%S')" if c in _TIMES else f"CAST({c} AS VARCHAR)")
+            texts.append(f"coalesce({text}, '~')")
+        parts.append(f"""
+            SELECT '{name}' AS "table", count(*) AS row_count,
+                   CAST(coalesce(sum(CAST('0x' || substr(md5(concat_ws('|', {", ".join(texts)})), 1, 8) AS BIGINT)), 0)
+                        AS BIGINT) AS checksum
+            FROM ({rows})""")
+    return _with(_ENRICHED, _DAILY, _PRODUCTS, _REGIONS, _CUSTOMER_INSIGHTS) + " UNION ALL ".join(parts)
+
+
 def _with(*ctes: str) -> str:
     return "WITH " + ",".join(ctes)
 
@@ -423,6 +558,9 @@ def oracle_sql() -> dict[str, str]:
         "days_since_signup", "customer_category"])
     scatter_sales = ("((0 * 31 + (CAST(l_orderkey AS BIGINT) % 1000003) * 7919) % 1000003 * 31 "
                      "+ (CAST(l_linenumber AS BIGINT) % 1000003) * 112648) % 1000003")
+    scatter_line = "0"
+    for i, k in enumerate(fixtures.LINE_KEY):
+        scatter_line = (f"(({scatter_line}) * 31 + (CAST({k} AS BIGINT) % 1000003) * {7919 + 104729 * i}) % 1000003")
     scatter_cust = "((0 * 31 + (CAST(c_custkey AS BIGINT) % 1000003) * 7919) % 1000003)"
     price_ok = "coalesce(unit_price >= 0 AND NOT isnan(unit_price), false)"
     valid_amount = f"CASE WHEN {price_ok} THEN quantity * unit_price END"
@@ -431,7 +569,11 @@ def oracle_sql() -> dict[str, str]:
         "raw_sales": _with(_RAW) + " SELECT * FROM raw_sales",
         "raw_customers": _with(_CUSTOMERS) + " SELECT * FROM raw_customers",
         "table_roundtrip": _with(_CLEANED) + f" SELECT {cleaned_cols} FROM cleaned",
-        "storage_types": "SELECT * REPLACE (CAST(l_linenumber AS BIGINT) AS l_linenumber) FROM lineitem",
+        "storage_types": """
+            SELECT * REPLACE (CAST(l_linenumber AS BIGINT) AS l_linenumber), l_returnflag = 'R' AS is_returned,
+                   CAST(l_shipdate AS DATE) AS ship_day, CAST(l_linenumber / 4.0 AS DOUBLE) AS small_float,
+                   CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DOUBLE) AS price_decimal
+            FROM lineitem""",
         "sanitize_columns": _with(_ENRICHED, _DAILY) + """
             SELECT transaction_date_only AS Date_Only, total_revenue AS Total_Revenue____,
                    transaction_count AS txn_count, avg_order_value AS avg_order_value,
@@ -446,6 +588,7 @@ def oracle_sql() -> dict[str, str]:
                    '{enriched_cols}' AS columns FROM enriched""",
         "preview_top10": _with(_ENRICHED, _DAILY)
         + " SELECT * FROM daily ORDER BY transaction_date_only LIMIT 10",
+        "customer_receipt": _with(_CUSTOMERS) + " SELECT count(*) AS row_count FROM raw_customers",
         "ingest_metrics": _with(_RAW) + f"""
             SELECT count(*) AS row_count, CAST(7 AS BIGINT) AS column_count,
                    '{",".join(fixtures.SALES_COLUMNS)}' AS columns,
@@ -457,15 +600,7 @@ def oracle_sql() -> dict[str, str]:
         + " SELECT * REPLACE (coalesce(customer_id, 'UNKNOWN') AS customer_id) FROM dedup",
         "fill_customer_defaults": _with(_ENRICHED) + " SELECT * FROM filled",
         "filter_valid_price": _with(_RAW) + f" SELECT * FROM raw_sales WHERE {price_ok}",
-        "cleaning_metrics": _with(_DEDUP) + f"""
-            SELECT (SELECT count(*) FROM raw_sales) AS initial_rows,
-                   count(*) FILTER (WHERE {price_ok}) AS final_rows,
-                   (SELECT count(*) FROM raw_sales) - count(*) AS duplicates_removed,
-                   count(*) FILTER (WHERE customer_id IS NULL) AS missing_values_filled,
-                   count(*) FILTER (WHERE NOT {price_ok}) AS invalid_prices_removed,
-                   {_money_sum(valid_amount)} AS total_revenue,
-                   {_money_mean(valid_amount)} AS avg_transaction_value
-            FROM dedup""",
+        "cleaning_metrics": _with(_DEDUP) + " SELECT * FROM (" + _CLEANING + ")",
         "derive_sale_columns": _with(_RAW) + """
             SELECT *, quantity * unit_price AS total_amount,
                    CAST(transaction_date AS DATE) AS transaction_date_only,
@@ -507,22 +642,10 @@ def oracle_sql() -> dict[str, str]:
         "customer_insights": _with(_ENRICHED, _CUSTOMER_INSIGHTS) + " SELECT * FROM customers_out",
         "first_per_customer": _with(_ENRICHED, _CUSTOMER_INSIGHTS)
         + " SELECT customer_id, customer_tier, customer_category FROM customer_agg",
-        "summary_metrics": _with(_ENRICHED) + f"""
-            SELECT {_money_sum('total_amount')} AS total_revenue,
-                   count(*) AS total_transactions,
-                   count(DISTINCT customer_id) AS unique_customers,
-                   count(DISTINCT transaction_date_only) AS days_analyzed,
-                   count(DISTINCT product_id) AS products_ranked,
-                   count(DISTINCT region) AS regions_analyzed
-            FROM enriched""",
+        "summary_metrics": _with(_ENRICHED) + " SELECT * FROM (" + _SUMMARY + ")",
         "tier_distribution": _with(_ENRICHED)
         + " SELECT tier, count(*) AS tier_count FROM enriched WHERE tier IS NOT NULL GROUP BY tier",
-        "enrichment_metrics": _with(_ENRICHED) + f"""
-            SELECT count(*) AS rows_enriched,
-                   count(*) FILTER (WHERE customer_name IS NULL) AS missing_customers_filled,
-                   count(DISTINCT customer_id) AS unique_customers,
-                   {_money_sum('total_amount')} AS total_revenue
-            FROM joined""",
+        "enrichment_metrics": _with(_ENRICHED) + " SELECT * FROM (" + _ENRICHMENT + ")",
         # ranks, shares, order
         "rank_average_ties": _with(_ENRICHED, _CUSTOMER_INSIGHTS) + f"""
             SELECT customer_id, transaction_count, {_avg_rank_desc('transaction_count')} AS count_rank
@@ -544,27 +667,22 @@ def oracle_sql() -> dict[str, str]:
         "top_customer": _with(_ENRICHED, _CUSTOMER_INSIGHTS) + """
             SELECT customer_id, total_revenue FROM customer_agg WHERE total_revenue IS NOT NULL
             ORDER BY total_revenue DESC, customer_id LIMIT 1""",
-        "customer_summary": _with(_ENRICHED, _CUSTOMER_INSIGHTS) + """
-            SELECT count(*) AS total_customers,
-                   coalesce(CAST(sum(CAST(total_revenue AS DECIMAL(18,2))) AS DOUBLE), 0.0) AS total_revenue,
-                   max(total_revenue) AS top_customer_value,
-                   (SELECT customer_id FROM customer_agg
-                    WHERE customer_id <> 'UNKNOWN' AND total_revenue IS NOT NULL
-                    ORDER BY total_revenue DESC, customer_id LIMIT 1) AS top_known_customer,
-                   max(total_revenue) FILTER (WHERE customer_id <> 'UNKNOWN') AS top_known_customer_value
-            FROM customer_agg""",
+        "customer_summary": _with(_ENRICHED, _CUSTOMER_INSIGHTS) + " SELECT * FROM (" + _CUSTOMER_SUMMARY + ")",
         # copies and samples
         "append_duplicates": _with(_BASE) + f"""
             SELECT {_SALES_COLS} FROM base
             UNION ALL
             (SELECT {_SALES_COLS} FROM base
-             ORDER BY {scatter_sales}, {_SALES_COLS} LIMIT {SAMPLE_N})""",
+             ORDER BY {scatter_sales}, {", ".join(fixtures.LINE_KEY)} LIMIT {SAMPLE_N})""",
+        "bernoulli_rows": f"""
+            SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity FROM lineitem
+            WHERE {scatter_line} < 50000""",
         "sample_n": f"""
             SELECT printf('CUST-%03d', c_custkey) AS customer_id, c_name AS customer_name
             FROM customer ORDER BY {scatter_cust}, c_custkey LIMIT {SAMPLE_N}""",
         # composite stages
         "cleaned_sales": _with(_CLEANED) + f" SELECT {cleaned_cols} FROM cleaned",
         "enriched_sales": _with(_ENRICHED) + " SELECT * FROM enriched",
-        "published_pipeline": _with(_ENRICHED, _CUSTOMER_INSIGHTS) + " SELECT * FROM customers_out",
+        "published_pipeline": _published_sql(),
     }
     return own | (_corpus.oracle_sql() if _corpus else {})

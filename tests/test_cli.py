@@ -21,5 +21,5 @@ def test_cli_publishes_all_tables():
     lines = [json.loads(x) for x in out.stdout.splitlines() if x.startswith("{")]
     tables = {x["table"]: x["row_count"] for x in lines}
     assert len(tables) == 16
-    assert tables["cli_db.cleaned_sales_data"] == 4504
+    assert tables["cli_db.cleaned_sales_data"] == 5876
     assert tables["cli_db.customer_insights_metadata"] == 1

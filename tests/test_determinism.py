@@ -14,7 +14,7 @@ def _run(spark, partitions, aqe):
     try:
         enriched = enrich.enriched_sales(clean.cleaned_sales(fixtures.raw_sales(spark, SF_SMALL)),
                                          fixtures.raw_customers(spark, SF_SMALL),
-                                         broadcast_rows=0, target_rows=50)  # salted path
+                                         hot_rows=50)
         return {
             "customers": sorted(metrics.customer_insights(enriched).collect()),
             "products": sorted(metrics.product_performance(enriched).collect()),

@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.money import exact_mean, exact_sum
 from tillroll.operators.aggregates import first_non_null
-from tillroll.operators.joins import lookup_join, salted_join
+from tillroll.operators import joins
+from tillroll.operators.joins import hot_keys, lookup_join
+from tillroll.session import stored
 from tillroll.plans import enrich
 
 SALES = "transaction_id string, customer_id string, transaction_date timestamp_ntz, total_amount double"
@@ -20,11 +22,12 @@ def test_left_join_and_fill(spark):
         ("C1", "Ann", "a@x", dt.datetime(2023, 1, 1), "Gold"),
         ("C1", "Ann2", "a2@x", dt.datetime(2023, 1, 1), "Gold"),
         ("C2", None, "c@x", dt.datetime(2024, 2, 1), "Silver")], CUSTOMERS)
-    for rows in (1_000_000, 0):  # broadcast path, then the salted sort-merge path
-        j = enrich.left_join_customers(sales, cust, broadcast_rows=rows)
+    for hot_rows in (1_000_000, 1):  # the ordinary join, then every key apart
+        j = enrich.left_join_customers(sales, cust, hot_rows=hot_rows)
         assert j.count() == 4
-        m = enrich.enrichment_metrics(sales, cust, broadcast_rows=rows).first()
+        m = enrich.enrichment_metrics(sales, cust).first()
         assert m.missing_customers_filled == 2
+        assert m.tier_distribution == {"Bronze": 1, "Gold": 2, "Silver": 1}
         out = enrich.add_tenure(enrich.fill_customer_defaults(j))
         unk = out.where(F.col("customer_id") == "UNKNOWN").first()
         assert (unk.customer_name, unk.email, unk.tier) == ("Unknown Customer", "unknown@example.com", "Bronze")
@@ -33,19 +36,6 @@ def test_left_join_and_fill(spark):
         assert c2.customer_name == "Unknown Customer" and c2.tier == "Silver"
 
 
-def test_salted_join_matches_plain(spark):
-    facts = spark.range(0, 5000).select(
-        F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.format_string("K%d", F.col("id") % 50)).alias("k"),
-        F.col("id"))
-    dim = spark.createDataFrame([("HOT", 1), ("HOT", 2)] + [(f"K{i}", i) for i in range(0, 50, 2)], "k string, x int")
-    want = sorted(facts.join(dim, "k", "left").collect())
-    hot = [(("HOT",), 1667)]
-    got = sorted(salted_join(facts, dim, ["k"], "left", hot, target_rows=100).select("k", "id", "x").collect())
-    assert got == want
-    auto = lookup_join(facts, dim, ["k"], "left", broadcast_rows=0, target_rows=100)
-    assert sorted(auto.select("k", "id", "x").collect()) == want
-
-
 def test_groups_nan_and_null_keys(spark):
     df = spark.createDataFrame([("a", float("nan")), ("a", float("nan")), (None, 1.0), ("b", 2.0)],
                                "k string, v double")
@@ -57,8 +47,7 @@ def test_groups_nan_and_null_keys(spark):
 
 def test_first_non_null(spark):
     df = spark.createDataFrame([("a", 1, None), ("a", 2, "x"), ("a", 3, "y")], "k string, t int, v string")
-    r = df.groupBy("k").agg(first_non_null("v", [F.col("t")]).alias("f")).first()
-    assert r.f == "x"
+    assert [tuple(r) for r in first_non_null(df, "k", "v", [F.col("t")]).collect()] == [("a", "x")]
 
 
 def test_tier_map(spark):
@@ -68,78 +57,105 @@ def test_tier_map(spark):
     assert tier_distribution(df).first().tier_distribution == {"Bronze": 1, "Gold": 2}
 
 
-def test_enrich_salted_path_equals_broadcast(spark):
-    """The real pipeline with the hot fill id split over salts gives the same rows."""
-    from conftest import SF_SMALL
-    from tillroll.plans import clean
-    from tillroll.sources import fixtures
+def _plain(facts, dim, keys, how="left"):
+    return sorted(map(str, facts.join(dim, keys, how).collect()))
 
-    cleaned = clean.cleaned_sales(fixtures.raw_sales(spark, SF_SMALL))
-    customers = fixtures.raw_customers(spark, SF_SMALL)
-    want = sorted(enrich.enriched_sales(cleaned, customers).collect())
-    # every customer id with 20+ sales (UNKNOWN among them) becomes a salted hot key
-    got = sorted(enrich.enriched_sales(cleaned, customers, broadcast_rows=0, target_rows=20).collect())
-    assert got == want
-
-
-def test_salted_join_hot_null_key(spark):
-    facts = spark.range(0, 3000).select(
-        F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.format_string("K%d", F.col("id") % 20)).alias("k"),
-        F.col("id"))
-    dim = spark.createDataFrame([(f"K{i}", i) for i in range(20)], "k string, x int")
-    want = sorted(facts.join(dim, "k", "left").collect(), key=lambda r: r.id)
-    auto = lookup_join(facts, dim, ["k"], "left", broadcast_rows=0, target_rows=100)
-    got = sorted(auto.select("k", "id", "x").collect(), key=lambda r: r.id)
-    assert got == want
-
-
-def test_salting_spreads_a_hot_key_over_partitions(spark):
-    """A key with a third of the rows lands in one reducer without salt and
-    in many with it."""
-    facts = spark.range(0, 6000).select(
-        F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.format_string("K%d", F.col("id"))).alias("k"),
-        F.col("id"))
-    dim = spark.createDataFrame([("HOT", 1)] + [(f"K{i}", i) for i in range(100)], "k string, x int")
-
-    def reducers_of_hot(df):
-        return (df.where(F.col("k") == "HOT").select(F.spark_partition_id().alias("p"))
-                .distinct().count())
 
+def _split(facts, dim, keys, how="left", hot_rows=50):
+    return sorted(map(str, lookup_join(facts, dim, keys, how, hot_rows=hot_rows).select(
+        *facts.join(dim, keys, how).columns).collect()))
+
+
+def test_lookup_join_equals_the_plain_join(spark):
+    facts = spark.range(0, 5000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("HOT")).when(F.col("id") % 11 == 0, F.lit(None))
+        .otherwise(F.format_string("K%d", F.col("id") % 50)).alias("k"), F.col("id"))
+    dim = spark.createDataFrame([("HOT", 1), ("HOT", 2), (None, 5)]
+                                + [(f"K{i}", i) for i in range(0, 50, 2)], "k string, x int")
+    for how in ("left", "inner"):
+        assert _split(facts, dim, ["k"], how) == _plain(facts, dim, ["k"], how)
+    assert hot_keys(facts, ["k"], hot_rows=200).count() == 2  # HOT and NULL
+
+
+def test_lookup_join_timestamps_and_two_keys(spark):
+    t0, t1 = dt.datetime(2024, 1, 1, 5), dt.datetime(2024, 1, 2, 6)
+    facts = spark.createDataFrame([(t0 if i % 3 else t1, i % 2, i) for i in range(300)], "k timestamp_ntz, j int, id int")
+    dim = spark.createDataFrame([(t0, 0, "a"), (t1, 1, "b")], "k timestamp_ntz, j int, x string")
+    assert _split(facts, dim, ["k", "j"], hot_rows=20) == _plain(facts, dim, ["k", "j"])
+
+
+def test_hot_keys_are_bounded_by_their_share(spark):
+    """1,500 keys over the row bound: none holds a thousandth, so none is
+    hot; the ordinary join deals them out by key. Nothing is cut off a list."""
+    many = stored(spark.range(0, 30_000).select((F.col("id") % 1500).alias("k"), "id"), "test")
+    assert hot_keys(many, ["k"], hot_rows=10).count() == 0
+    assert hot_keys(many, ["k"], hot_rows=10, share=1500).count() == 1500
+    dim = spark.range(0, 1500, 2).select(F.col("id").alias("k"), (F.col("id") * 2).alias("x"))
+    assert _split(many, dim, ["k"], hot_rows=10) == _plain(many, dim, ["k"])
+    old = joins.HOT_SHARE
+    try:
+        joins.hot_keys.__defaults__ = (joins.HOT_ROWS, 1500)
+        assert _split(many, dim, ["k"], hot_rows=10) == _plain(many, dim, ["k"])
+    finally:
+        joins.hot_keys.__defaults__ = (joins.HOT_ROWS, old)
+
+
+def _tasks_with(df, predicate):
+    return df.where(predicate).select(F.spark_partition_id().alias("p")).distinct().count()
+
+
+def test_hot_rows_stay_spread(spark):
+    """A hot key, a hot NaN and 2,000 equal rows each land in one reducer of
+    the plain join; here they are not shuffled."""
+    rows = spark.range(0, 8000, numPartitions=8).select(
+        F.when(F.col("id") % 4 == 0, F.lit(7.0)).when(F.col("id") % 4 == 1, F.lit(float("nan")))
+        .when(F.col("id") % 4 == 2, F.lit(None)).otherwise(F.col("id").cast("double")).alias("k"),
+        F.lit("equal").alias("v"))
+    facts = stored(rows, "test")
+    dim = spark.createDataFrame([(7.0, "x"), (3.0, "y")], "k double, x string")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
     try:
-        plain = reducers_of_hot(facts.join(dim, "k", "left"))
-        salted = reducers_of_hot(salted_join(facts, dim, ["k"], "left", [(("HOT",), 2000)], target_rows=250))
+        plain = facts.join(dim, "k", "left")
+        split = lookup_join(facts, dim, ["k"], hot_rows=1000)
+        for which in (F.col("k") == 7.0, F.isnan("k"), F.col("k").isNull()):
+            assert _tasks_with(plain, which) == 1
+            assert _tasks_with(split, which) >= 4
+        assert split.count() == 8000
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert plain == 1
-    assert salted >= 4
-
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "8MB")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
-def test_value_map_refuses_high_cardinality(spark):
-    import pytest
 
-    from tillroll.operators.aggregates import value_counts_map
+def test_enrich_with_hot_customers(spark):
+    """The real pipeline with every frequent customer (the fill id among them)
+    joined apart gives the same rows."""
+    from conftest import SF_SMALL
+    from tillroll.plans import clean
+    from tillroll.sources import fixtures
 
-    with pytest.raises(ValueError):
-        value_counts_map(spark.range(0, 50).withColumnRenamed("id", "t"), "t", "m", max_entries=10)
+    cleaned = stored(clean.cleaned_sales(fixtures.raw_sales(spark, SF_SMALL)), "test")
+    customers = fixtures.raw_customers(spark, SF_SMALL)
+    want = sorted(enrich.enriched_sales(cleaned, customers).collect())
+    assert sorted(enrich.enriched_sales(cleaned, customers, hot_rows=20).collect()) == want
 
 
-def test_salted_join_on_timestamp_key(spark):
-    import datetime as dt
+def test_customer_aggregates_sort_no_detail_rows(spark):
+    """The totals are a hash aggregate; only the narrow top-1 rows are sorted."""
+    from conftest import SF_SMALL
+    from tillroll.plans import clean, metrics
+    from tillroll.sources import fixtures
 
-    t0, t1 = dt.datetime(2024, 1, 1, 5), dt.datetime(2024, 1, 2, 6)
-    facts = spark.createDataFrame([(t0 if i % 3 else t1, i) for i in range(300)], "k timestamp_ntz, id int")
-    dim = spark.createDataFrame([(t0, "a"), (t1, "b")], "k timestamp_ntz, x string")
-    want = sorted(facts.join(dim, "k", "left").collect())
-    got = sorted(salted_join(facts, dim, ["k"], "left", [((t0,), 200), ((t1,), 100)], target_rows=20)
-                 .select("k", "id", "x").collect())
-    assert got == want
-
-
-def test_salted_join_repeated_hot_key(spark):
-    facts = spark.range(0, 300).select((F.col("id") % 2).alias("k"), "id")
-    dim = spark.createDataFrame([(0, "a"), (1, "b")], "k long, x string")
-    want = sorted(facts.join(dim, "k", "left").collect())
-    got = sorted(salted_join(facts, dim, ["k"], "left", [((0,), 100), ((0,), 50)], target_rows=20)
-                 .select("k", "id", "x").collect())
-    assert got == want
+    enriched = enrich.enriched_sales(clean.cleaned_sales(fixtures.raw_sales(spark, SF_SMALL)),
+                                     fixtures.raw_customers(spark, SF_SMALL))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = metrics.customer_aggregates(enriched)._jdf.queryExecution().executedPlan().toString()
+        summary = metrics.summary_metrics(enriched)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "SortAggregate" not in plan and "WindowGroupLimit" in plan
+    assert "Expand" not in summary

@@ -39,21 +39,17 @@ def test_scan_is_pruned(spark):
 
 
 def test_customer_rank_has_no_single_partition_over_rows(spark):
-    """With several buckets, the only single-partition exchange carries the
-    bucket totals (one row per bucket). One bucket means at most
-    ``rows_per_bucket`` distinct values, which one task may hold."""
+    """The only single-partition exchange carries the totals of the ranges."""
     from tillroll.operators.ranking import average_rank
 
     enriched = enrich.enriched_sales(clean.cleaned_sales(fixtures.raw_sales(spark, SF_SMALL)),
                                      fixtures.raw_customers(spark, SF_SMALL))
-    df = average_rank(metrics.customer_aggregates(enriched), "total_revenue", "r", rows_per_bucket=10)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        p = plan(df)
+        p = plan(average_rank(metrics.customer_aggregates(enriched), "total_revenue", "r", keys_per_range=10))
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     parts = p.split("Exchange SinglePartition")[1:]
-    assert parts, "expected the bucket-offset window"
+    assert parts, "expected the window over the range totals"
     for part in parts:
-        below = part.split("Exchange")[1] if "Exchange" in part else part
-        assert "partial_sum(__w" in below or "__bw" in below, below[:300]
+        assert "functions=[partial_sum(__w" in part.split("Scan parquet")[0], part[:300]

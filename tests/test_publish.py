@@ -10,10 +10,10 @@ from conftest import SF_SMALL
 
 def test_published_pipeline_figures(spark):
     receipts = {r.table.split(".")[1]: r for r in run_all(spark, SF_SMALL, "fixture_db")}
-    assert receipts["raw_sales_data"].row_count == 6292
+    assert receipts["raw_sales_data"].row_count == 6405
     assert receipts["raw_customers_data"].row_count == 146
-    assert receipts["cleaned_sales_data"].row_count == 4504
-    assert receipts["sales_metrics"].row_count == 2068
+    assert receipts["cleaned_sales_data"].row_count == 5876
+    assert receipts["sales_metrics"].row_count == 2279
     assert receipts["product_performance"].row_count == 200
     assert receipts["regional_performance"].row_count == 5
     assert receipts["customer_insights"].row_count == 151
@@ -22,21 +22,24 @@ def test_published_pipeline_figures(spark):
         return read_table(spark, "fixture_db", key).first()
 
     ingest = one("raw_sales_data_metadata")
-    assert (ingest.row_count, ingest.duplicate_count) == (6292, 1693)
+    assert (ingest.row_count, ingest.duplicate_count) == (6405, 406)
     c = one("cleaned_sales_data_metadata")
     assert (c.initial_rows, c.duplicates_removed, c.missing_values_filled,
-            c.invalid_prices_removed, c.final_rows) == (6292, 1693, 248, 95, 4504)
-    assert round(c.total_revenue, 2) == 5975482117.60
+            c.invalid_prices_removed, c.final_rows) == (6405, 406, 329, 123, 5876)
+    assert round(c.total_revenue, 2) == 7889579030.49
     e = one("enriched_sales_data_metadata")
-    assert (e.rows_enriched, e.missing_customers_filled, e.unique_customers) == (4504, 314, 151)
+    assert (e.rows_enriched, e.missing_customers_filled, e.unique_customers) == (5876, 422, 151)
+    assert e.tier_distribution == "Bronze=3191,Gold=883,Silver=1802"
     tiers = {r.tier: r.tier_count for r in read_table(spark, "fixture_db", "enriched_sales_data_tiers").collect()}
-    assert tiers == {"Bronze": 2450, "Silver": 1377, "Gold": 677}
+    assert tiers == {"Bronze": 3191, "Silver": 1802, "Gold": 883}
     enriched = read_table(spark, "fixture_db", "enriched_sales_data")
     cats = {r.customer_category: r["count"] for r in enriched.groupBy("customer_category").count().collect()}
-    assert cats == {"New": 1099, "Developing": 606, "Established": 696, "Loyal": 2103}
-    assert enriched.where(F.col("customer_id") == "UNKNOWN").count() == 195
+    assert cats == {"New": 1266, "Developing": 697, "Established": 836, "Loyal": 3077}
+    assert enriched.where(F.col("customer_id") == "UNKNOWN").count() == 260
     s = one("sales_metrics_metadata")
-    assert (s.days_analyzed, s.products_ranked, s.regions_analyzed, s.unique_customers) == (2068, 200, 5, 151)
+    assert (s.days_analyzed, s.products_ranked, s.regions_analyzed, s.unique_customers) == (2279, 200, 5, 151)
     cs = one("customer_insights_metadata")
-    assert round(cs.top_customer_value, 2) == 273401424.24
-    assert (cs.top_known_customer, round(cs.top_known_customer_value, 2)) == ("CUST-065", 81325405.62)
+    assert round(cs.top_customer_value, 2) == 372321261.63
+    assert (cs.top_known_customer, round(cs.top_known_customer_value, 2)) == ("CUST-131", 99692180.08)
+    products = read_table(spark, "fixture_db", "product_performance")
+    assert sorted(r.position for r in products.collect()) == list(range(1, 201))

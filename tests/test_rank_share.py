@@ -35,14 +35,14 @@ def test_distributed_rank_equals_plain(spark):
             for i in range(3000)]
     df = spark.createDataFrame(rows, "id int, v int")
     want = {r.id: r.r for r in _plain_rank(df, "v", "r").collect()}
-    for kw in [dict(), dict(rows_per_bucket=25, broadcast_rows=0, target_rows=50)]:
+    for kw in [dict(), dict(keys_per_range=25)]:
         got = {r.id: r.r for r in average_rank(df, "v", "r", **kw).collect()}
         assert got == want, kw
 
 
 def test_rank_sum_invariant(spark):
     df = spark.range(0, 1000).select(F.col("id"), (F.col("id") % 37).alias("v"))
-    total = average_rank(df, "v", "r", rows_per_bucket=10).agg(F.sum("r")).first()[0]
+    total = average_rank(df, "v", "r", keys_per_range=10).agg(F.sum("r")).first()[0]
     assert total == 1000 * 1001 / 2
 
 
@@ -50,7 +50,7 @@ def test_positions_total_order(spark):
     rows = [(f"p{i:04d}", (i * 7919) % 101 if i % 9 else None) for i in range(500)]
     df = spark.createDataFrame(rows, "pid string, r int")
     order = [F.col("r").isNull(), F.col("r"), F.col("pid")]
-    got = {x.pid: x.pos for x in positions(df, order, "pos", rows_per_bucket=20).collect()}
+    got = {x.pid: x.pos for x in positions(df, order, "pos", keys_per_range=20).collect()}
     want = sorted(rows, key=lambda t: (t[1] is None, t[1] if t[1] is not None else 0, t[0]))
     assert got == {p: i + 1 for i, (p, _) in enumerate(want)}
 
@@ -66,8 +66,7 @@ def test_distributed_rank_with_hot_null(spark):
     rows = [(i, None if i % 3 == 0 else (i * 7) % 50) for i in range(2000)]
     df = spark.createDataFrame(rows, "id int, v int")
     want = {r.id: r.r for r in _plain_rank(df, "v", "r").collect()}
-    got = {r.id: r.r for r in average_rank(df, "v", "r", rows_per_bucket=10, broadcast_rows=0,
-                                           target_rows=100).collect()}
+    got = {r.id: r.r for r in average_rank(df, "v", "r", keys_per_range=10).collect()}
     assert got == want
 
 
@@ -84,7 +83,7 @@ def test_rank_matches_pandas_property(spark):
         pdf = pd.DataFrame({"id": range(len(values)), "v": pd.array(values, dtype="Int64")})
         want = pdf["v"].astype("float").rank(ascending=False).tolist()
         df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id int, v bigint")
-        got = {r.id: r.r for r in average_rank(df, "v", "r", rows_per_bucket=per_bucket).collect()}
+        got = {r.id: r.r for r in average_rank(df, "v", "r", keys_per_range=per_bucket).collect()}
         for i, w in enumerate(want):
             assert (got[i] is None) if w != w else got[i] == w
 
@@ -100,6 +99,21 @@ def test_zero_pad_matches_printf(spark):
     assert got == ["%06d" % v for v in vals]
 
 
+def test_rank_time_does_not_grow_with_the_ranges(spark):
+    import time
+
+    df = spark.range(0, 100_000).select("id", ((F.col("id") * 7919) % 100_003).alias("v"))
+
+    def seconds(keys_per_range):
+        t0 = time.perf_counter()
+        average_rank(df, "v", "r", keys_per_range=keys_per_range).write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - t0
+
+    seconds(50_000)
+    few, many = min(seconds(10_000) for _ in range(2)), seconds(500)  # 10 and 200 ranges
+    assert many < 4 * few + 5
+
+
 def test_rank_of_strings_and_extremes(spark):
     df = spark.createDataFrame([(0, "b"), (1, "a"), (2, "b"), (3, None)], "id int, v string")
     assert {r.id: r.r for r in average_rank(df, "v", "r").collect()} == {0: 1.5, 1: 3.0, 2: 1.5, 3: None}

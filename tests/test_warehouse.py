@@ -63,3 +63,32 @@ def test_shuffle_sizing():
 
     assert shuffle_partitions_for(0) == 8
     assert shuffle_partitions_for(100 * 1024 ** 4) == 819200
+
+
+def test_failed_overwrite_keeps_the_old_table(spark):
+    import pytest
+    from pyspark.sql import functions as F
+
+    from tillroll.sources.warehouse import publish, read_table
+
+    publish(spark.range(0, 5), "switch_db", "kept")
+    bad = spark.range(0, 5).withColumn("id", F.when(F.col("id") == 3, F.raise_error(F.lit("bad row")).cast("long"))
+                                       .otherwise(F.col("id")))
+    with pytest.raises(Exception, match="bad row"):
+        publish(bad, "switch_db", "kept")
+    assert read_table(spark, "switch_db", "kept").count() == 5
+    publish(spark.range(0, 7), "switch_db", "kept")
+    assert read_table(spark, "switch_db", "kept").count() == 7
+
+
+def test_tables_of_an_earlier_session_are_found_again(spark):
+    from tillroll.sources.warehouse import publish, read_table, register_database
+
+    publish(spark.range(0, 4), "later_db", "first one")
+    publish(spark.range(0, 6), "later_db", "second")
+    # a later session has the same folder and an empty catalog
+    spark.sql("DROP TABLE later_db.first_one")
+    spark.sql("DROP TABLE later_db.second")
+    assert read_table(spark, "later_db", "first one").count() == 4
+    assert register_database(spark, "later_db") == ["first_one", "second"]
+    assert spark.sql("SELECT count(*) FROM later_db.second").first()[0] == 6

@@ -19,3 +19,14 @@ def zero_pad(k: Column, width: int) -> Column:
 def prefixed_id(prefix: str, k: Column, width: int) -> Column:
     """``prefix`` followed by the zero-padded key, e.g. ``CUST-007``."""
     return F.concat(F.lit(prefix), zero_pad(k, width))
+
+
+SCATTER_MOD = 1_000_003
+
+
+def scatter(*keys: Column) -> Column:
+    """A repeatable pseudo-random number below SCATTER_MOD over integer keys (no overflow)."""
+    expr = F.lit(0).cast("bigint")
+    for i, k in enumerate(keys):
+        expr = (expr * 31 + (k.cast("bigint") % SCATTER_MOD) * (7919 + 104729 * i)) % SCATTER_MOD
+    return expr

@@ -7,19 +7,23 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.operators.dedup import keep_first
+from tillroll.session import stored
+
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def first_non_null(value, order: Sequence) -> Column:
-    """The first non-null ``value`` of the group in ``order`` (ascending columns).
+def first_non_null(df: DataFrame, key: str, value: str, order: Sequence) -> DataFrame:
+    """(key, value): the first non-null ``value`` of each key in ``order``.
 
-    Rows whose value is null get a null ordering, which ``min_by`` skips.
+    A top-1 per key on the few columns it needs: each task keeps one row per
+    key before the shuffle, and no wide rows are sorted.
     """
-    v = _c(value)
-    ordering = F.struct(*[_c(o).alias(f"o{i}") for i, o in enumerate(order)])
-    return F.min_by(v, F.when(v.isNotNull(), ordering))
+    narrow = df.where(F.col(key).isNotNull() & F.col(value).isNotNull()).select(
+        key, value, *[_c(o).alias(f"__o{i}") for i, o in enumerate(order)])
+    return keep_first(narrow, [key], [F.col(f"__o{i}") for i in range(len(order))]).select(key, value)
 
 
 def value_counts(df: DataFrame, col: str, count_col: str = "count") -> DataFrame:
@@ -28,18 +32,10 @@ def value_counts(df: DataFrame, col: str, count_col: str = "count") -> DataFrame
             .agg(F.count(F.lit(1)).alias(count_col)))
 
 
-def value_counts_map(df: DataFrame, col: str, out: str, max_entries: int = 10_000) -> DataFrame:
-    """One row, one ``map<value, bigint>`` column.
-
-    The map holds one entry per distinct value, so it is only for
-    low-cardinality columns (a tier, a status); the number of distinct values
-    is checked against ``max_entries`` first (a bounded read of the grouped
-    counts) and a larger column is refused: use :func:`value_counts`.
-    """
-    counts = value_counts(df, col, "__n")
-    if counts.limit(max_entries + 1).count() > max_entries:
-        raise ValueError(f"{col} has more than {max_entries} distinct values; use value_counts")
-    return counts.agg(F.map_from_entries(
+def value_counts_map(df: DataFrame, col: str, out: str) -> DataFrame:
+    """One row, one ``map<value, bigint>`` column: an entry per distinct value,
+    so it is for columns with few values (a tier, a status)."""
+    return value_counts(df, col, "__n").agg(F.map_from_entries(
         F.array_sort(F.collect_list(F.struct(F.col(col), F.col("__n"))))).alias(out))
 
 
@@ -49,16 +45,13 @@ def share_of_total(df: DataFrame, part: str, out: str, total_of: Column | None =
 
     The grand total is a scalar subquery, not a window over all rows (which
     would put every row in one task) and not a join. ``df`` is usually an
-    aggregate; ``materialize`` checkpoints it first so the rows and their
+    aggregate; ``materialize`` stores it first so the rows and their
     total come from one computation of the upstream plan (after column
     pruning the two would otherwise differ and be computed twice).
     ``total_of`` overrides the summed expression (e.g. an exact decimal).
     """
     if materialize:
-        from tillroll.session import checkpoint_dir
-
-        checkpoint_dir(df.sparkSession)
-        df = df.checkpoint(eager=True)
+        df = stored(df, "parts")
     expr = total_of if total_of is not None else F.col(part)
     total = df.agg(F.sum(expr).cast("double").alias("__total")).scalar()
     return df.withColumn(out, F.try_divide(F.col(part), F.when(total != 0, total)))

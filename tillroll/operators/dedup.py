@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 RN = "__rn"
-COPIES = "__copies"
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
@@ -21,22 +20,3 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]
     """
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(RN, F.row_number().over(w)).where(F.col(RN) == 1).drop(RN)
-
-
-def keep_first_counted(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
-                       copies_col: str = COPIES) -> DataFrame:
-    """Like :func:`keep_first`, plus the number of input rows of the key.
-
-    Written as one aggregation (``min_by`` over the row, ordered by a struct of
-    the order columns) so it is combined map-side like any other aggregate.
-    ``order`` must be plain ascending expressions; encode "nulls last" or a
-    descending direction into them (see ``plans.clean``). It should order
-    all columns, so that rows it cannot tell apart are identical.
-    """
-    keys = list(keys)
-    rest = [c for c in df.columns if c not in keys]
-    row = F.struct(*[F.col(c) for c in rest])
-    ordering = F.struct(*[o.alias(f"__o{i}") for i, o in enumerate(order)])
-    return (df.groupBy(*keys)
-            .agg(F.min_by(row, ordering).alias("__row"), F.count(F.lit(1)).alias(copies_col))
-            .select(*keys, *[F.col("__row")[c].alias(c) for c in rest], copies_col))

@@ -1,145 +1,82 @@
 """Joins that stay balanced when one key holds a large share of the rows.
 
 ``lookup_join`` is the fact-to-dimension join of the pipeline (sales to
-customers, rows to their rank). Its physical strategy follows checked sizes:
-
-* the dimension side has at most ``broadcast_rows`` rows (checked with a
-  bounded ``limit(n + 1).count()``): broadcast hash join; the fact side is
-  not shuffled at all, so a hot key costs nothing;
-* otherwise a sort-merge join on ``(key, salt)``. Keys with at least
-  ``target_rows`` fact rows are *hot*: the fact rows of such a key are spread
-  over ``ceil(count / target_rows)`` salts by a hash of the row content
-  (deterministic, so a partition recomputed after an executor loss lands in
-  the same place) and the dimension rows of that key are copied once per
-  salt. Every other key keeps salt 0, so only hot dimension rows are copied.
-  The hot-key list is capped (``max_hot_keys``, largest first); a key left
-  off it is still joined exactly, just without being split.
+customers, rows to their rank). Whether a side is broadcast is left to Spark,
+which goes by bytes. On top of that:
+
+* a key that holds at least ``1 / HOT_SHARE`` of the fact rows is hot. By
+  counting, at most HOT_SHARE keys can be, whatever the size of the data. NULL
+  and NaN count as keys here, though they match nothing;
+* the dimension rows of hot keys are broadcast and joined to the hot fact rows
+  where these lie, without a shuffle, so even equal rows stay spread;
+* all other fact rows go through the ordinary join, where no key holds more
+  than ``1 / HOT_SHARE`` of the rows.
+
+Facts that are neither stored nor given with ``key_rows`` are not run a second
+time just to be counted: they take the ordinary join, in which Spark's
+adaptive execution splits skewed partitions.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-SALT = "__salt"
+from tillroll.session import is_stored, stored
 
-# Row bound below which a side is broadcast (tens of MB for narrow rows).
-DEFAULT_BROADCAST_ROWS = 1_000_000
-# Fact rows per join task a single key may bring before it is split.
-DEFAULT_TARGET_ROWS = 2_000_000
-MAX_SALTS = 100_000
+HOT_SHARE = 1000
+# Keys with fewer rows than this fit a task anyway.
+HOT_ROWS = 1_000_000
+# Rows of hot keys that a dimension may have to be broadcast; beyond it (a
+# dimension with thousands of rows for one key) the ordinary join is used.
+DIM_ROWS = 100_000
 
 
-def row_count_at_most(df: DataFrame, n: int) -> bool:
-    """True when ``df`` has at most ``n`` rows. Reads at most ``n + 1`` rows."""
-    return df.limit(n + 1).count() <= n
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only if its row count is checked to be small."""
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
-
-
-def hot_keys(df: DataFrame, keys: Sequence[str], target_rows: int = DEFAULT_TARGET_ROWS,
-             max_hot_keys: int = 1000) -> list[tuple[tuple, int]]:
-    """``[(key values, row count)]`` for keys with at least ``target_rows`` rows.
+def hot_keys(rows: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS,
+             share: int = HOT_SHARE) -> DataFrame:
+    """Keys with at least ``hot_rows`` rows and ``1 / share`` of all rows: at
+    most ``share`` keys, stored.
 
     One aggregation over the key columns, partially aggregated map-side (a hot
-    key is one row per map task before the shuffle), then a bounded top-k, so
-    at most ``max_hot_keys`` small rows reach the driver.
+    key is one row per map task before the shuffle).
     """
-    keys = list(keys)
-    rows = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-            .where(F.col("__n") >= target_rows)
-            .orderBy(F.col("__n").desc()).limit(max_hot_keys).collect())
-    return [(tuple(r[k] for k in keys), int(r["__n"])) for r in rows]
-
-
-def _key(keys: Sequence[str]) -> Column:
-    return F.col(keys[0]) if len(keys) == 1 else F.struct(*[F.col(k) for k in keys])
-
-
-def _typed_lit(value, dt: T.DataType) -> Column:
-    if isinstance(dt, T.TimestampNTZType) and value is not None:
-        return F.lit(value.isoformat(sep=" ")).cast(dt)
-    return F.lit(value).cast(dt)
-
+    many = stored(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+                  .where(F.col("__n") >= hot_rows), "keys")
+    if many.isEmpty():
+        return many.select(*keys)
+    return many.where(F.col("__n") * share >= F.lit(rows.count())).select(*keys)
 
-def _key_lit(keys: Sequence[str], values: tuple, types: dict) -> Column:
-    if len(keys) == 1:
-        return _typed_lit(values[0], types[keys[0]])
-    return F.struct(*[_typed_lit(v, types[k]).alias(k) for k, v in zip(keys, values)])
 
-
-def _salt_count(n: int, target_rows: int) -> int:
-    return min(MAX_SALTS, max(2, math.ceil(n / target_rows)))
-
-
-def salted_join(facts: DataFrame, dim: DataFrame, keys: Sequence[str], how: str,
-                hot: list[tuple[tuple, int]], target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
-    """Equi-join on ``keys``; each hot key is split over several salts.
-
-    A hot NULL key (``(None,)`` in ``hot``) is spread too: NULL never
-    matches, so those fact rows need no dimension copies, but without a salt
-    they would all hash to one reducer.
-    """
-    keys = list(keys)
-    null_rows = sum(n for k, n in hot if any(v is None for v in k))
-    merged: dict[tuple, int] = {}
-    for k, n in hot:  # a key listed twice would be a duplicate map key
-        if all(v is not None for v in k):
-            merged[tuple(k)] = merged.get(tuple(k), 0) + n
-    hot = list(merged.items())
-    if not hot and not null_rows:
-        return facts.join(dim, keys, how)
-    row_hash = F.xxhash64(*[F.col(c) for c in facts.columns])
-    salt = F.lit(0)
-    copies = F.array(F.lit(0))
-    if hot:
-        types = {f.name: f.dataType for f in facts.schema.fields}
-        pairs = []
-        for values, n in hot:
-            pairs += [_key_lit(keys, values, types), F.lit(_salt_count(n, target_rows))]
-        salts = F.try_element_at(F.create_map(*pairs), _key(keys))
-        salt = F.coalesce(F.pmod(row_hash, salts), F.lit(0))
-        copies = F.when(salts.isNotNull(), F.sequence(F.lit(0), salts.cast("int") - 1)).otherwise(copies)
-    if null_rows:
-        any_null = F.lit(False)
-        for k in keys:
-            any_null = any_null | F.col(k).isNull()
-        salt = F.when(any_null, F.pmod(row_hash, F.lit(_salt_count(null_rows, target_rows)))).otherwise(salt)
-    f = facts.withColumn(SALT, salt.cast("int"))
-    d = dim.withColumn(SALT, F.explode(copies))
-    return f.join(d, keys + [SALT], how).drop(SALT)
+def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
 
 
 def lookup_join(facts: DataFrame, dim: DataFrame, keys: Sequence[str], how: str = "left",
-                broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                hot: list[tuple[tuple, int]] | None = None,
-                target_rows: int = DEFAULT_TARGET_ROWS,
-                facts_materialized: bool = False) -> DataFrame:
+                key_rows: DataFrame | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Fact-to-dimension equi-join, balanced under key skew (see module doc).
 
-    On the salted path without a given ``hot`` list, the hot keys are counted
-    with one pass over ``facts``. Unless ``facts_materialized`` says they are
-    already a stored table, they are checkpointed first (to the session's
-    reliable checkpoint folder) so that pass and the join do not both rerun
-    the upstream plan.
+    ``how`` is ``left`` or ``inner``. ``key_rows`` is a cheaper frame to count
+    the keys on (rows more than the facts do no harm).
 
     Output columns: fact columns, then dimension columns minus the keys.
     """
+    if how not in ("left", "inner"):
+        raise ValueError(f"lookup_join does left and inner joins, not {how!r}")
     keys = list(keys)
-    if broadcast_rows > 0 and row_count_at_most(dim, broadcast_rows):
-        return facts.join(F.broadcast(dim), keys, how)
-    if hot is None:
-        if not facts_materialized:
-            from tillroll.session import checkpoint_dir
-
-            checkpoint_dir(facts.sparkSession)
-            facts = facts.checkpoint(eager=True)
-        hot = hot_keys(facts, keys, target_rows=target_rows)
-    return salted_join(facts, dim, keys, how, hot, target_rows)
+    if key_rows is None and not is_stored(facts):
+        return facts.join(dim, keys, how)
+    hot = hot_keys((facts if key_rows is None else key_rows).select(*keys), keys, hot_rows)
+    if hot.isEmpty():
+        return facts.join(dim, keys, how)
+    hot_dim = stored(dim.join(F.broadcast(hot), keys, "left_semi"), "hot")
+    if hot_dim.count() > DIM_ROWS:
+        return facts.join(dim, keys, how)
+    facts = facts if is_stored(facts) else stored(facts, "facts")
+    columns = [*facts.columns, *[c for c in dim.columns if c not in keys]]
+    few = F.broadcast(hot)
+    there = facts.join(few, _same(facts, hot, keys), "left_semi").join(F.broadcast(hot_dim), keys, how)
+    rest = facts.join(few, _same(facts, hot, keys), "left_anti").join(dim, keys, how)
+    return there.select(*columns).unionAll(rest.select(*columns))

@@ -1,21 +1,17 @@
 """Global ranks and positions without a single-partition window.
 
 ``Window.orderBy(...)`` with no ``partitionBy`` sends every row to one task.
-Here the order is cut into buckets instead:
-
-1. cut points are drawn from a seeded sample of the sort keys, ordered by
-   Spark, and frozen as literals in the plan (so every later job and every
-   retried task buckets a row the same way);
-2. a row's bucket is the number of cut points below its key; equal keys share
-   a bucket;
-3. bucket totals (at most ``max_buckets`` rows, so broadcasting them is safe)
-   give each bucket the weight of all buckets before it;
-4. inside a bucket a running sum, partitioned by bucket, finishes the job.
+Here the sort keys are dealt into ranges by ``repartitionByRange``, the range
+number is stored with each row (so every later job and every retried task sees
+the same ranges), and the totals of the ranges, one row each, give every range
+the weight of all ranges before it. Inside a range a running sum finishes the
+job. The number of ranges follows from the number of keys; there is one path
+for every size.
 
 Average ranks (ties share the mean of their positions) first collapse equal
 values into one row with their multiplicity, a partially aggregated
 ``groupBy``: a value held by a third of the rows is one row per map task
-before any shuffle, and the bucket of that value has one row.
+before any shuffle, and one row in its range.
 """
 
 from __future__ import annotations
@@ -27,79 +23,33 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.operators.joins import DEFAULT_BROADCAST_ROWS, DEFAULT_TARGET_ROWS, salted_join
-from tillroll.session import checkpoint_dir
-
-KEY = "__key"
-BUCKET = "__bucket"
-BEFORE = "__before"
-ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 4096
-SAMPLES_PER_BUCKET = 40
-
-
-def _literal(value, dt: T.DataType) -> Column:
-    if value is None:
-        return F.lit(None).cast(dt)
-    if isinstance(dt, T.StructType):
-        return F.struct(*[_literal(value[f.name], f.dataType).alias(f.name) for f in dt.fields])
-    if isinstance(dt, T.TimestampNTZType):
-        return F.lit(value.isoformat(sep=" ")).cast(dt)
-    return F.lit(value).cast(dt)
-
-
-def _cut_points(df: DataFrame, total: int, buckets: int, seed: int) -> list[Column]:
-    """``buckets - 1`` ascending cut points of ``df[KEY]`` from a bounded sample."""
-    want = buckets * SAMPLES_PER_BUCKET
-    fraction = min(1.0, want / max(total, 1))
-    sample = (df.select(KEY).sample(withReplacement=False, fraction=fraction, seed=seed)
-              .orderBy(KEY).collect())
-    if not sample:
-        return []
-    dt = df.schema[KEY].dataType
-    step = len(sample) / buckets
-    picks = []
-    for i in range(1, buckets):
-        v = sample[min(len(sample) - 1, int(i * step))][0]
-        if not picks or picks[-1] != v:
-            picks.append(v)
-    return [_literal(v, dt) for v in picks]
-
-
-def running_total_before(df: DataFrame, key: Column, weight: Column, out: str = BEFORE,
-                         rows_per_bucket: int = ROWS_PER_BUCKET, seed: int = 7,
-                         total: int | None = None) -> DataFrame:
+from tillroll.operators.joins import lookup_join
+from tillroll.session import stored
+
+KEYS_PER_RANGE = 1_000_000
+
+
+def running_total_before(df: DataFrame, key: Sequence[Column], weight: Column, out: str,
+                         keys_per_range: int = KEYS_PER_RANGE) -> DataFrame:
     """Add ``out`` = sum of ``weight`` over all rows whose ``key`` is smaller.
 
-    ``key`` is ascending-orderable (encode a descending or nulls-last order
-    in it). Rows with equal keys do not count each other. Unique keys give
-    balanced buckets. Runs one count job (unless ``total`` is given). Up to
-    ``rows_per_bucket`` rows it is a single window task; above, one sampling
-    job picks the cut points and no exchange puts the rows in one partition.
+    ``key`` is a list of ascending-orderable expressions (encode a descending
+    or nulls-last order in them) that no two rows share. ``df`` is stored
+    once, by range. Runs two jobs: a count of ``df`` and the store.
     """
-    d = df.withColumn(KEY, key).withColumn("__w", weight)
-    if total is None:
-        total = d.count()
-    buckets = max(1, min(MAX_BUCKETS, math.ceil(total / rows_per_bucket)))
-    cuts = _cut_points(d, total, buckets, seed) if buckets > 1 else []
-    peers = F.sum("__w").over(Window.partitionBy(BUCKET, KEY))
-    upto = F.sum("__w").over(Window.partitionBy(BUCKET).orderBy(KEY)
-                             .rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    if not cuts:
-        # one bucket: at most ``rows_per_bucket`` rows, so one task may hold them
-        d = d.withColumn(BUCKET, F.lit(0))
-        return d.withColumn(out, upto - peers).drop(KEY, "__w", BUCKET)
-    k = F.col(KEY)
-    d = d.withColumn(BUCKET, F.size(F.filter(F.array(*cuts), lambda c: c < k)))
-    sizes = d.groupBy(BUCKET).agg(F.sum("__w").alias("__bw"))
-    # at most len(cuts) + 1 rows: a window over them is one tiny task
-    offsets = sizes.select(
-        BUCKET,
-        F.coalesce(F.sum("__bw").over(Window.orderBy(BUCKET).rowsBetween(
-            Window.unboundedPreceding, -1)), F.lit(0)).alias("__offset"))
-    return (d.join(F.broadcast(offsets), BUCKET)
-            .withColumn(out, F.col("__offset") + upto - peers)
-            .drop(KEY, "__w", BUCKET, "__offset"))
+    names = [f"__k{i}" for i in range(len(key))]
+    keyed = df.withColumns(dict(zip(names, key)) | {"__w": weight})
+    ranges = max(1, math.ceil(keyed.count() / keys_per_range))
+    ranged = stored(keyed.repartitionByRange(ranges, *[F.col(n) for n in names])
+                    .withColumn("__range", F.spark_partition_id()), "ranges")
+    upto = Window.partitionBy("__range").orderBy(*names).rowsBetween(Window.unboundedPreceding, -1)
+    # one row per range, so a window over them is one small task
+    totals = ranged.groupBy("__range").agg(F.sum("__w").alias("__total"))
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("__range", F.coalesce(F.sum("__total").over(before), F.lit(0)).alias("__offset"))
+    return (ranged.join(offsets, "__range")
+            .withColumn(out, F.col("__offset") + F.coalesce(F.sum("__w").over(upto), F.lit(0)))
+            .drop("__range", "__w", "__offset", *names))
 
 
 def _valid(df: DataFrame, value: str) -> Column:
@@ -110,53 +60,33 @@ def _valid(df: DataFrame, value: str) -> Column:
 
 
 def average_rank(df: DataFrame, value: str, out: str, descending: bool = True,
-                 materialize: bool = True, broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                 rows_per_bucket: int = ROWS_PER_BUCKET,
-                 target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
+                 keys_per_range: int = KEYS_PER_RANGE) -> DataFrame:
     """Add ``out``: rank of ``value`` (1 = largest when ``descending``), ties
     get the mean of their positions, NULL/NaN keep a NULL rank. Double.
 
-    ``materialize`` checkpoints ``df`` first (to the session's reliable
-    checkpoint folder): the rank needs a few passes over it and should not
-    recompute the upstream plan for each.
+    ``df`` is stored first (in the session's shared checkpoint folder): the
+    rank needs a few passes over it and should not recompute the upstream plan
+    for each.
     """
-    if materialize:
-        checkpoint_dir(df.sparkSession)
-        df = df.checkpoint(eager=True)
-    v = F.col(value)
-    vals = (df.where(_valid(df, value)).groupBy(v.alias("__v"))
-            .agg(F.count(F.lit(1)).alias("__n")))
-    stats = vals.agg(F.count(F.lit(1)).alias("n"), F.sum("__n").alias("rows")).first()
-    n_vals = int(stats["n"])
-    ranked = running_total_before(vals, F.struct(F.col("__v").alias("v")), F.col("__n"),
-                                  rows_per_bucket=rows_per_bucket, total=n_vals)
-    ascending = F.col(BEFORE) + (F.col("__n") + 1) / 2.0
+    rows = stored(df, "rank")
+    valid = _valid(df, value)
+    values = rows.where(valid).groupBy(F.col(value).alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
+    placed = running_total_before(values, [F.col("__v")], F.col("__n"), "__before", keys_per_range)
+    ascending = F.col("__before") + (F.col("__n") + 1) / 2.0
     # descending rank = N + 1 - ascending rank (exact: integers and halves);
     # no negated key, so any orderable type works and no value can overflow
-    rows = int(stats["rows"] or 0)
-    rank = (F.lit(rows + 1) - ascending) if descending else ascending
-    ranked = ranked.select(F.col("__v").alias(value), rank.cast("double").alias(out))
-    cols = df.columns + [out]
-    if n_vals <= broadcast_rows:
-        return df.join(F.broadcast(ranked), value, "left").select(*cols)
-    # Values held by many rows are hot keys of the join back; their counts are
-    # already known from ``vals``, so no extra pass over the rows is needed.
-    hot = [((r["__v"],), int(r["__n"])) for r in
-           vals.where(F.col("__n") >= target_rows).orderBy(F.col("__n").desc())
-           .limit(1000).collect()]
-    no_value = df.count() - int(stats["rows"] or 0)  # NULL/NaN rows: NULL rank
-    if no_value >= target_rows:
-        hot.append(((None,), no_value))
-    return salted_join(df, ranked, [value], "left", hot, target_rows).select(*cols)
+    total = rows.where(valid).count()
+    rank = (F.lit(total + 1) - ascending) if descending else ascending
+    ranked = placed.select(F.col("__v").alias(value), rank.cast("double").alias(out))
+    return lookup_join(rows, ranked, [value], "left").select(*df.columns, out)
 
 
 def positions(df: DataFrame, order: Sequence[Column], out: str,
-              rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+              keys_per_range: int = KEYS_PER_RANGE) -> DataFrame:
     """Add ``out`` = 1-based position of each row in ``order`` (bigint).
 
     ``order`` must be a total order (end it with a unique key) written as
     ascending expressions; e.g. nulls last is ``(c.isNull(), c)``.
     """
-    key = F.struct(*[o.alias(f"k{i}") for i, o in enumerate(order)])
-    d = running_total_before(df, key, F.lit(1).cast("bigint"), rows_per_bucket=rows_per_bucket)
-    return d.withColumn(out, (F.col(BEFORE) + 1).cast("bigint")).drop(BEFORE)
+    d = running_total_before(stored(df, "positions"), order, F.lit(1).cast("bigint"), "__before", keys_per_range)
+    return d.withColumn(out, (F.col("__before") + 1).cast("bigint")).drop("__before")

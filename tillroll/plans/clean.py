@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 from tillroll.functions.dates import day_name, hour_of_day
 from tillroll.functions.money import exact_mean, exact_sum
 from tillroll.functions.values import not_nan_nonneg
-from tillroll.operators.dedup import COPIES, keep_first, keep_first_counted
+from tillroll.operators.dedup import keep_first
 from tillroll.operators.fill import fill_literals
 
+# Fixed value.
 UNKNOWN_CUSTOMER = "UNKNOWN"
 DEDUP_KEYS = ["transaction_id"]
 
@@ -32,13 +33,6 @@ def dedup_order() -> list[Column]:
             F.col("unit_price"), F.col("region")]
 
 
-def dedup_order_struct_fields() -> list[Column]:
-    """The same order as plain ascending values (for ``min_by`` over a struct)."""
-    return [F.col("transaction_date"), F.col("product_id"),
-            F.col("customer_id").isNull(), F.col("customer_id"),
-            F.col("quantity"), F.col("unit_price"), F.col("region")]
-
-
 def dedup_transactions(raw: DataFrame) -> DataFrame:
     return keep_first(raw, DEDUP_KEYS, dedup_order())
 
@@ -82,19 +76,21 @@ def cleaning_metrics(raw: DataFrame) -> DataFrame:
     missing_values_filled, invalid_prices_removed, total_revenue,
     avg_transaction_value.
 
-    A single pass: the de-duplication is an aggregation that also counts the
-    copies of each key, so the initial row count comes for free.
-    ``invalid_prices_removed`` is the number of rows the price filter removed.
+    The copies are counted as rows before minus rows after the keyed
+    de-duplication, which keeps one row per key in each task, so no row is
+    carried through a second aggregation. ``invalid_prices_removed`` is the
+    number of rows the price filter removed.
     """
-    d = keep_first_counted(raw, DEDUP_KEYS, dedup_order_struct_fields())
     valid = not_nan_nonneg("unit_price")
     amount = F.when(valid, F.col("quantity").cast("bigint") * F.col("unit_price"))
-    return d.agg(
-        F.coalesce(F.sum(COPIES), F.lit(0)).cast("bigint").alias("initial_rows"),
+    initial = raw.agg(F.count(F.lit(1)).alias("n")).scalar()
+    figures = dedup_transactions(raw).agg(
+        F.count(F.lit(1)).alias("kept"),
         F.count_if(valid).cast("bigint").alias("final_rows"),
-        F.coalesce(F.sum(COPIES) - F.count(F.lit(1)), F.lit(0)).cast("bigint").alias("duplicates_removed"),
         F.count_if(F.col("customer_id").isNull()).cast("bigint").alias("missing_values_filled"),
         F.count_if(~valid).cast("bigint").alias("invalid_prices_removed"),
         exact_sum(amount).alias("total_revenue"),
-        exact_mean(amount).alias("avg_transaction_value"),
-    )
+        exact_mean(amount).alias("avg_transaction_value"))
+    return figures.select(
+        initial.alias("initial_rows"), "final_rows", (initial - F.col("kept")).alias("duplicates_removed"),
+        "missing_values_filled", "invalid_prices_removed", "total_revenue", "avg_transaction_value")

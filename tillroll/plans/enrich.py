@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.dates import calendar_days, elapsed_days, tenure_category
-from tillroll.functions.money import exact_sum
+from tillroll.functions.money import money
 from tillroll.operators.aggregates import value_counts_map
 from tillroll.operators.fill import fill_from, fill_literals
-from tillroll.operators.joins import DEFAULT_BROADCAST_ROWS, DEFAULT_TARGET_ROWS, lookup_join
+from tillroll.operators.joins import HOT_ROWS, lookup_join
 
 JOIN_KEY = "customer_id"
+# Fixed values.
 CUSTOMER_DEFAULTS = {
     "customer_name": "Unknown Customer",
     "email": "unknown@example.com",
@@ -29,10 +30,7 @@ def suffix_overlaps(left: DataFrame, right: DataFrame, keys, suffixes=("_sale",
     return left, right
 
 
-def left_join_customers(sales: DataFrame, customers: DataFrame,
-                        broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                        target_rows: int = DEFAULT_TARGET_ROWS,
-                        sales_materialized: bool = False) -> DataFrame:
+def left_join_customers(sales: DataFrame, customers: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Every sale once per matching customer row (none: NULL customer fields).
 
     Output: the sales columns in their order, then the customer columns
@@ -40,8 +38,7 @@ def left_join_customers(sales: DataFrame, customers: DataFrame,
     """
     sales, customers = suffix_overlaps(sales, customers, [JOIN_KEY])
     right = [c for c in customers.columns if c != JOIN_KEY]
-    joined = lookup_join(sales, customers, [JOIN_KEY], "left", broadcast_rows=broadcast_rows,
-                         target_rows=target_rows, facts_materialized=sales_materialized)
+    joined = lookup_join(sales, customers, [JOIN_KEY], "left", hot_rows=hot_rows)
     return joined.select(*sales.columns, *right)
 
 
@@ -57,31 +54,39 @@ def add_tenure(df: DataFrame) -> DataFrame:
             .withColumn("customer_category", tenure_category("days_since_signup")))
 
 
-def enriched_sales(cleaned: DataFrame, customers: DataFrame,
-                   broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                   target_rows: int = DEFAULT_TARGET_ROWS,
-                   cleaned_materialized: bool = False) -> DataFrame:
-    """Cleaned sales with customer fields, defaults and tenure. The join is
-    a checked broadcast, or a salted sort-merge join above ``broadcast_rows``
-    customers (keys with ``target_rows`` sales or more are split).
-    ``cleaned_materialized`` tells that ``cleaned`` is a stored table (no
-    checkpoint needed before counting hot keys)."""
-    joined = left_join_customers(cleaned, customers, broadcast_rows, target_rows,
-                                 cleaned_materialized)
-    return add_tenure(fill_customer_defaults(joined))
+def enriched_sales(cleaned: DataFrame, customers: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Cleaned sales with customer fields, defaults and tenure. Customers (the
+    fill id among them) with ``hot_rows`` sales or more are joined without a
+    shuffle when ``cleaned`` is a stored table (``operators.joins``)."""
+    return add_tenure(fill_customer_defaults(left_join_customers(cleaned, customers, hot_rows)))
 
 
-def enrichment_metrics(cleaned: DataFrame, customers: DataFrame,
-                       broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def enrichment_metrics(cleaned: DataFrame, customers: DataFrame) -> DataFrame:
     """One row: rows_enriched, missing_customers_filled (rows whose customer
-    name was NULL after the join), unique_customers, total_revenue."""
-    joined = left_join_customers(cleaned, customers, broadcast_rows)
-    return joined.agg(
-        F.count(F.lit(1)).alias("rows_enriched"),
-        F.count_if(F.col("customer_name").isNull()).cast("bigint").alias("missing_customers_filled"),
-        F.count_distinct(JOIN_KEY).alias("unique_customers"),
-        exact_sum("total_amount").alias("total_revenue"),
-    )
+    name was NULL after the join), unique_customers, total_revenue,
+    tier_distribution (map from tier, after the fill, to rows)."""
+    joined = left_join_customers(cleaned, customers)
+    # few groups, so the second level is small; no row is expanded
+    tiers = (joined.withColumn("tier", F.coalesce("tier", F.lit(CUSTOMER_DEFAULTS["tier"])))
+             .groupBy("tier").agg(F.count(F.lit(1)).alias("n"),
+                                  F.count_if(F.col("customer_name").isNull()).alias("unnamed"),
+                                  F.sum(money("total_amount")).alias("revenue")))
+    unique = cleaned.where(F.col(JOIN_KEY).isNotNull()).select(JOIN_KEY).distinct() \
+        .agg(F.count(F.lit(1)).alias("n")).scalar()
+    zero = F.lit(0).cast("bigint")
+    return tiers.agg(
+        F.coalesce(F.sum("n"), zero).alias("rows_enriched"),
+        F.coalesce(F.sum("unnamed"), zero).cast("bigint").alias("missing_customers_filled"),
+        F.coalesce(F.sum("revenue").cast("double"), F.lit(0.0)).alias("total_revenue"),
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct("tier", "n")))).alias("tier_distribution"),
+    ).select("rows_enriched", "missing_customers_filled", unique.alias("unique_customers"),
+             "total_revenue", "tier_distribution")
+
+
+def map_text(column: str):
+    """A map as sorted text, ``key=value`` joined by commas."""
+    entries = F.array_sort(F.map_entries(column))
+    return F.array_join(F.transform(entries, lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ",")
 
 
 def tier_distribution(enriched: DataFrame) -> DataFrame:

@@ -13,7 +13,9 @@ from tillroll.functions.dates import elapsed_days
 from tillroll.functions.money import exact_mean, exact_sum, money
 from tillroll.operators.aggregates import first_non_null, share_of_total
 from tillroll.operators.ranking import average_rank, positions
+from tillroll.session import is_stored, stored
 
+# The columns of the published tables.
 DAILY_COLUMNS = ["transaction_date_only", "total_revenue", "transaction_count",
                  "avg_order_value", "unique_customers", "date"]
 PRODUCT_COLUMNS = ["product_id", "total_quantity_sold", "total_revenue", "transaction_count",
@@ -93,16 +95,24 @@ def regional_performance(enriched: DataFrame, approx_distinct: bool = False) ->
 
 
 def customer_aggregates(enriched: DataFrame) -> DataFrame:
+    """Totals per customer by hash aggregation (fixed-width values only); the
+    first tier and category come from a top-1 per customer on narrow rows."""
+    needed = ["customer_id", "total_amount", "transaction_id", "quantity", "transaction_date", "tier",
+              "customer_category"]
+    sales = enriched.select(*needed)
+    if not is_stored(sales):
+        sales = stored(sales, "customer-sales")  # read three times
     first_order = [F.col("transaction_date"), F.col("transaction_id")]
-    agg = _grouped(enriched, "customer_id").agg(
+    agg = _grouped(sales, "customer_id").agg(
         exact_sum("total_amount").alias("total_revenue"),
         F.count("transaction_id").alias("transaction_count"),
         exact_mean("total_amount").alias("avg_order_value"),
         F.sum("quantity").cast("bigint").alias("total_items"),
         F.min("transaction_date").alias("first_transaction"),
-        F.max("transaction_date").alias("last_transaction"),
-        first_non_null("tier", first_order).alias("customer_tier"),
-        first_non_null("customer_category", first_order).alias("customer_category"))
+        F.max("transaction_date").alias("last_transaction"))
+    agg = (agg.join(first_non_null(sales, "customer_id", "tier", first_order)
+                    .withColumnRenamed("tier", "customer_tier"), "customer_id", "left")
+           .join(first_non_null(sales, "customer_id", "customer_category", first_order), "customer_id", "left"))
     lifetime = elapsed_days("first_transaction", "last_transaction")
     return (agg.withColumn("customer_lifetime_days", lifetime)
             .withColumn("purchase_frequency",
@@ -115,16 +125,23 @@ def customer_insights(enriched: DataFrame) -> DataFrame:
     return ranked.select(*CUSTOMER_COLUMNS)
 
 
-def summary_metrics(enriched: DataFrame, approx_distinct: bool = False) -> DataFrame:
+def summary_metrics(enriched: DataFrame) -> DataFrame:
     """One row: total_revenue, total_transactions, unique_customers,
-    days_analyzed, products_ranked, regions_analyzed."""
-    return enriched.agg(
-        exact_sum("total_amount").alias("total_revenue"),
-        F.count(F.lit(1)).alias("total_transactions"),
-        distinct_count("customer_id", approx_distinct).alias("unique_customers"),
-        distinct_count("transaction_date_only", approx_distinct).alias("days_analyzed"),
-        distinct_count("product_id", approx_distinct).alias("products_ranked"),
-        distinct_count("region", approx_distinct).alias("regions_analyzed"))
+    days_analyzed, products_ranked, regions_analyzed.
+
+    Each distinct count is a distinct of one narrow column, not one aggregate
+    that expands every row once per column.
+    """
+    keys = {"unique_customers": "customer_id", "days_analyzed": "transaction_date_only",
+            "products_ranked": "product_id", "regions_analyzed": "region"}
+    sales = enriched.select("total_amount", *keys.values())
+    if not is_stored(sales):
+        sales = stored(sales, "summary-sales")
+    totals = sales.agg(exact_sum("total_amount").alias("total_revenue"),
+                       F.count(F.lit(1)).alias("total_transactions"))
+    distinct = [sales.where(F.col(c).isNotNull()).select(c).distinct()
+                .agg(F.count(F.lit(1)).alias("n")).scalar().alias(out) for out, c in keys.items()]
+    return totals.select("total_revenue", "total_transactions", *distinct)
 
 
 def customer_summary(customers: DataFrame, unknown_id: str = "UNKNOWN") -> DataFrame:

@@ -13,21 +13,18 @@ from pyspark.sql import SparkSession
 
 from tillroll.plans import clean, enrich, metrics, quality
 from tillroll.operators.aggregates import value_counts
+from tillroll.session import release_stored, stored_so_far
 from tillroll.sources import fixtures
 from tillroll.sources.warehouse import WriteReceipt, publish, read_table
 
-STAGES = ["raw_sales_data", "raw_customers_data", "cleaned_sales_data", "enriched_sales_data",
-          "sales_metrics", "product_performance", "regional_performance", "customer_insights"]
 
-
-def run_all(spark: SparkSession, sf_dir: str, database: str,
-            with_metadata: bool = True) -> list[WriteReceipt]:
-    """Run raw -> cleaned -> enriched -> metrics, publishing each stage.
-
-    ``with_metadata`` also publishes each stage's run figures as small
-    tables ``<stage>_metadata`` (and the tier counts of the enriched stage),
-    computed from the stored stage tables.
+def run_all(spark: SparkSession, sf_dir: str, database: str) -> list[WriteReceipt]:
+    """Run raw -> cleaned -> enriched -> metrics, publishing each stage, and
+    each stage's run figures as small tables ``<stage>_metadata`` (and the
+    tier counts of the enriched stage), computed from the stored tables.
+    Products are published with their position in rank order.
     """
+    before = stored_so_far(spark)
     receipts = [
         publish(fixtures.raw_sales(spark, sf_dir), database, "raw_sales_data"),
         publish(fixtures.raw_customers(spark, sf_dir), database, "raw_customers_data"),
@@ -36,7 +33,7 @@ def run_all(spark: SparkSession, sf_dir: str, database: str,
     receipts.append(publish(clean.cleaned_sales(raw), database, "cleaned_sales_data"))
     cleaned = read_table(spark, database, "cleaned_sales_data")
     customers = read_table(spark, database, "raw_customers_data")
-    receipts.append(publish(enrich.enriched_sales(cleaned, customers, cleaned_materialized=True),
+    receipts.append(publish(enrich.enriched_sales(cleaned, customers),
                             database, "enriched_sales_data"))
     enriched = read_table(spark, database, "enriched_sales_data")
     # The four metric stages only depend on the enriched table: their jobs
@@ -44,27 +41,28 @@ def run_all(spark: SparkSession, sf_dir: str, database: str,
     # another (Spark schedules jobs from several threads).
     leaves = [
         (metrics.daily_sales, "sales_metrics"),
-        (metrics.product_performance, "product_performance"),
+        (lambda e: metrics.sorted_products(metrics.product_performance(e)), "product_performance"),
         (metrics.regional_performance, "regional_performance"),
         (metrics.customer_insights, "customer_insights"),
     ]
     with ThreadPoolExecutor(max_workers=len(leaves)) as pool:
         futures = [pool.submit(lambda f=f, k=k: publish(f(enriched), database, k)) for f, k in leaves]
         receipts += [fut.result() for fut in futures]
-    if with_metadata:
-        products = read_table(spark, database, "product_performance")
-        customers_out = read_table(spark, database, "customer_insights")
-        meta = [
-            (quality.ingest_metrics(raw), "raw_sales_data_metadata"),
-            (quality.row_count(customers), "raw_customers_data_metadata"),
-            (clean.cleaning_metrics(raw), "cleaned_sales_data_metadata"),
-            (enrich.enrichment_metrics(cleaned, customers), "enriched_sales_data_metadata"),
-            (value_counts(enriched, "tier", "tier_count"), "enriched_sales_data_tiers"),
-            (metrics.summary_metrics(enriched), "sales_metrics_metadata"),
-            (metrics.top_product(products), "product_performance_metadata"),
-            (metrics.customer_summary(customers_out), "customer_insights_metadata"),
-        ]
-        with ThreadPoolExecutor(max_workers=4) as pool:
-            futures = [pool.submit(lambda m=m, k=k: publish(m, database, k)) for m, k in meta]
-            receipts += [fut.result() for fut in futures]
+    products = read_table(spark, database, "product_performance")
+    customers_out = read_table(spark, database, "customer_insights")
+    meta = [
+        (quality.ingest_metrics(raw), "raw_sales_data_metadata"),
+        (quality.row_count(customers), "raw_customers_data_metadata"),
+        (clean.cleaning_metrics(raw), "cleaned_sales_data_metadata"),
+        (enrich.enrichment_metrics(cleaned, customers)
+         .withColumn("tier_distribution", enrich.map_text("tier_distribution")), "enriched_sales_data_metadata"),
+        (value_counts(enriched, "tier", "tier_count"), "enriched_sales_data_tiers"),
+        (metrics.summary_metrics(enriched), "sales_metrics_metadata"),
+        (metrics.top_product(products), "product_performance_metadata"),
+        (metrics.customer_summary(customers_out), "customer_insights_metadata"),
+    ]
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        futures = [pool.submit(lambda m=m, k=k: publish(m, database, k)) for m, k in meta]
+        receipts += [fut.result() for fut in futures]
+    release_stored(spark, before)  # every table is written
     return receipts

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the pipeline relies on. Everything else is left to the cluster.
 PIPELINE_CONF = {
@@ -15,18 +15,12 @@ PIPELINE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Broadcasts are decided explicitly behind a row-count check
-    # (operators.joins.bounded_broadcast) or by AQE from *measured* shuffle
-    # sizes, never from a file-size guess made before the data is read.
-    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    # Broadcasts go by bytes: of the files before the data is read, of the
+    # shuffled rows (measured) once it is.
+    "spark.sql.autoBroadcastJoinThreshold": "8MB",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     # Reduce-side partitions AQE aims for when it coalesces.
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
-    # When AQE turns a sort-merge join into a broadcast join at run time, read
-    # the other side through the (coalesced) shuffle partitions, as the
-    # sort-merge join would have: partition-sized tasks whatever the number
-    # of map tasks, instead of splits of each map output.
-    "spark.sql.adaptive.localShuffleReader.enabled": "false",
 }
 
 SHUFFLE_BYTES_PER_PARTITION = 128 * 1024 * 1024
@@ -77,7 +71,8 @@ def build_session(master: str | None = None, app: str = "tillroll",
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    master = spark.sparkContext.master
+    return master.startswith("local") and not master.startswith("local-cluster")
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -106,13 +101,48 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def apply_pipeline_conf(spark: SparkSession) -> None:
-    """Apply the runtime-settable pipeline settings to an existing session."""
+    """Apply the pipeline settings to an existing session (all can be set at run time)."""
     for k, v in PIPELINE_CONF.items():
-        try:
-            spark.conf.set(k, v)
-        except Exception:  # static conf on a running session: keep cluster value
-            pass
+        spark.conf.set(k, v)
 
 
-def default_sf_dir() -> str:
-    return os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
+# Paths written by ``stored``, by application, for ``release_stored``.
+_STORED: dict[str, list[str]] = {}
+
+
+def is_stored(df: DataFrame) -> bool:
+    """Whether ``df`` is read straight from files or memory: scanning it again
+    repeats no join, aggregation or shuffle."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return not any(x in plan for x in ("Join", "Aggregate", "Window", "Repartition", "Rebalance",
+                                       "Sort", "Expand", "Generate", "Intersect", "Except"))
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` as Parquet into the shared checkpoint folder and read it back.
+
+    The lineage ends at the files, which outlive any executor, and all later
+    jobs see the same rows.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/tillroll-{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    _STORED.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def stored_so_far(spark: SparkSession) -> int:
+    """Number of folders ``stored`` has written in this application, for ``release_stored``."""
+    return len(_STORED.get(spark.sparkContext.applicationId, []))
+
+
+def release_stored(spark: SparkSession, since: int = 0) -> int:
+    """Delete what ``stored`` wrote after the first ``since`` folders, once the
+    results that read them are written. Returns the number deleted."""
+    paths = _STORED.get(spark.sparkContext.applicationId, [])
+    gone, paths[since:] = paths[since:], []
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for p in gone:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(conf).delete(path, True)
+    return len(gone)

@@ -13,17 +13,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.functions.ids import prefixed_id, zero_pad
-from tillroll.operators.joins import row_count_at_most
-from tillroll.operators.masking import copy_where, mask_to_null, negate_where, sample_n
+from tillroll.functions.ids import prefixed_id, scatter, zero_pad
+from tillroll.operators.joins import lookup_join
+from tillroll.operators.masking import append_picked, copy_where, mask_to_null, negate_where, sample_n
 
 # Fixed values of the derivation (kept identical in the oracle SQL).
-#   transaction_id   'TXN-%06d-%d' of (l_orderkey, l_linenumber)
+#   transaction_id   'TXN-%06d-%d-%d-%d' of (l_orderkey, l_linenumber, l_partkey, l_suppkey)
 #   customer_id      'CUST-%03d' of o_custkey; NULL when (l_orderkey*7 + l_linenumber) % 20 = 0
 #   product_id       'PROD-%03d' of l_partkey
 #   unit_price       l_extendedprice, negated when (l_orderkey*11 + l_linenumber*3) % 50 = 0
 #   transaction_date l_shipdate + ((l_orderkey*13 + l_linenumber*5) % 24) hours
 #   duplicated rows  l_orderkey % 20 = 3 (one exact copy each)
+#   conflicting rows l_orderkey % 50 = 7 (one copy each with quantity + 1)
 #   customers left out: c_custkey % 40 = 7
 #   signup_date      1994-06-01 00:00 + (c_custkey*37) % 1095 days + (c_custkey*5) % 24 hours
 #   tier             c_custkey % 20: < 10 Bronze, < 17 Silver, else Gold
@@ -31,12 +32,10 @@ SIGNUP_EPOCH = "1994-06-01 00:00:00"
 
 SALES_COLUMNS = ["transaction_id", "customer_id", "product_id", "quantity",
                  "unit_price", "transaction_date", "region"]
+# Together unique for a line item.
+LINE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 CUSTOMER_COLUMNS = ["customer_id", "customer_name", "email", "signup_date", "tier"]
 
-# Small dimensions are broadcast only after this row bound is checked.
-DIM_BROADCAST_ROWS = 1_000_000
-
-
 # Declared schemas of the source tables this package reads
 # (declaring them spares a footer read per table when the plan is built).
 SOURCE_SCHEMAS = {
@@ -71,40 +70,17 @@ def _duplicated(l_orderkey: Column) -> Column:
     return l_orderkey % 20 == 3
 
 
-# Checked row bounds of source dimensions, per session and source folder. The
-# sources are read-only inputs, so a bound checked once holds for the run.
-_BOUND_CHECKS: dict[tuple, bool] = {}
-
-
-def _small(spark: SparkSession, sf_dir: str, name: str, df: DataFrame) -> bool:
-    key = (spark.sparkContext.applicationId, sf_dir, name, DIM_BROADCAST_ROWS)
-    if key not in _BOUND_CHECKS:
-        _BOUND_CHECKS[key] = row_count_at_most(df, DIM_BROADCAST_ROWS)
-    return _BOUND_CHECKS[key]
-
+def _conflicting(l_orderkey: Column) -> Column:
+    return l_orderkey % 50 == 7
 
-def _join_dim(spark, sf_dir, name, left: DataFrame, dim: DataFrame, dim_is_cheap: bool, cond):
-    """Join ``left`` to ``dim``; broadcast ``dim`` when its row bound is checked.
 
-    The check is a ``limit(n + 1).count()``, which stops early only when
-    ``dim`` is made of scans and broadcast joins; a ``dim`` that needs a
-    shuffle is treated as large (sort-merge join, AQE may still switch to a
-    broadcast once it has measured the shuffle)."""
-    small = dim_is_cheap and _small(spark, sf_dir, name, dim)
-    return left.join(F.broadcast(dim) if small else dim, cond), small
-
-
-def customer_regions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, bool]:
-    """(c_custkey, r_name) via nation and region; and whether it is small."""
+def customer_regions(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
+    """(c_custkey, ``more`` customer columns, r_name) via nation and region."""
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     region = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    geo, geo_cheap = _join_dim(spark, sf_dir, "region", nation, region, True,
-                               nation.n_regionkey == region.r_regionkey)
-    geo = geo.select("n_nationkey", "r_name")
-    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    cr, cr_cheap = _join_dim(spark, sf_dir, "nation_region", cust, geo, geo_cheap,
-                             cust.c_nationkey == geo.n_nationkey)
-    return cr.select("c_custkey", "r_name"), cr_cheap
+    geo = nation.join(region, nation.n_regionkey == region.r_regionkey).select("n_nationkey", "r_name")
+    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", *more)
+    return cust.join(geo, cust.c_nationkey == geo.n_nationkey).select("c_custkey", *more, "r_name")
 
 
 def base_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,25 +88,25 @@ def base_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Join order is chosen by hand: orders are first narrowed to
     (orderkey, custkey, region) - an orders-sized join - so the line-item
-    side, the big one, takes part in one join instead of two. Keeps the two
+    side, the big one, takes part in one join instead of two. Keeps the
     lineitem key columns for the fault predicates (dropped by callers).
     """
     li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_shipdate")
+        *LINE_KEY, "l_quantity", "l_extendedprice", "l_shipdate")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    cr, cr_cheap = customer_regions(spark, sf_dir)
-    order_region, _ = _join_dim(spark, sf_dir, "customer_region", orders, cr, cr_cheap,
-                                orders.o_custkey == cr.c_custkey)
-    order_region = order_region.select("o_orderkey", "o_custkey", "r_name")
-    # Orders grow with line items (a quarter of their rows), so no row bound
-    # holds at scale: this is a shuffle join on the order key (AQE may still
-    # turn it into a broadcast after measuring a small shuffle).
+    # A customer may have a large part of all orders; only the key and the
+    # region's key are joined, and the key is split (operators.joins).
+    cr = customer_regions(spark, sf_dir).withColumnRenamed("c_custkey", "o_custkey")
+    order_region = lookup_join(orders, cr, ["o_custkey"], "inner").select("o_orderkey", "o_custkey", "r_name")
+    # Orders grow with line items (a quarter of their rows): a shuffle join on
+    # the order key. An order has a handful of lines, so no key is hot.
     j = li.join(order_region, li.l_orderkey == order_region.o_orderkey)
     ok, ln = F.col("l_orderkey"), F.col("l_linenumber")
     hours = ((ok * 13 + ln * 5) % 24).cast("int")
     return j.select(
-        "l_orderkey", "l_linenumber",
-        F.concat(F.lit("TXN-"), zero_pad(ok, 6), F.lit("-"), ln.cast("string")).alias("transaction_id"),
+        *LINE_KEY,
+        F.concat(F.lit("TXN-"), zero_pad(ok, 6),
+                 *[F.concat(F.lit("-"), F.col(c).cast("string")) for c in LINE_KEY[1:]]).alias("transaction_id"),
         prefixed_id("CUST-", F.col("o_custkey"), 3).alias("customer_id"),
         prefixed_id("PROD-", F.col("l_partkey"), 3).alias("product_id"),
         F.col("l_quantity").cast("bigint").alias("quantity"),
@@ -148,15 +124,19 @@ def with_faults(base: DataFrame) -> DataFrame:
 
 
 def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw sales with all three faults, duplicates emitted in the same pass."""
-    df = with_faults(base_sales(spark, sf_dir))
-    df = copy_where(df, _duplicated(F.col("l_orderkey")))
-    return df.select(*SALES_COLUMNS)
+    """Raw sales with all faults; exact and conflicting copies come from the same pass."""
+    ok = F.col("l_orderkey")
+    df = copy_where(with_faults(base_sales(spark, sf_dir)), _duplicated(ok) | _conflicting(ok), copy_col="__copy")
+    more = F.when(_conflicting(ok), F.col("__copy")).otherwise(F.lit(0))
+    return df.withColumn("quantity", (F.col("quantity") + more).cast("bigint")).select(*SALES_COLUMNS)
 
 
-def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+def raw_customers(spark: SparkSession, sf_dir: str, with_region: bool = False) -> DataFrame:
+    """Customers; ``with_region`` adds the region a customer lives in."""
+    c = (customer_regions(spark, sf_dir, "c_name") if with_region
+         else table(spark, sf_dir, "customer").select("c_custkey", "c_name"))
     k = F.col("c_custkey")
+    region = [F.col("r_name").alias("region")] if with_region else []
     tier = F.when(k % 20 < 10, "Bronze").when(k % 20 < 17, "Silver").otherwise("Gold")
     signup = (F.lit(SIGNUP_EPOCH).cast("timestamp_ntz")
               + F.make_dt_interval(days=((k * 37) % 1095).cast("int"), hours=((k * 5) % 24).cast("int")))
@@ -165,31 +145,20 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_name").alias("customer_name"),
         F.concat(F.lower(F.replace(F.col("c_name"), F.lit("#"), F.lit(""))), F.lit("@example.com")).alias("email"),
         signup.alias("signup_date"),
-        tier.alias("tier"),
+        tier.alias("tier"), *region,
     )
 
 
-def customer_home_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(customer_id, region): the region a customer lives in."""
-    cr, _ = customer_regions(spark, sf_dir)
-    return cr.select(
-        prefixed_id("CUST-", F.col("c_custkey"), 3).alias("customer_id"),
-        F.col("r_name").alias("region"))
-
-
-def scatter(*keys: Column) -> Column:
-    """A repeatable pseudo-random order over integer keys (no overflow)."""
-    expr = F.lit(0).cast("bigint")
-    for i, k in enumerate(keys):
-        expr = (expr * 31 + (k.cast("bigint") % 1000003) * (7919 + 104729 * i)) % 1000003
-    return expr
+def sample_lines(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
+    """The keys of ``n`` line items, picked without replacement from them alone."""
+    key = [F.col(c) for c in LINE_KEY]
+    return sample_n(table(spark, sf_dir, "lineitem").select(*LINE_KEY), n, [scatter(*key[:2]), *key])
 
 
-def sample_sales(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
-    """``n`` raw-sales-shaped rows (before duplication) picked without replacement."""
-    b = with_faults(base_sales(spark, sf_dir))
-    order = [scatter(F.col("l_orderkey"), F.col("l_linenumber"))] + [F.col(c) for c in SALES_COLUMNS]
-    return sample_n(b, n, order).select(*SALES_COLUMNS)
+def appended_sales(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
+    """Sales before duplication, with ``n`` picked ones a second time."""
+    base = with_faults(base_sales(spark, sf_dir))
+    return append_picked(base, sample_lines(spark, sf_dir, n), LINE_KEY).select(*SALES_COLUMNS)
 
 
 def sample_customers(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:

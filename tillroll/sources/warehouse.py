@@ -8,6 +8,8 @@ pruned and pushed into the scan).
 from __future__ import annotations
 
 import re
+import time
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -17,6 +19,7 @@ from pyspark.sql import types as T
 
 from tillroll.functions.values import nan_to_null, storage_type
 
+# Fixed value: the characters a name may have.
 _UNSAFE = re.compile(r"[^a-zA-Z0-9_]")
 
 
@@ -68,7 +71,7 @@ def prepare_for_storage(df: DataFrame) -> DataFrame:
 def ensure_database(spark: SparkSession, database: str, location: str | None = None) -> None:
     """``CREATE SCHEMA IF NOT EXISTS`` (under the warehouse unless ``location``)."""
     db = safe_name(database)
-    loc = f" LOCATION '{location}'" if location else ""
+    loc = " LOCATION '" + location.replace("\\", "\\\\").replace("'", "\\'") + "'" if location else ""
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{db}`{loc}")
 
 
@@ -105,10 +108,13 @@ def publish(df: DataFrame, database: str, key: str | Sequence[str],
     obs = Observation(f"write_{table_name(key)}")
     out = out.observe(obs, F.count(F.lit(1)).alias("rows"))
     if table_format == "parquet":
-        # An explicit path (inside the database folder) makes the overwrite work
-        # also when a previous session left files there but the catalog forgot them.
-        path = f"{database_location(spark, database).rstrip('/')}/{table_name(key)}"
-        out.write.mode("overwrite").format("parquet").option("path", path).saveAsTable(name)
+        # A new folder each time; the table moves to it once it is complete, so
+        # a write that fails leaves the old rows readable.
+        home = _table_home(spark, database, key)
+        path = f"{home}/version-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+        out.write.format("parquet").save(path)
+        _point_to(spark, name, path)
+        _drop_versions(spark, home, keep=path)
     else:
         out.writeTo(name).using(table_format).createOrReplace()
     rows = obs.get.get("rows", 0) if out.columns else 0
@@ -116,8 +122,65 @@ def publish(df: DataFrame, database: str, key: str | Sequence[str],
 
 
 def read_table(spark: SparkSession, database: str, key: str | Sequence[str]) -> DataFrame:
-    """Whole-table read (lazy: Catalyst prunes columns and pushes filters)."""
-    return spark.table(f"{safe_name(database)}.{table_name(key)}")
+    """Whole-table read (lazy: Catalyst prunes columns and pushes filters).
+
+    A table that an earlier session published and this session's catalog does
+    not know is found again in the database's folder and registered, so SQL
+    sees it too.
+    """
+    name = f"{safe_name(database)}.{table_name(key)}"
+    ensure_database(spark, database)
+    if not spark.catalog.tableExists(name):
+        found = _versions(spark, _table_home(spark, database, key))
+        if found:
+            _point_to(spark, name, found[-1])
+    return spark.table(name)
+
+
+def register_database(spark: SparkSession, database: str) -> list[str]:
+    """Register every table found in the database's folder; returns their names."""
+    ensure_database(spark, database)
+    home = database_location(spark, database).rstrip("/")
+    names = [p.rsplit("/", 1)[-1] for p in _children(spark, home) if _versions(spark, p)]
+    for n in names:
+        read_table(spark, database, n)
+    return sorted(names)
+
+
+def _table_home(spark: SparkSession, database: str, key: str | Sequence[str]) -> str:
+    return f"{database_location(spark, database).rstrip('/')}/{table_name(key)}"
+
+
+def _fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _children(spark: SparkSession, path: str) -> list[str]:
+    fs, p = _fs(spark, path)
+    return [f"{path}/{s.getPath().getName()}" for s in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def _versions(spark: SparkSession, home: str) -> list[str]:
+    """Complete versions of a table, oldest first."""
+    out = []
+    for path in sorted(p for p in _children(spark, home) if p.rsplit("/", 1)[-1].startswith("version-")):
+        fs, done = _fs(spark, f"{path}/_SUCCESS")
+        if fs.exists(done):
+            out.append(path)
+    return out
+
+
+def _point_to(spark: SparkSession, name: str, path: str) -> None:
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.catalog.createTable(name, path=path, source="parquet")
+
+
+def _drop_versions(spark: SparkSession, home: str, keep: str) -> None:
+    for path in _versions(spark, home):
+        if path != keep and path < keep:
+            fs, p = _fs(spark, path)
+            fs.delete(p, True)
 
 
 def receipt_frame(spark: SparkSession, receipts: Sequence[WriteReceipt]) -> DataFrame:
