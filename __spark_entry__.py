@@ -19,7 +19,7 @@ from tillroll.operators.masking import sample_fraction
 from tillroll.operators.ranking import average_rank
 from tillroll.operators.topk import arg_max
 from tillroll.plans import clean, enrich, metrics, quality, publish as publish_plan
-from tillroll.session import stored
+from tillroll.session import apply_pipeline_conf, stored
 from tillroll.sources import fixtures
 from tillroll.sources.warehouse import (
     nan_to_null_all, publish, read_table, receipt_frame, sanitize_columns, storage_projection,
@@ -55,9 +55,10 @@ def _enriched(spark, sf):
     return enrich.enriched_sales(_cleaned(spark, sf), fixtures.raw_customers(spark, sf))
 
 
-def entry(spark: SparkSession) -> DataFrame:
+def entry(spark: SparkSession, sf_dir: str = FLAGSHIP_SF) -> DataFrame:
     """Flagship: daily revenue from raw sales (clean -> enrich -> daily)."""
-    return metrics.daily_sales(_enriched(spark, FLAGSHIP_SF))
+    apply_pipeline_conf(spark)
+    return metrics.daily_sales(_enriched(spark, sf_dir))
 
 
 def _roundtrip(s, d):
@@ -184,6 +185,15 @@ def _mask_negate(s, d):
     return b.select("transaction_id", "unit_price")
 
 
+def _configured(query):
+    """The query in a session with the pipeline's settings, whoever made it."""
+    def run(spark, sf_dir):
+        apply_pipeline_conf(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = {
         # sources, sinks, storage
@@ -249,7 +259,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "enriched_sales": lambda s, d: _enriched(s, d),
         "published_pipeline": _published_pipeline,
     }
-    return own | (_corpus.queries() if _corpus else {})
+    return {k: _configured(f) for k, f in own.items()} | (_corpus.queries() if _corpus else {})
 
 
 # --------------------------------------------------------------------------

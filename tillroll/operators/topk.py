@@ -1,4 +1,4 @@
-"""Sorted output, top-k and previews."""
+"""The best row by a value."""
 
 from __future__ import annotations
 
@@ -8,12 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
-    """First ``k`` rows in ``order`` (TakeOrderedAndProject: each task keeps
-    its own best ``k``; only ``k x tasks`` rows meet in the final merge)."""
-    return df.orderBy(*order).limit(k)
-
-
 def arg_max(df: DataFrame, value: str, cols: Sequence[str], tie_break: Sequence[Column] = ()) -> DataFrame:
     """The row with the largest ``value`` (ties broken by ``tie_break``), as
     one row of ``cols``; empty input gives no row."""
