@@ -53,9 +53,9 @@ from tillroll.llm.hashing import Substrings, mix
 SHINGLE = 5
 THRESHOLD = 0.8
 RECALL = 0.9999
-LIMIT = 128      # sets that a node may have to be compared whole
+LIMIT = 256      # sets that a node may have to be compared whole
 DEPTH = 2        # levels of splitting
-BLOCK = 512      # sets in a block of a node that stays large
+BLOCK = 2048     # sets in a block of a node that stays large
 BINS = 128       # bytes in a sketch
 SURE = 5.0       # standard deviations that a sketch may fall short
 SLICE_BYTES = 1 << 20
@@ -262,7 +262,7 @@ def _sift(threshold: float, pairs_at_once: int = 1 << 16):
     return sift
 
 
-def intersections(sets: list[np.ndarray], chunk: int = 1 << 13) -> np.ndarray:
+def intersections(sets: list[np.ndarray], chunk: int = 1 << 11) -> np.ndarray:
     """Sizes of all pairwise intersections, through dense columns of shared tokens."""
     n = len(sets)
     who = np.repeat(np.arange(n), [len(s) for s in sets])
@@ -273,7 +273,7 @@ def intersections(sets: list[np.ndarray], chunk: int = 1 << 13) -> np.ndarray:
     who, column = who[keep], number[column[keep]]
     by = np.argsort(column, kind="stable")
     who, column = who[by], column[by]
-    total = np.zeros((n, n), np.float64)
+    total = np.zeros((n, n), np.float32)  # exact below 2^24 shared tokens
     last = int(column[-1]) + 1 if len(column) else 0
     for start in range(0, last, chunk):
         a, b = np.searchsorted(column, [start, start + chunk])
