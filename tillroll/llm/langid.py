@@ -36,7 +36,7 @@ FEATURE_BITS = 16
 MODEL_FEATURES = 1 << FEATURE_BITS
 PER_LANGUAGE = 30_000
 MAX_LANGUAGES = 1000   # more distinct values than this are no language codes
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 STEPS = 10
 UNKNOWN = "und"
 
@@ -195,7 +195,8 @@ def predict(df: DataFrame, model: Model, text: str = "text", lang_out: str = "la
             yield pa.StructArray.from_arrays([pa.array(lang, pa.string()), pa.array(score, pa.float64())],
                                              ["lang", "score"])
 
-    result = infer(F.col(f"`{text}`").cast("string"))
+    # not to be run again for a filter on what it predicts
+    result = infer.asNondeterministic()(F.col(f"`{text}`").cast("string"))
     name = "__language"
     while name in df.columns:
         name += "_"

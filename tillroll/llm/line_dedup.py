@@ -87,8 +87,9 @@ def drop_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", size:
                 [pa.array(out, pa.string()), pa.array(lines, pa.int64()), pa.array(removed, pa.int64())],
                 ["text", "lines", "removed"])
 
+    # not to be run again for a filter on what it returns
     joined = numbered.join(cover, row, "left").withColumn(
-        result, strip(F.col(f"`{text}`"), F.col(starts)))
+        result, strip.asNondeterministic()(F.col(f"`{text}`"), F.col(starts)))
     return joined.select(
         *[F.col(f"{result}.text").alias(c) if c.lower() == text.lower() else F.col(f"`{c}`") for c in df.columns],
         F.col(f"{result}.lines").alias(lines_out), F.col(f"{result}.removed").alias(removed_out))
