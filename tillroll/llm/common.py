@@ -47,15 +47,12 @@ def internal(df: DataFrame, *names: str) -> list[str]:
 def with_row_id(df: DataFrame, name: str) -> DataFrame:
     """Number the rows (not gapless), so that equal rows stay apart.
 
-    The number comes from a row's place in its partition, so it must be taken
-    where that place cannot change between runs: on a scan. A ``df`` that
-    holds a shuffle is stored first.
+    The number comes from a row's place in its partition, and that place changes
+    between jobs, on a plain scan too: the cuts of a scan depend on the cores
+    registered just then. So the numbered rows are stored, and every later pass
+    reads the same numbers.
     """
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
-    if any(x in plan for x in ("Join", "Aggregate", "Window", "Repartition", "Rebalance", "Sort",
-                               "Distinct", "Deduplicate", "Intersect", "Except", "Groups")):
-        df = store(df, "rows")
-    return df.withColumn(name, F.monotonically_increasing_id())
+    return store(df.withColumn(name, F.monotonically_increasing_id()), "rows")
 
 
 def text_or_empty(col: str | Column) -> Column:

@@ -340,8 +340,13 @@ def link_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     class_id, class_row (the row that represents the class), class_size,
     n_links (documents linked to it, copies included) and n_linked_sets
     (different shingle sets linked to its own)."""
-    numbered = with_row_id(docs.select(F.col(f"`{doc_id}`").alias("id"),
-                                       F.col(f"`{text}`").cast("string").alias("text")), "row")
+    named = docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
+    return _link_numbered(with_row_id(named, "row"), threshold, recall, limit, block)
+
+
+def _link_numbered(numbered: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL,
+                   limit: int = LIMIT, block: int = BLOCK) -> DataFrame:
+    """``link_classes`` of stored rows (row, id, text)."""
     runs = runs_needed(threshold, DEPTH, recall)
     told = store(_describe(numbered, "text", runs, threshold), "jaccard-documents")
     # the row that represents a set, and later a class: with the smallest id, null last
@@ -423,8 +428,11 @@ def _result(told: DataFrame, classes: DataFrame, degrees: DataFrame, roots: Data
 def first_of_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that represent their classes, with all columns."""
     row, = internal(docs, "__row")
-    kept = link_classes(docs, doc_id, text, **options).where(F.col("row") == F.col("class_row"))
-    return (with_row_id(docs, row).join(kept.select(F.col("row").alias(row)), row, "left_semi")
+    numbered = with_row_id(docs, row)
+    named = numbered.select(F.col(row).alias("row"), F.col(f"`{doc_id}`").alias("id"),
+                            F.col(f"`{text}`").cast("string").alias("text"))
+    kept = _link_numbered(named, **options).where(F.col("row") == F.col("class_row"))
+    return (numbered.join(kept.select(F.col("row").alias(row)), row, "left_semi")
             .select(*[F.col(f"`{c}`") for c in docs.columns]))
 
 
