@@ -117,3 +117,29 @@ def test_footrule_of_prefixes():
     order = np.array([[2, 0, 1], [0, 1, 2], [3, 4, 5]], np.int32)
     starts, rows, positions = ann.inverted_files(order, 6)
     assert ann.footrule(order[0], starts, rows, positions, 3).tolist() == [0, 4, 6]
+
+
+def test_index_posts_256_pivots_of_every_row(spark):
+    blocks, pivots = ann.build_index(_frame(spark, _random(700, 24, 5)), block=300)
+    got = blocks.collect()
+    assert len(pivots) == 512 and sum(len(r.ids) // 8 for r in got) == 700
+    for r in got:
+        assert len(r.positions) // 2 == len(r.rows) // 4 == 256 * (len(r.ids) // 8)
+
+
+def test_distances_against_brute_force():
+    order = np.array([np.random.default_rng(i).permutation(512)[:256] for i in range(40)], np.int32)
+    at = ann.places(*ann.inverted_files(order, 512), 40, 256)
+    for q in order[:3].tolist():
+        assert ann.distances(np.array(q), at).tolist() == [
+            sum(abs((r.index(p) if p in r else 256) - i) for i, p in enumerate(q)) for r in order.tolist()]
+
+
+def test_near_copies_do_not_crowd_the_pivots(spark):
+    x = _random(900, 24, 8)
+    x[:450] = x[0] + 0.01 * x[:450]
+    _, pivots = ann.build_index(_frame(spark, x), pivots=200)
+    near = pivots @ pivots.T - np.eye(200)
+    assert len(pivots) == 200 and near.max() < ann.ALIKE
+    few = ann.apart(pivots[[0, 0, 1]], 3)
+    assert few.shape == (3, 24) and (few[0] == few[2]).all()
