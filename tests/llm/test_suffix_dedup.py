@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tillroll.llm import suffix_dedup as sd
@@ -112,3 +113,28 @@ def test_a_merge_looks_at_no_byte_twice(monkeypatch):
     sd.merge_runs(runs)
     # comparing whole strings would look at 500 bytes for each of 400 * 3 comparisons
     assert sum(looked) < 8 * 500 + 400 * 3 * 3
+
+
+def _anchors(texts, length, gram):
+    data = "".join(texts).encode()
+    bounds = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    anchor, lo, hi = sd.find_anchors(np.frombuffer(data, np.uint8), bounds, length, gram)
+    return sd.zstandard.compress(np.stack([lo, anchor - lo, hi - lo]).astype(np.int32).tobytes())
+
+
+def test_hot_counts_contexts_and_not_blocks(spark):
+    """One passage in other surroundings each time, in two blocks: no range may get all its suffixes."""
+    passage = "a passage that many documents hold, always in other surroundings"
+    texts = [f"{i * 7919:08d}" * 4 + passage + f"{i * 104729:09d}" * 4 for i in range(60)]
+    block = sd.Block({"lengths": np.array([len(t) for t in texts], np.int64).tobytes(),
+                      "text": sd.zstandard.compress("".join(texts).encode()), "anchors": _anchors(texts, 40, 20)}, 40, 20)
+    low, flags, contexts = block.entries()
+    for g in range(len(block.grams)):
+        assert contexts[g] == len(set(block.c[block.of == g].tolist()))
+    assert contexts.max() >= 50
+    rows = list(sd._entries_by_bucket(1, block.grams, low, flags, contexts, 1))
+    got = sd._resolve(1, 50)(pa.table({"bucket": [r[0] for r in rows], "block": [r[1] for r in rows],
+                                       "payload": pa.array([r[2] for r in rows], pa.binary())}))
+    state = np.frombuffer(got["payload"][0].as_py(), np.uint8)
+    assert (state == sd.HOT_OPEN).sum() == (contexts >= 50).sum() > 0
+    assert _run(spark, texts, length=40, hot=50, range_entries=100) == _brute(texts, 40)

@@ -25,9 +25,9 @@ sorted, and of these only the ones that can matter:
    A range's answer to a block is which of its windows repeat.
 4. Each block marks its repeating windows and cuts their bytes out.
 
-What is sent is two hashes for an anchor and one answer; the texts are read
-from the stored blocks. A substring that ``hot`` or more blocks hold in several
-contexts would make one range too large: the hashes of its windows are
+What is sent is two hashes and a count for an anchor and one answer; the texts are read
+from the stored blocks. A substring with ``hot`` suffixes or more (contexts, counted in each
+block) would make one range too large: the hashes of its windows are
 counted in hash buckets instead, like in step 2, which is exact too. Copies
 within a block are sent once with their number.
 
@@ -57,10 +57,10 @@ GRAM = 96
 BLOCK_BYTES = 4 << 20
 SLICE_BYTES = 1 << 20
 BUCKET_ENTRIES = 500_000   # hashes in a bucket
-RANGE_ENTRIES = 40_000     # open substrings of blocks in a range
-HOT = 100_000              # blocks
-SAMPLE = 20_000            # substrings from which splitters are taken, at most
-PER_BLOCK = 16
+RANGE_ENTRIES = 40_000     # suffixes in a range
+HOT = RANGE_ENTRIES        # suffixes of a substring, over all blocks
+SAMPLE = 20_000            # suffixes from which splitters are taken, at most
+SAMPLE_BLOCKS = 256        # blocks they come from, at most
 
 UNIQUE, CLOSED, OPEN, HOT_OPEN = 0, 1, 2, 3
 
@@ -111,14 +111,17 @@ class Block:
         self.grams, self.of = np.unique(self.h, return_inverse=True)
 
     def entries(self):
-        """Per distinct substring: a context, and bit 0: occurs twice here, bit 1: in two contexts."""
-        order = np.argsort(self.of, kind="stable")
-        starts = np.searchsorted(self.of[order], np.arange(len(self.grams)))
-        c = self.c[order]
-        low = np.minimum.reduceat(c, starts) if len(c) else c
-        high = np.maximum.reduceat(c, starts) if len(c) else c
+        """Per distinct substring: a context, bit 0: occurs twice here, bit 1: in two contexts,
+        and its number of contexts here."""
+        order = np.lexsort((self.c, self.of))
+        of, c = self.of[order], self.c[order]
+        starts = np.searchsorted(of, np.arange(len(self.grams)))
+        if not len(c):
+            return c, np.empty(0, np.uint8), np.empty(0, np.uint32)
+        new = np.concatenate([[True], (np.diff(of) != 0) | (c[1:] != c[:-1])])
+        contexts = np.add.reduceat(new, starts, dtype=np.uint32)
         count = np.diff(np.append(starts, len(c)))
-        return low, (count >= 2).astype(np.uint8) | ((low != high).astype(np.uint8) << 1)
+        return c[starts], (count >= 2).astype(np.uint8) | ((contexts >= 2).astype(np.uint8) << 1), contexts
 
     def open_contexts(self, state: np.ndarray):
         """The distinct contexts of open substrings in the order of their suffixes:
@@ -160,8 +163,7 @@ def _pack(docs: DataFrame, length: int, gram: int, block_bytes: int, id_type: T.
     schema = T.StructType([
         T.StructField("block", T.LongType()), T.StructField("ids", T.ArrayType(id_type)),
         T.StructField("lengths", T.BinaryType()), T.StructField("text", T.BinaryType()),
-        T.StructField("anchors", T.BinaryType()), T.StructField("n_anchors", T.LongType()),
-        T.StructField("sample", T.ArrayType(T.BinaryType()))])
+        T.StructField("anchors", T.BinaryType()), T.StructField("n_anchors", T.LongType())])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, texts, lengths, total, first = [], [], [], 0, None
@@ -177,8 +179,6 @@ def _pack(docs: DataFrame, length: int, gram: int, block_bytes: int, id_type: T.
                 anchor, lo, hi = find_anchors(buf[a:b], bounds[i:j + 1] - a, length, gram)
                 found.append(np.stack([lo + a, anchor - lo, hi - lo]))
             anchors = np.concatenate(found, axis=1) if found else np.empty((3, 0), np.int64)
-            at = anchors[0] + anchors[1]
-            some = at[np.argsort(mix(at.astype(np.uint64)))[:PER_BLOCK]]
             all_ids = pa.chunked_array(ids).combine_chunks()
             return pa.RecordBatch.from_arrays(
                 [pa.array([first], pa.int64()),
@@ -186,8 +186,7 @@ def _pack(docs: DataFrame, length: int, gram: int, block_bytes: int, id_type: T.
                  pa.array([size.astype(np.int64).tobytes()], pa.binary()),
                  pa.array([zstandard.compress(data, 3)], pa.binary()),
                  pa.array([zstandard.compress(anchors.astype(np.int32).tobytes(), 3)], pa.binary()),
-                 pa.array([anchors.shape[1]], pa.int64()),
-                 pa.array([[data[s:s + gram] for s in some]], pa.list_(pa.binary()))], names=schema.names)
+                 pa.array([anchors.shape[1]], pa.int64())], names=schema.names)
 
         for b in batches:
             text = b.column("text")
@@ -217,18 +216,19 @@ def _bucket(h: np.ndarray, buckets: int) -> np.ndarray:
     return ((h >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
 
 
-def _entries_by_bucket(block: int, h: np.ndarray, c: np.ndarray, flags: np.ndarray, buckets: int):
+def _entries_by_bucket(block: int, h: np.ndarray, c: np.ndarray, flags: np.ndarray, number: np.ndarray,
+                       buckets: int):
     """Rows (bucket, block, payload) of sorted hashes."""
     cuts = np.searchsorted(_bucket(h, buckets), np.arange(buckets + 1))
     for r in np.flatnonzero(np.diff(cuts)):
         a, b = cuts[r], cuts[r + 1]
-        yield int(r), block, h[a:b].tobytes() + c[a:b].tobytes() + flags[a:b].tobytes()
+        yield int(r), block, b"".join(x[a:b].tobytes() for x in (h, c, flags, number))
 
 
 def _unpack_entries(payload: bytes):
-    n = len(payload) // 17
+    n = len(payload) // 21
     return (np.frombuffer(payload, np.uint64, n), np.frombuffer(payload, np.uint64, n, 8 * n),
-            np.frombuffer(payload, np.uint8, n, 16 * n))
+            np.frombuffer(payload, np.uint8, n, 16 * n), np.frombuffer(payload, np.uint32, n, 17 * n))
 
 
 def _resolve(kind: int, hot: int):
@@ -237,14 +237,15 @@ def _resolve(kind: int, hot: int):
         part = rows["bucket"][0].as_py()
         blocks = rows["block"].to_pylist()
         got = [_unpack_entries(p.as_py()) for p in rows["payload"]]
-        h, c, flags = (np.concatenate([g[k] for g in got]) for k in range(3))
+        h, c, flags, number = (np.concatenate([g[k] for g in got]) for k in range(4))
         order = np.argsort(h, kind="stable")
         starts = np.flatnonzero(np.concatenate([[True], np.diff(h[order]) != 0]))
         n = np.diff(np.append(starts, len(h)))
         several = (np.minimum.reduceat(c[order], starts) != np.maximum.reduceat(c[order], starts)) \
             | (np.bitwise_or.reduceat(flags[order], starts) >= 2)
         twice = (n > 1) | ((np.bitwise_or.reduceat(flags[order], starts) & 1) > 0)
-        state = np.where(several, np.where(n >= hot, HOT_OPEN, OPEN), np.where(twice, CLOSED, UNIQUE))
+        suffixes = np.add.reduceat(number[order].astype(np.int64), starts)
+        state = np.where(several, np.where(suffixes >= hot, HOT_OPEN, OPEN), np.where(twice, CLOSED, UNIQUE))
         each = np.empty(len(h), np.uint8)
         each[order] = np.repeat(state, n)
         out, at = [], 0
@@ -255,8 +256,8 @@ def _resolve(kind: int, hot: int):
             "block": pa.array(blocks, pa.int64()), "kind": pa.array([kind] * len(out), pa.int32()),
             "part": pa.array([part] * len(out), pa.int32()),
             "payload": pa.array([o.tobytes() for o in out], pa.binary()),
-            "open": pa.array([int((o == OPEN).sum()) for o in out], pa.int64()),
-            "hot": pa.array([int((o == HOT_OPEN).sum()) for o in out], pa.int64())})
+            "open": pa.array([int(g[3][o == OPEN].sum()) for g, o in zip(got, out)], pa.int64()),
+            "hot": pa.array([int(g[3][o == HOT_OPEN].sum()) for g, o in zip(got, out)], pa.int64())})
 
     return resolve
 
@@ -486,8 +487,7 @@ def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", le
     def send_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in (r for b in batches for r in b.to_pylist()):
             b = Block(row, length, gram)
-            c, flags = b.entries()
-            yield _entry_batch(_entries_by_bucket(row["block"], b.grams, c, flags, buckets))
+            yield _entry_batch(_entries_by_bucket(row["block"], b.grams, *b.entries(), buckets))
 
     read = blocks.select("block", "lengths", "text", "anchors")
     answers = store(read.mapInArrow(send_hashes, ENTRIES).groupBy("bucket")
@@ -496,7 +496,7 @@ def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", le
     every = answers.select("block", "kind", "part", "payload")
 
     if n_open:
-        splitters = _splitters(blocks, int(n_blocks), max(1, -(-int(n_open) // range_entries)))
+        splitters = _splitters(read, every, int(n_blocks), max(1, -(-int(n_open) // range_entries)), length, gram)
 
         def send_runs(left: pa.Table, right: pa.Table) -> pa.Table:
             rows = []
@@ -521,7 +521,8 @@ def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", le
                 b = Block(row, length, gram)
                 _, one, two = b.hot_windows(_states(right, 1))
                 h, first, count = np.unique(one, return_index=True, return_counts=True)
-                rows += _entries_by_bucket(row["block"], h, two[first], (count > 1).astype(np.uint8), hot_buckets)
+                rows += _entries_by_bucket(row["block"], h, two[first], (count > 1).astype(np.uint8),
+                                           np.ones(len(h), np.uint32), hot_buckets)
             return pa.Table.from_batches([_entry_batch(rows)])
 
         hot_buckets = max(1, -(-int(n_hot) * (length - gram + 1) // bucket_entries))
@@ -556,15 +557,37 @@ def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", le
             .cogroup(every.groupBy("block")).applyInArrow(cut, schema))
 
 
-def _splitters(blocks: DataFrame, n_blocks: int, ranges: int) -> list[bytes]:
-    """Substrings that cut all anchors into ``ranges`` parts, from a bounded sample."""
-    share = max(1, -(-n_blocks * PER_BLOCK // SAMPLE))
-    drawn = (blocks.where(F.pmod(F.xxhash64("block"), F.lit(share)) == 0)
-             .select(F.explode("sample").alias("s")).orderBy(F.xxhash64("s")).limit(2 * SAMPLE).collect())
-    sample = sorted({bytes(r.s) for r in drawn})
-    if not sample:
+def _splitters(blocks: DataFrame, answers: DataFrame, n_blocks: int, ranges: int, length: int,
+               gram: int) -> list[bytes]:
+    """Substrings that cut the suffixes of open substrings into ``ranges`` parts, from a bounded sample.
+
+    Each block drawn gives an equal share of its suffixes, so a substring counts as often as
+    it has contexts and a block as much as it has suffixes.
+    """
+    if ranges == 1:
+        return []
+    share = max(1, -(-n_blocks // SAMPLE_BLOCKS))
+    some = F.pmod(F.xxhash64("block"), F.lit(share)) == 0
+    most = max(1, SAMPLE // min(n_blocks, SAMPLE_BLOCKS))
+
+    def draw(left: pa.Table, right: pa.Table) -> pa.Table:
+        out, weight = [], []
+        for row in left.to_pylist():
+            b = Block(row, length, gram)
+            strings = b.open_contexts(_states(right, 1))[4]
+            step = max(1, -(-len(strings) // most))
+            out += [x[:gram] for x in strings[step // 2::step]]
+            weight += [step] * len(strings[step // 2::step])
+        return pa.table({"s": pa.array(out, pa.binary()), "weight": pa.array(weight, pa.int64())})
+
+    drawn = (blocks.where(some).groupBy("block").cogroup(answers.where(some).groupBy("block"))
+             .applyInArrow(draw, "s binary, weight long").groupBy("s").agg(F.sum("weight").alias("weight")).collect())
+    if not drawn:
         return []
-    return sorted({sample[len(sample) * i // ranges] for i in range(1, ranges)})
+    drawn = sorted((bytes(r.s), r.weight) for r in drawn)
+    upto = np.cumsum([w for _, w in drawn])
+    at = np.searchsorted(upto, upto[-1] * np.arange(1, ranges) / ranges, side="right")
+    return sorted({drawn[min(i, len(drawn) - 1)][0] for i in at.tolist()})
 
 
 def _covered(b: Block, answers: pa.Table) -> np.ndarray:
