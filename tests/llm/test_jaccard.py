@@ -114,6 +114,20 @@ def test_runs_needed_meets_the_recall():
     assert abs(met / 400 - (1 - math.exp(-2 / 1.8))) < 0.08
 
 
+def test_runs_needed_for_contained_sets():
+    """A document and itself with a quarter appended share one branch on average."""
+    rng = np.random.default_rng(2)
+    met = 0
+    for t in range(2000):
+        b = np.unique(rng.integers(0, 2 ** 63, 200, dtype=np.uint64))
+        a = np.sort(rng.permutation(b)[:160])
+        root = np.array([t + 1], np.uint64)
+        met += bool(np.intersect1d(jaccard.branches(root, a, 0.8)[1], jaccard.branches(root, b, 0.8)[1]).size)
+    assert abs(met / 2000 - (1 - math.exp(-1))) < 0.04
+    lives = 1 - math.exp(-(1 - math.exp(-1)))
+    assert (1 - lives) ** jaccard.runs_needed(0.8, 2, 0.9999) <= 1e-4
+
+
 def test_sketches_keep_pairs_at_the_threshold():
     rng = np.random.default_rng(1)
     for n in (3, 30, 300, 3000):

@@ -70,12 +70,14 @@ def runs_needed(threshold: float, depth: int, recall: float) -> int:
     """Runs after which a pair at the threshold has met with probability ``recall``.
 
     The number of branches two sets share is about Poisson with mean
-    ``2 / (1 + threshold)`` at every level; a pair meets at ``depth`` if that
-    branching process lives so long.
+    ``intersection / (threshold * larger size)`` at every level. At the threshold
+    that is 1 at least, for a set contained in the other (2 / (1 + threshold) for
+    sets of equal size); a pair meets at ``depth`` if that branching process lives
+    so long.
     """
-    mean, lives = 2 / (1 + threshold), 1.0
+    lives = 1.0
     for _ in range(depth):
-        lives = 1 - math.exp(-mean * lives)
+        lives = 1 - math.exp(-lives)
     return max(1, math.ceil(math.log(1 - recall) / math.log(1 - lives)))
 
 
