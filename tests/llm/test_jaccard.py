@@ -153,6 +153,30 @@ def test_intersections():
                 assert got[i, j] == len(np.intersect1d(a, b))
 
 
+def test_intersections_in_token_ranges(monkeypatch):
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.integers(0, 400, 200)).astype(np.uint64) for _ in range(20)]
+    seen, inner = [], jaccard._intersections
+    monkeypatch.setattr(jaccard, "_intersections", lambda s, c: seen.append(sum(map(len, s))) or inner(s, c))
+    assert (jaccard.intersections(sets, at_once=500) == inner(sets, 1 << 11)).all()
+    assert max(seen) < 1000
+
+
+def test_groups_are_cut_by_bytes():
+    import pyarrow as pa
+    batch = pa.RecordBatch.from_pydict({"node": list(range(100)), "i": [0] * 100, "j": [0] * 100,
+                                        "tokens": [bytes(8000)] * 100})
+    got = [len(t) for t in jaccard._groups(iter([batch]), 512, 80_000)]
+    assert sum(got) == 100 and max(got) <= 25
+
+
+def test_long_near_copies_go_in_blocks_of_few_tokens(spark):
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(400)]
+    rows = [(i, " ".join(base[:k] + [f"n{i}"] + base[k:])) for i, k in enumerate(rng.choices(range(400), k=40))]
+    assert _run(spark, rows, tokens=1500) == _brute(rows)
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(i, i + 1) for i in range(100, 140)] + [(5, x) for x in range(200, 260)] + \

@@ -9,7 +9,8 @@ that link share one branch or more on average, however common their tokens
 are. A node with at most ``limit`` sets is compared by brute force; a larger
 one is split once more. What is still large then (many sets that resemble each
 other) is compared in blocks, pair of blocks by pair of blocks, so no task ever
-holds more than two blocks. Runs are repeated until a pair at the threshold is
+holds more than two blocks. Blocks are bounded by their sets and their tokens
+(on average: sets are dealt by hash). Runs are repeated until a pair at the threshold is
 met with probability ``recall``.
 
 The brute force goes from cheap to exact: sets whose sizes differ too much
@@ -46,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import internal, lookup_split, sized_slices, store, table, with_row_id
+from tillroll.llm.common import internal, lookup_split, sized_slices, store, table, text_bytes, with_row_id
 from tillroll.llm.components import components
 from tillroll.llm.hashing import Substrings, mix
 
@@ -56,6 +57,7 @@ RECALL = 0.9999
 LIMIT = 256      # sets that a node may have to be compared whole
 DEPTH = 2        # levels of splitting
 BLOCK = 2048     # sets in a block of a node that stays large
+TOKENS = 2 << 20 # tokens in a block, and of a node that is compared whole (one set at least)
 BINS = 128       # bytes in a sketch
 SURE = 5.0       # standard deviations that a sketch may fall short
 SLICE_BYTES = 1 << 20
@@ -199,16 +201,17 @@ def _tokens_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 _GROUP = ["node", "i", "j"]
 
 
-def _groups(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
-    """Tables of whole (node, i, j) groups, about ``rows`` rows each, from sorted batches."""
+def _groups(batches: Iterator[pa.RecordBatch], rows: int, size: int = 8 * TOKENS) -> Iterator[pa.Table]:
+    """Tables of whole (node, i, j) groups, about ``rows`` rows or ``size`` bytes each, from sorted batches."""
     held: list[pa.RecordBatch] = []
     n = 0
+    batches = (b.slice(i, j - i) for b in batches for i, j in _cuts(b, size))
     for b in batches:
         if not b.num_rows:
             continue
         held.append(b)
         n += b.num_rows
-        if n >= rows:
+        if n >= rows or sum(x.nbytes for x in held) >= size:
             t = pa.Table.from_batches(held).combine_chunks()
             key = np.stack([t[c].to_numpy() for c in _GROUP])
             cut = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0))
@@ -222,6 +225,13 @@ def _groups(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held).combine_chunks()
 
 
+def _cuts(b: pa.RecordBatch, size: int) -> Iterator[tuple[int, int]]:
+    """Slices of a batch of about ``size`` bytes of tokens."""
+    if "tokens" not in b.schema.names:
+        return iter([(0, b.num_rows)])
+    return sized_slices(np.diff(text_bytes(b.column("tokens"))[1]), size)
+
+
 def _bounds(t: pa.Table) -> np.ndarray:
     key = np.stack([t[c].to_numpy() for c in _GROUP])
     return np.concatenate([[0], np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1, [len(t)]])
@@ -259,12 +269,28 @@ def _sift(threshold: float, pairs_at_once: int = 1 << 16):
                         near = alike(marks[p], marks[q], threshold)
                         keep[p[near]] = True
                         keep[q[near]] = True
-            yield from t.filter(pa.array(keep)).select(["node", "i", "j", "part", "n", "set"]).to_batches()
+            yield from t.filter(pa.array(keep)).select(["node", "i", "j", "part", "n", "weight", "set"]).to_batches()
 
     return sift
 
 
-def intersections(sets: list[np.ndarray], chunk: int = 1 << 11) -> np.ndarray:
+def intersections(sets: list[np.ndarray], chunk: int = 1 << 11, at_once: int = TOKENS) -> np.ndarray:
+    """Sizes of all pairwise intersections of sorted sets, summed over ranges of
+    tokens (hashes) that hold about ``at_once`` tokens."""
+    parts = max(1, -(-sum(map(len, sets)) // at_once))
+    if parts == 1:
+        return _intersections(sets, chunk)
+    # the sample's quantiles; equal tokens stay in one range
+    sample = np.sort(np.concatenate([s[::parts] for s in sets]))
+    edges = np.unique(sample[len(sample) * np.arange(1, parts) // parts])
+    cuts = [np.concatenate([[0], np.searchsorted(s, edges), [len(s)]]) for s in sets]
+    total = np.zeros((len(sets), len(sets)), np.float32)
+    for k in range(len(edges) + 1):
+        total += _intersections([s[c[k]:c[k + 1]] for s, c in zip(sets, cuts)], chunk)
+    return total
+
+
+def _intersections(sets: list[np.ndarray], chunk: int) -> np.ndarray:
     """Sizes of all pairwise intersections, through dense columns of shared tokens."""
     n = len(sets)
     who = np.repeat(np.arange(n), [len(s) for s in sets])
@@ -337,17 +363,17 @@ def _roots(linked: np.ndarray, ids: np.ndarray) -> np.ndarray:
 
 def link_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                  threshold: float = THRESHOLD, recall: float = RECALL, limit: int = LIMIT,
-                 block: int = BLOCK) -> DataFrame:
+                 block: int = BLOCK, tokens: int = TOKENS) -> DataFrame:
     """One row per row of ``docs``: row (its number, see ``with_row_id``), id,
     class_id, class_row (the row that represents the class), class_size,
     n_links (documents linked to it, copies included) and n_linked_sets
     (different shingle sets linked to its own)."""
     named = docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
-    return _link_numbered(with_row_id(named, "row"), threshold, recall, limit, block)
+    return _link_numbered(with_row_id(named, "row"), threshold, recall, limit, block, tokens)
 
 
 def _link_numbered(numbered: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL,
-                   limit: int = LIMIT, block: int = BLOCK) -> DataFrame:
+                   limit: int = LIMIT, block: int = BLOCK, most: int = TOKENS) -> DataFrame:
     """``link_classes`` of stored rows (row, id, text)."""
     runs = runs_needed(threshold, DEPTH, recall)
     told = store(_describe(numbered, "text", runs, threshold), "jaccard-documents")
@@ -362,7 +388,7 @@ def _link_numbered(numbered: DataFrame, threshold: float = THRESHOLD, recall: fl
     top = classes.select("set", "size", F.explode("branches").alias("b")).select(
         "set", "size", "b.node", "b.children")
     met = _met(top)
-    whole = F.col("n") <= limit
+    whole = (F.col("n") <= limit) & ((F.col("weight") <= most) | (F.col("n") <= 2))
     deeper = _met(met.where(~whole).select("set", "size", F.explode("children").alias("node")))
     leaves = met.where(whole).drop("children").unionByName(deeper)
     # a set without a set of fitting size in its node has no link there; large
@@ -372,15 +398,15 @@ def _link_numbered(numbered: DataFrame, threshold: float = THRESHOLD, recall: fl
              .withColumn("below", F.lag("size").over(by_size)).withColumn("above", F.lead("size").over(by_size))
              .where((F.col("below") >= threshold * F.col("size") - 1e-9)
                     | (F.col("above") * threshold <= F.col("size") + 1e-9))
-             .select("node", "n", "set", "size", F.lit(0).alias("part"), F.lit(0).alias("i"), F.lit(0).alias("j")))
-    blocks = F.ceil(F.col("n") / F.lit(block)).cast("int")
+             .select("node", "n", "weight", "set", "size", F.lit(0).alias("part"), F.lit(0).alias("i"), F.lit(0).alias("j")))
+    blocks = F.greatest(F.ceil(F.col("n") / F.lit(block)), F.least("n", F.ceil(F.col("weight") / F.lit(most)))).cast("int")
     large = (leaves.where(~whole)
              .withColumn("part", F.pmod(F.xxhash64("set", "node"), blocks).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-             .select("node", "n", "set", "size", "part", F.least("part", "other").alias("i"),
+             .select("node", "n", "weight", "set", "size", "part", F.least("part", "other").alias("i"),
                      F.greatest("part", "other").alias("j")))
     sifted = store(_by_group(small.unionByName(large).join(classes.select("set", "sketch"), "set"))
-                   .mapInArrow(_sift(threshold), "node long, i int, j int, part int, n long, set long"),
+                   .mapInArrow(_sift(threshold), "node long, i int, j int, part int, n long, weight long, set long"),
                    "jaccard-sifted")
     # small nodes left with the same sets are compared once
     same = (sifted.groupBy(*_GROUP).agg(
@@ -400,8 +426,8 @@ def _link_numbered(numbered: DataFrame, threshold: float = THRESHOLD, recall: fl
 
 
 def _met(frontier: DataFrame) -> DataFrame:
-    """The rows of ``frontier`` in nodes of two sets or more, with their number ``n``."""
-    counts = store(frontier.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n >= 2"), "jaccard-counts")
+    """The rows of ``frontier`` in nodes of two sets or more, with their number ``n`` and their tokens ``weight``."""
+    counts = store(frontier.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("weight")).where("n >= 2"), "jaccard-counts")
     total = int(counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
     return store(lookup_split(frontier, counts, ["node"], "n", total, F.xxhash64("set"))
                  .where(F.col("n").isNotNull()), "jaccard-met")
