@@ -28,6 +28,19 @@ def store(df: DataFrame, label: str, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+# Bytes of rows that Spark hands to a Python worker at a time (one row at least).
+BATCH_BYTES = 4 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Let Python workers receive rows in batches of BATCH_BYTES, not of 10,000 whole texts."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
+def shuffle_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

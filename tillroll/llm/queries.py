@@ -7,12 +7,15 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import ann, bpe, jaccard, langid, line_dedup, mixing, sharding, suffix_dedup, topk, toxicity
+from tillroll.llm import ann, bpe, jaccard, langid, line_dedup, mixing, sharding, simple8b, suffix_dedup, topk, \
+    toxicity
 from tillroll.llm.common import table
 
 # The rank file and pattern of the registered queries; operators take any.
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
+WORDS = public_tokenizers.path("word_bpe_49k.json")
+END_ID = 2
 SHARDS = 40
 
 
@@ -28,6 +31,10 @@ def _op3(spark, sf):
     return sharding.assignments(_documents(spark, sf), SHARDS)
 
 
+def _op12(spark, sf):
+    return simple8b.token_files(_documents(spark, sf), WORDS, END_ID)
+
+
 def _pipeline(spark, sf):
     import corpus_pipeline  # at the repository's top, which imports this package
 
@@ -46,6 +53,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_permutation_index": ann.nearest_cosines,
         "op9_toxicity_lexicon": toxicity.toxicity,
         "op10_suffix_dedup": suffix_dedup.without_repeats,
+        "op12_token_files": _op12,
         "pipeline": _pipeline,
     }
 
