@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import ann, bpe, jaccard, langid, line_dedup, mixing, sharding, simple8b, suffix_dedup, topk, \
-    toxicity
+from tillroll.llm import ann, bpe, jaccard, langid, line_dedup, mixing, runs, sharding, simple8b, \
+    suffix_dedup, topk, toxicity
 from tillroll.llm.common import table
 
 # The rank file and pattern of the registered queries; operators take any.
@@ -54,6 +54,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_toxicity_lexicon": toxicity.toxicity,
         "op10_suffix_dedup": suffix_dedup.without_repeats,
         "op12_token_files": _op12,
+        "op13_periodic_runs": lambda spark, sf: runs.periodic_runs(_documents(spark, sf)),
         "pipeline": _pipeline,
     }
 
@@ -78,4 +79,5 @@ def oracle_sql() -> dict[str, str]:
         "op4_jaccard_join": jaccard.ORACLE,
         "op6_line_dedup": line_dedup.ORACLE,
         "op10_suffix_dedup": suffix_dedup.ORACLE,
+        "op13_periodic_runs": runs.ORACLE,
     }
