@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import ann, bpe, jaccard, langid, line_dedup, mixing, runs, sharding, simple8b, \
+from tillroll.llm import ann, audit, bpe, jaccard, langid, line_dedup, mixing, runs, sharding, simple8b, \
     suffix_dedup, topk, toxicity
 from tillroll.llm.common import table
 
@@ -53,6 +53,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_permutation_index": ann.nearest_cosines,
         "op9_toxicity_lexicon": toxicity.toxicity,
         "op10_suffix_dedup": suffix_dedup.without_repeats,
+        "op11_conversation_audit": lambda spark, sf: audit.repaired_conversations(table(spark, sf, "conversations")),
         "op12_token_files": _op12,
         "op13_periodic_runs": lambda spark, sf: runs.periodic_runs(_documents(spark, sf)),
         "pipeline": _pipeline,
@@ -79,5 +80,6 @@ def oracle_sql() -> dict[str, str]:
         "op4_jaccard_join": jaccard.ORACLE,
         "op6_line_dedup": line_dedup.ORACLE,
         "op10_suffix_dedup": suffix_dedup.ORACLE,
+        "op11_conversation_audit": audit.ORACLE,
         "op13_periodic_runs": runs.ORACLE,
     }
