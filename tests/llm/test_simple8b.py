@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -53,12 +54,12 @@ def _plain(texts):
 
 @pytest.mark.parametrize("memo", [3, 400_000])
 def test_encoding_is_the_library_s(memo, monkeypatch):
-    monkeypatch.setattr(simple8b, "SLICE_CHARS", 40)
+    monkeypatch.setattr(simple8b, "SLICE_BYTES", 40)
     rng = np.random.default_rng(memo)
-    parts = ["don't", "'s", ".", ",", "...", "A", "ß", "Σ", "́", "1", " ", "\n", "\t", " ", "\x1c", "word", "!"]
+    parts = ["don't", "H", "ẖ", "̱", "ẗ", "T", "'s", ".", ",", "...", "A", "ß", "Σ", "́", "1", " ", "\n", "\t", " ", "\x1c", "word", "!"]
     texts = ["".join(rng.choice(parts, rng.integers(0, 60))) for _ in range(300)] + [t or "" for t in TEXTS]
     words = simple8b.WordTokenizer(PATH, memo_words=memo)
-    for text, got, want in zip(texts, words.encode(texts), _plain(texts)):
+    for text, got, want in zip(texts, words.encode(pa.array(texts)), _plain(texts)):
         assert got.tolist() == want, repr(text)
 
 

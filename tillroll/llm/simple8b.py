@@ -16,13 +16,12 @@ first, rows of one key by a hash of the text; equal rows are interchangeable.
 Spark's commit makes a file appear whole or not at all, so a lost executor
 leaves no half-written segment.
 
-Encoding. The tokenizer reads a text in words cut at blanks and line feeds,
-each with the white space gone: valid for a tokenizer that drops white space
-and whose matches never cross it (``word_tokenizer`` refuses others). Words are
-encoded once and remembered, up to MEMO_WORDS in a worker.
+Encoding. The tokenizer reads a text in words, cut where no match of its pattern
+can cross (``WordTokenizer``; tokenizers that keep white space are refused). A
+distinct word is encoded once and remembered, up to about MEMO_WORDS in a worker.
 
 Rows: a null text is the empty text; both give just the end id. A text of any
-length is read in slices of SLICE_CHARS; only a text without any white space is
+length is read in slices of SLICE_BYTES; only a text without any white space is
 one piece. Repeated rows are all kept; no table of one row per key is built, so
 skew has no effect but that of the sort, which spreads the rows of one key. An
 empty table gives no rows. Only the key and the text are read, so other columns
@@ -32,8 +31,8 @@ cannot clash.
 from __future__ import annotations
 
 import functools
+import itertools
 import os
-import re
 import uuid
 from collections.abc import Iterator
 
@@ -42,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import bounded_batches, shuffle_partitions, sized_slices
+from tillroll.llm.common import bounded_batches, shuffle_partitions, sized_slices, text_bytes
 from tillroll.session import checkpoint_dir
 
 # Fixed values of the format: (count, width) by selector.
@@ -50,8 +49,10 @@ SELECTORS = [(240, 0), (120, 0), (60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (1
              (8, 7), (7, 8), (6, 10), (5, 12), (4, 15), (3, 20), (2, 30), (1, 60)]
 BLOCK_IDS = 1024
 SLAB_IDS = 1 << 18
-SLICE_CHARS = 1 << 20
-MEMO_WORDS = 400_000
+SLICE_BYTES = 1 << 20
+MEMO_WORDS = 600_000
+# A table of one row (16 bytes) per segment is broadcast up to this many.
+BROADCAST_SEGMENTS = 1_000_000
 
 _COUNT = np.array([c for c, _ in SELECTORS])
 _WIDTH = np.array([w for _, w in SELECTORS])
@@ -155,11 +156,36 @@ def unpack(words: np.ndarray, first_word: np.ndarray, escapes: np.ndarray, n: in
 
 # -- encoding --------------------------------------------------------------
 
-_PUNCTUATED = re.compile(r"(.*[a-zA-Z0-9])([.,;:!?])", re.DOTALL)
+# Bytes: white space to a blank, ASCII letters to lower case; where a word may be cut.
+_BLANK = np.arange(256, dtype=np.uint8)
+_BLANK[9:14] = 32
+_FOLD = _BLANK.copy()
+_FOLD[65:91] += 32
+_ALNUM = np.array([chr(b).isascii() and chr(b).isalnum() for b in range(256)])
+_MARK = np.array([chr(b) in ".,;:!?" for b in range(256)])
+# Lead bytes of combining marks, with which a letter's case and its composed form may not commute.
+_COMBINING = (0xCC, 0xCD)
+
+
+class _Memo(dict):
+    """Numbers words as they are met; ``new`` are those not yet encoded."""
+
+    def __init__(self):
+        super().__init__({b"": 0})
+        self.new: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        self.new.append(word)
+        self[word] = number = len(self)
+        return number
 
 
 class WordTokenizer:
-    """Ids of texts by the ``tokenizers`` library, each distinct word encoded once."""
+    """Ids of texts by the ``tokenizers`` library, each distinct word encoded once.
+
+    A text is cut at ASCII white space and before a mark that follows an ASCII
+    letter or digit; no match of the tokenizer's pattern crosses such a place.
+    """
 
     def __init__(self, path: str, memo_words: int = MEMO_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task for every core
@@ -168,72 +194,66 @@ class WordTokenizer:
         self._library = Tokenizer.from_file(path)
         self._limit = memo_words
         self._forget()
-        for probe in ("a b", "a\nb", "a \n  b", " a", "b ", "a, b.", ".", "a b!"):
-            apart = [i for w in probe.replace("\n", " ").split(" ") for i in self._plain([w])[0]]
-            if self._plain([probe])[0] != apart:
-                raise ValueError("this tokenizer does not drop white space; its texts cannot be cut at it")
+        self._fold = self._plain(["Ab C"]) == self._plain(["ab c"])
+        probes = ["a b", "a\nb", "a \n  b", " a", "b ", "a, b.", "a b!", "a.b c,d", "1.2", "a.'s b's", "A;:b ?"]
+        for probe, ids in zip(probes, self.encode(pa.array(probes))):
+            if self._plain([probe])[0] != ids.tolist():
+                raise ValueError("this tokenizer does not drop white space, so its texts cannot be cut at it")
 
     def _plain(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self._library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _forget(self) -> None:
-        self._memo: dict[str, int] = {"": 0}
+        self._memo = _Memo()
         self._flat, self._from = np.empty(0, np.uint32), np.zeros(2, np.int64)
 
-    def _learn(self, words: list[str]) -> None:
-        """Encode words; one that ends in a mark after an ASCII letter or digit, in two parts."""
-        if len(self._memo) + len(words) > self._limit:
-            self._forget()
-        split = {w: m.groups() for w in words if (m := _PUNCTUATED.fullmatch(w))}
-        whole = {p for w in words for p in split.get(w, (w,))} - self._memo.keys()
-        plain = dict(zip(whole, self._plain(list(whole))))
-        known, flat, frm = self._memo, self._flat, self._from
-
-        def ids_of(part):
-            if part in plain:
-                return plain[part]
-            k = known[part]
-            return flat[frm[k]:frm[k + 1]].tolist()
-
-        new = {w: [i for p in split.get(w, (w,)) for i in ids_of(p)] for w in [*words, *whole]}
-        added = list(new.values())
-        first = len(self._from) - 1
-        self._memo.update(zip(new, range(first, first + len(new))))
-        sizes = np.fromiter(map(len, added), np.int64, len(added))
-        self._flat = np.concatenate([self._flat, np.fromiter((i for a in added for i in a), np.uint32, sizes.sum())])
+    def _learn(self) -> None:
+        lists = self._plain([w.decode("utf-8", "replace") for w in self._memo.new])
+        self._memo.new = []
+        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+        added = np.fromiter(itertools.chain.from_iterable(lists), np.uint32, sizes.sum())
+        self._flat = np.concatenate([self._flat, added])
         self._from = np.concatenate([self._from, self._from[-1] + np.cumsum(sizes)])
 
-    def _slice(self, texts: list[str]) -> list[np.ndarray]:
-        lists = [t.replace("\n", " ").split(" ") for t in texts]
-        words = [w for one in lists for w in one]
-        missing = {w for w in words if w not in self._memo}
-        if missing:
-            # when the memo is emptied on the way, the words known so far go too
-            room = len(self._memo) + 2 * len(missing) <= self._limit
-            self._learn(list(missing if room else set(words)))
-        at = np.fromiter(map(self._memo.__getitem__, words), np.int64, len(words))
+    def _slice(self, data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
+        """Ids of the texts ``data[offsets[i]:offsets[i + 1]]``."""
+        if len(self._memo) > self._limit:
+            self._forget()
+        fold = self._fold and not any((data == b).any() for b in _COMBINING)
+        cuts = 1 + np.flatnonzero(_ALNUM[data[:-1]] & _MARK[data[1:]])
+        body = np.insert((_FOLD if fold else _BLANK)[data], cuts, 32).tobytes()
+        places = (offsets + np.searchsorted(cuts, offsets)).tolist()
+        lists = [body[i:j].split(b" ") for i, j in zip(places, places[1:])]
+        words = itertools.chain.from_iterable(lists)
+        counts = np.fromiter(map(len, lists), np.int64, len(lists))
+        at = np.fromiter(map(self._memo.__getitem__, words), np.int64, counts.sum())
+        if self._memo.new:
+            self._learn()
         start, sizes = self._from[at], self._from[at + 1] - self._from[at]
         upto = np.cumsum(sizes)
         ids = self._flat[np.repeat(start - upto + sizes, sizes) + np.arange(sizes.sum())]
-        ends = np.append(0, upto)[np.cumsum([len(one) for one in lists])]
-        return np.split(ids, ends[:-1])
-
-    def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
-        """Ids of each whole text as unsigned 32-bit integers."""
-        for i, j in sized_slices([len(t) for t in texts], SLICE_CHARS):
-            if len(texts[i]) <= SLICE_CHARS:
-                yield from self._slice(texts[i:j])
-            else:
-                yield np.concatenate([self._slice([piece])[0] for piece in cut_at_space(texts[i])])
-
-
-def cut_at_space(text: str) -> Iterator[str]:
-    """Pieces of SLICE_CHARS and more, cut before a blank or a line feed."""
+        return np.split(ids, upto[np.cumsum(counts)[:-1] - 1])
+
+    def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """Ids of each whole text (no nulls) as unsigned 32-bit integers."""
+        body, offsets = text_bytes(texts)
+        data = np.frombuffer(body, np.uint8)
+        for i, j in sized_slices(np.diff(offsets).tolist(), SLICE_BYTES):
+            part = data[offsets[i]:offsets[j]]
+            if len(part) <= SLICE_BYTES:
+                yield from self._slice(part, offsets[i:j + 1] - offsets[i])
+            else:  # one long text
+                yield np.concatenate([self._slice(p, np.array([0, len(p)]))[0] for p in cut_at_space(part)])
+
+
+def cut_at_space(data: np.ndarray) -> Iterator[np.ndarray]:
+    """Pieces of SLICE_BYTES and more, cut before ASCII white space."""
+    spaces = np.flatnonzero(_BLANK[data] == 32)
     start = 0
-    while start < len(text):
-        found = [p for p in (text.find(" ", start + SLICE_CHARS), text.find("\n", start + SLICE_CHARS)) if p >= 0]
-        end = min(found, default=len(text))
-        yield text[start:end]
+    while start < len(data):
+        k = np.searchsorted(spaces, start + SLICE_BYTES)
+        end = int(spaces[k]) if k < len(spaces) else len(data)
+        yield data[start:end]
         start = end
 
 
@@ -279,7 +299,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str | None = None, key:
                  for v, t in zip(row, fields.values())], names=list(fields))
 
         for batch in batches:
-            for k, encoded in enumerate(words.encode(batch.column("text").to_pylist())):
+            for k, encoded in enumerate(words.encode(batch.column("text"))):
                 ids.append(np.append(encoded, np.uint32(end_id)))
                 keys.append(batch.column("key").slice(k, 1))
                 held += len(ids[-1])
@@ -319,6 +339,10 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     32-bit integers)."""
     bounded_batches(spark)
     slabs = spark.read.parquet(path)
+    starts = segment_starts(slabs.select("segment", "n"))
+    if (slabs.agg(F.max("segment")).first()[0] or 0) < BROADCAST_SEGMENTS:
+        starts = F.broadcast(starts)
+    slabs = slabs.join(starts, "segment")
     kind = slabs.schema["keys"].dataType.elementType.simpleString()
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -331,19 +355,15 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
                 keys = row.column("keys").flatten()
                 sizes = unpack(raw["lengths"], raw["length_first"], raw["length_escapes"], len(keys)).astype(np.int64)
                 ends = np.cumsum(sizes)
-                starts = ends - sizes + row.column("first")[0].as_py()
+                before = row.column("segment_start")[0].as_py() + row.column("first")[0].as_py()
                 # offsets of 32 bits hold a slab: whole documents, about SLAB_IDS ids
                 data = pa.py_buffer(ids.tobytes())
                 offsets = pa.py_buffer((np.concatenate([[0], ends]) * 4).astype("<i4").tobytes())
                 binary = pa.Array.from_buffers(pa.binary(), len(keys), [None, offsets, data])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(keys), row.column("segment")[0].as_py(), np.int32)), keys,
-                     pa.array(starts), pa.array(sizes), binary],
-                    names=["segment", "key", "place", "n_tokens", "token_ids"])
-
-    docs = slabs.mapInArrow(decode, f"segment int, key {kind}, place long, n_tokens long, token_ids binary")
-    return docs.join(segment_starts(slabs.select("segment", "n")), "segment").select(
-        "key", (F.col("place") + F.col("segment_start")).alias("start"), "n_tokens", "token_ids")
+                yield pa.RecordBatch.from_arrays([keys, pa.array(before + ends - sizes), pa.array(sizes), binary],
+                                                 names=["key", "start", "n_tokens", "token_ids"])
+
+    return slabs.mapInArrow(decode, f"key {kind}, start long, n_tokens long, token_ids binary")
 
 
 def token_files(docs: DataFrame, tokenizer: str, end_id: int = 2) -> DataFrame:
