@@ -1,5 +1,7 @@
+from pyspark.sql import functions as F
+
 from tillroll.llm import jaccard, line_dedup
-from tillroll.llm.common import with_row_id
+from tillroll.llm.common import lookup_split, with_row_id
 
 CORES = "spark.sql.leafNodeDefaultParallelism"  # stands in for the cores registered just then
 
@@ -41,3 +43,13 @@ def test_first_of_classes_when_cores_change(spark, tmp_path):
     df = _files(spark, tmp_path, [(i, f"a{i // 2} b{i // 2} c d e f g") for i in range(200)])
     out = _with_cores(spark, 1, lambda: jaccard.first_of_classes(df))
     assert sorted(r.doc_id for r in _with_cores(spark, 64, out.collect)) == list(range(0, 200, 2))
+
+
+def test_null_keys_are_spread_and_match_nothing(spark):
+    rows = spark.range(4000).select("id", F.when(F.col("id") % 3 == 0, F.col("id")).alias("k"))
+    keyed = spark.range(0, 4000, 3).select(F.col("id").alias("k"), F.lit(1).cast("long").alias("n"))
+    joined = lookup_split(rows, keyed, ["k"], "n", 4000, F.xxhash64("id"))
+    plan = joined._jdf.queryExecution().toString()
+    assert "isnotnull(k" in plan
+    got = joined.collect()
+    assert len(got) == 4000 and all((r.n == 1) == (r.k is not None) for r in got)

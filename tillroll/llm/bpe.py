@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.llm.common import returns_memory
+
 # Texts up to this many characters go to the library in one piece.
 PIECE_CHARS = 1 << 16
 # White space (Unicode White_Space) as the patterns' \s has it; a fixed value.
@@ -91,6 +93,7 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str
     and ``count`` (long) to every row of ``df``."""
 
     @F.arrow_udf("binary")
+    @returns_memory
     def ids_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         enc = encoder(path, pattern)
         for batch in batches:
@@ -107,6 +110,7 @@ def decode(df: DataFrame, path: str, pattern: str, ids: str = "token_ids",
     an id that the rank file lacks is an error."""
 
     @F.arrow_udf("binary")
+    @returns_memory
     def bytes_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         enc = encoder(path, pattern)
         for batch in batches:

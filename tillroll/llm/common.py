@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.llm import hashing
 from tillroll.session import checkpoint_dir
 
 # A key holding at least 1/HOT_SHARE of all rows is "hot"; by counting, at
@@ -37,6 +41,24 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def returns_memory(work: Callable) -> Callable:
+    """A worker's function over batches that gives freed memory back to the
+    system when its task ends: Spark keeps the worker for the next task, and
+    what it holds would add to the tasks of other stages."""
+    @functools.wraps(work)
+    def run(batches):
+        try:
+            yield from work(batches)
+        finally:
+            hashing.forget()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's
+            if trim is not None:
+                trim(0)
+
+    return run
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -109,7 +131,8 @@ def lookup_split(rows: DataFrame, keyed: DataFrame, keys: Sequence[str], count:
     ``keyed[count]`` is the number of ``rows`` of a key and ``total`` the number
     of rows. Keys with ``1 / HOT_SHARE`` of the rows, of which there cannot be
     more than HOT_SHARE, are broadcast. Their rows then take part in the
-    shuffled join under a key that matches nothing, dealt out by ``spread``.
+    shuffled join under a key that matches nothing, dealt out by ``spread``; so
+    do rows with a null key, which match nothing either.
     The columns of ``keyed`` besides the keys must not occur in ``rows``.
     """
     values = [c for c in keyed.columns if c not in keys]
@@ -118,8 +141,9 @@ def lookup_split(rows: DataFrame, keyed: DataFrame, keys: Sequence[str], count:
     is_hot = F.col(count) * HOT_SHARE >= F.lit(total)
     hot = F.broadcast(keyed.where(is_hot).select(*keys, packed.alias(hot_)))
     rest = keyed.where(~is_hot).select(*keys, F.lit(0).alias(salt), packed.alias(rest_))
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     joined = (rows.join(hot, list(keys), "left")
-              .withColumn(salt, F.when(F.col(hot_).isNull(), F.lit(0)).otherwise(
+              .withColumn(salt, F.when(F.col(hot_).isNull() & known, F.lit(0)).otherwise(
                   F.pmod(spread, F.lit(1_000_000)).cast("int") + 1))
               .join(rest, [*keys, salt], "left"))
     both = F.coalesce(F.col(hot_), F.col(rest_))

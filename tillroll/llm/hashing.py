@@ -36,6 +36,11 @@ def _power_table(base: int, n: int) -> np.ndarray:
     return known[:n]
 
 
+def forget() -> None:
+    """Drop the tables of powers (they are as long as the longest buffer so far)."""
+    _powers.clear()
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit values (a bijection)."""
     x = x ^ (x >> np.uint64(30))

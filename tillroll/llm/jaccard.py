@@ -47,7 +47,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import internal, lookup_split, sized_slices, store, table, text_bytes, with_row_id
+from tillroll.llm.common import internal, lookup_split, returns_memory, sized_slices, store, table, text_bytes, \
+    with_row_id
 from tillroll.llm.components import components
 from tillroll.llm.hashing import Substrings, mix
 
@@ -61,6 +62,7 @@ TOKENS = 2 << 20 # tokens in a block, and of a node that is compared whole (one
 BINS = 128       # bytes in a sketch
 SURE = 5.0       # standard deviations that a sketch may fall short
 SLICE_BYTES = 1 << 20
+SLAB = 256       # rows of a block's matrix worked on at a time
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 12, 13, 32]] = True
@@ -153,6 +155,7 @@ def _describe(docs: DataFrame, text: str, runs: int, threshold: float) -> DataFr
     kind = pa.list_(pa.struct([("node", pa.int64()), ("children", pa.list_(pa.int64()))]))
 
     @F.arrow_udf(f"struct<sid:binary,size:int,sketch:binary,branches:{_BRANCHES}>")
+    @returns_memory
     def describe(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             values = batch.to_pylist()
@@ -188,6 +191,7 @@ def _describe(docs: DataFrame, text: str, runs: int, threshold: float) -> DataFr
 def _tokens_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(set, tokens) of the wanted sets, from the document that stands for each."""
     @F.arrow_udf("binary")
+    @returns_memory
     def tokens_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             values, out = batch.to_pylist(), []
@@ -243,6 +247,7 @@ def _by_group(df: DataFrame) -> DataFrame:
 
 def _sift(threshold: float, pairs_at_once: int = 1 << 16):
     """Rows that have a partner of fitting size and sketch in their group."""
+    @returns_memory
     def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _groups(batches, 4096):
             size, part = t["size"].to_numpy(), t["part"].to_numpy()
@@ -313,6 +318,7 @@ def _intersections(sets: list[np.ndarray], chunk: int) -> np.ndarray:
 
 def _compare(threshold: float):
     """Exact links of every group: per set its number of new links and a root."""
+    @returns_memory
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _groups(batches, 512):
             bounds = _bounds(t)
@@ -327,7 +333,11 @@ def _links(t: pa.Table, threshold: float) -> pa.RecordBatch:
     sets = [np.frombuffer(x, np.uint64) for x in t["tokens"].to_pylist()]
     size = np.array([len(x) for x in sets], np.float64)
     shared = intersections(sets)
-    linked = shared >= threshold * (size[:, None] + size[None, :] - shared) - 1e-9
+    linked = np.empty(shared.shape, bool)
+    for k in range(0, len(size), SLAB):  # a slab of rows at a time: no other n x n numbers
+        s = slice(k, k + SLAB)
+        linked[s] = shared[s] >= threshold * (size[s, None] + size[None, :] - shared[s]) - 1e-9
+    del shared
     np.fill_diagonal(linked, False)
     if across:
         part = t["part"].to_numpy()
@@ -343,11 +353,13 @@ def _links(t: pa.Table, threshold: float) -> pa.RecordBatch:
         met = np.zeros((len(some), len(known)), np.float32)
         for k, e in enumerate(earlier):
             met[k, np.searchsorted(known, e)] = 1
-        new = linked & ~((met @ met.T) > 0)
+        new = linked.copy()
+        for k in range(0, len(met), SLAB):
+            new[k:k + SLAB] &= (met[k:k + SLAB] @ met.T) == 0
     return pa.RecordBatch.from_pydict({
         "set": pa.array(ids, pa.int64()), "root": pa.array(_roots(linked, ids), pa.int64()),
         "sets": pa.array(new.sum(axis=1).astype(np.int64), pa.int64()),
-        "docs": pa.array(new.astype(np.int64) @ docs, pa.int64())})
+        "docs": pa.array([int(docs[row].sum()) for row in new], pa.int64())})
 
 
 def _roots(linked: np.ndarray, ids: np.ndarray) -> np.ndarray:

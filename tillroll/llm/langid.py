@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import sized_slices, table
+from tillroll.llm.common import returns_memory, sized_slices, table
 
 FEATURE_BITS = 16
 MODEL_FEATURES = 1 << FEATURE_BITS
@@ -150,6 +150,7 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", doc_id: str
     draw = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     sample = rows.where(draw < share[F.col("lang")]).select("lang", "text")
 
+    @returns_memory
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, np.ndarray] = {}
         for b in batches:
@@ -180,6 +181,7 @@ def predict(df: DataFrame, model: Model, text: str = "text", lang_out: str = "la
     shared = df.sparkSession.sparkContext.broadcast(model)  # one bounded matrix per language
 
     @F.arrow_udf("struct<lang:string,score:double>")
+    @returns_memory
     def infer(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         m = shared.value
         for batch in batches:

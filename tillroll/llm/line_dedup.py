@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import internal, lookup_split, store, table, with_row_id
+from tillroll.llm.common import internal, lookup_split, returns_memory, store, table, with_row_id
 
 WINDOW = 3
 
@@ -69,6 +69,7 @@ def drop_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", size:
              .groupBy(F.col("row").alias(row)).agg(F.collect_set("at").alias(starts)))
 
     @F.arrow_udf("struct<text:string,lines:long,removed:long>")
+    @returns_memory
     def strip(texts: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for values, places in texts:
             out, lines, removed = [], [], []
