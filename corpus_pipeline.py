@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.llm import bpe, jaccard, langid, line_dedup, mixing
-from tillroll.llm.common import store, table
+from tillroll.llm.common import bounded_batches, internal, store, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
@@ -24,19 +24,21 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Rejects documents without a language (no text, no letter); names the
     language of those whose ``lang`` is null."""
     columns = docs.columns
-    told = langid.predict(docs, langid.fit(docs), lang_out="__pred", score_out="__score")
-    return (told.where(F.col("__pred") != langid.UNKNOWN)
-            .withColumn("lang", F.coalesce("lang", "__pred")).select(*columns))
+    pred, score = internal(docs, "__pred", "__score")
+    told = langid.predict(docs, langid.fit(docs), lang_out=pred, score_out=score)
+    return (told.where(F.col(pred) != langid.UNKNOWN)
+            .withColumn("lang", F.coalesce("lang", pred)).select(*[F.col(f"`{c}`") for c in columns]))
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes out repeated three-line windows; a document of which nothing but
     white space is left goes."""
-    stripped = line_dedup.drop_lines(docs, lines_out="__lines", removed_out="__removed")
-    changed = F.col("__removed") > 0
+    lines, removed = internal(docs, "__lines", "__removed")
+    stripped = line_dedup.drop_lines(docs, lines_out=lines, removed_out=removed)
+    changed = F.col(removed) > 0
     return (stripped.where(~changed | F.col("text").rlike(r"\S"))
             .withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-            .select(*docs.columns))
+            .select(*[F.col(f"`{c}`") for c in docs.columns]))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,12 +60,21 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
                          F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def _bounded(stage):
+    """The stage with its Python workers fed by bytes, whoever runs it."""
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        bounded_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES = [
-    ("language_id", identify_language),
-    ("line_dedup", dedup_lines),
-    ("jaccard_join", drop_near_copies),
-    ("source_mixing", mix_sources),
-    ("byte_bpe", tokenize),
+    ("language_id", _bounded(identify_language)),
+    ("line_dedup", _bounded(dedup_lines)),
+    ("jaccard_join", _bounded(drop_near_copies)),
+    ("source_mixing", _bounded(mix_sources)),
+    ("byte_bpe", _bounded(tokenize)),
 ]
 
 # A fitted language model and a byte-pair encoder are not SQL; the pipeline is
