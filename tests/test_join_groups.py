@@ -126,10 +126,37 @@ def test_hot_rows_stay_spread(spark):
         assert split.count() == 8000
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "8MB")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
 
+def test_many_dimension_rows_of_a_hot_key_are_salted(spark, monkeypatch):
+    rows = spark.range(0, 6000, numPartitions=4).select(
+        F.when(F.col("id") % 3 == 0, F.lit("HOT")).when(F.col("id") % 11 == 0, F.lit(None))
+        .otherwise(F.format_string("K%d", F.col("id") % 50)).alias("k"), F.lit("equal").alias("v"))
+    dim = spark.createDataFrame([("HOT", i) for i in range(20)] + [(None, 5)]
+                                + [(f"K{i}", i) for i in range(0, 50, 2)], "k string, x int")
+    monkeypatch.setattr(joins, "DIM_ROWS", 3)
+    facts = stored(rows, "test")
+    for how in ("left", "inner"):
+        got = lookup_join(facts, dim, ["k"], how, hot_rows=100)
+        assert "__salt" in got._jdf.queryExecution().toString()
+        assert sorted(map(str, got.collect())) == _plain(facts, dim, ["k"], how)
+
+
+def test_salts_spread_a_key_with_a_third_of_the_rows(spark):
+    """200,000 dimension rows of one key: what a task reads is bounded by the salts."""
+    facts = stored(spark.range(0, 300_000, numPartitions=4).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"), F.lit(1).alias("v")), "test")
+    dim = spark.range(200_000).select(F.lit(0).cast("long").alias("k"), F.col("id").alias("x"))
+    hot = hot_keys(facts, ["k"], hot_rows=5000)
+    assert [tuple(r) for r in hot.collect()] == [(0, 100_000)]
+    left, right = joins.salted(facts, dim, hot, ["k"], 5000)
+    for side, rows in ((left, 100_000), (right, 20 * 200_000)):
+        sizes = sorted(r["count"] for r in side.groupBy("__salt").count().collect())
+        assert len(sizes) == 20 and sum(sizes) == rows and sizes[-1] <= 2 * sizes[10]
+
+
 def test_enrich_with_hot_customers(spark):
     """The real pipeline with every frequent customer (the fill id among them)
     joined apart gives the same rows."""

@@ -53,3 +53,26 @@ def test_customer_rank_has_no_single_partition_over_rows(spark):
     assert parts, "expected the window over the range totals"
     for part in parts:
         assert "functions=[partial_sum(__w" in part.split("Scan parquet")[0], part[:300]
+
+
+def test_facts_are_no_build_side(spark):
+    """Line items and orders are shuffled, whatever their files' sizes; only nation and region are broadcast."""
+    from tillroll.session import apply_pipeline_conf
+
+    apply_pipeline_conf(spark)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        p = plan(fixtures.raw_sales(spark, SF_SMALL))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    for part in p.split("BroadcastExchange")[1:]:
+        first_scan = part.split("FileScan parquet")[1] if "FileScan parquet" in part else part
+        assert "n_nationkey" in first_scan.split("]")[0] or "r_regionkey" in first_scan.split("]")[0], first_scan[:200]
+    assert "SortMergeJoin" in p or "ShuffledHashJoin" in p
+
+
+def test_cleaning_figures_scan_the_source_once(spark):
+    got = clean.cleaning_metrics(fixtures.raw_sales(spark, SF_SMALL))
+    p = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_orderkey" not in p  # both passes read the stored rows
+    assert got.first().initial_rows == 6405

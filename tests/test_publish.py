@@ -43,3 +43,73 @@ def test_published_pipeline_figures(spark):
     assert (cs.top_known_customer, round(cs.top_known_customer_value, 2)) == ("CUST-131", 99692180.08)
     products = read_table(spark, "fixture_db", "product_performance")
     assert sorted(r.position for r in products.collect()) == list(range(1, 201))
+
+
+def _copy(tmp_path):
+    import shutil
+
+    from tillroll.plans.publish import SOURCES
+
+    for t in SOURCES:
+        shutil.copy(f"{SF_SMALL}/{t}.parquet", tmp_path / f"{t}.parquet")
+    return str(tmp_path)
+
+
+def test_a_killed_run_goes_on_after_the_last_written_stage(spark, tmp_path, monkeypatch):
+    import pytest
+
+    from tillroll.plans import metrics
+    from tillroll.sources import fixtures
+
+    sf = _copy(tmp_path)
+    raw_builds = []
+    build = fixtures.raw_sales
+    monkeypatch.setattr(fixtures, "raw_sales", lambda *a: raw_builds.append(1) or build(*a))
+
+    def killed(*a):
+        raise KeyboardInterrupt("killed")
+
+    with monkeypatch.context() as m:
+        for f in ("daily_sales", "product_performance", "regional_performance", "customer_insights"):
+            m.setattr(metrics, f, killed)
+        with pytest.raises(KeyboardInterrupt):
+            run_all(spark, sf, "restart_db")
+    assert len(raw_builds) == 1
+    first = spark.table("restart_db.enriched_sales_data").inputFiles()
+    # the second run reads raw zero times and keeps the enriched version
+    receipts = {r.table.split(".")[1]: r for r in run_all(spark, sf, "restart_db")}
+    assert len(raw_builds) == 1 and len(receipts) == 16
+    assert spark.table("restart_db.enriched_sales_data").inputFiles() == first
+    whole = {r.table.split(".")[1]: r for r in run_all(spark, SF_SMALL, "restart_other_db")}
+    assert {k: r.row_count for k, r in receipts.items()} == {k: r.row_count for k, r in whole.items()}
+    for key in ("cleaned_sales_data_metadata", "raw_sales_data_metadata", "enriched_sales_data_metadata"):
+        assert read_table(spark, "restart_db", key).collect() == read_table(spark, "restart_other_db", key).collect()
+    # a finished run is not taken up
+    run_all(spark, sf, "restart_db")
+    assert len(raw_builds) == 3
+
+
+def test_changed_inputs_start_anew(spark, tmp_path):
+    import os
+
+    from tillroll.plans.publish import SOURCES
+    from tillroll.sources.manifest import Run, input_signature
+
+    sf = _copy(tmp_path)
+    paths = [f"{sf}/{t}.parquet" for t in SOURCES]
+
+    def signature():
+        return {"inputs": input_signature(spark, paths)}
+
+    before = signature()
+    Run(spark, "change_db", before).stage("one", lambda: spark.range(3))
+    assert Run(spark, "change_db", signature()).resumed == ["one"]
+    assert Run(spark, "change_db", before | {"zone": "other"}).resumed == []
+    os.utime(paths[0], (1, 1))
+    assert signature() != before
+    assert Run(spark, "change_db", signature()).resumed == []
+    # a version that is gone is written again
+    run = Run(spark, "gone_db", before)
+    receipt = run.stage("one", lambda: spark.range(3))
+    os.remove(receipt.version.removeprefix("file:") + "/_SUCCESS")
+    assert Run(spark, "gone_db", before).resumed == []

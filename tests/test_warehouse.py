@@ -92,3 +92,50 @@ def test_tables_of_an_earlier_session_are_found_again(spark):
     assert read_table(spark, "later_db", "first one").count() == 4
     assert register_database(spark, "later_db") == ["first_one", "second"]
     assert spark.sql("SELECT count(*) FROM later_db.second").first()[0] == 6
+
+
+def test_readers_during_overwrites_see_one_version(spark):
+    """A reader looping over 20 overwrites, every other with another column."""
+    import threading
+
+    from pyspark.sql import functions as F
+
+    def version(n):
+        df = spark.range(0, 100 + n).withColumn("n", F.lit(n))
+        return df.withColumn("more", F.lit(n)) if n % 4 >= 2 else df
+
+    publish(version(0), "loop_db", "busy")
+    stop, seen, failed = threading.Event(), [], []
+
+    def read():
+        while not stop.is_set():
+            try:
+                r = read_table(spark, "loop_db", "busy").agg(
+                    F.count(F.lit(1)).alias("rows"), F.min("n").alias("a"), F.max("n").alias("b")).first()
+                seen.append((r.rows, r.a, r.b))
+            except Exception as e:  # noqa: BLE001
+                failed.append(str(e))
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    for n in range(1, 21):
+        publish(version(n), "loop_db", "busy")
+    stop.set()
+    reader.join()
+    assert not failed, failed[0]
+    assert seen and all(a == b and rows == 100 + a for rows, a, b in seen)
+    assert read_table(spark, "loop_db", "busy").count() == 120
+    assert spark.sql("SELECT max(n) FROM loop_db.busy").first()[0] == 20
+
+
+def test_a_query_begun_before_the_switch_ends(spark):
+    from tillroll.sources.warehouse import children, database_location
+
+    publish(spark.range(0, 10), "old_db", "kept")
+    begun = read_table(spark, "old_db", "kept")
+    publish(spark.range(0, 20), "old_db", "kept")
+    assert begun.count() == 10 and read_table(spark, "old_db", "kept").count() == 20
+    # without a retention only the newest version stays
+    publish(spark.range(0, 30), "old_db", "kept", retention_s=0)
+    home = f"{database_location(spark, 'old_db').rstrip('/')}/kept"
+    assert len(children(spark, home)) == 1 and read_table(spark, "old_db", "kept").count() == 30

@@ -8,7 +8,10 @@ which goes by bytes. On top of that:
   counting, at most HOT_SHARE keys can be, whatever the size of the data. NULL
   and NaN count as keys here, though they match nothing;
 * the dimension rows of hot keys are broadcast and joined to the hot fact rows
-  where these lie, without a shuffle, so even equal rows stay spread;
+  where these lie, without a shuffle, so even equal rows stay spread. If they
+  are more than DIM_ROWS, the fact rows of a hot key are dealt over salts, one
+  for each ``hot_rows`` of them, and its dimension rows are repeated for every
+  salt: no task gets more than about ``hot_rows`` rows of a hot key;
 * all other fact rows go through the ordinary join, where no key holds more
   than ``1 / HOT_SHARE`` of the rows.
 
@@ -22,32 +25,59 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillroll.session import is_stored, stored
 
 HOT_SHARE = 1000
 # Keys with fewer rows than this fit a task anyway.
 HOT_ROWS = 1_000_000
-# Rows of hot keys that a dimension may have to be broadcast; beyond it (a
-# dimension with thousands of rows for one key) the ordinary join is used.
+# Dimension rows of hot keys that are broadcast at most; more are salted.
 DIM_ROWS = 100_000
 
 
+def _hot_counts(rows: DataFrame, keys: Sequence[str], hot_rows: int, share: int) -> list[Row]:
+    """Hot keys with their rows ``__n``, ``share`` at most: one aggregation over
+    the key columns (a hot key is one row per map task before the shuffle), of
+    which each task hands on its ``share`` largest; a count of the rows only if
+    some key reaches ``hot_rows``."""
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") >= hot_rows)
+    top = counts.orderBy(F.desc("__n")).limit(share).collect()
+    if not top:
+        return []
+    total = rows.count()
+    return [r for r in top if r["__n"] * share >= total]
+
+
 def hot_keys(rows: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS,
              share: int = HOT_SHARE) -> DataFrame:
     """Keys with at least ``hot_rows`` rows and ``1 / share`` of all rows: at
-    most ``share`` keys, stored.
+    most ``share`` keys, with their rows ``__n``."""
+    narrow = rows.select(*keys)
+    schema = T.StructType([*narrow.schema.fields, T.StructField("__n", T.LongType())])
+    return rows.sparkSession.createDataFrame(_hot_counts(narrow, keys, hot_rows, share), schema)
+
 
-    One aggregation over the key columns, partially aggregated map-side (a hot
-    key is one row per map task before the shuffle).
+def salted(facts: DataFrame, dim: DataFrame, hot: DataFrame, keys: Sequence[str],
+           hot_rows: int) -> tuple[DataFrame, DataFrame]:
+    """The fact rows of hot keys with a ``__salt``, and the dimension rows of
+    hot keys once for every salt of theirs.
+
+    A fact row's salt is its place in the stored files, which is the same
+    however often a task runs; equal rows get different salts.
     """
-    many = stored(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-                  .where(F.col("__n") >= hot_rows), "keys")
-    if many.isEmpty():
-        return many.select(*keys)
-    return many.where(F.col("__n") * share >= F.lit(rows.count())).select(*keys)
+    salts = F.broadcast(hot.withColumn("__salts", F.ceil(F.col("__n") / hot_rows).cast("int")).drop("__n"))
+    place = F.xxhash64(F.monotonically_increasing_id())
+    left = (facts.withColumn("__place", place).join(salts.toDF(*[f"__{k}" for k in keys], "__salts"),
+                                                    reduce(lambda a, b: a & b, [
+                                                        F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]))
+            .withColumn("__salt", F.pmod("__place", "__salts").cast("int"))
+            .drop("__place", "__salts", *[f"__{k}" for k in keys]))
+    right = (dim.join(salts, list(keys))
+             .withColumn("__salt", F.explode(F.sequence(F.lit(0), F.col("__salts") - 1))).drop("__salts"))
+    return left, right
 
 
 def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
@@ -68,15 +98,17 @@ def lookup_join(facts: DataFrame, dim: DataFrame, keys: Sequence[str], how: str
     keys = list(keys)
     if key_rows is None and not is_stored(facts):
         return facts.join(dim, keys, how)
-    hot = hot_keys((facts if key_rows is None else key_rows).select(*keys), keys, hot_rows)
+    hot = hot_keys(facts if key_rows is None else key_rows, keys, hot_rows)
     if hot.isEmpty():
         return facts.join(dim, keys, how)
-    hot_dim = stored(dim.join(F.broadcast(hot), keys, "left_semi"), "hot")
-    if hot_dim.count() > DIM_ROWS:
-        return facts.join(dim, keys, how)
+    few = F.broadcast(hot.select(*keys))
+    hot_dim = stored(dim.join(few, keys, "left_semi"), "hot")
     facts = facts if is_stored(facts) else stored(facts, "facts")
     columns = [*facts.columns, *[c for c in dim.columns if c not in keys]]
-    few = F.broadcast(hot)
-    there = facts.join(few, _same(facts, hot, keys), "left_semi").join(F.broadcast(hot_dim), keys, how)
-    rest = facts.join(few, _same(facts, hot, keys), "left_anti").join(dim, keys, how)
+    if hot_dim.count() <= DIM_ROWS:
+        there = facts.join(few, _same(facts, few, keys), "left_semi").join(F.broadcast(hot_dim), keys, how)
+    else:
+        left, right = salted(facts, hot_dim, hot, keys, hot_rows)
+        there = left.join(right, [*keys, "__salt"], how)
+    rest = facts.join(few, _same(facts, few, keys), "left_anti").join(dim, keys, how)
     return there.select(*columns).unionAll(rest.select(*columns))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tillroll.functions.dates import calendar_days, elapsed_days, tenure_category
@@ -61,6 +61,29 @@ def enriched_sales(cleaned: DataFrame, customers: DataFrame, hot_rows: int = HOT
     return add_tenure(fill_customer_defaults(left_join_customers(cleaned, customers, hot_rows)))
 
 
+def enriched_with_figures(cleaned: DataFrame, customers: DataFrame) -> tuple[DataFrame, Observation]:
+    """``enriched_sales``, and its additive figures as a by-product of writing
+    it: taken behind the join, in the tasks that write (see ``clean``)."""
+    figures = Observation("enrichment")
+    joined = left_join_customers(cleaned, customers).observe(
+        figures, F.count(F.lit(1)).alias("rows_enriched"),
+        F.count_if(F.col("customer_name").isNull()).cast("bigint").alias("missing_customers_filled"),
+        F.coalesce(F.sum(money("total_amount")).cast("double"), F.lit(0.0)).alias("total_revenue"))
+    return add_tenure(fill_customer_defaults(joined)), figures
+
+
+def metrics_of(cleaned: DataFrame, enriched: DataFrame, figures: dict) -> DataFrame:
+    """The row of ``enrichment_metrics`` from the figures observed and the two
+    written tables (one narrow column of each)."""
+    tiers = value_counts_map(enriched, "tier", "tier_distribution")
+    unique = cleaned.where(F.col(JOIN_KEY).isNotNull()).select(JOIN_KEY).distinct() \
+        .agg(F.count(F.lit(1)).alias("n")).scalar()
+    return tiers.select(F.lit(figures["rows_enriched"]).cast("bigint").alias("rows_enriched"),
+                        F.lit(figures["missing_customers_filled"]).cast("bigint").alias("missing_customers_filled"),
+                        unique.alias("unique_customers"),
+                        F.lit(figures["total_revenue"]).cast("double").alias("total_revenue"), "tier_distribution")
+
+
 def enrichment_metrics(cleaned: DataFrame, customers: DataFrame) -> DataFrame:
     """One row: rows_enriched, missing_customers_filled (rows whose customer
     name was NULL after the join), unique_customers, total_revenue,

@@ -8,7 +8,9 @@ The cleaning, enrichment and summary figures live next to their stages
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -26,6 +28,13 @@ def ingest_metrics(raw: DataFrame, key: str = "transaction_id") -> DataFrame:
         F.coalesce(F.sum("n") - F.count(F.lit(1)), F.lit(0)).cast("bigint").alias("duplicate_count"))
 
 
+def ingest_of(spark: SparkSession, rows: int, columns: Sequence[str], duplicates: int) -> DataFrame:
+    """The row of ``ingest_metrics`` from a write's receipt and the copies that
+    the de-duplication by the same key has removed."""
+    return spark.createDataFrame([(rows, len(columns), ",".join(columns), duplicates)],
+                                 "row_count long, column_count long, columns string, duplicate_count long")
+
+
 def row_count(df: DataFrame) -> DataFrame:
     """One row: row_count."""
     return df.agg(F.count(F.lit(1)).alias("row_count"))

@@ -15,9 +15,9 @@ PIPELINE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Broadcasts go by bytes: of the files before the data is read, of the
-    # shuffled rows (measured) once it is.
-    "spark.sql.autoBroadcastJoinThreshold": "8MB",
+    # Broadcasts go by measured bytes of shuffled rows only. Sizes estimated
+    # from compressed files would make a fact table the build side.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     # Reduce-side partitions AQE aims for when it coalesces.
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",

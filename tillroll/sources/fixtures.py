@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tillroll.functions.ids import prefixed_id, scatter, zero_pad
 from tillroll.operators.joins import lookup_join
 from tillroll.operators.masking import append_picked, copy_where, mask_to_null, negate_where, sample_n
+from tillroll.sources.warehouse import filesystem
 
 # Fixed values of the derivation (kept identical in the oracle SQL).
 #   transaction_id   'TXN-%06d-%d-%d-%d' of (l_orderkey, l_linenumber, l_partkey, l_suppkey)
@@ -58,6 +59,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+# Bytes of files up to which a table is broadcast.
+SMALL_BYTES = 1 << 20
+
+
+def _small(spark: SparkSession, sf_dir: str, name: str, df: DataFrame) -> DataFrame:
+    """``df``, which has at most the rows of table ``name``: broadcast if the
+    files of that table are small (their sizes are looked up, nothing is read)."""
+    fs, path = filesystem(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return F.broadcast(df) if fs.getContentSummary(path).getLength() <= SMALL_BYTES else df
+
+
 def _null_id(l_orderkey: Column, l_linenumber: Column) -> Column:
     return (l_orderkey * 7 + l_linenumber) % 20 == 0
 
@@ -78,7 +90,9 @@ def customer_regions(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
     """(c_custkey, ``more`` customer columns, r_name) via nation and region."""
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     region = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    geo = nation.join(region, nation.n_regionkey == region.r_regionkey).select("n_nationkey", "r_name")
+    geo = nation.join(_small(spark, sf_dir, "region", region), nation.n_regionkey == region.r_regionkey).select(
+        "n_nationkey", "r_name")
+    geo = _small(spark, sf_dir, "nation", geo)  # a row for each nation
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", *more)
     return cust.join(geo, cust.c_nationkey == geo.n_nationkey).select("c_custkey", *more, "r_name")
 

@@ -13,12 +13,15 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillroll.functions.values import nan_to_null, storage_type
 
+# Seconds that a replaced version of a table stays readable.
+RETENTION_S = 3600.0
 # Fixed value: the characters a name may have.
 _UNSAFE = re.compile(r"[^a-zA-Z0-9_]")
 
@@ -84,12 +87,18 @@ class WriteReceipt:
     table: str
     row_count: int
     columns: list[str]
+    version: str = ""  # folder of the version written (Parquet tables)
 
 
 def publish(df: DataFrame, database: str, key: str | Sequence[str],
-            table_format: str = "parquet") -> WriteReceipt:
+            table_format: str = "parquet", retention_s: float = RETENTION_S) -> WriteReceipt:
     """Replace table ``database.table_name(key)`` with ``df``.
 
+    The new version is a folder of its own, and the catalog moves to it in one
+    step when it is complete: readers see the old rows or the new ones. Versions
+    replaced less than ``retention_s`` seconds ago are kept, so queries that
+    began before the switch end on the files they began with.
+
     The rows are counted by an ``Observation`` on the write itself: no second
     pass. An empty frame still creates the table with its columns. Writing a
     table onto itself is refused by Spark; publish each stage from its input.
@@ -114,11 +123,12 @@ def publish(df: DataFrame, database: str, key: str | Sequence[str],
         path = f"{home}/version-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
         out.write.format("parquet").save(path)
         _point_to(spark, name, path)
-        _drop_versions(spark, home, keep=path)
+        _drop_versions(spark, home, retention_s)
     else:
+        path = ""
         out.writeTo(name).using(table_format).createOrReplace()
     rows = obs.get.get("rows", 0) if out.columns else 0
-    return WriteReceipt(name, int(rows), list(out.columns))
+    return WriteReceipt(name, int(rows), list(out.columns), path)
 
 
 def read_table(spark: SparkSession, database: str, key: str | Sequence[str]) -> DataFrame:
@@ -130,18 +140,31 @@ def read_table(spark: SparkSession, database: str, key: str | Sequence[str]) ->
     """
     name = f"{safe_name(database)}.{table_name(key)}"
     ensure_database(spark, database)
-    if not spark.catalog.tableExists(name):
+    try:
+        return spark.table(name)
+    except AnalysisException as e:
         found = _versions(spark, _table_home(spark, database, key))
-        if found:
-            _point_to(spark, name, found[-1])
-    return spark.table(name)
+        if e.getCondition() != "TABLE_OR_VIEW_NOT_FOUND" or not found:
+            raise
+    # not in this session's catalog, or being replaced by other columns just now
+    if not spark.catalog.tableExists(name):
+        try:
+            spark.catalog.createTable(name, path=found[-1], source="parquet")
+        except AnalysisException:  # the writer was faster
+            pass
+    return read_version(spark, found[-1])
+
+
+def read_version(spark: SparkSession, path: str) -> DataFrame:
+    """One version of a table, whatever the catalog points to by now."""
+    return spark.read.parquet(path)
 
 
 def register_database(spark: SparkSession, database: str) -> list[str]:
     """Register every table found in the database's folder; returns their names."""
     ensure_database(spark, database)
     home = database_location(spark, database).rstrip("/")
-    names = [p.rsplit("/", 1)[-1] for p in _children(spark, home) if _versions(spark, p)]
+    names = [p.rsplit("/", 1)[-1] for p in children(spark, home) if _versions(spark, p)]
     for n in names:
         read_table(spark, database, n)
     return sorted(names)
@@ -151,35 +174,60 @@ def _table_home(spark: SparkSession, database: str, key: str | Sequence[str]) ->
     return f"{database_location(spark, database).rstrip('/')}/{table_name(key)}"
 
 
-def _fs(spark: SparkSession, path: str):
+def filesystem(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path as it takes it."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def _children(spark: SparkSession, path: str) -> list[str]:
-    fs, p = _fs(spark, path)
+def children(spark: SparkSession, path: str) -> list[str]:
+    fs, p = filesystem(spark, path)
     return [f"{path}/{s.getPath().getName()}" for s in fs.listStatus(p)] if fs.exists(p) else []
 
 
 def _versions(spark: SparkSession, home: str) -> list[str]:
     """Complete versions of a table, oldest first."""
-    out = []
-    for path in sorted(p for p in _children(spark, home) if p.rsplit("/", 1)[-1].startswith("version-")):
-        fs, done = _fs(spark, f"{path}/_SUCCESS")
-        if fs.exists(done):
-            out.append(path)
-    return out
+    return [p for p in _all_versions(spark, home) if version_complete(spark, p)]
+
+
+def _all_versions(spark: SparkSession, home: str) -> list[str]:
+    return sorted(p for p in children(spark, home) if p.rsplit("/", 1)[-1].startswith("version-"))
+
+
+def version_complete(spark: SparkSession, path: str) -> bool:
+    fs, done = filesystem(spark, f"{path}/_SUCCESS")
+    return fs.exists(done)
 
 
 def _point_to(spark: SparkSession, name: str, path: str) -> None:
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    """Move the table to the version at ``path``.
+
+    With the same columns that is one change of the catalog's entry. Other
+    columns need a new entry; ``read_table`` bridges the moment between.
+    """
+    if spark.catalog.tableExists(name):
+        old, new = spark.table(name).schema, read_version(spark, path).schema
+        if [(f.name, f.dataType) for f in old] == [(f.name, f.dataType) for f in new]:
+            quoted = path.replace("\\", "\\\\").replace("'", "\\'")
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{quoted}'")
+            return
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.catalog.createTable(name, path=path, source="parquet")
 
 
-def _drop_versions(spark: SparkSession, home: str, keep: str) -> None:
-    for path in _versions(spark, home):
-        if path != keep and path < keep:
-            fs, p = _fs(spark, path)
+def _written_ns(path: str) -> int:
+    return int(path.rsplit("/", 1)[-1].split("-")[1])
+
+
+def _drop_versions(spark: SparkSession, home: str, retention_s: float) -> None:
+    """Delete versions that a complete newer one replaced before the retention,
+    and unfinished ones older than it."""
+    done = _versions(spark, home)
+    oldest = time.time_ns() - int(retention_s * 1e9)
+    for path in _all_versions(spark, home):
+        newer = [p for p in done if p > path]
+        if newer and _written_ns(newer[0]) <= oldest:
+            fs, p = filesystem(spark, path)
             fs.delete(p, True)
 
 
