@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from tillroll.plans import clean
 
 NAN = float("nan")
@@ -93,6 +95,10 @@ def test_sample_fraction_depends_on_the_keys_alone(spark):
     a = {r.id for r in sample_fraction(df, 0.1, ["id"]).collect()}
     assert 800 < len(a) < 1200
     assert a == {r.id for r in sample_fraction(df.repartition(7), 0.1, ["id"]).collect()}
+    # fractions far below a millionth: 10 and 12 rows expected
+    assert 2 <= sample_fraction(spark.range(20_000_000), 5e-7, ["id"]).count() <= 30
+    sparse = spark.range(12_000).select((F.col("id") * 1_000_003 * 7).alias("id"))  # leading digits 0
+    assert 2 <= sample_fraction(sparse, 1e-9, ["id"]).count() <= 40
 
 
 def test_dedup_removes_exactly_the_planted_copies(spark):

@@ -121,3 +121,43 @@ def test_rank_of_strings_and_extremes(spark):
     assert {r.id: r.r for r in average_rank(big, "v", "r").collect()} == {0: 2.0, 1: 1.0}
     asc = {r.id: r.r for r in average_rank(big, "v", "r", descending=False).collect()}
     assert asc == {0: 1.0, 1: 2.0}
+
+
+def _jobs(spark, run):
+    tracker, group = spark.sparkContext.statusTracker(), f"jobs-{id(run)}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        out = run()
+        return out, len(tracker.getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_a_rank_is_built_in_few_jobs(spark):
+    df = spark.range(5000).select((F.col("id") % 700).cast("double").alias("v"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # which runs each exchange as a job
+    try:
+        ranked, jobs = _jobs(spark, lambda: average_rank(df, "v", "r"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert jobs <= 3
+    assert ranked.agg(F.min("r"), F.max("r"), F.count("r")).first() == (4.0, 4996.5, 5000) or \
+        ranked.where("r is null").isEmpty()
+
+
+def test_merged_sketches_are_close(spark):
+    from tillroll.plans import metrics
+
+    sales = spark.range(400_000).select(
+        F.when(F.col("id") % 4 < 3, "West").otherwise("East").alias("region"),
+        F.expr("date_add(date'2024-01-01', cast(id % 50 as int))").alias("transaction_date_only"),
+        (F.col("id") % 90_001).cast("string").alias("customer_id"))
+    got = {r.region: r for r in metrics.region_customers_checked(sales).collect()}
+    assert got["West"].unique_customers == 90_001 and all(r.within_tolerance for r in got.values())
+    merged = metrics.merged_customers(metrics.customer_sketches(sales)).first()[0]
+    assert abs(merged / 90_001 - 1) < 0.02
+    exact = {r.region: r.unique_customers for r in metrics.regional_performance(
+        sales.withColumns({"total_amount": F.lit(1.0), "transaction_id": F.lit("x")})).collect()}
+    near = {r.region: r.unique_customers for r in metrics.regional_performance(
+        sales.withColumns({"total_amount": F.lit(1.0), "transaction_id": F.lit("x")}), approx_distinct=True).collect()}
+    assert all(abs(near[k] / exact[k] - 1) < 0.05 for k in exact)

@@ -30,3 +30,19 @@ def scatter(*keys: Column) -> Column:
     for i, k in enumerate(keys):
         expr = (expr * 31 + (k.cast("bigint") % SCATTER_MOD) * (7919 + 104729 * i)) % SCATTER_MOD
     return expr
+
+
+TAIL_MOD = 999_983
+# A fraction of the rows is chosen in steps of 1 / FINE_MOD, about 2 ** -40.
+FINE_MOD = SCATTER_MOD * TAIL_MOD
+
+
+def fine_scatter(*keys: Column) -> Column:
+    """A repeatable pseudo-random number below FINE_MOD over integer keys:
+    ``scatter`` as the leading digits, squares of the keys modulo another prime
+    as the others (no overflow)."""
+    tail = F.lit(0).cast("bigint")
+    for i, k in enumerate(keys):
+        r = k.cast("bigint") % TAIL_MOD
+        tail = (tail * 37 + r * (r + 15485 + 86243 * i)) % TAIL_MOD
+    return scatter(*keys) * TAIL_MOD + tail

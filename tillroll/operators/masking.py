@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions.ids import SCATTER_MOD, scatter
+from tillroll.functions.ids import FINE_MOD, fine_scatter
 
 
 def mask_to_null(df: DataFrame, col: str, predicate: Column) -> DataFrame:
@@ -58,4 +58,4 @@ def sample_n(df: DataFrame, n: int, order: Sequence[Column]) -> DataFrame:
 def sample_fraction(df: DataFrame, fraction: float, keys: Sequence[str]) -> DataFrame:
     """Bernoulli sample of about ``fraction`` of the rows, by integer keys: a
     row's choice depends on its keys alone, not on the partitioning."""
-    return df.where(scatter(*[F.col(k) for k in keys]) < F.lit(int(fraction * SCATTER_MOD)))
+    return df.where(fine_scatter(*[F.col(k) for k in keys]) < F.lit(int(fraction * FINE_MOD)))

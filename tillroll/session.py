@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 # Settings the pipeline relies on. Everything else is left to the cluster.
 PIPELINE_CONF = {
@@ -131,6 +131,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stored_with(df: DataFrame, label: str, **figures: Column) -> tuple[DataFrame, dict]:
+    """``stored(df)`` and aggregates of its rows, taken in the tasks that write
+    them (each counted once, however often it is run)."""
+    seen = Observation(label)
+    out = stored(df.observe(seen, *[c.alias(name) for name, c in figures.items()]), label)
+    return out, seen.get
+
+
 def stored_so_far(spark: SparkSession) -> int:
     """Number of folders ``stored`` has written in this application, for ``release_stored``."""
     return len(_STORED.get(spark.sparkContext.applicationId, []))
