@@ -33,6 +33,7 @@ from __future__ import annotations
 import functools
 import itertools
 import os
+import re
 import uuid
 from collections.abc import Iterator
 
@@ -41,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import bounded_batches, shuffle_partitions, sized_slices, text_bytes
+from tillroll.llm.common import bounded_batches, returns_memory, shuffle_partitions, sized_slices, text_bytes
 from tillroll.session import checkpoint_dir
 
 # Fixed values of the format: (count, width) by selector.
@@ -50,7 +51,7 @@ SELECTORS = [(240, 0), (120, 0), (60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (1
 BLOCK_IDS = 1024
 SLAB_IDS = 1 << 18
 SLICE_BYTES = 1 << 20
-MEMO_WORDS = 600_000
+MEMO_WORDS = 1_000_000
 # A table of one row (16 bytes) per segment is broadcast up to this many.
 BROADCAST_SEGMENTS = 1_000_000
 
@@ -195,11 +196,20 @@ class WordTokenizer:
         self._limit = memo_words
         self._forget()
         self._fold = self._plain(["Ab C"]) == self._plain(["ab c"])
-        probes = ["a b", "a\nb", "a \n  b", " a", "b ", "a, b.", "a b!", "a.b c,d", "1.2", "a.'s b's", "A;:b ?"]
+        letters = "abcdefghijklmnopqrstuvwxyz"
+        self._bare = (re.compile("[a-z]+").fullmatch if self._steps(letters) == letters else lambda word: False)
+        probes = ["the quick", "a b", "a\nb", "a \n  b", " a", "b ", "a, b.", "a b!", "a.b c,d", "1.2", "a.'s b's", "A;:b ?"]
         for probe, ids in zip(probes, self.encode(pa.array(probes))):
             if self._plain([probe])[0] != ids.tolist():
                 raise ValueError("this tokenizer does not drop white space, so its texts cannot be cut at it")
 
+    def _steps(self, word: str) -> str | None:
+        """What the library hands its model for a word, if it is one piece."""
+        if self._library.normalizer is not None:
+            word = self._library.normalizer.normalize_str(word)
+        pieces = self._library.pre_tokenizer.pre_tokenize_str(word) if self._library.pre_tokenizer else [(word, None)]
+        return pieces[0][0] if len(pieces) == 1 else None
+
     def _plain(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self._library.encode_batch_fast(texts, add_special_tokens=False)]
 
@@ -208,8 +218,13 @@ class WordTokenizer:
         self._flat, self._from = np.empty(0, np.uint32), np.zeros(2, np.int64)
 
     def _learn(self) -> None:
-        lists = self._plain([w.decode("utf-8", "replace") for w in self._memo.new])
+        """Encode the new words. What the steps before the library's model leave
+        as it is goes straight to the model."""
+        words = [w.decode("utf-8", "replace") for w in self._memo.new]
         self._memo.new = []
+        others = iter(self._plain([w for w in words if not self._bare(w)]))
+        model = self._library.model
+        lists = [[t.id for t in model.tokenize(w)] if self._bare(w) else next(others) for w in words]
         sizes = np.fromiter(map(len, lists), np.int64, len(lists))
         added = np.fromiter(itertools.chain.from_iterable(lists), np.uint32, sizes.sum())
         self._flat = np.concatenate([self._flat, added])
@@ -283,6 +298,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str | None = None, key:
         ["lengths", "length_first", "length_escapes", "words", "first_word", "escapes", "first_escape"], pa.binary())}
     slab = ", ".join(f"{name} {'array<' + kind + '>' if t is None else _SPARK[t]}" for name, t in fields.items())
 
+    @returns_memory
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = word_tokenizer(tokenizer)
         keys, ids, held, number, first = [], [], 0, 0, 0
@@ -345,6 +361,7 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     slabs = slabs.join(starts, "segment")
     kind = slabs.schema["keys"].dataType.elementType.simpleString()
 
+    @returns_memory
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in range(batch.num_rows):
