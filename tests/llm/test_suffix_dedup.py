@@ -138,3 +138,20 @@ def test_hot_counts_contexts_and_not_blocks(spark):
     state = np.frombuffer(got["payload"][0].as_py(), np.uint8)
     assert (state == sd.HOT_OPEN).sum() == (contexts >= 50).sum() > 0
     assert _run(spark, texts, length=40, hot=50, range_entries=100) == _brute(texts, 40)
+
+
+def test_windows_of_one_hash_and_different_second_hash_differ():
+    def rows(block, hashes):
+        one, two = (np.array(x, np.uint64) for x in zip(*hashes))
+        first, count, which = sd._pairs(one, two)
+        assert [(int(one[first[w]]), int(two[first[w]])) for w in which] == hashes
+        return list(sd._entries_by_bucket(block, one[first], two[first], (count > 1).astype(np.uint8),
+                                                    np.ones(len(first), np.uint32), 1))
+
+    entries = rows(0, [(5, 1), (5, 2), (9, 9)]) + rows(1, [(5, 3), (5, 1), (7, 7), (7, 7)])
+    table = pa.table({"bucket": [b for b, _, _ in entries], "block": [k for _, k, _ in entries],
+                      "payload": pa.array([p for _, _, p in entries], pa.binary())})
+    answers = sd._resolve(3, 1 << 62)(table).to_pylist()
+    states = {a["block"]: [s != sd.UNIQUE for s in a["payload"]] for a in answers}
+    # (5, 1) is in both blocks, (7, 7) twice in one; the others share one hash only
+    assert states == {0: [True, False, False], 1: [True, False, True]}

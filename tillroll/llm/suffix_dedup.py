@@ -225,6 +225,18 @@ def _entries_by_bucket(block: int, h: np.ndarray, c: np.ndarray, flags: np.ndarr
         yield int(r), block, b"".join(x[a:b].tobytes() for x in (h, c, flags, number))
 
 
+def _pairs(one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different pairs of two hashes, ascending: the place of one of each,
+    how often it occurs, and the number of the pair at every place."""
+    order = np.lexsort((two, one))
+    new = np.ones(len(order), bool)
+    new[1:] = (np.diff(one[order]) != 0) | (np.diff(two[order]) != 0)
+    starts = np.flatnonzero(new)
+    which = np.empty(len(order), np.int64)
+    which[order] = np.cumsum(new) - 1
+    return order[starts], np.diff(np.append(starts, len(order))), which
+
+
 def _unpack_entries(payload: bytes):
     n = len(payload) // 21
     return (np.frombuffer(payload, np.uint64, n), np.frombuffer(payload, np.uint64, n, 8 * n),
@@ -238,8 +250,12 @@ def _resolve(kind: int, hot: int):
         blocks = rows["block"].to_pylist()
         got = [_unpack_entries(p.as_py()) for p in rows["payload"]]
         h, c, flags, number = (np.concatenate([g[k] for g in got]) for k in range(4))
-        order = np.argsort(h, kind="stable")
-        starts = np.flatnonzero(np.concatenate([[True], np.diff(h[order]) != 0]))
+        # windows (kind 3) are the same if both hashes are
+        order = np.lexsort((c, h)) if kind == 3 else np.argsort(h, kind="stable")
+        new = np.diff(h[order]) != 0
+        if kind == 3:
+            new |= np.diff(c[order]) != 0
+        starts = np.flatnonzero(np.concatenate([[True], new]))
         n = np.diff(np.append(starts, len(h)))
         several = (np.minimum.reduceat(c[order], starts) != np.maximum.reduceat(c[order], starts)) \
             | (np.bitwise_or.reduceat(flags[order], starts) >= 2)
@@ -520,9 +536,9 @@ def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", le
             for row in left.to_pylist():
                 b = Block(row, length, gram)
                 _, one, two = b.hot_windows(_states(right, 1))
-                h, first, count = np.unique(one, return_index=True, return_counts=True)
-                rows += _entries_by_bucket(row["block"], h, two[first], (count > 1).astype(np.uint8),
-                                           np.ones(len(h), np.uint32), hot_buckets)
+                first, count, _ = _pairs(one, two)
+                rows += _entries_by_bucket(row["block"], one[first], two[first], (count > 1).astype(np.uint8),
+                                           np.ones(len(first), np.uint32), hot_buckets)
             return pa.Table.from_batches([_entry_batch(rows)])
 
         hot_buckets = max(1, -(-int(n_hot) * (length - gram + 1) // bucket_entries))
@@ -618,8 +634,8 @@ def _covered(b: Block, answers: pa.Table) -> np.ndarray:
             windows = b.anchor[mine[who]] - offset
             mark(windows, windows)
         if (state == HOT_OPEN).any():
-            windows, one, _ = b.hot_windows(state)
-            _, which = np.unique(one, return_inverse=True)
+            windows, one, two = b.hot_windows(state)
+            which = _pairs(one, two)[2]
             again = windows[_states(answers, 3)[which] != UNIQUE]
             mark(again, again)
     return np.cumsum(edges[:-1]) > 0
