@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import bounded_batches, sized_slices, text_bytes
+from tillroll.llm.common import bounded_batches, returns_memory, sized_slices, text_bytes
 from tillroll.llm.oracles import CRC_TABLE, crc32
 
 MIN_WORDS = 6
@@ -291,6 +291,7 @@ def collapse_runs(df: DataFrame, text: str = "text", runs: str = "runs", collaps
     bounded_batches(df.sparkSession)
 
     @F.arrow_udf(f"struct<runs:array<{_RUN}>,collapsed:binary>")
+    @returns_memory
     def work(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         run = pa.struct([("start", pa.int64()), ("length", pa.int64()), ("period", pa.int64())])
         for batch in batches:
