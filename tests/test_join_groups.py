@@ -84,7 +84,7 @@ def test_lookup_join_timestamps_and_two_keys(spark):
     assert _split(facts, dim, ["k", "j"], hot_rows=20) == _plain(facts, dim, ["k", "j"])
 
 
-def test_hot_keys_are_bounded_by_their_share(spark):
+def test_hot_keys_are_bounded_by_their_share(spark, monkeypatch):
     """1,500 keys over the row bound: none holds a thousandth, so none is
     hot; the ordinary join deals them out by key. Nothing is cut off a list."""
     many = stored(spark.range(0, 30_000).select((F.col("id") % 1500).alias("k"), "id"), "test")
@@ -92,12 +92,8 @@ def test_hot_keys_are_bounded_by_their_share(spark):
     assert hot_keys(many, ["k"], hot_rows=10, share=1500).count() == 1500
     dim = spark.range(0, 1500, 2).select(F.col("id").alias("k"), (F.col("id") * 2).alias("x"))
     assert _split(many, dim, ["k"], hot_rows=10) == _plain(many, dim, ["k"])
-    old = joins.HOT_SHARE
-    try:
-        joins.hot_keys.__defaults__ = (joins.HOT_ROWS, 1500)
-        assert _split(many, dim, ["k"], hot_rows=10) == _plain(many, dim, ["k"])
-    finally:
-        joins.hot_keys.__defaults__ = (joins.HOT_ROWS, old)
+    monkeypatch.setattr(joins, "HOT_SHARE", 1500)
+    assert _split(many, dim, ["k"], hot_rows=10) == _plain(many, dim, ["k"])
 
 
 def _tasks_with(df, predicate):

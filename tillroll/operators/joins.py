@@ -56,8 +56,12 @@ def hot_keys(rows: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS,
     """Keys with at least ``hot_rows`` rows and ``1 / share`` of all rows: at
     most ``share`` keys, with their rows ``__n``."""
     narrow = rows.select(*keys)
+    return _key_frame(narrow, _hot_counts(narrow, keys, hot_rows, share))
+
+
+def _key_frame(narrow: DataFrame, counts: list[Row]) -> DataFrame:
     schema = T.StructType([*narrow.schema.fields, T.StructField("__n", T.LongType())])
-    return rows.sparkSession.createDataFrame(_hot_counts(narrow, keys, hot_rows, share), schema)
+    return narrow.sparkSession.createDataFrame(counts, schema)
 
 
 def salted(facts: DataFrame, dim: DataFrame, hot: DataFrame, keys: Sequence[str],
@@ -98,9 +102,11 @@ def lookup_join(facts: DataFrame, dim: DataFrame, keys: Sequence[str], how: str
     keys = list(keys)
     if key_rows is None and not is_stored(facts):
         return facts.join(dim, keys, how)
-    hot = hot_keys(facts if key_rows is None else key_rows, keys, hot_rows)
-    if hot.isEmpty():
+    counted = (facts if key_rows is None else key_rows).select(*keys)
+    counts = _hot_counts(counted, keys, hot_rows, HOT_SHARE)
+    if not counts:
         return facts.join(dim, keys, how)
+    hot = _key_frame(counted, counts)
     few = F.broadcast(hot.select(*keys))
     hot_dim = stored(dim.join(few, keys, "left_semi"), "hot")
     facts = facts if is_stored(facts) else stored(facts, "facts")
