@@ -154,7 +154,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int, vec_id: str = "vec_id"
     packed = pack(asked.repartition(query_parts, "id"), dim, QUERY_BLOCK).drop("n", "block")
 
     def seed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for r in (r for b in batches for r in b.to_pylist()):
+        for r in (r for b in batches for i in range(b.num_rows) for r in b.slice(i, 1).to_pylist()):
             q_ids, q = unpack(r["ids"], r["vectors"], dim)
             c_ids, x = unpack(r["c_ids"], r["c_vectors"], dim)
             best = search_block(q_ids, q, np.full(len(q), NONE), c_ids, x, rotation, k, lead)
@@ -164,7 +164,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int, vec_id: str = "vec_id"
                 "least": [float(floors.min())], "reach": [float(np.sqrt((q * q).sum(1).max()))]})
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for r in (r for b in batches for r in b.to_pylist()):
+        for r in (r for b in batches for i in range(b.num_rows) for r in b.slice(i, 1).to_pylist()):
             q_ids, q = unpack(r["ids"], r["vectors"], dim)
             c_ids, x = unpack(r["c_ids"], r["c_vectors"], dim)
             best = search_block(q_ids, q, np.frombuffer(r["floors"], np.int64), c_ids, x, rotation, k, lead)
