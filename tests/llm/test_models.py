@@ -1,4 +1,5 @@
 import random
+import unicodedata
 
 import numpy as np
 import pytest
@@ -78,6 +79,78 @@ def test_matching_and_exceptions():
     assert toxicity.Lexicon({}).score("bad") == 0.0
 
 
+def _naive_matches(weights, exceptions, folded):
+    """Every term tried at every place, word by word."""
+    hits = {i: max(w for t, w in weights.items() if folded.startswith(t, i))
+            for i in range(len(folded)) if any(folded.startswith(t, i) for t in weights)}
+    for e in exceptions:
+        for i in range(len(folded)):
+            if folded.startswith(e, i):
+                hits = {s: w for s, w in hits.items() if not i <= s < i + len(e) - 1}
+    return hits
+
+
+def test_automaton_against_a_naive_scan():
+    rng = random.Random(8)
+    for _ in range(300):
+        words = ["".join(rng.choice("ab") for _ in range(rng.randrange(1, 5))) for _ in range(12)]
+        weights = {t: rng.uniform(1, 5) for t in rng.sample(sorted({f" {w} " for w in words} | {f" {w}" for w in words}), 5)}
+        exceptions = {f" {rng.choice(words)} {rng.choice(words)} " for _ in range(3)}
+        folded = toxicity.fold_text(" ".join(rng.choices(words, k=25)))
+        assert toxicity.Lexicon(weights, exceptions).matches(folded) == _naive_matches(weights, exceptions, folded)
+
+
+def test_folding_by_character_is_folding_by_run():
+    def by_run(run):
+        run = "".join(toxicity.HOMOGLYPHS.get(c, c) for c in run).replace("ß", "ss")
+        return "".join(c if c < "\x80" else toxicity.HOMOGLYPHS.get(c) or ("q" if c.isalpha() else " ")
+                       for c in unicodedata.normalize("NFKD", run)
+                       if not unicodedata.combining(c) and unicodedata.category(c) != "Cf")
+
+    for text in ("Ünïcödé ｆｕｌｌ Ａ１ ﬁ é\u0301\u200bx", "한국어 日本 ß ẞ аеорс", "№ ½ ™ İ ǆ", "\U0001f600 a\u00adb"):
+        assert text.lower().translate(toxicity._PLAIN) == by_run(text.lower())
+    assert toxicity.fold_text("ｆｕｌｌ ﬁx") == " full fix "
+
+
+def test_term_counts_and_choice_against_plain_counting(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "FLUSH_TERMS", 50)
+    rows = [(r.text, r.toxic) for r in _labelled(spark).collect()]
+    without = {" moron ": 1.0}
+    naive = {}
+    for t, toxic in rows:
+        folded = toxicity.fold_text(t)
+        if toxic and not _naive_matches(without, (), folded):
+            for term in toxicity.terms_of(set(folded.split())) | {""}:
+                naive[term] = naive.get(term, 0) + 1
+    bad = spark.createDataFrame([(t,) for t, toxic in rows if toxic], "text string").repartition(3)
+    counts = toxicity._term_counts(bad, without)
+    assert {r.term: r.n for r in counts.collect()} == naive
+    other = {"": 1000, " scum ": 9, " lorem1 ": 500}
+    got = toxicity._significant(counts, naive[""], spark.createDataFrame(list(other.items()), "term string, n long"),
+                                1000, 6)
+    for term, a in naive.items():
+        b = other.get(term, 0)
+        rate = (a + b) / (naive[""] + 1000)
+        part = lambda x, n: x * np.log(x / (n * rate)) if x else 0.0
+        wanted = (term and a >= 6 and (a + .5) / (naive[""] + 1) > 4 * (b + .5) / 1001
+                  and 2 * (part(a, naive[""]) + part(b, 1000)) > 30)
+        assert (term in got) == bool(wanted), term
+
+
+def test_rare_terms_are_learned_and_copies_count_once(spark):
+    rng = random.Random(4)
+    plain = lambda: " ".join(f"w{rng.randrange(200)}" for _ in range(30))
+    rows = [(plain() + " moron", 1) for _ in range(1500)] + [(plain() + " zzrare", 1) for _ in range(12)]
+    rows += [(plain(), 0) for _ in range(1500)] + [("only copies say moron here", 0)] * 800
+    df = spark.createDataFrame(rows, "text string, toxic int")
+    sample = toxicity.draw_texts(df, 10 ** 6)
+    assert sample.where("text LIKE 'only copies%'").count() == 1
+    lex = toxicity.fit(df)
+    assert " zzrare " in lex.weights and " moron " in lex.weights   # 0.8 % of the toxic documents
+    drawn = toxicity.draw_texts(df, 300).groupBy("toxic").count().collect()
+    assert all(200 < r["count"] < 400 for r in drawn)
+
+
 def _labelled(spark, n=1200):
     rng = random.Random(5)
     rows = []

@@ -12,22 +12,25 @@ weights, as such and over the text's length, becomes a probability by a fitted
 logistic curve.
 
 Learning goes in rounds: terms that many toxic documents hold come first, then
-only documents without any such term are asked for more. So a rare word that
-merely shares a document, or a group of near copies, with a real term is not
-taken. It reads at most ``max_rows`` labelled documents of each class (a
-documented bound; a seeded hash picks them), equal texts once. Scores read
-every whole text.
-
-Rows: null and empty texts score like a text without terms. Labels that are
-null teach nothing; a document labelled more than once counts as toxic if any
-label says so. With no toxic label nothing is learned and every score is 0.
-Rows are scored one by one; no rows give no rows. Columns pass through; the
+only documents without any strong term so far are asked for more, for rarer
+ones each time, down to LEAST documents. So a rare word that merely shares a
+document, or a group of near copies, with a real term is not taken, and no
+significant term is left out for being rare. It reads at most ``max_rows``
+different labelled texts of each class (a documented bound; a seeded hash picks
+them), equal texts of a class once; the lexicon is as large as what is
+significant in them. Scores read every whole text.
+
+Rows: null and empty texts score like a text without terms. A very long text is
+folded and matched as a whole, at some ten bytes of memory a character. Labels
+that are null teach nothing; a document labelled more than once counts as toxic
+if any label says so. With no toxic label nothing is learned and every score is
+0. Rows are scored one by one; no rows give no rows. Columns pass through; the
 output columns replace input columns of their names.
 """
 
 from __future__ import annotations
 
-import functools
+import bisect
 import math
 import re
 import unicodedata
@@ -39,15 +42,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import store, table
+from tillroll.llm.common import returns_memory, store, table
 from tillroll.llm.langid import fold as fold_of
 
-MAX_ROWS = 20_000
-MAX_TERMS = 5_000        # size of the lexicon, the heaviest support first
+MAX_ROWS = 50_000
 PREFIXES = range(4, 10)  # lengths of word beginnings
-ROUNDS = 3
-LEAST = 6                # toxic documents that a term needs,
-LEAST_SHARE = 0.02       # and share of those that a round looks at
+LEAST = 6                # toxic documents that a term needs
+FIRST_SHARE = 0.02       # share of the toxic documents that a term of the first round needs,
+RARER = 4                # and so many times less in each further round
+FLUSH_TERMS = 200_000    # terms a worker holds before it hands on their counts
 LIFT = 4.0               # a term is so many times likelier in toxic documents
 STRONG = 3.0             # weight from which a term explains a toxic document
 THRESHOLD = 0.3
@@ -57,24 +60,31 @@ THRESHOLD = 0.3
 HOMOGLYPHS = dict(zip("аеорсухікмнтвјѕԁɡⅼαερονυικτβη", "aeopcyxikmhtbjsdglaepovuiktbn"))
 DIGITS = str.maketrans("0134578@$", "oieastbas")
 _DIGIT_RUN = re.compile(r"(?<=[a-z])[0134578@$]+|[0134578@$]+(?=[a-z])|(?<=[a-z])[!|](?=[a-z])")
-_OTHER = re.compile(r"[^\x00-\x7f]+")
 _GAP = re.compile(r"[^a-z0-9]+")
 
 
-@functools.lru_cache(maxsize=1 << 16)
-def _plain(chars: str) -> str:
-    chars = "".join(HOMOGLYPHS.get(c, c) for c in chars)
-    out = []
-    for c in unicodedata.normalize("NFKD", chars.replace("ß", "ss")):
-        if unicodedata.combining(c) or unicodedata.category(c) == "Cf":
-            continue
-        out.append(c if c < "\x80" else HOMOGLYPHS.get(c) or ("q" if c.isalpha() else " "))
-    return "".join(out)
+class _Plain(dict):
+    """Character -> its plain letters, worked out when first asked for (one entry per character)."""
+
+    def __missing__(self, code: int) -> str:
+        c = chr(code)
+        out = []
+        for d in unicodedata.normalize("NFKD", "ss" if c == "ß" else HOMOGLYPHS.get(c, c)):
+            if unicodedata.combining(d) or unicodedata.category(d) == "Cf":
+                continue
+            out.append(d if d < "\x80" else HOMOGLYPHS.get(d) or ("q" if d.isalpha() else " "))
+        self[code] = "".join(out)
+        return self[code]
+
+
+_PLAIN = _Plain({c: chr(c) for c in range(128)})
 
 
 def fold_text(text: str) -> str:
     """The folded text: words of a-z and 0-9 between single blanks, blanks at both ends."""
-    text = _OTHER.sub(lambda m: _plain(m[0]), text.lower()).lower()
+    text = text.lower()
+    if not text.isascii():
+        text = text.translate(_PLAIN).lower()
     text = _DIGIT_RUN.sub(lambda m: "i" if m[0] in "!|" else m[0].translate(DIGITS), text)
     return " " + _GAP.sub(" ", text).strip() + " "
 
@@ -147,49 +157,62 @@ def design(total: np.ndarray, words: np.ndarray) -> np.ndarray:
                      np.log1p(words) * (total > 0) / 10], axis=1)
 
 
-def _term_counts(rows: DataFrame, only: frozenset | None, without: dict[str, float]) -> Counter:
-    """Documents per term, of documents that hold none of ``without``."""
+def _term_counts(rows: DataFrame, without: dict[str, float]) -> DataFrame:
+    """(term, n): documents per term, of documents that hold none of ``without``;
+    the empty term has the number of documents."""
     covered = Lexicon(dict.fromkeys(without, 1.0))
 
+    def batch_of(found: Counter) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict({"term": pa.array(list(found), pa.string()),
+                                           "n": pa.array(found.values(), pa.int64())})
+
+    @returns_memory
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: Counter = Counter()
-        n = 0
         for b in batches:
-            for t in b.column("text").to_pylist():
-                folded = fold_text(t)
+            for v in b.column("text"):
+                folded = fold_text(v.as_py())
                 if covered.matches(folded):
                     continue
-                n += 1
-                mine = terms_of(set(folded.split()))
-                found.update(mine & only if only is not None else mine)
-        found[""] = n
-        yield pa.RecordBatch.from_pydict({"term": list(found), "n": pa.array(found.values(), pa.int64())})
+                found[""] += 1
+                found.update(terms_of(set(folded.split())))
+                if len(found) > FLUSH_TERMS:
+                    yield batch_of(found)
+                    found.clear()
+        yield batch_of(found)
+
+    return (rows.select("text").mapInArrow(count, "term string, n long")
+            .groupBy("term").agg(F.sum("n").alias("n")))
 
-    counted = (rows.select("text").mapInArrow(count, "term string, n long")
-               .groupBy("term").agg(F.sum("n").alias("n")))
-    least = counted.where((F.col("n") >= LEAST) | (F.col("term") == "") | F.lit(only is not None))
-    top = least.orderBy((F.col("term") != ""), F.col("n").desc(), "term").limit(20 * MAX_TERMS)
-    return Counter({r["term"]: r["n"] for r in top.collect()})
+
+def _documents_of(counts: DataFrame) -> int:
+    return int(counts.where(F.col("term") == "").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
 
 
 def _weight(a: int, n_a: int, b: int, n_b: int) -> float:
     return math.log(((a + 0.5) / (n_a + 1)) / ((b + 0.5) / (n_b + 1)))
 
 
-def _choose(toxic: Counter, other: Counter) -> dict[str, float]:
-    """Significant terms; of a beginning and its continuations the lighter ones
-    only where they are not explained by the other."""
-    n_a, n_b = toxic[""], other[""]
-    good = {}
-    for t, a in toxic.items():
-        b = other.get(t, 0)
-        if not t or a < max(LEAST, LEAST_SHARE * n_a):
-            continue
-        weight = _weight(a, n_a, b, n_b)
-        rate = (a + b) / (n_a + n_b)
-        surprise = 2 * (a * math.log(a / (n_a * rate)) + (b * math.log(b / (n_b * rate)) if b else 0.0))
-        if weight > math.log(LIFT) and surprise > 30:
-            good[t] = weight
+def _significant(toxic: DataFrame, n_a: int, other: DataFrame, n_b: int, least: int) -> dict[str, tuple]:
+    """Term -> (toxic documents, weight) of terms with at least ``least`` toxic documents that
+    are LIFT times likelier in them, which chance does not explain. Counts are compared where they lie."""
+    a, b = F.col("n"), F.coalesce(F.col("other_n"), F.lit(0))
+    rate = (a + b) / F.lit(float(n_a + n_b))
+    surprise = 2 * (a * F.log(a / (F.lit(float(n_a)) * rate))
+                    + F.when(b > 0, b * F.log(b / (F.lit(float(n_b)) * rate))).otherwise(0.0))
+    lifted = (a + 0.5) * (n_b + 1) > LIFT * (b + 0.5) * (n_a + 1)
+    rows = (toxic.where((a >= least) & (F.col("term") != ""))
+            .join(other.withColumnRenamed("n", "other_n"), "term", "left")
+            .where(lifted & (surprise > 30)).select("term", "n", b.alias("b")).collect())
+    return {r["term"]: (r["n"], _weight(r["n"], n_a, r["b"], n_b)) for r in rows}
+
+
+def _choose(significant: dict[str, tuple]) -> dict[str, float]:
+    """Of a beginning and its continuations the lighter ones only where they are
+    not explained by the other."""
+    toxic = {t: n for t, (n, _) in significant.items()}
+    good = {t: w for t, (_, w) in significant.items()}
+    words = sorted(t for t in good if t.endswith(" "))
     chosen: dict[str, float] = {}
     for t in sorted(good, key=lambda t: (len(t), t)):
         heaviest = max((chosen[t[:n]] for n in range(5, len(t)) if t[:n] in chosen), default=0.0)
@@ -197,17 +220,17 @@ def _choose(toxic: Counter, other: Counter) -> dict[str, float]:
             chosen[t] = good[t]
     for t in [t for t in chosen if not t.endswith(" ")]:
         # a beginning that stands for a single word is that word
-        whole = max((w for w in good if w.endswith(" ") and w.startswith(t)),
-                    key=lambda w: toxic[w], default=None)
+        continued = words[bisect.bisect_left(words, t):bisect.bisect_left(words, t + "\x7f")]
+        whole = max(continued, key=lambda w: toxic[w], default=None)
         if whole and toxic[whole] >= 0.9 * toxic[t]:
             del chosen[t]
             chosen[whole] = good[whole]
-    top = sorted(chosen, key=lambda t: (-toxic[t], t))[:MAX_TERMS]
-    return {t: chosen[t] for t in top}
+    return chosen
 
 
 def _exceptions(rows: DataFrame, lexicon: Lexicon) -> set[str]:
     """Pairs of words around a term that harmless documents use and toxic ones hardly."""
+    @returns_memory
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: Counter = Counter()
         for b in batches:
@@ -231,7 +254,7 @@ def _exceptions(rows: DataFrame, lexicon: Lexicon) -> set[str]:
               .agg(F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("fine"),
                    F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("bad"))
               .where((F.col("fine") >= LEAST) & (F.col("fine") > 4 * F.col("bad"))))
-    return {r["pair"] for r in counts.orderBy(F.col("fine").desc(), "pair").limit(MAX_TERMS).collect()}
+    return {r["pair"] for r in counts.select("pair").collect()}
 
 
 def _curve(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
@@ -249,12 +272,28 @@ def _curve(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
 
 
 def draw_labels(rows: DataFrame, key: Column, toxic: str, max_rows: int) -> DataFrame:
-    """About ``max_rows`` rows of each class at most, picked by a hash."""
+    """About ``max_rows`` rows of each class at most, picked by a hash; ``rows``
+    has one row per key and class."""
     sizes = {r[0]: r[1] for r in rows.where(F.col(toxic).isin(0, 1)).groupBy(toxic)
              .agg(F.count(F.lit(1)).alias("n")).collect()}
+    return rows.where(_drawn(key, toxic, max_rows, sizes))
+
+
+def _drawn(key: Column, toxic: str, max_rows: int, sizes: dict) -> Column:
     draw = F.pmod(key, F.lit(1 << 30)) / F.lit(float(1 << 30))
-    return rows.where(F.when(F.col(toxic) == 1, draw < max_rows / max(1, sizes.get(1, 0)))
-                      .when(F.col(toxic) == 0, draw < max_rows / max(1, sizes.get(0, 0))).otherwise(False))
+    return (F.when(F.col(toxic) == 1, draw < max_rows / max(1, sizes.get(1, 0)))
+            .when(F.col(toxic) == 0, draw < max_rows / max(1, sizes.get(0, 0))).otherwise(False))
+
+
+def draw_texts(rows: DataFrame, max_rows: int, seed: int = 0) -> DataFrame:
+    """(text, toxic): about ``max_rows`` different texts of each class at most. Copies
+    of a drawn text shrink to one row in the task that reads them."""
+    key = F.xxhash64(F.lit(seed), "text")
+    sizes = {r["toxic"]: r["n"] for r in rows.select("toxic", key.alias("key")).distinct()
+             .groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return (rows.where(_drawn(key, "toxic", max_rows, sizes))
+            .groupBy(F.sha2(F.col("text").cast("binary"), 256).alias("key"), "toxic")
+            .agg(F.first("text").alias("text")).select("text", "toxic"))
 
 
 def fit(labelled: DataFrame, text: str = "text", toxic: str = "toxic", max_rows: int = MAX_ROWS,
@@ -263,28 +302,33 @@ def fit(labelled: DataFrame, text: str = "text", toxic: str = "toxic", max_rows:
     rows = (labelled.select(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"),
                             F.col(f"`{toxic}`").cast("int").alias("toxic"))
             .where(F.col("toxic").isin(0, 1)))
-    sample = store(draw_labels(rows, F.xxhash64(F.lit(seed), "text"), "toxic", max_rows), "toxicity-sample")
+    sample = store(draw_texts(rows, max_rows, seed), "toxicity-sample")
     if sample.select("toxic").distinct().count() < 2:
         return Lexicon({})
-    bad = sample.where(F.col("toxic") == 1).groupBy(F.xxhash64("text")).agg(F.first("text").alias("text"))
-    fine = sample.where(F.col("toxic") == 0)
+    bad, fine = sample.where(F.col("toxic") == 1), sample.where(F.col("toxic") == 0)
+    other = store(_term_counts(fine, {}), "toxicity-terms")
+    n_other = _documents_of(other)
     weights: dict[str, float] = {}
-    for _ in range(ROUNDS):
+    least = None
+    while True:
         strong = {t: w for t, w in weights.items() if w >= STRONG}
-        in_bad = _term_counts(bad, None, strong)
-        if in_bad[""] < LEAST or len(in_bad) < 2:
+        toxic_terms = store(_term_counts(bad, strong), "toxicity-terms")
+        n_bad = _documents_of(toxic_terms)
+        if n_bad < LEAST:
             break
-        new = {t: w for t, w in _choose(in_bad, _term_counts(fine, frozenset(in_bad), {})).items()
+        least = max(LEAST, int(FIRST_SHARE * n_bad) if least is None else least // RARER)
+        new = {t: w for t, w in _choose(_significant(toxic_terms, n_bad, other, n_other, least)).items()
                if t not in weights}
-        if not new:
-            break
         weights.update(new)
+        if least == LEAST and not any(w >= STRONG for w in new.values()):
+            break  # no document is explained by a new term: the next round would be this one
     lexicon = Lexicon(weights)
     if not weights:
         return lexicon
     lexicon.exceptions = _exceptions(sample, lexicon)
 
     @F.arrow_udf("struct<total:double,words:long>")
+    @returns_memory
     def measures(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in texts:
             got = [lexicon.measure(v.as_py()) for v in batch]
@@ -292,7 +336,7 @@ def fit(labelled: DataFrame, text: str = "text", toxic: str = "toxic", max_rows:
                 [pa.array((g[0] for g in got), pa.float64()), pa.array((g[1] for g in got), pa.int64())],
                 ["total", "words"])
 
-    # three numbers for each of at most 2 * max_rows documents
+    # three numbers for each of about 2 * max_rows documents at most
     seen = sample.select(measures("text").alias("m"), "toxic").select("m.total", "m.words", "toxic").collect()
     x = design(np.array([r["total"] for r in seen]), np.array([r["words"] for r in seen]))
     lexicon.curve = _curve(x, np.array([r["toxic"] for r in seen], np.float64))
@@ -301,9 +345,10 @@ def fit(labelled: DataFrame, text: str = "text", toxic: str = "toxic", max_rows:
 
 def score(df: DataFrame, lexicon: Lexicon, text: str = "text", out: str = "score") -> DataFrame:
     """Add the probability of being toxic to every row."""
-    shared = df.sparkSession.sparkContext.broadcast(lexicon)  # MAX_TERMS terms at most
+    shared = df.sparkSession.sparkContext.broadcast(lexicon)  # of a bounded sample
 
     @F.arrow_udf("double")
+    @returns_memory
     def scores(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         lex = shared.value
         for batch in batches:
