@@ -197,3 +197,28 @@ def test_components(spark):
     got = components(spark.createDataFrame(edges, "a long, b long")).collect()
     assert {tuple(r) for r in got} == want and len(got) == len(want)
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+@pytest.mark.parametrize("limit", [1, 3, 10, 64, 500])
+def test_pieces_of_a_long_text_give_the_set_of_the_whole(limit):
+    rng = random.Random(limit)
+    for n in (0, 1, 4, 5, 6, 200):
+        text = "".join(rng.choice(["\n", " ", "  "]) + rng.choice("aBé") * rng.choice([1, 2, 9, 120]) for _ in range(n))
+        for t in (text, text + " \n", text.strip()):
+            whole, = jaccard.shingle_sets([t])
+            assert np.array_equal(jaccard.shingle_sets([t], limit=limit)[0], whole)
+            assert [len(s) for s in jaccard.shingle_sets([t, "x y z", t], limit=limit)] == [len(whole), 1, len(whole)]
+
+
+def test_a_batch_of_a_few_words(spark):
+    assert [len(s) for s in jaccard.shingle_sets(["one two three"])] == [1]
+    df = spark.createDataFrame([(1, "one two three")], "doc_id long, text string")
+    assert jaccard.first_of_classes(df).count() == 1
+
+
+def test_branches_do_not_depend_on_the_slices(monkeypatch):
+    nodes = np.arange(3, 18, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    tokens = np.unique(np.random.default_rng(2).integers(0, 2 ** 63, 5000, dtype=np.uint64))
+    whole = jaccard.branches(nodes, tokens, 0.8)
+    monkeypatch.setattr(jaccard, "SLICE_TOKENS", 37)
+    assert all(np.array_equal(x, y) for x, y in zip(jaccard.branches(nodes, tokens, 0.8), whole))

@@ -1,5 +1,7 @@
 import hashlib
 import random
+import subprocess
+import sys
 
 import numpy as np
 import pyarrow as pa
@@ -7,6 +9,8 @@ import pytest
 
 from tillroll.llm import suffix_dedup as sd
 
+_SPANS = sd.window_spans
+
 SCHEMA = "doc_id long, text string, block string, ids string, kept string"
 
 
@@ -155,3 +159,52 @@ def test_windows_of_one_hash_and_different_second_hash_differ():
     states = {a["block"]: [s != sd.UNIQUE for s in a["payload"]] for a in answers}
     # (5, 1) is in both blocks, (7, 7) twice in one; the others share one hash only
     assert states == {0: [True, False, False], 1: [True, False, True]}
+
+
+@pytest.mark.parametrize("limit", [1, 7, 64, 1000])
+def test_ranges_of_a_long_text_give_the_anchors_of_the_whole(limit):
+    rng = np.random.default_rng(limit)
+    for _ in range(20):
+        lengths = rng.choice([0, 3, 25, 150, 700], 6)
+        buf = rng.choice(np.frombuffer(b"abab ", np.uint8), int(lengths.sum()))
+        bounds = np.concatenate([[0], np.cumsum(lengths)])
+        whole = np.stack(sd.find_anchors(buf, bounds, 24, 10))
+        assert (sd.block_anchors(buf, lengths, 24, 10, limit) == whole).all()
+
+
+def test_long_texts_in_ranges_against_brute_force(spark, monkeypatch):
+    rng = random.Random(6)
+    noise = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    shared = noise(900)
+    texts = [noise(1500) + shared + noise(300), noise(77) + shared, "ab" * 700, noise(40), shared[100:400] * 2]
+    limits = (1, 7, 50, 333, 1 << 20)
+    for limit in limits:
+        buf = "".join(texts).encode()
+        lengths = np.array([len(t) for t in texts], np.int64)
+        monkeypatch.setattr(sd, "window_spans", lambda n, _=None, limit=limit: _SPANS(n, limit))
+        anchor, lo, hi = sd.block_anchors(np.frombuffer(buf, np.uint8), lengths, 40, 19)
+        block = sd.Block({"lengths": lengths.tobytes(), "text": sd.zstandard.compress(buf), "anchors": sd.zstandard.compress(
+            np.stack([lo, anchor - lo, hi - lo]).astype(np.int32).tobytes())}, 40, 19)
+        hot = block.hot_windows(np.full(len(block.grams), sd.HOT_OPEN, np.uint8))
+        seen = [block.h, block.c, *hot]
+        if limit == limits[0]:
+            first = seen
+        assert all((x == y).all() for x, y in zip(seen, first))
+    monkeypatch.undo()
+    assert _run(spark, texts, length=40, block_bytes=500) == _brute(texts, 40)
+
+
+def test_a_document_of_fifty_megabytes_stays_within_memory():
+    code = """
+import resource, numpy as np
+from tillroll.llm import suffix_dedup as sd, jaccard
+words = np.random.default_rng(1).integers(97, 123, 50_000_000, dtype=np.uint8)
+words[::7] = 32
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+n = sd.block_anchors(words, np.array([len(words)]), 200, 96).shape[1]
+tokens = jaccard._long_set(np.append(words, np.uint8(32)), 5, jaccard.SLICE_BYTES)
+where, child = jaccard.branches(np.arange(1, 16, dtype=np.uint64), tokens, 0.8)
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) >> 10, n, len(tokens))
+"""
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True).stdout.split()
+    assert int(out[0]) < 600 and int(out[1]) > 500_000 and int(out[2]) > 7_000_000, out

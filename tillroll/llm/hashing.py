@@ -68,6 +68,17 @@ class Substrings:
         return mix(raw + length * np.uint64(0x9E3779B97F4A7C15))
 
 
+def whole_hash(buf: np.ndarray, seed: int, piece: int = 1 << 20) -> np.uint64:
+    """``Substrings(buf, seed).hash`` of all of ``buf``, in memory for a piece of it."""
+    values, base, _ = _parameters(seed)
+    raw, shift, step = 0, 1, pow(base, piece, _WORD)
+    for a in range(0, len(buf), piece):
+        part = values[buf[a:a + piece]] * _power_table(base, min(piece, len(buf) - a))
+        raw += int(part.sum(dtype=np.uint64)) * shift
+        shift = shift * step % _WORD
+    return mix(np.array([(raw + len(buf) * 0x9E3779B97F4A7C15) % _WORD], np.uint64))[0]
+
+
 def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     """``min(x[i:i+width])`` for every i, from block prefixes and suffixes."""
     n = len(x)

@@ -33,8 +33,9 @@ shingle of all its words.
 Rows: null texts and texts without words link with nothing; each is a class of
 its own. Repeated rows and copies are members of one class. A row with a null
 id is a member like others; a class is named after its smallest id (null if
-all are null) and represented by the first row with that id. No rows give no
-rows. Other columns are not read.
+all are null) and represented by the first row with that id. A very long text is
+read in pieces of a megabyte; its set takes eight bytes a distinct shingle. No
+rows give no rows. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -50,7 +51,7 @@ from pyspark.sql import functions as F
 from tillroll.llm.common import internal, lookup_split, returns_memory, sized_slices, store, table, text_bytes, \
     with_row_id
 from tillroll.llm.components import components
-from tillroll.llm.hashing import Substrings, mix
+from tillroll.llm.hashing import Substrings, mix, whole_hash
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -62,6 +63,7 @@ TOKENS = 2 << 20 # tokens in a block, and of a node that is compared whole (one
 BINS = 128       # bytes in a sketch
 SURE = 5.0       # standard deviations that a sketch may fall short
 SLICE_BYTES = 1 << 20
+SLICE_TOKENS = 1 << 17   # tokens of a set drawn for at a time
 SLAB = 256       # rows of a block's matrix worked on at a time
 
 _SPACE = np.zeros(256, bool)
@@ -85,31 +87,90 @@ def runs_needed(threshold: float, depth: int, recall: float) -> int:
     return max(1, math.ceil(math.log(1 - recall) / math.log(1 - lives)))
 
 
-def shingle_sets(texts: list[str], size: int = SHINGLE) -> list[np.ndarray]:
-    """The sorted distinct hashes of each text's word shingles."""
-    parts = [t.lower().encode("utf-8", "replace") + b" " for t in texts]
-    buf = np.frombuffer(b"".join(parts), np.uint8)
-    ends_of = np.cumsum([len(p) for p in parts])
+def _words(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(starts, hashes) of the words of bytes that end in white space."""
     space = _SPACE[buf]
     before = np.concatenate([[True], space[:-1]])
     starts = np.flatnonzero(~space & before)
-    ends = np.flatnonzero(space & ~before)
-    words = Substrings(buf, seed=5).hash(starts, ends)
-    bounds = np.searchsorted(starts, np.concatenate([[0], ends_of]))
-    shingles = np.zeros(max(0, len(words) - size + 1), np.uint64)
+    return starts, Substrings(buf, seed=5).hash(starts, np.flatnonzero(space & ~before))
+
+
+def _shingles(words: np.ndarray, size: int) -> np.ndarray:
+    n = max(0, len(words) - size + 1)
+    out = np.zeros(n, np.uint64)
     for j in range(size):
-        shingles += words[j:len(words) - size + 1 + j] * _STEPS[j]
-    shingles = mix(shingles)
-    out = []
-    for a, b in zip(bounds[:-1], bounds[1:]):
-        if b - a >= size:
-            out.append(np.unique(shingles[a:b - size + 1]))
-        elif b > a:
-            whole = (words[a:b] * _STEPS[:b - a]).sum(dtype=np.uint64) + np.uint64(b - a)
-            out.append(mix(np.array([whole], np.uint64)))
-        else:
-            out.append(np.empty(0, np.uint64))
-    return out
+        out += words[j:j + n] * _STEPS[j]
+    return mix(out)
+
+
+def _few_words(words: np.ndarray) -> np.ndarray:
+    """The one token of a text with fewer words than a shingle (none without words)."""
+    if not len(words):
+        return np.empty(0, np.uint64)
+    whole = (words * _STEPS[:len(words)]).sum(dtype=np.uint64) + np.uint64(len(words))
+    return mix(np.array([whole], np.uint64))
+
+
+def shingle_sets(texts: list[str], size: int = SHINGLE, limit: int = SLICE_BYTES) -> list[np.ndarray]:
+    """The sorted distinct hashes of each text's word shingles. A text of more than
+    ``limit`` bytes is read in pieces."""
+    parts = [t.lower().encode("utf-8", "replace") + b" " for t in texts]
+    if any(len(p) > limit for p in parts) and len(parts) > 1:
+        del parts
+        return [s for t in texts for s in shingle_sets([t], size, limit)]
+    buf = np.frombuffer(b"".join(parts), np.uint8)
+    if len(buf) > limit:
+        return [_long_set(buf, size, limit)]
+    starts, words = _words(buf)
+    bounds = np.searchsorted(starts, np.concatenate([[0], np.cumsum([len(p) for p in parts])]))
+    shingles = _shingles(words, size)
+    return [np.unique(shingles[a:b - size + 1]) if b - a >= size else _few_words(words[a:b])
+            for a, b in zip(bounds[:-1], bounds[1:])]
+
+
+def _long_set(buf: np.ndarray, size: int, limit: int) -> np.ndarray:
+    """The set of one long text, by pieces of whole words; the last words of a
+    piece go on into the next."""
+    found, held = [], 0
+    words = np.empty(0, np.uint64)
+    for piece in _pieces(buf, limit):
+        new = _words(piece)[1] if len(piece) <= limit else np.array([whole_hash(piece[:-1], 5)])
+        words = np.concatenate([words, new])
+        if len(words) >= size:
+            found.append(np.unique(_shingles(words, size)))
+            held += len(found[-1])
+            if held > 2 * len(found[0]) + limit:   # the merged ones come first
+                found = [_merged(found)]
+                held = len(found[0])
+            words = words[-(size - 1):] if size > 1 else words[:0]
+    return _merged(found) if found else _few_words(words)
+
+
+def _merged(parts: list[np.ndarray]) -> np.ndarray:
+    """The sorted distinct values of ``parts``, which are let go."""
+    x = np.concatenate(parts)
+    parts.clear()
+    x.sort()
+    new = np.ones(len(x), bool)
+    np.not_equal(x[1:], x[:-1], out=new[1:])
+    return x[new]
+
+
+def _pieces(buf: np.ndarray, limit: int) -> Iterator[np.ndarray]:
+    """``buf``, which ends in white space, cut behind white space into pieces of
+    at most ``limit`` bytes; a longer piece is one longer word and its white space."""
+    a = 0
+    while len(buf) - a > limit:
+        space = np.flatnonzero(_SPACE[buf[a:a + limit]])
+        b = a + int(space[-1]) + 1 if len(space) else a
+        at = a + limit
+        while b == a:
+            space = np.flatnonzero(_SPACE[buf[at:at + limit]])
+            b = at + int(space[0]) + 1 if len(space) else a
+            at += limit
+        yield buf[a:b]
+        a = b
+    yield buf[a:]
 
 
 def set_id(tokens: np.ndarray) -> bytes:
@@ -124,8 +185,15 @@ def branches(nodes: np.ndarray, tokens: np.ndarray, threshold: float) -> tuple[n
     """(position in ``nodes``, child node) of the branches a set takes from nodes."""
     share = 1 / (threshold * len(tokens))
     limit = np.uint64(2 ** 64 - 1 if share >= 1 else int(share * 2 ** 64))
-    drawn = tokens[None, :] * (mix(nodes) | np.uint64(1))[:, None]
-    where, which = np.nonzero(drawn <= limit)
+    factors = (mix(nodes) | np.uint64(1))[:, None]
+    where, which = [], []
+    for a in range(0, len(tokens), SLICE_TOKENS):
+        i, j = np.nonzero(tokens[None, a:a + SLICE_TOKENS] * factors <= limit)
+        where.append(i)
+        which.append(j + a)
+    where, which = np.concatenate(where), np.concatenate(which)
+    order = np.argsort(where, kind="stable")
+    where, which = where[order], which[order]
     return where, mix(mix(tokens[which] ^ np.uint64(0x5851F42D4C957F2D)) + nodes[where])
 
 

@@ -31,7 +31,8 @@ block) would make one range too large: the hashes of its windows are
 counted in hash buckets instead, like in step 2, which is exact too. Copies
 within a block are sent once with their number.
 
-Rows: a null text counts as the empty text. Texts shorter than ``length`` keep
+Rows: a null text counts as the empty text. A very long text is a block of its
+own, whose windows are worked on in ranges of a megabyte. Texts shorter than ``length`` keep
 all bytes. Matches never cross documents. Every row is a document of its own,
 so a repeated row's text repeats; ids need not be unique or present. No rows
 give no rows.
@@ -85,6 +86,35 @@ def find_anchors(buf: np.ndarray, bounds: np.ndarray, length: int, gram: int):
     return anchor[new], starts[new], last
 
 
+def window_spans(lengths: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, int]]:
+    """(start, end, end of the bytes to read) of ranges of window starts in packed
+    documents: whole documents, and longer documents in ranges of ``limit``."""
+    bounds = np.concatenate([[0], np.cumsum(lengths)])
+    for i, j in sized_slices(lengths, limit):
+        a, b = int(bounds[i]), int(bounds[j])
+        for at in range(a, b, limit) if j == i + 1 else [a]:
+            yield at, (min(at + limit, b) if j == i + 1 else b), b
+
+
+def block_anchors(buf: np.ndarray, lengths: np.ndarray, length: int, gram: int,
+                  limit: int = SLICE_BYTES) -> np.ndarray:
+    """Rows anchor, first and last window of packed documents, the same for any ``limit``."""
+    bounds = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
+    found = [np.empty((3, 0), np.int64)]
+    for a, b, end in window_spans(lengths, limit):
+        end = min(end, b + length - 1)   # the last window that starts before b
+        inside = bounds[np.searchsorted(bounds, a, "right"):np.searchsorted(bounds, end)]
+        edges = np.concatenate([[a], inside, [end]]) - a
+        found.append(np.stack(find_anchors(buf[a:end], edges, length, gram)) + a)
+    anchor, first, last = np.concatenate(found, axis=1)
+    # an anchor whose windows go on behind the end of a range is one anchor
+    new = np.ones(len(anchor), bool)
+    new[1:] = (np.diff(anchor) != 0) | (first[1:] != last[:-1] + 1)
+    starts = np.flatnonzero(new)
+    ends = np.append(starts[1:], len(anchor)) - 1 if len(starts) else starts
+    return np.stack([anchor[starts], first[starts], last[ends]])
+
+
 class Block:
     """A block's bytes, its documents and its anchors with their hashes."""
 
@@ -100,11 +130,11 @@ class Block:
         buf = np.frombuffer(self.text, np.uint8)
         self.h = np.empty(len(self.first), np.uint64)
         self.c = np.empty(len(self.first), np.uint64)
-        self.slices = list(sized_slices(lengths, SLICE_BYTES))
-        for i, j in self.slices:
-            a, b = self.bounds[i], self.bounds[j]
+        # an anchor's windows end less than two lengths behind its first window's start
+        self.spans = [(a, b, min(end, b + 2 * length)) for a, b, end in window_spans(lengths)]
+        for a, b, end in self.spans:
             x, y = np.searchsorted(self.first, [a, b])
-            sub = Substrings(buf[a:b], seed=3)
+            sub = Substrings(buf[a:end], seed=3)
             at, lo, hi = self.anchor[x:y] - a, self.first[x:y] - a, self.last[x:y] - a + length
             self.h[x:y] = sub.hash(at, at + gram)
             self.c[x:y] = mix(sub.hash(lo, hi) + mix((at - lo).astype(np.uint64)))
@@ -149,12 +179,11 @@ class Block:
         windows = np.repeat(self.first[mine] - (np.cumsum(runs) - runs), runs) + np.arange(runs.sum())
         one, two = np.empty(len(windows), np.uint64), np.empty(len(windows), np.uint64)
         buf = np.frombuffer(self.text, np.uint8)
-        for i, j in self.slices:
-            a, b = self.bounds[i], self.bounds[j]
+        for a, b, end in self.spans:
             x, y = np.searchsorted(windows, [a, b])
             if y > x:
                 for out, seed in ((one, 7), (two, 8)):
-                    out[x:y] = Substrings(buf[a:b], seed).hash(windows[x:y] - a, windows[x:y] - a + self.length)
+                    out[x:y] = Substrings(buf[a:end], seed).hash(windows[x:y] - a, windows[x:y] - a + self.length)
         return windows, one, two
 
 
@@ -172,13 +201,8 @@ def _pack(docs: DataFrame, length: int, gram: int, block_bytes: int, id_type: T.
             data = b"".join(texts)
             buf = np.frombuffer(data, np.uint8)
             size = np.concatenate(lengths)
-            bounds = np.concatenate([[0], np.cumsum(size)])
-            found = []
-            for i, j in sized_slices(size, SLICE_BYTES):
-                a, b = bounds[i], bounds[j]
-                anchor, lo, hi = find_anchors(buf[a:b], bounds[i:j + 1] - a, length, gram)
-                found.append(np.stack([lo + a, anchor - lo, hi - lo]))
-            anchors = np.concatenate(found, axis=1) if found else np.empty((3, 0), np.int64)
+            anchor, lo, hi = block_anchors(buf, size, length, gram)
+            anchors = np.stack([lo, anchor - lo, hi - lo])
             all_ids = pa.chunked_array(ids).combine_chunks()
             return pa.RecordBatch.from_arrays(
                 [pa.array([first], pa.int64()),
@@ -501,7 +525,7 @@ def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", le
     buckets = max(1, -(-int(n_anchors) // bucket_entries))
 
     def send_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in (r for b in batches for r in b.to_pylist()):
+        for row in (r for b in batches for i in range(b.num_rows) for r in b.slice(i, 1).to_pylist()):
             b = Block(row, length, gram)
             yield _entry_batch(_entries_by_bucket(row["block"], b.grams, *b.entries(), buckets))
 
@@ -638,7 +662,7 @@ def _covered(b: Block, answers: pa.Table) -> np.ndarray:
             which = _pairs(one, two)[2]
             again = windows[_states(answers, 3)[which] != UNIQUE]
             mark(again, again)
-    return np.cumsum(edges[:-1]) > 0
+    return np.cumsum(edges[:-1], out=edges[:-1]) > 0
 
 
 def without_repeats(spark, sf_dir: str) -> DataFrame:
