@@ -115,12 +115,12 @@ def shingle_sets(texts: list[str], size: int = SHINGLE, limit: int = SLICE_BYTES
     """The sorted distinct hashes of each text's word shingles. A text of more than
     ``limit`` bytes is read in pieces."""
     parts = [t.lower().encode("utf-8", "replace") + b" " for t in texts]
-    if any(len(p) > limit for p in parts) and len(parts) > 1:
+    if any(len(p) > limit for p in parts):
+        if len(parts) == 1:
+            return [_long_set(np.frombuffer(parts[0], np.uint8), size, limit)]
         del parts
         return [s for t in texts for s in shingle_sets([t], size, limit)]
     buf = np.frombuffer(b"".join(parts), np.uint8)
-    if len(buf) > limit:
-        return [_long_set(buf, size, limit)]
     starts, words = _words(buf)
     bounds = np.searchsorted(starts, np.concatenate([[0], np.cumsum([len(p) for p in parts])]))
     shingles = _shingles(words, size)
