@@ -2,6 +2,7 @@ import math
 from collections import Counter, defaultdict
 
 import pytest
+import xxhash
 
 from tillroll.llm import mixing
 
@@ -87,3 +88,65 @@ def test_odd_rows(spark):
     assert mixing.mix(df.limit(0), target_entropy=1.0, budget=10).count() == 0
     with pytest.raises(ValueError):
         mixing.mix(df, target_entropy=1.0, max_repeats=2.0)
+
+
+def _hash(*parts):
+    """The engine's xxhash64 of (value, bytes) numbers, strings and nulls, in plain Python."""
+    h = 42
+    for v in parts:
+        if v is not None:
+            raw = v.encode() if isinstance(v, str) else (v[0] % (1 << 64 if v[1] == 8 else 1 << 32)).to_bytes(v[1], "little")
+            h = xxhash.xxh64(raw, seed=h).intdigest()
+    return h - (1 << 64) if h >= 1 << 63 else h
+
+
+def _brute(rows, max_repeats, block_tokens, seed):
+    """(doc_id, source, epoch) of every chosen row: each source's rows in the order of an epoch, cut by the budget."""
+    tokens = Counter()
+    for _, source, text in rows:
+        tokens[source] += len((text or "").split())
+    counted = [t for t in tokens.values() if t]
+    spread = math.log(max(counted) / min(counted))
+    a = 1 - min(1.0, math.log(max_repeats) / spread) if spread else 1.0
+    out = []
+    for source, total in tokens.items():
+        repeats = round((max(counted) / total) ** (1 - a), 9) if total else 1.0
+        whole, rest = int(repeats), round((repeats - int(repeats)) * total)
+        mine = [r for r in rows if r[1] == source]
+        out += [(r[0], source, e) for e in range(whole) for r in mine]
+        key = {r: _hash((seed, 4), (r[0], 8), r[1], r[2]) for r in mine}
+        place = lambda r: (_hash((seed, 4), (key[r], 8), (whole, 4)) & ((1 << 53) - 1)) / float(1 << 53)
+        # the cut lies in the block where the running sum reaches the rest
+        blocks = max(1, -(-total // block_tokens))
+        upto, end = 0, -1.0
+        order = sorted(set(mine), key=place)
+        sums = Counter()
+        for r in mine:
+            sums[r] += len((r[2] or "").split())
+        before = 0
+        for b in range(blocks):
+            inside = [r for r in order if int(place(r) * blocks) == b]
+            held = sum(sums[r] for r in inside)
+            if rest > 0 and before < rest <= before + held:
+                upto, end = before, place(inside[0]) - 2.0 ** -53
+                for r in inside:
+                    upto += sums[r]
+                    if upto - len((r[2] or "").split()) / 2 <= rest:
+                        end = place(r)
+            before += held
+        if rest > 0:
+            out += [(r[0], source, whole) for r in mine if place(r) <= end]
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("block_tokens, seed", [(20, 0), (100, 3), (10 ** 6, 5)])
+def test_chosen_rows_against_brute_force(spark, block_tokens, seed):
+    rows, i = [], 0
+    for source, n in {"a": 150, "b": 40, None: 25, "d": 6}.items():
+        for _ in range(n):
+            rows.append((i, source, None if i % 17 == 0 else " ".join(["w"] * (i * 7 % 11))))
+            i += 1
+    rows += [(7, "b", "w w w")] * 30 + [(8, "e", "")] * 3 + [(9, "d", "w " * 40)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    got = mixing.mix(df, max_repeats=2.5, block_tokens=block_tokens, seed=seed).collect()
+    assert sorted(((r.doc_id, r.source, r.mix_epoch) for r in got), key=str) == _brute(rows, 2.5, block_tokens, seed)

@@ -17,7 +17,8 @@ third of all rows is no hot key.
 Rows: a null source is a source. A null text has no tokens; rows without
 tokens are taken in every whole epoch and where their place in the order falls
 into the budget. Equal rows have one place in the order and are taken
-together, each counting. A source without any tokens gets one epoch. No rows
+together, each counting; they are counted before the block is put in order. A
+very long text is a row like any other; a block that it starts in ends with it. A source without any tokens gets one epoch. No rows
 give no rows. Columns pass through; ``mix_epoch`` and ``mix_place`` replace
 input columns of those names.
 """
@@ -150,9 +151,13 @@ def mix(df: DataFrame, source: str = "source", text: str = "text", tokens: Colum
             .select("source", "block", "before"))
     upto = F.col("before") + F.sum("size").over(Window.partitionBy("source").orderBy("u"))
     # a row is taken if at least half of it fits
-    ends = (last.join(cuts, ["source", "block"]).withColumn("upto", upto)
+    # copies of a row, at one place, shrink to one row with all their tokens before they meet
+    block = (last.join(cuts, ["source", "block"]).groupBy("source", "block", "u")
+             .agg(F.sum("size").alias("size"), F.max("size").alias("one"), F.max("rest").alias("rest"),
+                  F.max("before").alias("before")))
+    ends = (block.withColumn("upto", upto)
             .groupBy("source").agg(
-                F.max(F.when(F.col("upto") - F.col("size") / 2 <= F.col("rest"), F.col("u"))).alias("last"),
+                F.max(F.when(F.col("upto") - F.col("one") / 2 <= F.col("rest"), F.col("u"))).alias("last"),
                 F.min("u").alias("first")))
     ends = store(totals.select(group, "n").join(ends, F.col(group) == F.col("source"), "left").select(
         group, F.col("n").alias(count2),
