@@ -31,6 +31,20 @@ def test_cuts_never_change_ids(limit):
         assert bpe.encode_text(enc, text, limit).tolist() == enc.encode_ordinary(text), repr(text)
 
 
+def test_other_patterns_are_cut_at_their_matches():
+    assert bpe.SAFE_PATTERN == PATTERN
+    rng = np.random.default_rng(5)
+    # joins punctuation with the line feeds behind it, which the known safe places cut
+    joins = r"[^\r\n\p{L}\p{N}]?\p{L}+|\p{N}{1,3}| ?[^\s\p{L}\p{N}]+[\r\n]*|\s*[\r\n]+|\s+(?!\S)|\s+"
+    enc = bpe.encoder(PATH, joins)
+    for _ in range(200):
+        text = "".join(rng.choice(list("ab.,;\n\n 1é"), rng.integers(0, 80)))
+        for limit in (1, 9):
+            assert bpe.encode_text(enc, text, limit).tolist() == enc.encode_ordinary(text), repr(text)
+    long = "word,\n\n" * 5000 + "\n"
+    assert bpe.encode_text(enc, long, 10).tolist() == enc.encode_ordinary(long)
+
+
 def test_long_white_space_is_one_match():
     enc = bpe.encoder(PATH, PATTERN)
     for tail in ("", "x", "\nx", "."):

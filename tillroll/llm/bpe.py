@@ -3,7 +3,8 @@
 The ranks come from a local file (a parameter; workers read their own copy of
 the installed file). A text is encoded as a whole: ids never depend on where a
 long text is cut, because it is only cut where no match of the pattern can
-cross.
+cross. Such places are known for SAFE_PATTERN; with any other pattern the
+matches of a long text are found first and handed to the library one by one.
 
 Rows: a null text counts as the empty text and gives no ids. Texts are read as
 UTF-8; a byte sequence that is not UTF-8 is read as U+FFFD, as the library
@@ -28,10 +29,12 @@ from tillroll.llm.common import returns_memory
 
 # Texts up to this many characters go to the library in one piece.
 PIECE_CHARS = 1 << 16
+# The pattern that the places of _SAFE and _LONG_RUN are safe for; a fixed value.
+SAFE_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 # White space (Unicode White_Space) as the patterns' \s has it; a fixed value.
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _LONG_RUN = re.compile(f"[{_SPACE}]{{4096,}}")
-# A place between a non-space and a blank or line feed. No pattern match goes
+# A place between a non-space and a blank or line feed. No match of SAFE_PATTERN goes
 # on from a non-space to white space, and what follows such a place is matched
 # without looking back.
 _SAFE = re.compile(r"[^\s](?=[ \n])")
@@ -78,12 +81,22 @@ def _cut(text: str, start: int, end: int, limit: int) -> Iterator[str]:
         yield text[start:end]
 
 
+def _matches(pattern: str, text: str) -> Iterator[tuple[str, bool]]:
+    """The matches of ``pattern``, which the library encodes one by one."""
+    import regex
+
+    return ((m[0], True) for m in regex.finditer(pattern, text) if m[0])
+
+
 def encode_text(enc, text: str, limit: int = PIECE_CHARS) -> np.ndarray:
     """Ids of one whole text as little-endian unsigned 32-bit integers."""
     parts = []
-    for piece, single in split_safely(text, limit):
+    safe = enc._pat_str == SAFE_PATTERN or len(text) <= limit
+    for piece, single in split_safely(text, limit) if safe else _matches(enc._pat_str, text):
         ids = enc._encode_single_piece(piece) if single else enc.encode_ordinary(piece)
         parts.append(np.asarray(ids, dtype="<u4"))
+        if len(parts) > 4096:
+            parts = [np.concatenate(parts)]
     return np.concatenate(parts) if len(parts) > 1 else parts[0] if parts else np.empty(0, "<u4")
 
 
