@@ -25,7 +25,7 @@ from tillroll.sources.warehouse import WriteReceipt
 
 # To be raised when a stage gives other rows: an older unfinished run is then not taken up.
 STAGES_VERSION = 1
-SOURCES = ["region", "nation", "customer", "orders", "lineitem"]
+SOURCES = fixtures.SOURCES
 
 
 def run_all(spark: SparkSession, sf_dir: str, database: str) -> list[WriteReceipt]:

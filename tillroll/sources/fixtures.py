@@ -70,6 +70,19 @@ def _small(spark: SparkSession, sf_dir: str, name: str, df: DataFrame) -> DataFr
     return F.broadcast(df) if fs.getContentSummary(path).getLength() <= SMALL_BYTES else df
 
 
+# Tables that the sales and customers are made from.
+SOURCES = ["region", "nation", "customer", "orders", "lineitem"]
+
+
+def input_bytes(spark: SparkSession, sf_dir: str) -> int:
+    """Bytes of the files of ``SOURCES`` (sizes are looked up, nothing is read)."""
+    total = 0
+    for name in SOURCES:
+        fs, path = filesystem(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
+        total += fs.getContentSummary(path).getLength() if fs.exists(path) else 0
+    return total
+
+
 def _null_id(l_orderkey: Column, l_linenumber: Column) -> Column:
     return (l_orderkey * 7 + l_linenumber) % 20 == 0
 
