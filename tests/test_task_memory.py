@@ -6,6 +6,7 @@ from tillroll.session import PIPELINE_CONF, apply_pipeline_conf, widen_shuffles
 from tillroll.sources import fixtures
 
 INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+BROADCAST = "spark.sql.adaptive.autoBroadcastJoinThreshold"
 
 
 @pytest.fixture
@@ -38,3 +39,16 @@ def test_bytes_of_the_source_files(spark, tmp_path):
 def test_tasks_take_small_pieces(conf):
     for k in ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.files.maxPartitionBytes"):
         assert conf.get(k) == "32MB"
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_a_join_with_a_small_side_sorts_neither(spark, conf, how):
+    conf.set(BROADCAST, "-1")
+    facts = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b"), (None, "c"), (3, "d")], "k int, v string")
+    dim = spark.createDataFrame([(1, "x"), (2, "y"), (2, "z"), (None, "n")], "k int, w string")
+    joined = facts.join(dim, "k", how)
+    rows = sorted(map(tuple, joined.collect()), key=str)
+    assert "ShuffledHashJoin" in _plan(joined)
+    both = [(1, "a", "x"), (1, "a", "x"), (2, "b", "y"), (2, "b", "z")]
+    none = [(3, "d", None), (None, "c", None)] if how == "left" else []
+    assert rows == sorted(both + none, key=str)
