@@ -1,9 +1,13 @@
 import math
+import tracemalloc
+from pathlib import Path
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
-from tillroll.llm import ann, topk
+from tillroll.llm import ann, common, topk
 
 SCHEMA = "vec_id long, embedding array<float>, label int, id string, v string"
 
@@ -143,3 +147,49 @@ def test_near_copies_do_not_crowd_the_pivots(spark):
     assert len(pivots) == 200 and near.max() < ann.ALIKE
     few = ann.apart(pivots[[0, 0, 1]], 3)
     assert few.shape == (3, 24) and (few[0] == few[2]).all()
+
+
+def test_a_task_streams_the_index_and_holds_the_queries(spark):
+    broadcast, batch = "spark.sql.autoBroadcastJoinThreshold", "spark.sql.execution.arrow.maxBytesPerBatch"
+    kept = spark.conf.get(broadcast)
+    spark.conf.unset(batch)
+    spark.conf.set(broadcast, "-1")
+    try:
+        df = _frame(spark, _random(60, 8, 6))
+        product = ann.search(ann.build_index(df, block=20), df, 3)._jdf.queryExecution().sparkPlan().toString()
+        assert int(spark.conf.get(batch)) == common.BATCH_BYTES  # a pair of blocks at a time
+    finally:
+        spark.conf.set(broadcast, kept)
+    product = product[product.index("CartesianProduct"):]
+    assert product.index("positions#") < product.index("q_ids#")
+
+
+def test_each_block_is_a_row_group(spark, monkeypatch):
+    monkeypatch.setattr(ann, "ROW_GROUP", 1000, raising=False)
+    x = [[1.0, 2.0, 3.0]] * 90 + [[float(i), 1.0, 0.0] for i in range(30)]
+    blocks, _ = ann.build_index(_frame(spark, x, [7] * 90 + list(range(100, 130))), block=10)
+    assert blocks.count() >= 12  # equal rows stay together, so one task writes several blocks
+    for f in blocks.inputFiles():
+        m = pq.ParquetFile(Path(f.removeprefix("file://"))).metadata
+        assert m.num_row_groups == m.num_rows
+
+
+@pytest.mark.parametrize("n", [5, 30, 60])
+def test_pivots_are_drawn_from_small_hashes(spark, n):
+    v = F.array((F.col("id") % 40).cast("double") - 20, F.lit(1.0))  # 40 different, 500 of each
+    rows = spark.range(20_000).select("id", v.alias("v"))
+    want = [r.v for r in rows.select("v").distinct().orderBy(F.xxhash64(F.lit(3), "v"), "v").limit(n).collect()]
+    got = ann.draw(rows, 20_000, n, 3)
+    assert got == want and len(got) == min(n, 40)
+
+
+def test_orders_of_pivots_take_little_memory():
+    x = _random(8192, 64, 9).astype(np.float64)
+    pivots = x[:512] / np.sqrt((x[:512] ** 2).sum(1, keepdims=True))
+    tracemalloc.start()
+    order = ann.prefixes(x, pivots, 256)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40e6  # 8 MB of them are the result
+    near = np.round(x / np.sqrt((x * x).sum(1, keepdims=True)) @ pivots.T, 12)
+    assert (order == np.argsort(-near, axis=1, kind="stable")[:, :256]).all()
